@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import product, sla
+from . import product, scalars, shaping, sla, soldout, stock
 from .registry import ORACLES, QUERIES
 
-FAMILIES = (product, sla)
+FAMILIES = (product, sla, stock, soldout, shaping, scalars)
 
 
 def queries():

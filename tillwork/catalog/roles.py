@@ -37,8 +37,25 @@ MTD = (date(1998, 1, 1), date(1998, 6, 30))
 STOCK_FIRST, STOCK_LAST = date(1998, 6, 1), date(1998, 6, 30)
 
 
+# Declared, so reading a table opens no file while the plan is built.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _decode(column: str, mapping: dict[str, str]):
@@ -227,8 +244,13 @@ sla AS (
 
 
 def soldout_events(spark: SparkSession, folder: str) -> DataFrame:
+    return as_soldout(table(spark, folder, "events"))
+
+
+def as_soldout(events: DataFrame) -> DataFrame:
+    """Events (batch or stream) as sold-out events."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").cast("string").alias("branch_code"),
         F.when(F.col("event_type") == "error", "out").otherwise(F.col("event_type")).alias("event_type"),
         F.when(F.col("value") < 40, "Direct").otherwise("Scheduled").alias("status_type"),

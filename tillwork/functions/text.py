@@ -143,7 +143,7 @@ def composite_key(*parts: Column | str) -> Column:
 
 def split_list(x: Column | str, sep: str = ",") -> Column:
     """Comma list -> distinct trimmed entries without blanks; missing -> empty array."""
-    parts = F.transform(F.split(F.coalesce(as_col(x), F.lit("")), sep), F.trim)
+    parts = F.transform(F.split(F.coalesce(as_col(x), F.lit("")), sep), lambda p: F.trim(p))
     return F.array_distinct(F.filter(parts, lambda p: p != ""))
 
 

@@ -35,7 +35,7 @@ class Period:
 
 
 def ntz(value: datetime) -> Column:
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'")
 
 
 def report_day(as_of: date) -> date:

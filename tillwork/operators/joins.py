@@ -1,8 +1,9 @@
 """Dimension joins with a uniqueness contract, semi and anti joins, emptiness probes.
 
-No join carries a broadcast hint: Spark broadcasts a dimension while its size,
-estimated at planning and measured at run time, is under
-``spark.sql.autoBroadcastJoinThreshold``, and sort-merges with skew splitting beyond.
+A dimension is unique by its key, so it has at most as many rows as the sheet it
+comes from. It is broadcast only when all files it is read from are small
+(``BROADCAST_SOURCE_BYTES``); beyond that no hint is given and Spark decides by
+its own estimate, sort-merging with skew splitting when the dimension is large.
 """
 
 from __future__ import annotations
@@ -43,8 +44,20 @@ def dimension_conflicts(dim: DataFrame, keys: Sequence[str], attributes: Sequenc
     )
 
 
+# A sheet of this size holds at most a few hundred thousand stores or items.
+BROADCAST_SOURCE_BYTES = 16 * 1024 * 1024
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of every table the frame is read from, by the optimizer's statistics; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def with_dimension(fact: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Fact rows with the attributes of their dimension row; ``inner`` keeps known keys only."""
+    if source_bytes(dim) <= BROADCAST_SOURCE_BYTES:
+        dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 
 

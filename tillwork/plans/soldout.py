@@ -133,6 +133,6 @@ def summary_recipients(stores: DataFrame, extra: Sequence[str] = ()) -> DataFram
     """Distinct addresses of every copy list and the extra ones."""
     listed = stores.select(F.explode(split_list("cc_mail")).alias("address"))
     if extra:
-        more = stores.sparkSession.createDataFrame([(a,) for a in extra], "address string")
-        listed = listed.union(more)
+        fixed = F.explode(F.array(*[F.lit(a) for a in extra])).alias("address")
+        listed = listed.union(stores.sparkSession.range(1).select(fixed))
     return listed.distinct()

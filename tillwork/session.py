@@ -25,6 +25,8 @@ def local_session(app: str = "tillwork", cores: int | str = "*", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # a report is built from thousands of Column calls; do not record each call site
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TILLWORK_DRIVER_MEMORY", "8g"))
     )
     for key, value in RUNTIME_CONF.items():
