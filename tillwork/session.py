@@ -43,6 +43,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folder: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -53,6 +56,6 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    created = tempfile.mkdtemp(prefix="tillwork-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="tillwork-"))
+    return _own_folder[0]
