@@ -92,7 +92,7 @@ query(
         DISTINCT,
         "region, ",
         "",
-        "WHERE region IN (SELECT region FROM mart WHERE period = 'CURRENT' AND category_group IS NOT NULL)",
+        "WHERE region IN (SELECT region FROM mart WHERE period = 'CURRENT')",
     ),
 )(lambda s, d: P.region_category(mart(s, d)))
 query("item_compare", growth_sql("item_group", COUNTED))(lambda s, d: P.item_compare(mart(s, d)))

@@ -40,6 +40,6 @@ def not_addon(mix: Column | str, addon: str = "ADDONS") -> Column:
     return ~F.upper(mix).eqNullSafe(addon)
 
 
-def p80_breach(kpt: Column, o2d: Column, orders: Column, min_orders: int = 0) -> Column:
+def p80_breach(kpt: Column, o2d: Column, orders: Column, min_orders: Column | int = 0) -> Column:
     """P80 preparation over 12 or P80 delivery over 35 minutes."""
     return ((kpt > 12.0) | (o2d > 35.0)) & (orders >= min_orders)

@@ -20,25 +20,48 @@ def not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def metric_histogram(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+ORDERS = "orders"
+
+
+def metric_histogram(
+    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], invoice: str | None = None
+) -> DataFrame:
     """keys, metric, tenths, n: how often each value (in whole tenths) occurs per key.
 
     Exact for values rounded to 0.1. The count is combined map-side and spread
     by value, so a key with a third of all rows ships only its distinct values;
     mean, median, percentiles and breaches all follow from this table.
+
+    With ``invoice`` the same pass also yields the key's distinct invoices: rows of
+    metric ``orders`` with the invoice and n = 1, spread by invoice.
     """
-    values = F.array(
-        *[
-            F.struct(F.lit(m).alias("metric"), F.rint(F.col(m) * RESOLUTION).cast("bigint").alias("tenths"))
-            for m in metrics
-        ]
-    )
-    return (
-        df.select(*keys, F.inline(values))
-        .filter(F.col("tenths").isNotNull())
-        .groupBy(*keys, "metric", "tenths")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    none_t, none_i = F.lit(None).cast("bigint"), None
+    if invoice is not None:
+        none_i = F.lit(None).cast(df.schema[invoice].dataType)
+
+    def cell(metric: str, tenths: Column, order: Column | None) -> Column:
+        fields = [F.lit(metric).alias("metric"), tenths.alias("tenths")]
+        return F.struct(*fields, *([] if order is None else [order.alias("order")]))
+
+    cells = [cell(m, F.rint(F.col(m) * RESOLUTION).cast("bigint"), none_i) for m in metrics]
+    known = F.col("tenths").isNotNull()
+    steps = ["metric", "tenths"]
+    if invoice is not None:
+        cells.append(cell(ORDERS, none_t, F.col(invoice)))
+        known = known | F.col("order").isNotNull()
+        steps.append("order")
+    count = F.count(F.lit(1))
+    n = count if invoice is None else F.when(F.col("metric") == ORDERS, F.lit(1).cast("bigint")).otherwise(count)
+    return df.select(*keys, F.inline(F.array(*cells))).filter(known).groupBy(*keys, *steps).agg(n.alias("n"))
+
+
+def merge_histograms(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A histogram regrouped by coarser keys; an invoice seen under several finer keys counts once."""
+    n = F.sum("n")
+    if "order" not in hist.columns:
+        return hist.groupBy(*keys, "metric", "tenths").agg(n.alias("n"))
+    n = F.when(F.col("metric") == ORDERS, F.lit(1).cast("bigint")).otherwise(n)
+    return hist.groupBy(*keys, "metric", "tenths", "order").agg(n.alias("n"))
 
 
 def _percentiles(of: Column) -> Column:
@@ -161,17 +184,6 @@ def period_compare(
     return wide.select(*keys, *[F.when(F.col(f"_{p}_rows") > 0, F.col(c)).alias(c) for p, c in names])
 
 
-def distinct_orders(df: DataFrame, keys: Sequence[str], flag: str, invoice: str = "invoice") -> DataFrame:
-    """keys, flag, n: distinct invoices per key and flag, hot keys spread by invoice."""
-    return (
-        not_null(df, [*keys, invoice])
-        .select(*keys, flag, invoice)
-        .distinct()
-        .groupBy(*keys, flag)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, rank: str | None = None) -> DataFrame:
     """First k rows per key by a total order; cut to k per task before the exchange."""
     name = rank or "_rank"

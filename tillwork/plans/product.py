@@ -153,9 +153,8 @@ def category_by_source(mart: DataFrame, sources: Sequence[str] = SOURCES) -> Dat
 
 def region_category(mart: DataFrame) -> DataFrame:
     """As ``category_compare`` per region; only regions that sold today."""
-    out = category_compare(mart, ["region"])
-    today = out.groupBy("region").agg(F.sum("today_orders").alias("_today")).filter("_today > 0").select("region")
-    return out.join(today, "region", "left_semi")
+    today = mart.filter(F.col("period") == CUR).select("region").distinct()
+    return category_compare(mart, ["region"]).join(today, "region", "left_semi")
 
 
 def item_compare(mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -13,9 +13,8 @@ from ..functions.text import has_text, scope_label
 from ..functions.time import in_month_to, minutes_between
 from ..operators.filters import p80_breach, valid_metric
 from ..operators.joins import with_dimension, with_status_row
-from ..operators.metrics import distinct_orders, metric_histogram, sla_columns, sla_finish
+from ..operators.metrics import ORDERS, merge_histograms, metric_histogram, sla_columns, sla_finish
 from ..operators.pivot import unpivot
-from ..operators.shape import union_all
 
 METRICS = ("kpt", "o2d")
 LIMITS = {"kpt": 12.0, "o2d": 30.0}
@@ -49,7 +48,8 @@ def enrich(
         {
             "kpt": N.round_he(N.clip_zero(minutes_between("order_time", "ready_time")), 1),
             "o2d": N.round_he(N.clip_zero(minutes_between("order_time", "delivered_time")), 1),
-            "is_ftd": F.coalesce(reported, F.lit(False)),
+            # both halves so that a filter on the flag reaches the scan
+            "is_ftd": reported.isNotNull() & reported,
         }
     )
     return with_dimension(timed.filter(valid_metric("kpt")), stores, "branch_code", "inner")
@@ -142,9 +142,8 @@ def matrix(sla: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = AGGR
 
 def region_matrix(sla: DataFrame, names: Sequence[str] = AGGREGATORS) -> DataFrame:
     """``matrix`` per region, for regions with orders on the reported day."""
-    out = matrix(sla, ["region"], names)
-    reported = out.filter((F.col("parameter") == "Orders") & (F.col(f"FTD {OVERALL}") > 0)).select("region")
-    return out.join(reported, "region", "left_semi")
+    reported = sla.filter("is_ftd").select("region").distinct()
+    return matrix(sla, ["region"], names).join(reported, "region", "left_semi")
 
 
 def _two_periods(places: int, fill: float | None) -> tuple[list[Column], list[Column]]:
@@ -181,47 +180,55 @@ def _scopes(df: DataFrame, region: str = "region") -> DataFrame:
     return df.withColumn("scope", F.explode(scopes)).drop(region)
 
 
-def element_table(lines: DataFrame, element: str, orders: str = "distinct", by_region: bool = False) -> DataFrame:
-    """Per category or item (with scope when ``by_region``): orders and clocks, reported day and month.
+# How an element counts its orders: categories by invoice, items by sold line.
+KINDS = {"Category": ("category_name", "distinct"), "Item": ("item_name", "count")}
 
-    Clocks come from a histogram; distinct orders from (region, element,
-    invoice) rows; both are small when they meet in one last aggregation.
+
+def element_tables(lines: DataFrame, kinds: Sequence[str], by_region: bool = False) -> DataFrame:
+    """kind, (scope,) element: orders and both clocks, reported day and month.
+
+    One pass over the lines reduces them to counts per value and to distinct
+    invoices; scopes fan out and percentiles are taken on that table only.
     """
-    base = lines.filter(F.col(element).isNotNull())
-    dims = ["region", element] if by_region else [element]
-    hist = metric_histogram(base, [*dims, "is_ftd"], METRICS)
+    distinct = [k for k in kinds if KINDS[k][1] == "distinct"]
+    cells = []
+    for kind in kinds:
+        order = F.col("invoice") if kind in distinct else F.lit(None).cast(lines.schema["invoice"].dataType)
+        cells.append(
+            F.struct(F.lit(kind).alias("kind"), F.col(KINDS[kind][0]).alias("element"), order.alias("_invoice"))
+        )
+    region = ["region"] if by_region else []
+    rows = lines.select(*region, "is_ftd", *METRICS, F.inline(F.array(*cells))).filter(F.col("element").isNotNull())
+    hist = metric_histogram(rows, [*region, "kind", "element", "is_ftd"], METRICS, "_invoice" if distinct else None)
+    keys = ["kind", "element"]
     if by_region:
+        keys = ["kind", "scope", "element"]
         hist = _scopes(hist)
-        base = _scopes(base.select("region", element, "is_ftd", "invoice").distinct()) if orders == "distinct" else base
-    keys = ["scope", element] if by_region else [element]
-    parts = hist.select(*keys, "is_ftd", "metric", "tenths", "n")
-    if orders == "distinct":
-        counted = distinct_orders(base, keys, "is_ftd")
-        parts = parts.unionByName(
-            counted.select(*keys, "is_ftd", F.lit("orders").alias("metric"), F.lit(None).cast("bigint").alias("tenths"), "n")
-        )
+        if distinct:
+            hist = merge_histograms(hist, [*keys, "is_ftd"])
     # a line always has a preparation time, so counting lines is counting kpt values
-    unit = F.col("metric") == ("orders" if orders == "distinct" else "kpt")
+    unit = F.col("metric") == F.when(F.col("kind").isin(*distinct), ORDERS).otherwise("kpt")
     total = lambda test: F.coalesce(F.sum(F.when(unit & test, F.col("n"))), F.lit(0)).cast("bigint")
     raw, done = _two_periods(2, 0.0)
-    wide = parts.groupBy(*keys).agg(
+    wide = hist.groupBy(*keys).agg(
         total(F.col("is_ftd")).alias("ftd_orders"), total(F.lit(True)).alias("mtd_orders"), *raw
     )
     return wide.select(*keys, "ftd_orders", "mtd_orders", *done)
 
 
 def category_table(lines: DataFrame, by_region: bool = False) -> DataFrame:
-    return element_table(lines, "category_name", "distinct", by_region)
+    return element_tables(lines, ["Category"], by_region).drop("kind").withColumnRenamed("element", "category_name")
 
 
 def item_table(lines: DataFrame, by_region: bool = False) -> DataFrame:
-    return element_table(lines, "item_name", "count", by_region)
+    return element_tables(lines, ["Item"], by_region).drop("kind").withColumnRenamed("element", "item_name")
 
 
-def regions_reported(table: DataFrame) -> DataFrame:
-    """Scopes with at least one order on the reported day (and the overall scope)."""
-    seen = table.groupBy("scope").agg(F.sum("ftd_orders").alias("_n")).filter("_n > 0").select("scope")
-    return table.join(seen, "scope", "left_semi")
+def regions_reported(table: DataFrame, lines: DataFrame) -> DataFrame:
+    """Scopes with orders on the reported day, and the overall scope; reads that day only."""
+    seen = lines.filter("is_ftd").select(scope_label("region").alias("scope")).distinct()
+    overall = lines.sparkSession.range(1).select(F.lit(OVERALL).alias("scope"))
+    return table.join(seen.unionByName(overall), "scope", "left_semi")
 
 
 FLAG_COLUMNS = ("scope", "type", "element", "orders", "kpt_p80", "o2d_p80", "issue")
@@ -229,30 +236,23 @@ FLAG_COLUMNS = ("scope", "type", "element", "orders", "kpt_p80", "o2d_p80", "iss
 
 def root_causes(lines: DataFrame, min_overall: int = 5, min_region: int = 3) -> DataFrame:
     """Categories and items whose reported-day P80 breaks a limit, overall and per region."""
-
-    def flags(table: DataFrame, kind: str, element: str) -> DataFrame:
-        overall = F.col("scope") == OVERALL
-        least = F.when(overall, min_overall).otherwise(min_region) if kind == "Item" else F.lit(0)
-        kpt, o2d = F.col("ftd_kpt_p80"), F.col("ftd_o2d_p80")
-        issue = (
-            F.when(~overall, "Target Dropped in Region")
-            .when(kpt > 12.0, "High Prep Time (KPT)")
-            .otherwise("Logistics Delay (O2D)")
-        )
-        kept = regions_reported(table).filter(p80_breach(kpt, o2d, F.col("ftd_orders"), least))
-        return kept.select(
-            "scope",
-            F.lit(kind).alias("type"),
-            F.col(element).alias("element"),
-            F.col("ftd_orders").alias("orders"),
-            kpt.alias("kpt_p80"),
-            o2d.alias("o2d_p80"),
-            issue.alias("issue"),
-        )
-
-    return union_all(
-        flags(category_table(lines, by_region=True), "Category", "category_name"),
-        flags(item_table(lines, by_region=True), "Item", "item_name"),
+    tables = element_tables(lines.filter("is_ftd"), list(KINDS), by_region=True)
+    overall = F.col("scope") == OVERALL
+    least = F.when(F.col("kind") == "Category", 0).when(overall, min_overall).otherwise(min_region)
+    kpt, o2d = F.col("ftd_kpt_p80"), F.col("ftd_o2d_p80")
+    issue = (
+        F.when(~overall, "Target Dropped in Region")
+        .when(kpt > 12.0, "High Prep Time (KPT)")
+        .otherwise("Logistics Delay (O2D)")
+    )
+    return tables.filter(p80_breach(kpt, o2d, F.col("ftd_orders"), least)).select(
+        "scope",
+        F.col("kind").alias("type"),
+        "element",
+        F.col("ftd_orders").alias("orders"),
+        kpt.alias("kpt_p80"),
+        o2d.alias("o2d_p80"),
+        issue.alias("issue"),
     )
 
 

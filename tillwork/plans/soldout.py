@@ -101,29 +101,25 @@ def alert_headers(alerts: DataFrame) -> DataFrame:
     return out.filter(F.size("recipients") > 0).select("store_name", "am_name", "recipients", "n_items")
 
 
-def alert_parts(alerts: DataFrame, headers: DataFrame, part_rows: int = 500) -> DataFrame:
-    """Item lists in parts of about ``part_rows`` lines: a store with many items gets many parts.
+def alert_packets(alerts: DataFrame, part_rows: int = 500) -> DataFrame:
+    """What one mail needs: store, part, contact, recipients and its items.
 
-    The part of an item follows from a digest of its key, so it is the same in
-    every run; no task ever gathers a whole store.
+    A store's items come in parts of about ``part_rows`` lines, so no task ever
+    gathers a whole store. The part of an item follows from a digest of its key
+    and is the same in every run. Pass written alerts: they are read twice.
     """
     digest = F.conv(F.substring(F.md5("alert_key"), 1, 8), 16, 10).cast("bigint")
     parts = F.ceil(F.col("n_items") / F.lit(part_rows))
-    lines = alerts.join(headers.select("store_name", "n_items"), "store_name")
     item = F.struct("alert_key", "item_type", "category_name", "item_name", "event_time", "user_name")
+    lines = alerts.select("store_name", item.alias("item"), digest.alias("digest"))
     return (
-        lines.withColumn("part", F.pmod(digest, parts) + 1)
-        .groupBy("store_name", "part")
-        .agg(F.sort_array(F.collect_list(item)).alias("items"))
+        lines.join(alert_headers(alerts), "store_name")
+        .withColumn("part", F.pmod("digest", parts) + 1)
+        .groupBy("store_name", "part", "am_name", "recipients", "n_items")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
 
 
-def alert_packets(alerts: DataFrame, part_rows: int = 500) -> DataFrame:
-    """What one mail needs: store, part, contact, recipients and its items."""
-    headers = alert_headers(alerts)
-    return headers.join(alert_parts(alerts, headers, part_rows), "store_name")
-
-
 def sent_keys(alerts: DataFrame, packets: DataFrame) -> DataFrame:
     """Alert keys of the stores that were mailed, for the log."""
     return alerts.join(packets.select("store_name").distinct(), "store_name", "left_semi").select("alert_key")
