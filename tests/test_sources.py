@@ -186,6 +186,26 @@ def test_raw_landing_status(spark, tmp_path, rows):
     write_lines(tmp_path / "snap" / "a.json", [{"branchCode": "S1", "item": {"n": 1}, "tags": ["x"]}])
     snap = landed.snapshot(spark, str(tmp_path / "snap"))
     r = sinks.raw_landing(snap, "Raw_Snapshot").first()
-    assert (r.item, r.tags, r.status) == ('{"n":1}', '["x"]', None)
+    assert (r.item, r.tags, r.landing_status) == ('{"n":1}', '["x"]', None)
     empty = sinks.raw_landing(snap.filter(F.lit(False)), "Raw_Snapshot").collect()
-    assert len(empty) == 1 and "Raw_Snapshot" in empty[0].status
+    assert len(empty) == 1 and "Raw_Snapshot" in empty[0].landing_status
+
+
+def test_raw_landing_tables(spark, tmp_path, rows):
+    from tillwork.plans import landing
+
+    root, day = tmp_path / "landed", date(2024, 5, 15)
+    for table, (dataset, _) in landing.DATASETS.items():
+        record = {"branchCode": "S1 ", "itemName": table, "detail": {"n": 1}, "tags": ["a"]}
+        if table == "consumption_sales":
+            record = an_order("1", "2024-05-15", [CAKE, CAKE])
+        write_lines(root / dataset / "business_day=2024-05-15" / "p.json", [record, {**record, "branchCode": "S9"}])
+    stores = rows("branch_code string", ("S1",))
+    sales = landing.raw_table(spark, str(root), "consumption_sales", day, stores)
+    assert sales.count() == 2 and sales.first()["item_discounts"] == '[{"name":"Deal (X)"}]'
+    snap = landing.raw_table(spark, str(root), "inventory_store_items", day, stores).first()
+    assert (snap.branchCode, snap.detail_n, snap.tags, snap.landing_status) == ("S1", 1, '["a"]', None)
+    out = str(tmp_path / "out")
+    landing.publish(spark, str(root), out, day, stores, ["outlet_timings", "availability_history"])
+    landing.publish(spark, str(root), out, day, stores, ["outlet_timings"])
+    assert spark.read.parquet(f"{out}/outlet_timings").count() == 1

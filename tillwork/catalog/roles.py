@@ -205,7 +205,7 @@ def sla_lines(spark: SparkSession, folder: str) -> DataFrame:
     """
     o, l, p = (table(spark, folder, t) for t in ("orders", "lineitem", "part"))
     days = F.datediff("l_shipdate", "o_orderdate").cast("bigint")
-    tax = F.col("l_tax").cast("decimal(4,2)")
+    tax = F.col("l_tax")
     after = lambda micros: F.timestamp_add("MICROSECOND", days * micros, F.col("o_orderdate"))
     joined = l.join(o, l.l_orderkey == o.o_orderkey).join(p, l.l_partkey == p.p_partkey)
     return joined.select(
@@ -214,8 +214,8 @@ def sla_lines(spark: SparkSession, folder: str) -> DataFrame:
         _decode("o_orderpriority", CHANNELS).alias("channel"),
         F.col("o_orderdate").alias("order_time"),
         F.to_date("o_orderdate").alias("invoice_day"),
-        F.when(tax != F.lit("0.08").cast("decimal(4,2)"), after(800_000)).alias("ready_time"),
-        F.when(tax != F.lit("0.05").cast("decimal(4,2)"), after(2_400_000)).alias("delivered_time"),
+        F.when(tax != 0.08, after(800_000)).alias("ready_time"),
+        F.when(tax != 0.05, after(2_400_000)).alias("delivered_time"),
         F.col("p_type").alias("category_name"),
         F.col("p_name").alias("item_name"),
     )

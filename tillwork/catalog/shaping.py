@@ -310,7 +310,7 @@ def text_keys(spark, folder):
 
 @query(
     "raw_landing",
-    """SELECT s_suppkey, s_name, '{"nation":' || s_nationkey || '}' AS place, NULL AS status FROM supplier""",
+    """SELECT s_suppkey, s_name, '{"nation":' || s_nationkey || '}' AS place, NULL AS landing_status FROM supplier""",
 )
 def raw_supplier(spark, folder):
     s = R.table(spark, folder, "supplier").select(
@@ -322,7 +322,7 @@ def raw_supplier(spark, folder):
 @query(
     "raw_landing_empty",
     """WITH landed AS (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 0)
-SELECT s_suppkey, s_name, NULL AS status FROM landed
+SELECT s_suppkey, s_name, NULL AS landing_status FROM landed
 UNION ALL SELECT NULL, NULL, 'No data returned for suppliers on the target date.' WHERE NOT EXISTS (SELECT 1 FROM landed)""",
 )
 def raw_empty(spark, folder):

@@ -103,8 +103,8 @@ def store_summary(days: DataFrame, first: date, last: date) -> DataFrame:
 
 
 def region_summary(days: DataFrame, first: date, last: date) -> DataFrame:
-    """Region sums with ratios recomputed from the sums, not averaged over stores."""
-    return stock_ratio(days, ["region"], first, last)
+    """Region sums over known stores, ratios recomputed from the sums, not averaged over stores."""
+    return stock_ratio(days.filter(F.col("store_name").isNotNull()), ["region"], first, last)
 
 
 def region_transposed(summary: DataFrame, regions: Sequence[str]) -> DataFrame:

@@ -54,9 +54,9 @@ def raw_landing(df: DataFrame, table: str) -> DataFrame:
     text = json_text(df)
     message = f"No data returned for {table} on the target date."
     status = df.sparkSession.range(1).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in text.schema.fields], F.lit(message).alias("status")
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in text.schema.fields], F.lit(message).alias("landing_status")
     )
-    return with_status_row(text.withColumn("status", F.lit(None).cast("string")), status)
+    return with_status_row(text.withColumn("landing_status", F.lit(None).cast("string")), status)
 
 
 def stacked(sections: Mapping[str, DataFrame], key: str = "section") -> DataFrame:

@@ -13,16 +13,22 @@ from ..sources.sinks import path_exists
 LOG_SCHEMA = "alert_key string, store_name string, item_name string, business_date date, event_time timestamp, batch_id bigint"
 
 
-def alert_stream(events: DataFrame, stores: DataFrame, horizon: str = "1 day") -> DataFrame:
+def alert_stream(events: DataFrame, stores: DataFrame, horizon: str = "1 day", salts: int = 16) -> DataFrame:
     """Streaming events -> alerts, repeats inside the horizon dropped by streaming state.
 
     An event up to ``horizon`` late still alerts. The state forgets a key after the
     horizon; that a key never alerts twice over all time is the log's job.
+    One key may repeat in a large share of the events, so repeats are first dropped
+    per (key, salt), the salt following from the event's time, and then per key.
     """
     keyed = with_alert_key(soldout_base(events, stores)).filter(F.col("store_name").isNotNull())
-    timed = keyed.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    alerts = timed.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["alert_key"])
-    return alerts.select("alert_key", "store_name", "item_name", "business_date", "event_time")
+    timed = keyed.select(
+        "alert_key", "store_name", "item_name", "business_date", F.col("event_time").cast("timestamp").alias("event_time")
+    ).withWatermark("event_time", horizon)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64("event_time"), F.lit(salts))
+        timed = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["alert_key", "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark(["alert_key"])
 
 
 def write_batch(batch: DataFrame, batch_id: int, log: str) -> None:
