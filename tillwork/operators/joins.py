@@ -62,14 +62,14 @@ def with_dimension(fact: DataFrame, dim: DataFrame, on: str, how: str = "left")
 
 
 def only_new(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """EXCEPT by key."""
-    return df.join(seen.select(key), key, "left_anti")
+    """EXCEPT by key; a key that repeats in ``seen`` is reduced before the exchange."""
+    return df.join(seen.select(key).distinct(), key, "left_anti")
 
 
 def only_listed(df: DataFrame, listed: DataFrame, key: str, all_when_empty: bool = False) -> DataFrame:
     """Rows whose key is listed; with ``all_when_empty`` an empty list restricts nothing."""
     if not all_when_empty:
-        return df.join(listed.select(key), key, "left_semi")
+        return df.join(listed.select(key).distinct(), key, "left_semi")
     hits = listed.select(key).distinct().withColumn("_hit", F.lit(True))
     return df.join(hits, key, "left").filter(F.col("_hit") | is_empty(listed)).drop("_hit")
 

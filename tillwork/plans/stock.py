@@ -145,13 +145,13 @@ def daily_matrix(days: DataFrame, dates: Sequence[date]) -> DataFrame:
 
 
 def moved_skus(*movements: DataFrame) -> DataFrame:
-    """Codes mentioned by transfers and receipts: the record's own, else those of its items."""
+    """Codes mentioned by transfers and receipts: the record's own, else those of its items; may repeat."""
     seen = []
     for m in movements:
         listed = F.transform(F.col("items"), lambda i: i["skuCode"])
         own = F.when(F.col("skuCode").isNotNull(), F.array("skuCode")).otherwise(listed)
         seen.append(m.select(F.explode(own).alias("skuCode")).filter(F.col("skuCode").isNotNull()))
-    return union_all(*seen).distinct()
+    return union_all(*seen)
 
 
 def movement_union(
