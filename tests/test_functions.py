@@ -173,6 +173,11 @@ def test_business_periods_shift_together():
     assert l2w.end == datetime(2024, 4, 19, 1, 30)
 
 
+def test_period_days_are_the_partitions_to_read():
+    days = D.period_days(D.business_periods(datetime(2024, 5, 3, 1, 30)))
+    assert days == [date(2024, 4, 18), date(2024, 4, 25), date(2024, 5, 2)]
+
+
 def test_month_of_the_first_is_one_day():
     assert D.month_days(date(2024, 5, 1)) == [date(2024, 5, 1)]
     assert len(D.month_days(D.report_day(date(2024, 6, 1)))) == 31

@@ -77,6 +77,15 @@ def business_periods(
     return [current] + [current.shifted(name, days) for name, days in shifts]
 
 
+def period_days(periods: Sequence[Period], cutoff_hour: int = CUTOFF_HOUR) -> list[date]:
+    """The business days the windows touch: the day partitions a report has to read."""
+    days = set()
+    for p in periods:
+        first, last = ((t - timedelta(hours=cutoff_hour)).date() for t in (p.start, p.end))
+        days |= {first + timedelta(days=i) for i in range((last - first).days + 1)}
+    return sorted(days)
+
+
 def tag_period(df: DataFrame, ts: str, periods: Sequence[Period], name: str = "period") -> DataFrame:
     """Keep rows inside any window and name the window.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.numeric import change_pct, growth_pct, pct, round_he, safe_div, to_number
+from ..functions.numeric import change_pct, growth_pct, pct, round_he, safe_div
 from ..functions.time import Period, tag_period, utc_to_zone
 from ..operators.filters import not_addon
 from ..operators.joins import with_dimension
@@ -22,7 +22,7 @@ from ..operators.shape import explode_objects
 
 CUR, LW, L2W = "CURRENT", "LW", "L2W"
 SOURCES = ("In Store", "Swiggy", "Zomato")
-MONEY = "decimal(18,2)"
+MONEY = "decimal(18,4)"
 
 
 def order_lines(orders: DataFrame, zone: str | None = None) -> DataFrame:
@@ -38,10 +38,11 @@ def order_lines(orders: DataFrame, zone: str | None = None) -> DataFrame:
         created.alias("order_time"),
         F.col("item_shortName").alias("item_name"),
         F.col("item_categoryName").alias("category_name"),
-        to_number("item_quantity").alias("quantity"),
+        # exact, so that sums do not depend on the order of the rows
         *[
             F.coalesce(F.col(src).try_cast(MONEY), F.lit(0).cast(MONEY)).alias(dst)
             for src, dst in (
+                ("item_quantity", "quantity"),
                 ("item_baseGrossAmount", "gross"),
                 ("item_baseNetDiscountAmount", "discount"),
                 ("item_baseNetAmount", "net"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,13 +36,22 @@ def write_batch(batch: DataFrame, batch_id: int, log: str) -> None:
 
     A batch owns the folder ``batch_id=N`` and overwrites it, and compares itself
     with the other batches only, so a batch replayed after a failure writes the same rows.
+    Only the part of the log from the batch's first business day on is read.
     """
     spark = batch.sparkSession
-    fresh = keep_first(batch, ["alert_key"], [F.asc_nulls_last("event_time"), F.asc_nulls_last("item_name")])
-    if path_exists(spark, log):
-        earlier = spark.read.schema(LOG_SCHEMA).parquet(log).filter(F.col("batch_id") != batch_id)
-        fresh = only_new(fresh, earlier, "alert_key")
-    fresh.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+    batch = batch.persist()
+    try:
+        first = batch.agg(F.min("business_date")).first()[0]
+        if first is None:
+            return
+        fresh = keep_first(batch, ["alert_key"], [F.asc_nulls_last("event_time"), F.asc_nulls_last("item_name")])
+        if path_exists(spark, log):
+            earlier = spark.read.schema(LOG_SCHEMA).parquet(log)
+            since = (F.col("batch_id") != batch_id) & (F.col("business_date") >= F.lit(first))
+            fresh = only_new(fresh, earlier.filter(since), "alert_key")
+        fresh.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
 
 
 def run_available(alerts: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
@@ -57,5 +66,8 @@ def run_available(alerts: DataFrame, log: str, checkpoint: str) -> StreamingQuer
     return query
 
 
-def sent_log(spark, log: str) -> DataFrame:
+def sent_log(spark: SparkSession, log: str) -> DataFrame:
+    """Every alert sent so far; an empty table before the first."""
+    if not path_exists(spark, log):
+        return spark.createDataFrame([], LOG_SCHEMA)
     return spark.read.schema(LOG_SCHEMA).parquet(log)
