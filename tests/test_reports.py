@@ -364,6 +364,18 @@ def test_alerts_once(base, rows):
     assert [r.alert_key for r in again.collect()] == ["Store 2|tea|2024-05-02"]
 
 
+def test_alert_run_can_be_repeated(rows, stores, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    noon = rows(EVENT, event(), event(item="tea"))
+    first = sorted(p["items"][0].item_name for p in soldout.alert_run(noon, stores, log, out, "noon").collect())
+    assert first == ["milk"]
+    again = soldout.alert_run(noon, stores, log, out, "noon").collect()
+    assert [len(p["items"]) for p in again] == [2]
+    evening = rows(EVENT, event(), event(item="tea"), event(item="oil"))
+    late = soldout.alert_run(evening, stores, log, out, "evening").collect()
+    assert [[i.item_name for i in p["items"]] for p in late] == [["oil"]]
+
+
 def test_packets_of_a_hot_store_are_split(rows, stores):
     data = rows(EVENT, *[event(item=f"i{n}") for n in range(300)])
     alerts = soldout.new_alerts(soldout.soldout_base(data, stores), rows("alert_key string", ("x",)))

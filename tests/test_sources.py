@@ -169,16 +169,19 @@ def test_refresh_replaces_only_its_partition(spark, tmp_path, rows):
 def test_alert_log(spark, tmp_path, rows):
     path = str(tmp_path / "log")
     assert landed.sent_alerts(spark, path).count() == 0
-    sinks.append_alerts(rows("alert_key string", ("a",)), path)
-    sinks.append_alerts(rows("alert_key string", ("b",)), path)
+    sinks.append_alerts(rows("alert_key string", ("a",)), path, "noon")
+    sinks.append_alerts(rows("alert_key string", ("b",)), path, "evening")
+    sinks.append_alerts(rows("alert_key string", ("b",)), path, "evening")
     log = landed.sent_alerts(spark, path)
     assert sorted(r.alert_key for r in log.collect()) == ["a", "b"] and log.filter("sent_time is null").count() == 0
+    assert [r.alert_key for r in landed.sent_alerts(spark, path, except_run="evening").collect()] == ["a"]
 
 
 def test_sections(spark, tmp_path, rows):
     both = sinks.stacked({"A": rows("x int", (1,)), "B": rows("x int, y string", (2, "t"))})
     assert both.columns == ["section", "x", "y"]
-    sinks.write_sections(both, str(tmp_path / "s"))
+    sinks.write_sections(both.union(both), str(tmp_path / "s"))
+    assert len(list((tmp_path / "s").glob("section=A/*.parquet"))) == 1
     assert sorted(p.name for p in (tmp_path / "s").glob("section=*")) == ["section=A", "section=B"]
 
 

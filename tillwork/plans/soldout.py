@@ -11,6 +11,9 @@ from ..functions.text import composite_key, dash_if_zero, same_text, split_list
 from ..operators.joins import keep_first, only_new, with_dimension
 from ..operators.metrics import first_known
 from ..operators.pivot import count_long, count_pivot
+from ..session import scratch_dir
+from ..sources.landed import sent_alerts
+from ..sources.sinks import append_alerts
 
 # The regions every pivot shows.
 REGIONS = ("KA", "MH", "TN", "KL")
@@ -125,6 +128,23 @@ def sent_keys(alerts: DataFrame, packets: DataFrame) -> DataFrame:
     return alerts.join(packets.select("store_name").distinct(), "store_name", "left_semi").select("alert_key")
 
 
+def alert_run(events: DataFrame, stores: DataFrame, log: str, out: str, run: str) -> DataFrame:
+    """One alerting run: new alerts -> packets written under ``out`` -> their keys in the log.
+
+    The alerts are written once to the shared scratch folder and read from there.
+    Packets leave before their keys are logged, so a crash in between repeats
+    mails rather than losing them; repeating a run by its name gives the same packets.
+    """
+    spark = events.sparkSession
+    staged = f"{scratch_dir(spark)}/alerts/{run}"
+    sent = sent_alerts(spark, log, except_run=run)
+    new_alerts(soldout_base(events, stores), sent).write.mode("overwrite").parquet(staged)
+    alerts = spark.read.parquet(staged)
+    alert_packets(alerts).write.mode("overwrite").parquet(f"{out}/run={run}")
+    append_alerts(sent_keys(alerts, alert_headers(alerts)), log, run)
+    return spark.read.parquet(f"{out}/run={run}")
+
+
 def summary_recipients(stores: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Distinct addresses of every copy list and the extra ones."""
     listed = stores.select(F.explode(split_list("cc_mail")).alias("address"))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.text import null_if_missing
 from ..functions.time import parse_ts, parse_utc
 from ..operators.joins import keep_first
 from ..operators.shape import unwrap_envelope
@@ -127,13 +126,16 @@ def pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(S.PAGE).format(fmt).load(path)
 
 
-def sent_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The alert log; an empty table of its schema before the first run."""
+def sent_alerts(spark: SparkSession, path: str, except_run: str | None = None) -> DataFrame:
+    """The alert log, without one run's own keys if asked; an empty table before the first run."""
     from .sinks import path_exists
 
     if not path_exists(spark, path):
         return spark.createDataFrame([], S.SENT_ALERT)
-    return spark.read.schema(S.SENT_ALERT).parquet(path).select("alert_key", "sent_time")
+    log = spark.read.schema(T.StructType([*S.SENT_ALERT.fields, T.StructField("run", T.StringType())])).parquet(path)
+    if except_run is not None:
+        log = log.filter(F.col("run") != except_run)
+    return log.select("alert_key", "sent_time")
 
 
 def missing_landings(stores: DataFrame, landed: DataFrame, first: date, last: date) -> DataFrame:
@@ -147,7 +149,6 @@ def missing_landings(stores: DataFrame, landed: DataFrame, first: date, last: da
 __all__ = [
     "item_activity",
     "missing_landings",
-    "null_if_missing",
     "one_per_key",
     "pages",
     "sales_orders",

@@ -32,10 +32,16 @@ def refresh(df: DataFrame, path: str, as_of: date | None = None, fmt: str = "par
     )
 
 
+def by_folder(df: DataFrame, key: str) -> DataFrame:
+    """Rows of one output folder together, so it gets few files; a large folder is still split over tasks."""
+    return df.hint("rebalance", F.col(key))
+
+
 def ledger_csv(df: DataFrame, path: str, day: str = "activity_date") -> None:
     """CSV of the ledger, one folder per month; a rerun replaces only its months."""
+    text = json_text(df.withColumn("month", F.date_format(day, "yyyy-MM")))
     (
-        json_text(df.withColumn("month", F.date_format(day, "yyyy-MM")))
+        by_folder(text, "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", "true")
@@ -44,9 +50,10 @@ def ledger_csv(df: DataFrame, path: str, day: str = "activity_date") -> None:
     )
 
 
-def append_alerts(keys: DataFrame, path: str) -> None:
-    """Append alert keys with the time they were sent."""
-    keys.select("alert_key", F.current_timestamp().alias("sent_time")).write.mode("append").parquet(path)
+def append_alerts(keys: DataFrame, path: str, run: str) -> None:
+    """Append a run's alert keys with the time they were sent; repeating the run replaces its own keys."""
+    sent = keys.select("alert_key", F.current_timestamp().alias("sent_time"))
+    sent.write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def raw_landing(df: DataFrame, table: str) -> DataFrame:
@@ -65,4 +72,4 @@ def stacked(sections: Mapping[str, DataFrame], key: str = "section") -> DataFram
 
 
 def write_sections(df: DataFrame, path: str, key: str = "section") -> None:
-    df.write.mode("overwrite").partitionBy(key).parquet(path)
+    by_folder(df, key).write.mode("overwrite").partitionBy(key).parquet(path)
