@@ -55,15 +55,6 @@ def metric_histogram(
     return df.select(*keys, F.inline(F.array(*cells))).filter(known).groupBy(*keys, *steps).agg(n.alias("n"))
 
 
-def merge_histograms(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A histogram regrouped by coarser keys; an invoice seen under several finer keys counts once."""
-    n = F.sum("n")
-    if "order" not in hist.columns:
-        return hist.groupBy(*keys, "metric", "tenths").agg(n.alias("n"))
-    n = F.when(F.col("metric") == ORDERS, F.lit(1).cast("bigint")).otherwise(n)
-    return hist.groupBy(*keys, "metric", "tenths", "order").agg(n.alias("n"))
-
-
 def _percentiles(of: Column) -> Column:
     return F.percentile(of, F.array(F.lit(0.5), F.lit(0.8)), F.col("n"))
 
