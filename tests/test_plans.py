@@ -69,3 +69,25 @@ def test_period_compare_shuffles_by_invoice_then_by_key(spark, folder):
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert any("invoice" in k and "period" in k for k in keys)
     assert "Expand" not in plan
+
+
+def test_shared_mart_needs_no_exchange_of_lines(spark, folder):
+    from tillwork.catalog import product as catalog
+    from tillwork.plans import product
+    from tillwork.session import written_by
+
+    shared = written_by(product.invoice_mart(catalog.mart(spark, folder)), "invoice")
+    for dashboard in (product.category_compare, product.mix_by_source, product.region_source_mix):
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(dashboard(shared)))
+        assert len(keys) == 1 and "invoice" not in keys[0]
+
+
+def test_order_dashboards_share_one_scan(spark, folder):
+    from tillwork.catalog import sla as catalog
+    from tillwork.plans import sla
+    from tillwork.session import written
+
+    hist = written(sla.histogram(catalog.lines(spark, folder)))
+    for df in (sla.matrix(hist), sla.region_matrix(hist), sla.store_table(hist), sla.headline(hist)):
+        assert "FileScan" not in plan_of(df)
+    assert sorted(sla.matrix(hist).collect()) == sorted(sla.matrix(catalog.lines(spark, folder)).collect())

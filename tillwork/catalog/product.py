@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import product as P
+from ..session import written_by
+from ..sources.sinks import stacked
 from . import roles as R
 from .registry import query
 
@@ -158,6 +160,48 @@ query("offer_topk_voucher", offer_sql("voucher_code", "Zomato"))(
 )
 
 
+def _section(name: str, sql: str, element: str, extra: str = "") -> str:
+    scope = "channel_group" if extra else "'all'"
+    return (
+        f"SELECT '{name}' AS section, {scope} AS scope, brand, {element} AS element, today_orders,"
+        f" coalesce(lw_orders, 0) AS lw_orders, coalesce(l2w_orders, 0) AS l2w_orders FROM ({sql})"
+    )
+
+
+@query(
+    "dashboard_set",
+    "\nUNION ALL ".join(
+        [
+            _section("mix", mix_sql(), "product_mix"),
+            _section("category", growth_sql("category_group", DISTINCT), "category_group"),
+            _section("item", growth_sql("item_group", COUNTED), "item_group"),
+            _section("category by source", growth_sql("category_group", DISTINCT, "channel_group, ", SOURCES_SQL), "category_group", "x"),
+        ]
+    ),
+)
+def dashboard_set(spark, folder):
+    """Four dashboards on one written mart, bucketed by invoice."""
+    shared = written_by(P.invoice_mart(mart(spark, folder)), "invoice")
+
+    def section(df, element, scope="all"):
+        return df.select(
+            F.lit("all").alias("scope") if scope == "all" else F.col(scope).alias("scope"),
+            "brand",
+            F.col(element).alias("element"),
+            "today_orders",
+            *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("lw_orders", "l2w_orders")],
+        )
+
+    return stacked(
+        {
+            "mix": section(P.mix_compare(shared), "product_mix"),
+            "category": section(P.category_compare(shared), "category_group"),
+            "item": section(P.item_compare(shared), "item_group"),
+            "category by source": section(P.category_by_source(shared), "category_group", "channel_group"),
+        }
+    )
+
+
 @query(
     "order_status_counts",
     f"""WITH {R.LINES_SQL}

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators.metrics import sla_metrics
 from ..plans import sla as P
+from ..session import written
+from ..sources.sinks import stacked
 from . import roles as R
 from .registry import query
 
@@ -92,6 +94,38 @@ query("sla_matrix", matrix_sql())(lambda s, d: P.matrix(lines(s, d)))
 query("sla_region_matrix", matrix_sql("region", "HAVING bool_or(is_ftd)"))(lambda s, d: P.region_matrix(lines(s, d)))
 
 
+@query(
+    "sla_dashboard_set",
+    f"""WITH {R.SLA_SQL}
+SELECT 'overall' AS section, parameter AS element, "FTD Overall" AS ftd, "MTD Overall" AS mtd FROM ({matrix_sql()})
+UNION ALL SELECT 'region', region || ' ' || parameter, "FTD Overall", "MTD Overall"
+FROM ({matrix_sql("region", "HAVING bool_or(is_ftd)")})
+UNION ALL SELECT 'store', region || ' ' || aggregator || ' ' || store_name, CAST(count(*) FILTER (is_ftd) AS DOUBLE), CAST(count(*) AS DOUBLE)
+FROM sla WHERE aggregator IS NOT NULL AND region IS NOT NULL GROUP BY region, aggregator, store_name HAVING bool_or(is_ftd)
+UNION ALL SELECT 'headline', 'Total Orders', CAST(count(*) AS DOUBLE), NULL FROM sla WHERE is_ftd""",
+)
+def sla_dashboard_set(spark, folder):
+    """All order-grain dashboards from one written histogram: the orders are scanned once."""
+    hist = written(P.histogram(lines(spark, folder)))
+    cells = lambda df, *names: df.select(
+        F.concat_ws(" ", *names).alias("element"), F.col("FTD Overall").alias("ftd"), F.col("MTD Overall").alias("mtd")
+    )
+    stores = P.store_table(hist).select(
+        F.concat_ws(" ", "region", "aggregator", "store_name").alias("element"),
+        F.col("ftd_orders").cast("double").alias("ftd"),
+        F.col("mtd_orders").cast("double").alias("mtd"),
+    )
+    total = P.headline(hist).filter("metric = 'Total Orders'")
+    return stacked(
+        {
+            "overall": cells(P.matrix(hist), "parameter"),
+            "region": cells(P.region_matrix(hist), "region", "parameter"),
+            "store": stores,
+            "headline": total.select(F.col("metric").alias("element"), F.col("value").alias("ftd")),
+        }
+    )
+
+
 def two_periods(orders: str, mtd_orders: str) -> str:
     cells = [f"{orders} AS ftd_orders", f"{mtd_orders} AS mtd_orders"]
     for period, cond in (("ftd", "is_ftd"), ("mtd", "TRUE")):

@@ -130,6 +130,7 @@ def period_compare(
     fill: bool = True,
     absolute: Sequence[str] = ("discount",),
     invoice: str = "invoice",
+    rows: str | None = None,
 ) -> DataFrame:
     """One row per key, every period's order count and sums side by side.
 
@@ -139,7 +140,8 @@ def period_compare(
     ``orders="distinct"`` counts invoices: rows are first reduced per
     (key, period, invoice), which spreads a hot key over its invoices, and the
     second, map-side combined aggregation only counts what is left.
-    ``fill=False`` leaves the measures of an absent period missing.
+    ``fill=False`` leaves the measures of an absent period missing. ``rows`` names a
+    column with the number of lines a row stands for, when lines were reduced before.
     """
     wanted = sorted({m for cols in measures.values() for m in cols})
     base = not_null(lines, keys).filter(F.col("period").isin(*measures))
@@ -149,7 +151,7 @@ def period_compare(
         )
         unit = F.col(invoice).isNotNull().cast("int")
     elif orders == "count":
-        unit = F.col(invoice).isNotNull().cast("int")
+        unit = F.when(F.col(invoice).isNotNull(), F.lit(1) if rows is None else F.col(rows)).otherwise(0)
     else:
         raise ValueError("orders is 'distinct' or 'count'")
     aggregates, names = [], []

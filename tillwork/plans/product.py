@@ -89,6 +89,29 @@ def sales_line_mart(
     ).drop("discounts", "item_discounts")
 
 
+# What any dashboard groups or filters by, and what it sums.
+MART_KEYS = (
+    "region", "brand", "channel", "channel_group", "product_mix", "category_group", "item_group",
+    "bracket_code", "voucher_code", "period", "invoice",
+)
+MART_SUMS = ("quantity", "gross", "discount", "net")
+
+
+def invoice_mart(mart: DataFrame) -> DataFrame:
+    """The mart for a whole set of dashboards: one row per invoice and its attributes.
+
+    Write it once bucketed by invoice (``session.written_by(.., "invoice")``) and
+    build all dashboards on that: counting distinct orders then exchanges no lines.
+    Lines are summed first, so an invoice with very many lines is short by the
+    time its rows meet in a bucket.
+    """
+    return mart.groupBy(*MART_KEYS).agg(F.count(F.lit(1)).alias("lines"), *[F.sum(m).alias(m) for m in MART_SUMS])
+
+
+def _lines_column(mart: DataFrame) -> str | None:
+    return "lines" if "lines" in mart.columns else None
+
+
 def order_status_counts(base: DataFrame, periods: Sequence[str] = (CUR, LW)) -> DataFrame:
     """One row: distinct open and distinct voided orders, counted after one reduction per invoice."""
     seen = base.filter(F.col("period").isin(*periods)).select(F.upper("status").alias("status"), "invoice").distinct()
@@ -129,8 +152,9 @@ def region_source_mix(mart: DataFrame, sources: Sequence[str] = SOURCES) -> Data
 
 def _growth_table(mart: DataFrame, group: Sequence[str], orders: str) -> DataFrame:
     wide = period_compare(
-        mart, group, {CUR: ["gross", "discount"], LW: ["gross", "discount"], L2W: []}, how="full", orders=orders
-    )
+        mart, group, {CUR: ["gross", "discount"], LW: ["gross", "discount"], L2W: []}, how="full", orders=orders,
+        rows=_lines_column(mart),
+    )
     return wide.select(
         *group,
         F.col("current_orders").alias("today_orders"),

@@ -71,15 +71,21 @@ def aggregator(channel: Column | str, names: Sequence[str] = AGGREGATORS) -> Col
     return chain
 
 
-def histogram(sla: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The month reduced to counts per (keys, aggregator, is_ftd, metric, tenth of a minute)."""
+def histogram(sla: DataFrame, keys: Sequence[str] = ("region", "store_name")) -> DataFrame:
+    """The month reduced to counts per (keys, aggregator, is_ftd, metric, tenth of a minute).
+
+    Every order-grain dashboard below takes the enriched orders or, to scan them
+    once for all dashboards, this table (written with ``session.written``).
+    """
+    if "tenths" in sla.columns:
+        return sla
     tagged = sla.withColumn("aggregator", aggregator("channel"))
     return metric_histogram(tagged, [*keys, "aggregator", "is_ftd"], METRICS)
 
 
 def headline(sla: DataFrame, names: Sequence[str] = AGGREGATORS) -> DataFrame:
     """metric, value: mean KPT per aggregator and overall, mean O2D, order count of the reported day."""
-    day = histogram(sla.filter("is_ftd"))
+    day = histogram(sla.filter("is_ftd"), [])
     raw = day.agg(
         *[c for a in names for c in sla_columns(a.lower(), "kpt", F.col("aggregator") == a)[:2]],
         *sla_columns("kpt", "kpt")[:2],

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans rely on. Skewed joins are split even when that
 # costs another exchange: one store or order may hold a third of all rows.
@@ -59,3 +60,29 @@ def scratch_dir(spark: SparkSession) -> str:
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="tillwork-"))
     return _own_folder[0]
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as written to the reliable checkpoint folder; its lineage ends there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+def written_by(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
+    """The frame as a table in the scratch folder, bucketed by ``column``.
+
+    Later groupings that include the column need no exchange of its rows.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tillwork_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, column)
+        .write.bucketBy(buckets, column)
+        .option("path", f"{scratch_dir(spark)}/{name}")
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
