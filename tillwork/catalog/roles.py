@@ -58,7 +58,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _decode(column: str, mapping: dict[str, str]):
+def decode(column: str, mapping: dict[str, str]):
     chain = None
     for value, label in mapping.items():
         hit = F.col(column) == value
@@ -149,8 +149,8 @@ def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("branch_code"),
         F.col("p_brand").alias("brand"),
         F.col("l_orderkey").alias("invoice"),
-        _decode("o_orderpriority", CHANNELS).alias("channel"),
-        _decode("o_orderstatus", STATUSES).alias("status"),
+        decode("o_orderpriority", CHANNELS).alias("channel"),
+        decode("o_orderstatus", STATUSES).alias("status"),
         F.col("o_orderdate").alias("order_time"),
         F.concat(F.lit(" "), "p_name").alias("item_name"),
         F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
@@ -211,7 +211,7 @@ def sla_lines(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select(
         F.col("l_suppkey").cast("string").alias("branch_code"),
         F.col("l_orderkey").alias("invoice"),
-        _decode("o_orderpriority", CHANNELS).alias("channel"),
+        decode("o_orderpriority", CHANNELS).alias("channel"),
         F.col("o_orderdate").alias("order_time"),
         F.to_date("o_orderdate").alias("invoice_day"),
         F.when(tax != 0.08, after(800_000)).alias("ready_time"),

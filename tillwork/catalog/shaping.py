@@ -275,8 +275,8 @@ def anti_by_key(spark, folder):
 )
 def channel_frequency(spark, folder):
     o = R.table(spark, folder, "orders").select(
-        channel_group(R._decode("o_orderpriority", R.CHANNELS)).alias("channel_group"),
-        R._decode("o_orderstatus", {"F": "CLOSED", "O": "OPEN"}).alias("status"),
+        channel_group(R.decode("o_orderpriority", R.CHANNELS)).alias("channel_group"),
+        R.decode("o_orderstatus", {"F": "CLOSED", "O": "OPEN"}).alias("status"),
     )
     return M.frequency(o, "channel_group", "status")
 

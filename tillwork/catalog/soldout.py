@@ -76,16 +76,22 @@ def soldout_store_category_wide(spark, folder):
     return P.dashed(P.wide(P.category_by_store(base(spark, folder)), "category_name", CATEGORIES), CATEGORIES)
 
 
-query(
-    "soldout_detail_product",
-    f"""WITH {R.SOLDOUT_SQL}
+DETAIL = ("business_date", "store_name", "category_name", "item_name", "event_time", "user_name")
+
+
+def detail_sql(where: str) -> str:
+    return f"""WITH {R.SOLDOUT_SQL}
 SELECT CAST(business_date AS VARCHAR) AS business_date, store_name, category_name, item_name,
-       strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, user_name FROM soldout WHERE item_type = 'product'""",
-)(
-    lambda s, d: texts(P.of_type(base(s, d), "product")).select(
-        "business_date", "store_name", "category_name", "item_name", "event_time", "user_name"
-    )
+       strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, user_name FROM soldout {where}"""
+
+
+query("soldout_detail_material", detail_sql("WHERE item_type = 'material'"))(
+    lambda s, d: texts(P.of_type(base(s, d), "material")).select(*DETAIL)
+)
+query("soldout_detail_product", detail_sql("WHERE item_type = 'product'"))(
+    lambda s, d: texts(P.of_type(base(s, d), "product")).select(*DETAIL)
 )
+query("soldout_detail_store", detail_sql(""))(lambda s, d: texts(base(s, d)).select(*DETAIL))
 
 # the noon run has sent what happened before noon; the evening run alerts the rest
 ALERTS_SQL = f"""WITH {R.SOLDOUT_SQL},

@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from ..operators.shape import lead, relabel
 from ..plans import stock as P
 from ..sources.landed import missing_landings
 from . import roles as R
@@ -83,6 +84,21 @@ def stock_store_display(spark, folder):
     return P.store_display(P.store_summary(days(spark, folder), R.STOCK_FIRST, R.STOCK_LAST))
 
 
+LABELS = {"region": "Region", "store_name": "Store Name", **{c: label for label, c in P.KPIS.items()}}
+
+
+@query(
+    "stock_store_report",
+    f"WITH {R.LEDGER_SQL}, {summary_sql('region, store_name')} SELECT "
+    + ", ".join(f'{c} AS "{label}"' for c, label in LABELS.items())
+    + " FROM ratios",
+)
+def stock_store_report(spark, folder):
+    """The store table under its report labels, keys first."""
+    summary = P.store_summary(days(spark, folder), R.STOCK_FIRST, R.STOCK_LAST).drop("sales_cost", "sales_qty")
+    return relabel(lead(summary, ["region", "store_name"]), LABELS)
+
+
 def _transposed() -> str:
     rows = []
     for label, column in P.KPIS.items():
