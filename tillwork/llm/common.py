@@ -41,6 +41,8 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors, once for each application; their Python need not have it installed."""
     context = spark.sparkContext
+    # texts can be long: few rows at a time in a Python worker
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="tillwork-code-")) / f"{package.name}.zip"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, interleave, url_rules
+from . import decontaminate, grammar_files, interleave, pieces, token_counts, url_rules
 from .common import ship, utf8_size
 from .sql import ORACLES
 
@@ -32,6 +32,26 @@ def oracles() -> dict[str, str]:
     return dict(ORACLES)
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register
+def op2_sentencepiece(spark, folder):
+    model = pieces.read_model(tokenizer("piece_bpe_32k.model"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ids = pieces.encoded(docs, model).drop("text")
+    both = pieces.decoded(ids, model)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @register
 def op4_stratified_shards(spark, folder):
     docs = table(spark, folder, "documents")
@@ -44,6 +64,17 @@ def op4_stratified_shards(spark, folder):
     )
 
 
+@register
+def op6_token_counts(spark, folder):
+    file = tokenizer("byte_bpe_50k.json")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    frequent = token_counts.frequent_lengths(docs, file)
+    sized = docs.withColumn("n_bytes", utf8_size("text"))
+    return token_counts.counted(sized, file, frequent).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
+    )
+
+
 @register
 def op8_benchmark_hits(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -59,6 +90,13 @@ def op8_benchmark_hits(spark, folder):
     )
 
 
+@register
+def op9_grammar_files(spark, folder):
+    path = grammar_files.new_path(spark)
+    grammar_files.write(table(spark, folder, "documents"), path, tokenizer("word_bpe_49k.json"), end=2)
+    return grammar_files.read(spark, path).withColumnRenamed("key", "doc_id")
+
+
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
