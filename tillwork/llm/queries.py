@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grammar_files, interleave, pieces, token_counts, url_rules
+from . import decontaminate, grammar_files, interleave, pieces, quality, token_counts, url_rules
 from .common import ship, utf8_size
 from .sql import ORACLES
 
@@ -75,6 +75,13 @@ def op6_token_counts(spark, folder):
     )
 
 
+@register
+def op7_robust_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    out = quality.judged(docs, keep=["doc_id"])
+    return out.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
+
+
 @register
 def op8_benchmark_hits(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
