@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grammar_files, interleave, pieces, quality, token_counts, url_rules
+from . import decontaminate, grammar_files, interleave, language, pieces, quality, token_counts, url_rules
 from .common import ship, utf8_size
 from .sql import ORACLES
 
@@ -64,6 +64,36 @@ def op4_stratified_shards(spark, folder):
     )
 
 
+@register
+def op5_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    profiles = language.trained(docs)
+    declared, source = language.primary(F.col("lang")), F.col("source")
+    family = F.regexp_replace(source, r"\d+$", "")
+    return language.fused(docs, profiles, declared=declared, host=source, domain=family, keep=["doc_id", "lang"]).select(
+        "doc_id", F.col("lang").alias("declared"), "language", "posterior", F.col("language_kept").alias("kept")
+    )
+
+
+@register
+def op5_language_id_of_pages(spark, folder):
+    profiles = language.trained(table(spark, folder, "documents"))
+    host = url_rules.host_of("url")
+    pages = table(spark, folder, "pages").select(
+        "page_id", "url", language.text_of(F.col("html")).alias("text"), language.declared_in(F.col("html")).alias("declared")
+    )
+    out = language.fused(
+        pages,
+        profiles,
+        declared=F.col("declared"),
+        suffix=language.suffix_of(host),
+        host=F.nullif(host, F.lit("")),
+        domain=language.domain_of(host),
+        keep=["page_id", "declared"],
+    )
+    return out.select("page_id", "declared", "language", "posterior", F.col("language_kept").alias("kept"))
+
+
 @register
 def op6_token_counts(spark, folder):
     file = tokenizer("byte_bpe_50k.json")
