@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grammar_files, interleave, language, pieces, quality, token_counts, url_rules
+from . import decontaminate, grammar_files, interleave, language, near_dup, pieces, quality, token_counts, url_rules
 from .common import ship, utf8_size
 from .sql import ORACLES
 
@@ -38,6 +38,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register
+def op1_near_duplicates(spark, folder):
+    return near_dup.with_groups(table(spark, folder, "documents"), shingle=2)
+
+
 @register
 def op2_sentencepiece(spark, folder):
     model = pieces.read_model(tokenizer("piece_bpe_32k.model"))

@@ -2,6 +2,18 @@
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 1], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(d, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT reach.d, sym.b FROM reach JOIN sym ON sym.a = reach.r)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r) AS component_id, min(r) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.d = w.doc_id GROUP BY w.doc_id, n.n"""
+
 OP8 = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
@@ -27,4 +39,4 @@ SELECT page_id, host, path, h || start AS rule, coalesce(action, 'allow') AS ver
 FROM p LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, start)
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || start) DESC) = 1"""
 
-ORACLES = {"op8_benchmark_hits": OP8, "op10_url_rules": OP10}
+ORACLES = {"op1_near_duplicates": OP1, "op8_benchmark_hits": OP8, "op10_url_rules": OP10}
