@@ -3,11 +3,74 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from tillwork.llm import decontaminate, language, near_dup, pieces, quality
 from tillwork.llm.common import ship, stored
 
+
+def _model() -> dict:
+    import public_tokenizers
+
+    return pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.judged(docs).filter("kept").select(*docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known with at least even odds."""
+    ship(spark)
+    profiles = language.trained(docs)
+    source = F.col("source")
+    judged = language.fused(
+        docs, profiles, declared=language.primary(F.col("lang")), host=source, domain=F.regexp_replace(source, r"\d+$", "")
+    )
+    return judged.filter("language_kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: that with the least id. Documents without id stay."""
+    ship(spark)
+    kept = near_dup.with_groups(docs).filter("kept").select("doc_id").distinct()
+    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
+    of_group = docs.join(kept, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1")
+    return of_group.select(*docs.columns).union(docs.filter("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ten words, or whole shorter item, of the benchmark."""
+    ship(spark)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.occurrences(docs, items).filter(F.size("spans") == 0).select(*docs.columns)
+
+
+def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the whole texts, and whether decoding them gives the text back."""
+    ship(spark)
+    model = _model()
+    both = pieces.decoded(pieces.encoded(docs, model, keep=["doc_id", "lang", "source", "text"]), model)
+    return both.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 # (name, function): each takes (spark, docs, sf_dir) and returns a DataFrame.
-STAGES: list = []
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("sentencepiece_encoding", sentencepiece_encoding),
+]
 
 # The tokenizer and the iterated estimates of the stages cannot be written in SQL.
 ORACLE_SQL = None
@@ -16,7 +79,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``; each result is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    ship(spark)
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):

@@ -5,10 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from ..session import scratch_dir
 
@@ -53,3 +56,49 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(archive))  # the driver's own file server hands it out
         _shipped.add(context.applicationId)
     return spark
+
+
+def own_columns(df: DataFrame, keep: Sequence[str] | None, results: Sequence[str]) -> list[str]:
+    """The caller's columns that pass through an operator: ``keep``, or all, but those with a result's name."""
+    taken = {r.lower() for r in results}
+    return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+
+
+def boxed(df: DataFrame, own: Sequence[str], **inputs: Column) -> DataFrame:
+    """The caller's columns in one struct ``_row``, beside what an operator computes from them.
+
+    Inside the struct no name can clash with those that the operator uses.
+    """
+    fields = [F.col(f"`{c}`") for c in own] or [F.lit(0).alias("_none")]
+    return df.select(F.struct(*fields).alias("_row"), *[c.alias(name) for name, c in inputs.items()])
+
+
+def unboxed(df: DataFrame, own: Sequence[str], *results: Column | str) -> DataFrame:
+    """The caller's columns as they were, and the results."""
+    return df.select(*[F.col("_row").getField(c).alias(c) for c in own], *results)
+
+
+def content(batch: pa.RecordBatch, own: Sequence[str], text: str) -> pa.Array:
+    """The text column of a batch of boxed rows."""
+    return batch.column("_row").field(text) if text in own else batch.column("_content")
+
+
+def with_content(df: DataFrame, own: Sequence[str], text: str, **inputs: Column) -> DataFrame:
+    """Boxed rows; the text travels in the struct if it is kept, else beside it."""
+    if text not in own:
+        inputs = {"_content": F.col(f"`{text}`"), **inputs}
+    return boxed(df, own, **inputs)
+
+
+def extended(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    """The batch without its text beside the rows, and with more columns."""
+    kept = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != "_content"} | columns
+    return pa.RecordBatch.from_arrays(list(kept.values()), names=list(kept))
+
+
+def plus(df: DataFrame, **types: str) -> StructType:
+    """The schema of ``extended`` batches."""
+    schema = StructType([f for f in df.schema.fields if f.name != "_content"])
+    for name, kind in types.items():
+        schema = schema.add(name, DataType.fromDDL(kind))
+    return schema

@@ -20,7 +20,7 @@ finds nothing; repeated rows stay; other columns pass through, but ``n_words`` a
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import content, extended, own_columns, plus, unboxed, with_content
 
 ITEM_BYTES = 16 * 1024 * 1024
 STRETCH = 256  # window ends that one pointer walks over
@@ -148,34 +149,39 @@ def merged(found: dict[str, set[tuple[int, int]]]) -> list[dict]:
 
 
 def occurrences(
-    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    size: int = 10,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with ``n_words`` (bigint) and ``spans``: (item, first word from 0, number of words)."""
+    """The columns ``keep`` (all by default) with ``n_words`` (bigint) and ``spans``: (item, first word from 0, number of words)."""
     spark = docs.sparkSession
     known = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).dropna()
     total = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-int(total) // ITEM_BYTES))
-    own = [c for c in docs.columns if c not in ("n_words", "spans")]
-    out = docs.select(*own).withColumns({"n_words": F.lit(0).cast("bigint"), "spans": F.array().cast(SPAN)})
+    own = own_columns(docs, keep, ["n_words", "spans"])
+    rows = with_content(docs, own, text, _words=F.lit(0).cast("bigint"), _spans=F.array().cast(SPAN))
     for part in range(parts):
         block = known.filter(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).toArrow()
         packed = spark.sparkContext.broadcast(pickle.dumps(tables(block, size)))
-        out = out.mapInArrow(_pass(packed, text), out.schema)
-    return out
+        rows = rows.mapInArrow(_pass(packed, own, text, last=part == parts - 1), plus(rows) if part == parts - 1 else rows.schema)
+    return unboxed(rows, own, F.col("_words").alias("n_words"), F.col("_spans").alias("spans"))
+
 
+def _pass(packed, own: list[str], text: str, last: bool):
+    """Adds what one table finds; the text beside the rows goes with the last pass."""
 
-def _pass(packed, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searched = pickle.loads(packed.value)
         for batch in batches:
-            counts, spans = spans_in(batch.column(text), searched)
-            at = batch.schema.get_field_index("spans")
-            earlier = batch.column(at).to_pylist() if len(batch) else []
-            both = [[*a, *b] for a, b in zip(earlier, spans)]
-            n = batch.schema.get_field_index("n_words")
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            columns[n], columns[at] = pa.array(counts, pa.int64()), pa.array(both, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            counts, spans = spans_in(content(batch, own, text), searched)
+            both = [[*a, *b] for a, b in zip(batch.column("_spans").to_pylist(), spans)]
+            found = {"_words": pa.array(counts, pa.int64()), "_spans": pa.array(both, batch.schema.field("_spans").type)}
+            beside = {} if last or text in own else {"_content": batch.column("_content")}
+            yield extended(batch, **found, **beside).select([n for n in batch.schema.names if n in found or n in beside or n == "_row"])
 
     return run
 

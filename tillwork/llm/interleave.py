@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import boxed, own_columns, stored, unboxed
 
 ROWS_PER_BUCKET = 20_000
 
@@ -50,20 +50,22 @@ def interleaved(rows: DataFrame, key: str, strata: str, shards: int, seed: int =
 
     The random order follows from ``seed`` and ``key``; rows of equal key go by ``ties``.
     """
-    own = [c for c in rows.columns if c not in ("shard", "slot")]
+    own = own_columns(rows, None, ["shard", "slot"])
     salt = F.lit(str(seed))
     base = stored(
-        rows.select(
-            *own,
-            random_bits(salt, F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("_drawn"),
-            F.coalesce(F.col(strata).cast("string"), F.lit("")).alias("_source"),
-            F.col(strata).isNull().alias("_none"),
+        boxed(
+            rows,
+            own,
+            _drawn=random_bits(salt, F.coalesce(F.col(key).cast("string"), F.lit(""))),
+            _source=F.coalesce(F.col(strata).cast("string"), F.lit("")),
+            _none=F.col(strata).isNull(),
+            _tie=F.struct(key, *ties),
         ),
         "drawn",
     )
     total = base.count()
     buckets = max(1, -(-total // ROWS_PER_BUCKET))
-    source, order = ["_source", "_none"], ["_drawn", key, *ties]
+    source, order = ["_source", "_none"], ["_drawn", "_tie"]
     base = base.withColumn("_bucket", F.floor(F.col("_drawn") / F.lit((1 << 48) / buckets)))
     sizes = base.groupBy(*source).agg(F.count(F.lit(1)).alias("_of"))
     offset = random_bits(salt, F.col("_source"), F.col("_none").cast("string")) / F.lit(float(1 << 48))
@@ -71,16 +73,13 @@ def interleaved(rows: DataFrame, key: str, strata: str, shards: int, seed: int =
         _ranked(base, source, "_bucket", order, "_rank")
         .join(sizes, source)
         .withColumn("_at", (F.col("_rank") + offset) / F.col("_of"))
-        .select(*own, "_drawn", *source, "_at"),
+        .select("_row", "_drawn", "_tie", *source, "_at"),
         "placed",
     )
     stretched = placed.withColumns({"_stretch": F.floor(F.col("_at") * buckets), "_all": F.lit(0)})
     final = _ranked(stretched, ["_all"], "_stretch", ["_at", *source, *order], "_position")
     # whole numbers throughout: shard s begins at position ceil(s * total / shards)
     shard = F.expr(f"int((_position * {shards}) div {max(total, 1)})")
-    first = F.expr(f"(shard * bigint({total}) + {shards - 1}) div {shards}")
-    return (
-        final.withColumn("shard", shard)
-        .withColumn("slot", (F.col("_position") - first).cast("bigint"))
-        .select(*own, "shard", "slot")
-    )
+    first = F.expr(f"(_shard * bigint({total}) + {shards - 1}) div {shards}")
+    dealt = final.withColumn("_shard", shard).withColumn("_slot", (F.col("_position") - first).cast("bigint"))
+    return unboxed(dealt, own, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))

@@ -26,7 +26,7 @@ through, but columns with the names of the results are replaced.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import source_bytes
-from .common import stored
+from .common import content, extended, own_columns, plus, stored, unboxed, with_content
 from .words import BLOCK_BYTES, LOWERED, buffers
 
 TRAIN_ROWS = 16_000
@@ -106,17 +106,15 @@ def trained(labelled: DataFrame, text: str = "text", label: str = "lang", rows:
     return Profiles([*names, UNKNOWN], np.array([*log, np.full(SLOTS, -np.log(SLOTS))]).astype(np.float32))
 
 
-def likelihoods(docs: DataFrame, profiles: Profiles, text: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``_n`` (trigrams) and ``_text``: the tempered log likelihood by language."""
-    packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(profiles))
-    docs = docs.select(*keep, F.col(text).alias("_content"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_content"], "_n bigint", "_text array<double>"])
+def likelihoods(rows: DataFrame, profiles: Profiles, text: str, own: list[str]) -> DataFrame:
+    """Boxed rows with ``_n`` (trigrams) and ``_text``: the tempered log likelihood by language."""
+    packed = rows.sparkSession.sparkContext.broadcast(pickle.dumps(profiles))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log = pickle.loads(packed.value).log
         for batch in batches:
             total, n = np.zeros((batch.num_rows, len(log))), np.zeros(batch.num_rows, dtype=np.int64)
-            for first, doc, slot in trigrams(batch.column("_content")):
+            for first, doc, slot in trigrams(content(batch, own, text)):
                 if len(doc):
                     here = int(doc[-1]) + 1
                     n[first : first + here] = np.bincount(doc, minlength=here)
@@ -124,11 +122,9 @@ def likelihoods(docs: DataFrame, profiles: Profiles, text: str, keep: list[str])
                         total[first : first + here, k] = np.bincount(doc, weights=log[k][slot], minlength=here)
             total *= (np.minimum(1.0, MOST / np.maximum(n, 1)) / SHARED)[:, None]
             values = pa.FixedSizeListArray.from_arrays(pa.array(total.ravel()), len(log)).cast(pa.list_(pa.float64()))
-            kept = [c for name, c in zip(batch.schema.names, batch.columns) if name != "_content"]
-            names = [name for name in batch.schema.names if name != "_content"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(n), values], names=[*names, "_n", "_text"])
+            yield extended(batch, _n=pa.array(n), _text=values)
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, plus(rows, _n="bigint", _text="array<double>"))
 
 
 def _votes(rows: DataFrame, by: list[str], size: int) -> DataFrame:
@@ -150,16 +146,16 @@ def fused(
     suffix: Column | None = None,
     host: Column | None = None,
     domain: Column | None = None,
-    keep: list[str] | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """The columns ``keep`` (all by default) with ``language``, ``posterior`` and ``language_kept``."""
     names = ("language", "posterior", "language_kept")
-    own = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    own = own_columns(docs, keep, names)
     size = len(profiles.languages)
     nothing = F.lit(None).cast("string")
     evidence = {"_declared": declared, "_suffix": suffix, "_host": host, "_domain": domain}
-    given = docs.withColumns({k: nothing if v is None else v.cast("string") for k, v in evidence.items()})
-    rows = stored(likelihoods(given, profiles, text, [*own, *evidence]), "likelihoods")
+    given = with_content(docs, own, text, **{k: nothing if v is None else v.cast("string") for k, v in evidence.items()})
+    rows = stored(likelihoods(given, profiles, text, own), "likelihoods")
     best = F.array_position("_text", F.array_max("_text")).cast("int") - 1
     rows = rows.withColumn("_vote", F.when(F.col("_n") > 0, best).otherwise(size - 1))
 
@@ -202,8 +198,10 @@ def fused(
     spread = F.aggregate("_score", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("_most")))
     named = F.element_at(F.array(*[F.lit(x) for x in profiles.languages]), at)
     language = F.when(F.col("_n") > 0, named).otherwise(F.lit(UNKNOWN))
-    out = rows.select(*own, language.alias("language"), F.when(F.col("_n") > 0, 1 / spread).otherwise(1.0).alias("posterior"))
-    return out.withColumn("language_kept", (F.col("language") != UNKNOWN) & (F.col("posterior") >= LEAST_POSTERIOR))
+    posterior = F.when(F.col("_n") > 0, 1 / spread).otherwise(1.0)
+    out = rows.select("_row", language.alias("_language"), posterior.alias("_posterior"))
+    kept = (F.col("_language") != UNKNOWN) & (F.col("_posterior") >= LEAST_POSTERIOR)
+    return unboxed(out, own, F.col("_language").alias("language"), F.col("_posterior").alias("posterior"), kept.alias("language_kept"))
 
 
 def _smoothed(n: Column):

@@ -16,7 +16,7 @@ Characters without a piece become their UTF-8 bytes.
 
 Defined cases: null and empty texts have no ids; texts of any length are encoded whole; repeated rows
 stay; other columns pass through, but a column with the name of the result is replaced. Decoding
-drops null ids' rows to an empty text; control pieces decode to nothing and unknown ones to `` ⁇ ``;
+gives null ids an empty text; control pieces decode to nothing and unknown ones to `` ⁇ ``;
 bytes that are no UTF-8 become U+FFFD.
 """
 
@@ -25,15 +25,17 @@ from __future__ import annotations
 import heapq
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .caches import Recent
+from .common import content, extended, own_columns, plus, unboxed, with_content
 
 MARK = "▁"
 
@@ -193,29 +195,23 @@ def _segments(keys: list[str]) -> Iterator[str]:
     yield " " * spaces + keys[-1]
 
 
-def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    names = [*batch.schema.names, name]
-    return pa.RecordBatch.from_arrays([*batch.columns, values], names=names)
-
-
-def encoded(docs: DataFrame, tables: dict, text: str = "text", to: str = "ids") -> DataFrame:
-    """``docs`` with the ids of the whole text as an array column; ``tables`` from ``read_model``."""
+def encoded(docs: DataFrame, tables: dict, text: str = "text", to: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) with the ids of the whole text as an array; ``tables`` from ``read_model``."""
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(tables))
-    docs = docs.select(*[c for c in docs.columns if c != to])
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema], f"`{to}` array<int>"])
+    own = own_columns(docs, keep, [to])
+    rows = with_content(docs, own, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(packed.value)
         for batch in batches:
             encoder.words.trim()
-            rows = [encoder.encode(t.as_py() or "") for t in batch.column(text)]
-            sizes = np.array([len(r) // 4 for r in rows], dtype=np.int64)
-            offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-            np.cumsum(sizes, out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(rows), dtype="<i4"))
-            yield with_column(batch, to, pa.ListArray.from_arrays(pa.array(offsets), values))
+            ids = [encoder.encode(t.as_py() or "") for t in content(batch, own, text)]
+            offsets = np.zeros(len(ids) + 1, dtype=np.int32)
+            np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+            values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+            yield extended(batch, _ids=pa.ListArray.from_arrays(pa.array(offsets), values))
 
-    return docs.mapInArrow(run, schema)
+    return unboxed(rows.mapInArrow(run, plus(rows, _ids="array<int>")), own, F.col("_ids").alias(to))
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -246,15 +242,15 @@ def decode(rows: pa.Array, surface: list[bytes]) -> list[str]:
     return out
 
 
-def decoded(rows: DataFrame, tables: dict, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """``rows`` with the text of an array of ids."""
+def decoded(rows: DataFrame, tables: dict, ids: str = "ids", to: str = "decoded", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) with the text of an array of ids."""
     packed = rows.sparkSession.sparkContext.broadcast(pickle.dumps(tables["surface"]))
-    rows = rows.select(*[c for c in rows.columns if c != to])
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema], f"`{to}` string"])
+    own = own_columns(rows, keep, [to])
+    boxes = with_content(rows, own, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surface = pickle.loads(packed.value)
         for batch in batches:
-            yield with_column(batch, to, pa.array(decode(batch.column(ids), surface), pa.string()))
+            yield extended(batch, _text=pa.array(decode(content(batch, own, ids), surface), pa.string()))
 
-    return rows.mapInArrow(run, schema)
+    return unboxed(boxes.mapInArrow(run, plus(boxes, _text="string")), own, F.col("_text").alias(to))

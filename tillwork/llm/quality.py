@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.joins import source_bytes
-from .common import stored
+from .common import boxed, own_columns, stored, unboxed
 
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -56,12 +56,12 @@ def words_of(text: Column) -> Column:
     return F.when(F.length(inner) > 0, F.split(inner, r"[\x20\x09-\x0D]+", -1)).otherwise(F.array().cast("array<string>"))
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the five counts as bigint columns and ``base_failed``."""
-    own = [c for c in docs.columns if c not in (*COUNTS, "base_failed")]
-    t = F.coalesce(F.col(text), F.lit(""))
+def with_counts(rows: DataFrame) -> DataFrame:
+    """Boxed rows with a ``_content``, which the five counts as bigint columns and ``base_failed`` replace."""
+    own = [c for c in rows.columns if c != "_content"]
+    t = F.coalesce("_content", F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(WHITE))) > 0)
-    cut = docs.select(
+    cut = rows.select(
         *own,
         words_of(t).alias("_words"),
         F.length(F.translate(t, WHITE, "")).cast("bigint").alias("word_chars"),
@@ -235,17 +235,17 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, text: str = "text", language: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) with the counts, ``base_failed``, ``distance`` and ``kept``."""
-    names = ("distance", "kept")
-    own = [c for c in (docs.columns if keep is None else keep) if c not in (*COUNTS, "base_failed", *names)]
+    own = own_columns(docs, keep, [*COUNTS, "base_failed", "distance", "kept"])
     group = F.to_json(F.struct(F.col(language).alias("l"), F.col(source).alias("s")))
-    keyed = docs.withColumns({"_group": group, "_language": F.to_json(F.struct(F.col(language).alias("l")))})
-    counted = with_counts(keyed, text).select(*own, *COUNTS, "base_failed", "_group", "_language")
-    rows = stored(counted, "counts")
+    within = F.to_json(F.struct(F.col(language).alias("l")))
+    keyed = boxed(docs, own, _content=F.col(text), _group=group, _language=within)
+    rows = stored(with_counts(keyed), "counts")
     rows = rows.withColumns(dict(zip(X, vector())))
     judged_rows = rows.filter(~F.col("base_failed")).select("_group", "_language", *X)
     estimates = _estimates(_start(judged_rows), 1.0)
     for _ in range(STEPS):
         estimates = _estimates(_step(judged_rows, estimates), CONSISTENT)
     far = _with_estimate(rows, estimates)
-    out = far.withColumn("distance", F.when(~F.col("base_failed"), F.greatest(F.lit(0.0), _distance())))
-    return out.select(*own, *COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= LIMIT)).alias("kept"))
+    far = far.withColumn("_far", F.when(~F.col("base_failed"), F.greatest(F.lit(0.0), _distance())))
+    kept = ~F.col("base_failed") & (F.coalesce("_far", F.lit(0.0)) <= LIMIT)
+    return unboxed(far, own, *COUNTS, "base_failed", F.col("_far").alias("distance"), kept.alias("kept"))

@@ -46,9 +46,7 @@ def op1_near_duplicates(spark, folder):
 @register
 def op2_sentencepiece(spark, folder):
     model = pieces.read_model(tokenizer("piece_bpe_32k.model"))
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = pieces.encoded(docs, model).drop("text")
-    both = pieces.decoded(ids, model)
+    both = pieces.decoded(pieces.encoded(table(spark, folder, "documents"), model, keep=["doc_id"]), model)
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -105,7 +103,7 @@ def op6_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     frequent = token_counts.frequent_lengths(docs, file)
     sized = docs.withColumn("n_bytes", utf8_size("text"))
-    return token_counts.counted(sized, file, frequent).select(
+    return token_counts.counted(sized, file, frequent, keep=["doc_id", "n_bytes"]).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
     )
 
@@ -119,8 +117,7 @@ def op7_robust_quality(spark, folder):
 
 @register
 def op8_benchmark_hits(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = decontaminate.occurrences(docs, table(spark, folder, "benchmark"))
+    found = decontaminate.occurrences(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
     items = decontaminate.items_hit("spans")
     return found.select(
         "doc_id",

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import source_bytes
-from .common import lower_ascii, stored
+from .common import boxed, lower_ascii, own_columns, stored, unboxed
 
 SHORT = 8  # hex digits of the digest that are joined on
 RULE_BYTES = 32 * 1024 * 1024  # rules are broadcast up to this measured size
@@ -89,9 +89,8 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
         F.coalesce(F.max(F.size(F.split("rule_host", r"\.", -1))), F.lit(0)).alias("labels"),
         F.coalesce(F.max(F.size(F.split(folder_of(F.col("rule_path")), "/", -1)) - 1), F.lit(0)).alias("depth"),
     ).first()
-    # the names that the join adds are taken from the caller's columns first
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "_host", "_path")]
-    pages = pages.select(*own, host_of(url).alias("_host"), path_of(url).alias("_path"))
+    own = own_columns(pages, None, ["host", "path", "rule", "verdict"])
+    pages = boxed(pages, own, _host=host_of(f"`{url}`"), _path=path_of(f"`{url}`"))
     pairs = pages.select("_host", "_path").filter("_host <> ''").distinct()
     spread = (
         pairs.withColumn("_suffix", F.explode(host_suffixes(F.col("_host"), F.lit(reach["labels"]))))
@@ -110,9 +109,9 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
         .agg(F.max(F.struct(rank, text.alias("rule"), "action")).alias("best"))
         .select("_host", "_path", "best.rule", F.col("best.action").alias("_action"))
     )
-    out = pages.join(fitting, ["_host", "_path"], "left")
-    return out.select(
-        *own,
+    return unboxed(
+        pages.join(fitting, ["_host", "_path"], "left"),
+        own,
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
         "rule",
