@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grammar_files, interleave, language, near_dup, pieces, quality, token_counts, url_rules
+from . import class_lm, decontaminate, grammar_files, interleave, language, near_dup, pieces, quality, token_counts, url_rules
 from .common import ship, utf8_size
 from .sql import ORACLES
 
@@ -55,6 +55,22 @@ def op2_sentencepiece(spark, folder):
     )
 
 
+@register
+def op3_class_lm(spark, folder):
+    docs = table(spark, folder, "documents")
+    model, seen = class_lm.modelled(docs)
+    return class_lm.scored(docs, model, seen, "doc_id", "text").select(
+        "doc_id",
+        class_lm.held_out("doc_id").alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(int(model.total)).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
 @register
 def op4_stratified_shards(spark, folder):
     docs = table(spark, folder, "documents")

@@ -42,6 +42,7 @@ def bytes_in(*ranges: tuple[int, int]) -> np.ndarray:
     return table
 
 
+NONE_ABOVE = U(0xFFFFFFFFFFFFFFFF)  # sorts after all hashes
 WHITE = bytes_in((0x20, 0x20), (0x09, 0x0D))
 NOT_ALNUM = bytes_in((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
