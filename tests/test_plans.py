@@ -76,10 +76,41 @@ def test_shared_mart_needs_no_exchange_of_lines(spark, folder):
     from tillwork.plans import product
     from tillwork.session import written_by
 
-    shared = written_by(product.invoice_mart(catalog.mart(spark, folder)), "invoice")
-    for dashboard in (product.category_compare, product.mix_by_source, product.region_source_mix):
-        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(dashboard(shared)))
-        assert len(keys) == 1 and "invoice" not in keys[0]
+    before = len(spark.catalog.listTables())
+    with written_by(product.invoice_mart(catalog.mart(spark, folder)), "invoice") as shared:
+        for dashboard in (product.category_compare, product.mix_by_source, product.region_source_mix):
+            keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(dashboard(shared)))
+            assert len(keys) == 1 and "invoice" not in keys[0]
+    assert len(spark.catalog.listTables()) == before
+
+
+@pytest.mark.parametrize(
+    "name", ["region_category_compare", "sla_region_matrix", "sla_category_by_region", "sla_item_by_region", "rca_flags", "order_status_counts"]
+)
+def test_one_scan_of_each_fact(name, spark, folder):
+    plan = plan_of(QUERIES[name](spark, folder))
+    for fact in ("lineitem", "orders"):
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line and f"{fact}.parquet" in line]
+        assert len(scans) == 1, name
+
+
+def test_written_dimension_of_a_large_source_is_broadcast(spark, folder, monkeypatch):
+    """The files of a dimension may be large while the dimension is small."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    few = orders.groupBy("o_orderpriority").agg({"o_orderkey": "min"}).withColumnRenamed("min(o_orderkey)", "l_orderkey")
+    monkeypatch.setattr(joins, "BROADCAST_SOURCE_BYTES", 20_000)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert source_bytes(few) > 20_000
+        small = plan_of(with_dimension(lines, few, "l_orderkey"))
+        assert "BroadcastHashJoin" in small and "hashpartitioning(l_orderkey" not in small
+        # a large one is read from its own table: both sides of the join come straight from an exchange
+        large = plan_of(with_dimension(lines, orders.withColumnRenamed("o_orderkey", "l_orderkey").distinct(), "l_orderkey"))
+        assert "SortMergeJoin" in large and "HashAggregate" not in large
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_order_dashboards_share_one_scan(spark, folder):

@@ -399,12 +399,18 @@ def test_one_row_per_listing(rows):
         ("1", "11", "B", "S1", "KA"),
         ("2", "", "B", "S2", "KA"),
     )
+    at = lambda day: datetime(2024, 5, day)
     pages = rows(
-        "id string, html string",
-        ("1", '"avgRating":"4.2" "totalRatingsString":"2K"'),
-        ("11", '"ratingV2":"3.5","reviewCount":"77" Temporarily CLOSED'),
+        "url string, html string, fetched_at timestamp",
+        ("https://www.swiggy.com/restaurants/1?x", '"avgRating":"4.2" "totalRatingsString":"2K"', at(2)),
+        ("https://www.swiggy.com/restaurants/1", '"avgRating":"1.0" "totalRatingsString":"1K"', at(1)),
+        ("https://www.swiggy.com/restaurants/1", '"avgRating":"9.9"', None),
+        ("https://www.zomato.com/r/11", '"ratingV2":"3.5","reviewCount":"77" Temporarily CLOSED', at(1)),
+        ("https://www.zomato.com/r/1", '"ratingV2":"0.5"', at(3)),
+        ("https://elsewhere.example/r/2", '"avgRating":"0.1"', at(3)),
+        (None, None, None),
     )
-    got = {r.store_name: tuple(r)[3:] for r in ratings.listing_ratings(listings, pages, "id").collect()}
+    got = {r.store_name: tuple(r)[3:] for r in ratings.listing_ratings(listings, pages).collect()}
     assert got == {
         "S1": (4.2, 3.5, "2K", "77", "Online", "Offline"),
         "S2": (None, None, None, None, None, None),

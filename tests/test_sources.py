@@ -96,6 +96,42 @@ def test_enveloped_pages(spark, tmp_path):
     assert {r.event_day for r in df.collect()} == {date(2024, 5, 15), date(2024, 5, 16)}
 
 
+def test_no_record_is_lost(spark, tmp_path):
+    """Bare lists, other names of a field, and what no reader understands."""
+    root = tmp_path / "sales"
+    order = lambda n, **names: {k: v for k, v in an_order(str(n), "2024-05-15", []).items() if k not in ("branchCode", "channel")} | names
+    write_lines(
+        root / "business_day=2024-05-15" / "a.json",
+        [
+            [order(1, branch="S1", Channel="Zomato"), order(2, storeCode="S2", channel="Swiggy")],
+            {"data": [{**order(3), "Store Code": " S3 ", "Channel": "POS", "channel": "other"}]},
+            {"payload": [order(4)]},
+            {"data": []},
+        ],
+    )
+    (root / "business_day=2024-05-15" / "b.json").write_text("not json\n")
+    got = sorted((r.invoice, r.branch_code, r.channel) for r in landed.sales_orders(spark, str(root), enveloped=True).collect())
+    assert got == [("1", "S1", "Zomato"), ("2", "S2", "Swiggy"), ("3", "S3", "POS")]
+    bad = landed.rejected(spark, str(root)).collect()
+    assert sorted(r.value[:9] for r in bad) == ["not json", '{"payload']
+    write_lines(tmp_path / "plain" / "business_day=2024-05-15" / "a.json", [order(1, branch="S1"), order(2, branchCode="S2", branch="S9")])
+    plain = landed.sales_orders(spark, str(tmp_path / "plain")).collect()
+    assert sorted((r.invoice, r.branch_code) for r in plain) == [("1", "S1"), ("2", "S2")]
+
+
+def test_conflicting_sheet_rows(spark, tmp_path):
+    """The pick among rows of one code does not depend on their order, and the code is reported."""
+    head, a, b = "Branch Code,Store Name,Region,Ownership,AM Email\n", "S1,Store,KA,COCO,a@x\n", "S1,Store,KA,COCO,b@x\n"
+    for i, text in enumerate((head + a + b, head + b + a)):
+        path = tmp_path / f"s{i}.csv"
+        path.write_text(text)
+        assert [r.am_email for r in dimensions.store_dim(spark, str(path)).collect()] == ["a@x"]
+        assert [tuple(r) for r in dimensions.store_conflicts(spark, str(path)).collect()] == [("S1", 2)]
+    items = tmp_path / "items.csv"
+    items.write_text("Item Name,Item Group Name\ncake,Cakes\nCAKE,Other\ntea,Tea\n")
+    assert [r.item_key for r in dimensions.item_conflicts(spark, str(items)).collect()] == ["CAKE"]
+
+
 def test_ledger_from_files(spark, tmp_path, rows):
     root = tmp_path / "ledger"
     item = {"skuCode": "A", "openingBalance": "10", "openingCost": 100, "closingBalance": 8, "closingCost": "80",
@@ -161,6 +197,8 @@ def test_refresh_replaces_only_its_partition(spark, tmp_path, rows):
     sinks.refresh(rows("k int", (3,)), path, date(2024, 5, 2))
     sinks.refresh(rows("k int", (9,)), path, date(2024, 5, 1))
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [3, 9]
+    sinks.refresh(rows("k int"), path, date(2024, 5, 1))
+    assert [r.k for r in spark.read.schema("k int, as_of date").parquet(path).collect()] == [3]
     sinks.refresh(rows("k int", (7,)), str(tmp_path / "plain"))
     sinks.refresh(rows("k int", (8,)), str(tmp_path / "plain"))
     assert [r.k for r in spark.read.parquet(str(tmp_path / "plain")).collect()] == [8]
@@ -169,12 +207,16 @@ def test_refresh_replaces_only_its_partition(spark, tmp_path, rows):
 def test_alert_log(spark, tmp_path, rows):
     path = str(tmp_path / "log")
     assert landed.sent_alerts(spark, path).count() == 0
-    sinks.append_alerts(rows("alert_key string", ("a",)), path, "noon")
-    sinks.append_alerts(rows("alert_key string", ("b",)), path, "evening")
-    sinks.append_alerts(rows("alert_key string", ("b",)), path, "evening")
+    key = lambda k, day=1: rows("alert_key string, business_date date", (k, date(2024, 5, day)))
+    sinks.append_alerts(key("a", 3), path, "noon")
+    sinks.append_alerts(key("b"), path, "evening")
+    sinks.append_alerts(key("b"), path, "evening")
     log = landed.sent_alerts(spark, path)
     assert sorted(r.alert_key for r in log.collect()) == ["a", "b"] and log.filter("sent_time is null").count() == 0
     assert [r.alert_key for r in landed.sent_alerts(spark, path, except_run="evening").collect()] == ["a"]
+    days = landed.sent_alerts(spark, path, between=(date(2024, 5, 1), date(2024, 5, 2)))
+    assert [r.alert_key for r in days.collect()] == ["b"]
+    assert "PartitionFilters: [isnotnull(business_date" in days._jdf.queryExecution().executedPlan().toString()
 
 
 def test_sections(spark, tmp_path, rows):
@@ -186,10 +228,13 @@ def test_sections(spark, tmp_path, rows):
 
 
 def test_raw_landing_status(spark, tmp_path, rows):
-    write_lines(tmp_path / "snap" / "a.json", [{"branchCode": "S1", "item": {"n": 1}, "tags": ["x"]}])
+    one = {"branchCode": "S1", "item": {"n": 1}, "tags": ["x"]}
+    odd = [one, [one, {"storeCode": "S2"}], {"data": [], "timings": [{"Store Code": "S3"}]}, {"data": []}]
+    write_lines(tmp_path / "snap" / "business_day=2024-05-01" / "a.json", odd)
     snap = landed.snapshot(spark, str(tmp_path / "snap"))
-    r = sinks.raw_landing(snap, "Raw_Snapshot").first()
-    assert (r.item, r.tags, r.landing_status) == ('{"n":1}', '["x"]', None)
+    assert sorted(r.branchCode for r in snap.collect()) == ["S1", "S1", "S2", "S3"]
+    r = sinks.raw_landing(snap.filter("branchCode = 'S1'"), "Raw_Snapshot").first()
+    assert (json.loads(r.record), r.landing_status) == (one, None)
     empty = sinks.raw_landing(snap.filter(F.lit(False)), "Raw_Snapshot").collect()
     assert len(empty) == 1 and "Raw_Snapshot" in empty[0].landing_status
 
@@ -207,7 +252,7 @@ def test_raw_landing_tables(spark, tmp_path, rows):
     sales = landing.raw_table(spark, str(root), "consumption_sales", day, stores)
     assert sales.count() == 2 and sales.first()["item_discounts"] == '[{"name":"Deal (X)"}]'
     snap = landing.raw_table(spark, str(root), "inventory_store_items", day, stores).first()
-    assert (snap.branchCode, snap.detail_n, snap.tags, snap.landing_status) == ("S1", 1, '["a"]', None)
+    assert (snap.branchCode, json.loads(snap.record)["detail"], snap.landing_status) == ("S1", {"n": 1}, None)
     out = str(tmp_path / "out")
     landing.publish(spark, str(root), out, day, stores, ["outlet_timings", "availability_history"])
     landing.publish(spark, str(root), out, day, stores, ["outlet_timings"])

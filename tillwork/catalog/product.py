@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import product as P
-from ..session import written_by
+from ..session import stored, written_by
 from ..sources.sinks import stacked
 from . import roles as R
 from .registry import query
@@ -181,7 +181,6 @@ def _section(name: str, sql: str, element: str, extra: str = "") -> str:
 )
 def dashboard_set(spark, folder):
     """Four dashboards on one written mart, bucketed by invoice."""
-    shared = written_by(P.invoice_mart(mart(spark, folder)), "invoice")
 
     def section(df, element, scope="all"):
         return df.select(
@@ -192,14 +191,15 @@ def dashboard_set(spark, folder):
             *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("lw_orders", "l2w_orders")],
         )
 
-    return stacked(
-        {
+    # the small result is written before the shared table goes
+    with written_by(P.invoice_mart(mart(spark, folder)), "invoice") as shared:
+        sections = {
             "mix": section(P.mix_compare(shared), "product_mix"),
             "category": section(P.category_compare(shared), "category_group"),
             "item": section(P.item_compare(shared), "item_group"),
             "category by source": section(P.category_by_source(shared), "category_group", "channel_group"),
         }
-    )
+        return stored(stacked(sections), "dashboards")
 
 
 @query(
@@ -210,9 +210,8 @@ SELECT count(DISTINCT CASE WHEN status = 'OPEN' THEN invoice END) AS open_orders
 FROM base WHERE period IN ('CURRENT', 'LW')""",
 )
 def order_status_counts(spark, folder):
-    base = P.line_base(
-        R.sales_lines(spark, folder), R.stores(spark, folder), R.items(spark, folder), R.PERIODS
-    )
+    lines, periods = P.status_lines(R.sales_lines(spark, folder), R.PERIODS)
+    base = P.line_base(lines, R.stores(spark, folder), R.items(spark, folder), periods)
     return P.order_status_counts(base)
 
 

@@ -272,7 +272,7 @@ soldout AS (
          'CAT_' || (k % 7) AS category_name, 'ITEM_' || k AS item_name, ts AS event_time,
          'user_' || (event_id % 5) AS user_name, am_email, rm_first, am_name
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e
-  LEFT JOIN stores ON CAST(e.user_id AS VARCHAR) = branch_code
+  JOIN stores ON CAST(e.user_id AS VARCHAR) = branch_code
   WHERE event_type = 'error' AND value < 40)
 """
 )

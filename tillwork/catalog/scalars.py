@@ -148,14 +148,12 @@ def business_day(spark, folder):
 
 @query(
     "month_sequence",
-    """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
-                  WHERE o_orderdate >= TIMESTAMP '1998-02-01' AND o_orderdate < TIMESTAMP '1998-04-01')
+    """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
 SELECT CAST(day AS VARCHAR) AS day, CAST(CAST(d AS DATE) AS VARCHAR) AS month_day
 FROM days, LATERAL (SELECT unnest(generate_series(date_trunc('month', day), day, INTERVAL 1 DAY)) AS d)""",
 )
 def month_sequence(spark, folder):
-    window = F.col("o_orderdate").between(F.expr("TIMESTAMP_NTZ '1998-02-01'"), F.expr("TIMESTAMP_NTZ '1998-03-31 23:59:59'"))
-    days = R.table(spark, folder, "orders").filter(window).select(F.to_date("o_orderdate").alias("day")).distinct()
+    days = R.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
     spread = days.select("day", F.explode(D.month_sequence("day")).alias("month_day"))
     return spread.select(F.col("day").cast("string").alias("day"), F.col("month_day").cast("string").alias("month_day"))
 

@@ -17,7 +17,7 @@ from .registry import query
 
 
 def nested_orders(spark, folder):
-    """Orders with their lines as an array; a long order is several documents, an empty one has none."""
+    """Orders with their lines as an array; an order without lines has no array."""
     o, l = R.table(spark, folder, "orders"), R.table(spark, folder, "lineitem")
     line = l.select(
         F.col("l_orderkey").alias("o_orderkey"),
@@ -26,7 +26,7 @@ def nested_orders(spark, folder):
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
     header = o.select("o_orderkey", F.struct("o_orderstatus", "o_orderpriority").alias("head"))
-    return header.join(S.nest_blocks(line, ["o_orderkey"], "items"), "o_orderkey", "left")
+    return header.join(S.nest(line, ["o_orderkey"], "items"), "o_orderkey", "left")
 
 
 LINE_SQL = """SELECT o_orderkey, o_orderstatus AS head_o_orderstatus, o_orderpriority AS head_o_orderpriority,
@@ -42,7 +42,8 @@ query("explode_inner_lines", f"{LINE_SQL} FROM orders JOIN lineitem ON o_orderke
 
 @query(
     "json_text",
-    """SELECT c_custkey, '{"name":"' || c_name || '","segment":"' || c_mktsegment || '"}' AS profile,
+    """SELECT c_custkey, '{"name":"' || c_name || '","segment":' ||
+       CASE WHEN c_acctbal < 0 THEN 'null' ELSE '"' || c_mktsegment || '"' END || '}' AS profile,
        '[' || c_nationkey || ',' || c_custkey || ']' AS keys FROM customer""",
 )
 def json_text(spark, folder):
@@ -50,7 +51,9 @@ def json_text(spark, folder):
     return S.json_text(
         c.select(
             "c_custkey",
-            F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("profile"),
+            F.struct(
+                F.col("c_name").alias("name"), F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment")
+            ).alias("profile"),
             F.array(F.col("c_nationkey").cast("bigint"), "c_custkey").alias("keys"),
         )
     )

@@ -162,17 +162,13 @@ UNION ALL SELECT 'Region: ' || region, {element}, {two_periods(*counts)} FROM sl
 WHERE region IN (SELECT region FROM sla WHERE is_ftd) GROUP BY region, {element}"""
 
 
-def by_region(table, df):
-    return P.regions_reported(table(df, by_region=True), df)
-
-
 query("sla_category", element_sql("category_name", INVOICES))(lambda s, d: P.category_table(lines(s, d)))
 query("sla_item", element_sql("item_name", LINES))(lambda s, d: P.item_table(lines(s, d)))
 query("sla_category_by_region", f"WITH {R.SLA_SQL} {scoped_sql('category_name', INVOICES)}")(
-    lambda s, d: by_region(P.category_table, lines(s, d))
+    lambda s, d: P.category_table(lines(s, d), by_region=True, reported_only=True)
 )
 query("sla_item_by_region", f"WITH {R.SLA_SQL} {scoped_sql('item_name', LINES)}")(
-    lambda s, d: by_region(P.item_table, lines(s, d))
+    lambda s, d: P.item_table(lines(s, d), by_region=True, reported_only=True)
 )
 
 FLAGS_SQL = f"""WITH {R.SLA_SQL}, cats AS ({scoped_sql('category_name', INVOICES)}),

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..plans import ratings as G
 from ..plans import soldout as P
-from ..session import scratch_dir
-from ..streaming.alerts import alert_stream, run_available, sent_log
+from ..session import scratch_dir, stored
+from ..streaming.alerts import alert_stream, landed_stream, run_available, sent_log
 from . import roles as R
 from .registry import query
 
@@ -93,9 +93,11 @@ query("soldout_detail_product", detail_sql("WHERE item_type = 'product'"))(
 )
 query("soldout_detail_store", detail_sql(""))(lambda s, d: texts(base(s, d)).select(*DETAIL))
 
-# the noon run has sent what happened before noon; the evening run alerts the rest
+# the noon run has sent what happened before noon; the evening run alerts the rest;
+# items are told apart coarsely here, so that a store runs out of one item several times a day
 ALERTS_SQL = f"""WITH {R.SOLDOUT_SQL},
-keyed AS (SELECT *, store_name || '|' || item_name || '|' || CAST(business_date AS VARCHAR) AS alert_key
+keyed AS (SELECT * REPLACE (CAST(substr(item_name, 6) AS INTEGER) % 2 || '' AS item_name),
+                 store_name || '|' || CAST(substr(item_name, 6) AS INTEGER) % 2 || '|' || CAST(business_date AS VARCHAR) AS alert_key
           FROM soldout WHERE store_name IS NOT NULL),
 sent AS (SELECT DISTINCT alert_key FROM keyed WHERE hour(event_time) < 12),
 fresh AS (SELECT * FROM keyed WHERE alert_key NOT IN (SELECT alert_key FROM sent)
@@ -103,10 +105,14 @@ fresh AS (SELECT * FROM keyed WHERE alert_key NOT IN (SELECT alert_key FROM sent
                   ORDER BY event_time, user_name, category_name, item_type, branch_code) = 1)"""
 
 
+def coarse(events):
+    return events.withColumn("item_name", (F.substring("item_name", 6, 9).cast("int") % 2).cast("string"))
+
+
 def alerts(spark, folder):
-    events = base(spark, folder)
+    events = coarse(base(spark, folder))
     noon = P.with_alert_key(events.filter(F.hour("event_time") < 12)).select("alert_key")
-    return P.new_alerts(events, noon)
+    return stored(P.new_alerts(events, noon), "alerts")
 
 
 @query(
@@ -142,7 +148,8 @@ SELECT store_name, part, any_value(am_name) AS am_name, any_value(recipients) AS
        string_agg(alert_key, ';' ORDER BY alert_key) AS items FROM lines GROUP BY store_name, part""",
 )
 def alert_packets(spark, folder):
-    out = P.alert_packets(alerts(spark, folder), PART_ROWS)
+    fresh = alerts(spark, folder)
+    out = P.alert_packets(fresh, PART_ROWS, stored(P.alert_headers(fresh), "headers"))
     return out.withColumns(
         {
             "recipients": F.array_join("recipients", ","),
@@ -157,7 +164,7 @@ def alert_packets(spark, folder):
 )
 def sent_log_keys(spark, folder):
     fresh = alerts(spark, folder)
-    return P.sent_keys(fresh, P.alert_headers(fresh))
+    return P.sent_keys(fresh, P.alert_headers(fresh)).select("alert_key")
 
 
 @query(
@@ -172,49 +179,47 @@ def summary_recipients(spark, folder):
 
 @query(
     "alert_stream",
-    f"""WITH {R.SOLDOUT_SQL}
-SELECT DISTINCT store_name || '|' || item_name || '|' || CAST(business_date AS VARCHAR) AS alert_key
-FROM soldout WHERE store_name IS NOT NULL""",
+    f"""{ALERTS_SQL} SELECT alert_key, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS event_time FROM keyed GROUP BY alert_key""",
 )
 def streamed_alerts(spark, folder):
-    raw = (
-        spark.readStream.schema(R.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
-    )
+    raw = landed_stream(spark, R.SCHEMAS["events"], f"{folder}/events.parquet")
     run = f"{scratch_dir(spark)}/alert_stream_{uuid.uuid4().hex}"
-    stream = alert_stream(R.as_soldout(raw), R.stores(spark, folder))
+    stream = alert_stream(coarse(R.as_soldout(raw)), R.stores(spark, folder))
     run_available(stream, f"{run}/log", f"{run}/checkpoint")
-    return sent_log(spark, f"{run}/log").select("alert_key")
+    sent = sent_log(spark, f"{run}/log")
+    return sent.select("alert_key", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"))
 
 
 # --- listing pages ---------------------------------------------------------
 
-TRACKED = G.Platform(r"track\((\d+)\)", r"<title>(.*?)</title>", ("NICHT", "aulich für"))
-SHOWN = G.Platform(r"<!-- ad (\d+) -->", r'<html lang="(\w+)"', ("thanks",))
+# pages of one host suffix are one platform's, the number in the path is the listing; page ids rise with time
+PATH_A, PATH_B = r"example\.com/\w+/(\d+)", r"example\.net/\w+/(\d+)"
+TRACKED = G.Platform(PATH_A, r"track\((\d+)\)", r"<title>(.+?)</title>", ("NICHT", "aulich für"))
+SHOWN = G.Platform(PATH_B, r"<!-- ad (\d+) -->", r'<html lang="(\w+)"', ("thanks",))
 
-A_SQL = """CASE WHEN regexp_matches(html, 'track\\((\\d+)\\)') THEN TRY_CAST(regexp_extract(html, 'track\\((\\d+)\\)', 1) AS DOUBLE) END"""
-STATUS_A = "CASE WHEN contains(lower(html), 'nicht') OR contains(lower(html), 'aulich für') THEN 'Offline' ELSE 'Online' END"
-TITLE = "CASE WHEN regexp_matches(html, '<title>(.*?)</title>') THEN regexp_extract(html, '<title>(.*?)</title>', 1) END"
-LANG = """CASE WHEN regexp_matches(html, '<html lang="(\\w+)"') THEN regexp_extract(html, '<html lang="(\\w+)"', 1) END"""
 
+def side_sql(p: G.Platform, suffix: str) -> str:
+    """The newest page of each of the platform's listings."""
+    closed = " OR ".join(f"contains(lower(html), '{phrase.lower()}')" for phrase in p.closed)
+    return f"""{suffix} AS (
+  SELECT regexp_extract(url, '{p.listing}', 1) AS listing_{suffix},
+         TRY_CAST(nullif(regexp_extract(html, '{p.rating}', 1), '') AS DOUBLE) AS rating_{suffix},
+         nullif(regexp_extract(html, '{p.reviews}', 1), '') AS reviews_{suffix},
+         CASE WHEN {closed} THEN 'Offline' ELSE 'Online' END AS status_{suffix}
+  FROM pages WHERE regexp_matches(url, '{p.listing}')
+  QUALIFY row_number() OVER (PARTITION BY listing_{suffix} ORDER BY page_id DESC) = 1)"""
 
-@query(
-    "page_ratings",
-    f"""SELECT CAST(page_id AS VARCHAR) AS listing_a, {A_SQL} AS rating_a, {TITLE} AS reviews_a, {STATUS_A} AS status_a
-FROM pages""",
-)
+
+@query("page_ratings", f"WITH {side_sql(TRACKED, 'a')} SELECT * FROM a")
 def page_ratings(spark, folder):
-    return G.read_pages(R.table(spark, folder, "pages"), "page_id", TRACKED, "a")
+    return G.read_pages(R.table(spark, folder, "pages"), TRACKED, "a", newest="page_id")
 
 
 @query(
     "listing_ratings",
-    f"""WITH {R.STORES_SQL},
-a AS (SELECT CAST(page_id AS VARCHAR) AS id, {A_SQL} AS rating_a, {TITLE} AS reviews_a, {STATUS_A} AS status_a FROM pages),
-b AS (SELECT CAST(page_id AS VARCHAR) AS id, CASE WHEN regexp_matches(html, '<!-- ad (\\d+) -->')
-             THEN TRY_CAST(regexp_extract(html, '<!-- ad (\\d+) -->', 1) AS DOUBLE) END AS rating_b, {LANG} AS reviews_b,
-             CASE WHEN contains(lower(html), 'thanks') THEN 'Offline' ELSE 'Online' END AS status_b FROM pages)
+    f"""WITH {R.STORES_SQL}, {side_sql(TRACKED, "a")}, {side_sql(SHOWN, "b")}
 SELECT am_name AS brand, store_name, region, rating_a, rating_b, reviews_a, reviews_b, status_a, status_b
-FROM stores LEFT JOIN a ON a.id = branch_code LEFT JOIN b ON b.id = CAST(CAST(branch_code AS BIGINT) * 3 AS VARCHAR)""",
+FROM stores LEFT JOIN a ON listing_a = branch_code LEFT JOIN b ON listing_b = CAST(CAST(branch_code AS BIGINT) * 3 AS VARCHAR)""",
 )
 def listing_ratings(spark, folder):
     listings = R.stores(spark, folder).select(
@@ -224,4 +229,4 @@ def listing_ratings(spark, folder):
         F.col("branch_code").alias("listing_a"),
         (F.col("branch_code").cast("bigint") * 3).cast("string").alias("listing_b"),
     )
-    return G.listing_ratings(listings, R.table(spark, folder, "pages"), "page_id", TRACKED, SHOWN)
+    return G.listing_ratings(listings, R.table(spark, folder, "pages"), TRACKED, SHOWN, newest="page_id")

@@ -150,26 +150,23 @@ def stock_daily_matrix(spark, folder):
 
 @query(
     "movement_union",
-    """WITH june AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01' AND l_shipdate < TIMESTAMP '1998-07-01'),
-skus AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS sku FROM june WHERE l_returnflag IN ('R', 'A'))
+    """WITH skus AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS sku FROM lineitem WHERE l_returnflag IN ('R', 'A'))
 SELECT 'transfer' AS kind, CAST(l_suppkey AS VARCHAR) AS "branchCode", CAST(l_partkey AS VARCHAR) AS "skuCode",
        CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity, NULL AS items, 'landed' AS source
-FROM june WHERE l_returnflag = 'R'
+FROM lineitem WHERE l_returnflag = 'R'
 UNION ALL SELECT 'receipt', CAST(l_suppkey AS VARCHAR), NULL, NULL,
        '[{"skuCode":"' || l_partkey || '","quantity":"' || CAST(l_quantity AS BIGINT) || '"}]', 'landed'
-FROM june WHERE l_returnflag = 'A'
+FROM lineitem WHERE l_returnflag = 'A'
 UNION ALL SELECT 'stock', NULL, CAST(p_partkey AS VARCHAR), CAST(p_size AS VARCHAR), NULL, 'landed'
 FROM part WHERE CAST(p_partkey AS VARCHAR) IN (SELECT sku FROM skus)""",
 )
 def movement_union(spark, folder):
-    june = R.table(spark, folder, "lineitem").filter(
-        F.col("l_shipdate").between(F.expr("TIMESTAMP_NTZ '1998-06-01'"), F.expr("TIMESTAMP_NTZ '1998-06-30 23:59:59'"))
-    )
+    lines = R.table(spark, folder, "lineitem")
     code, qty = F.col("l_partkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string")
     branch = F.col("l_suppkey").cast("string").alias("branchCode")
     no_items = F.lit(None).cast("array<struct<skuCode:string,quantity:string>>").alias("items")
-    transfers = june.filter("l_returnflag = 'R'").select(branch, code.alias("skuCode"), qty.alias("quantity"), no_items)
-    receipts = june.filter("l_returnflag = 'A'").select(
+    transfers = lines.filter("l_returnflag = 'R'").select(branch, code.alias("skuCode"), qty.alias("quantity"), no_items)
+    receipts = lines.filter("l_returnflag = 'A'").select(
         branch,
         F.lit(None).cast("string").alias("skuCode"),
         F.lit(None).cast("string").alias("quantity"),

@@ -27,6 +27,8 @@ LISTED_NAME_PATTERN = r"'name':\s*'(.*?)'"
 RESTAURANT_PATTERN = r"Restaurant Discount\s*\((.*?)\)"
 BRACKET_PATTERN = r"\((.*?)\)"
 
+LISTING_PATTERN_A = r"swiggy\.com/restaurants/([^/?#]+)"
+LISTING_PATTERN_B = r"zomato\.com/r/([^/?#]+)"
 RATING_PATTERN_A = r'"avgRating":"?([\d.]+)"?'
 REVIEWS_PATTERN_A = r'"totalRatingsString":"([^"]+)"'
 CLOSED_PHRASES_A = ("restaurant unavailable",)
@@ -96,6 +98,11 @@ def first_match(x: Column | str, pattern: str, group: int = 1) -> Column:
     return F.when(x.rlike(pattern), F.regexp_extract(x, pattern, group))
 
 
+def captured(x: Column | str, pattern: str, group: int = 1) -> Column:
+    """As ``first_match`` for a pattern that captures at least one character; the text is searched once."""
+    return F.nullif(F.regexp_extract(as_col(x), pattern, group), F.lit(""))
+
+
 def offer_code(text: Column | str, patterns: Sequence[str], default: str = NO_OFFER) -> Column:
     """First pattern that occurs in free discount text."""
     return F.coalesce(*[first_match(text, p) for p in patterns], F.lit(default))
@@ -124,7 +131,7 @@ def voucher_code(discounts: Column | str) -> Column:
 
 
 def page_number(html: Column | str, pattern: str) -> Column:
-    return first_match(html, pattern).try_cast("double")
+    return captured(html, pattern).try_cast("double")
 
 
 def page_status(html: Column | str, closed_phrases: Sequence[str]) -> Column:

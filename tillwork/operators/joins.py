@@ -1,9 +1,10 @@
 """Dimension joins with a uniqueness contract, semi and anti joins, emptiness probes.
 
 A dimension is unique by its key, so it has at most as many rows as the sheet it
-comes from. It is broadcast only when all files it is read from are small
-(``BROADCAST_SOURCE_BYTES``); beyond that no hint is given and Spark decides by
-its own estimate, sort-merging with skew splitting when the dimension is large.
+comes from. It is broadcast when the files it is read from are small
+(``BROADCAST_SOURCE_BYTES``). Otherwise the finished dimension is written and its own size decides;
+a written dimension beyond the limit is joined without a hint, and as both sides of that join come straight from
+an exchange, Spark can split a hot key of the facts over several tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first by ``order``.
@@ -25,12 +28,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def sortable(df: DataFrame) -> list[str]:
+    """The columns that rows can be ordered by."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+
+
 def unique_dimension(dim: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """A dimension with non-missing, unique keys and a deterministic pick."""
+    """A dimension with non-missing, unique keys; the first by ``order``, ties by all other columns."""
     present = dim
     for k in keys:
         present = present.filter(F.col(k).isNotNull())
-    return keep_first(present, keys, order)
+    return keep_first(present, keys, [*order, *[F.asc_nulls_last(c) for c in sortable(dim) if c not in keys]])
 
 
 def dimension_conflicts(dim: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:
@@ -56,9 +64,14 @@ def source_bytes(df: DataFrame) -> int:
 
 def with_dimension(fact: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Fact rows with the attributes of their dimension row; ``inner`` keeps known keys only."""
-    if source_bytes(dim) <= BROADCAST_SOURCE_BYTES:
-        dim = F.broadcast(dim)
-    return fact.join(dim, on, how)
+    return fact.join(sized(dim, "dimension"), on, how)
+
+
+def sized(side: DataFrame, label: str) -> DataFrame:
+    """The small side of a join with a broadcast hint if its measured size allows it; written first if its sources do not tell."""
+    if source_bytes(side) > BROADCAST_SOURCE_BYTES:
+        side = stored(side, label)
+    return F.broadcast(side) if source_bytes(side) <= BROADCAST_SOURCE_BYTES else side
 
 
 def only_new(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -67,11 +80,15 @@ def only_new(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 
 
 def only_listed(df: DataFrame, listed: DataFrame, key: str, all_when_empty: bool = False) -> DataFrame:
-    """Rows whose key is listed; with ``all_when_empty`` an empty list restricts nothing."""
+    """Rows whose key is listed; with ``all_when_empty`` an empty list restricts nothing.
+
+    The list is written once: the join and the test for emptiness read the written one, and a hot key of ``df`` can be split.
+    """
+    hits = stored(listed.select(key).distinct(), "listed")
+    kept = F.broadcast(hits) if source_bytes(hits) <= BROADCAST_SOURCE_BYTES else hits
     if not all_when_empty:
-        return df.join(listed.select(key).distinct(), key, "left_semi")
-    hits = listed.select(key).distinct().withColumn("_hit", F.lit(True))
-    return df.join(hits, key, "left").filter(F.col("_hit") | is_empty(listed)).drop("_hit")
+        return df.join(kept, key, "left_semi")
+    return df.join(kept.withColumn("_hit", F.lit(True)), key, "left").filter(F.col("_hit") | is_empty(hits)).drop("_hit")
 
 
 def is_empty(df: DataFrame) -> Column:
@@ -80,5 +97,8 @@ def is_empty(df: DataFrame) -> Column:
 
 
 def with_status_row(result: DataFrame, status: DataFrame) -> DataFrame:
-    """``result``, or the one-row ``status`` frame of the same columns when there is none."""
+    """``result``, or the one-row ``status`` frame of the same columns when there is none.
+
+    ``result`` is read once more to see whether it has a row: pass a scan or a written result, not an aggregation.
+    """
     return result.unionByName(status.select(*result.columns).filter(is_empty(result)))

@@ -24,7 +24,12 @@ ORDERS = "orders"
 
 
 def metric_histogram(
-    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], invoice: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[str],
+    invoice: str | None = None,
+    scopes: Column | None = None,
+    within: str = "region",
 ) -> DataFrame:
     """keys, metric, tenths, n: how often each value (in whole tenths) occurs per key.
 
@@ -33,26 +38,37 @@ def metric_histogram(
     mean, median, percentiles and breaches all follow from this table.
 
     With ``invoice`` the same pass also yields the key's distinct invoices: rows of
-    metric ``orders`` with the invoice and n = 1, spread by invoice.
+    metric ``orders`` with the invoice and n = 1, spread by invoice. With ``scopes``, an array column, the
+    invoices are distinct in each of its values: rows then have a ``scope``, and the key ``within`` only where
+    that is missing, so that values fan out after the reduction and only the invoices before.
     """
     none_t, none_i = F.lit(None).cast("bigint"), None
     if invoice is not None:
         none_i = F.lit(None).cast(df.schema[invoice].dataType)
+    split = [] if scopes is None else [F.lit(None).cast("string").alias("scope")]
 
-    def cell(metric: str, tenths: Column, order: Column | None) -> Column:
+    def cell(metric: str, tenths: Column, order: Column | None, scope: Sequence[Column] = split) -> Column:
         fields = [F.lit(metric).alias("metric"), tenths.alias("tenths")]
-        return F.struct(*fields, *([] if order is None else [order.alias("order")]))
+        return F.struct(*fields, *([] if order is None else [order.alias("order")]), *scope)
 
-    cells = [cell(m, F.rint(F.col(m) * RESOLUTION).cast("bigint"), none_i) for m in metrics]
+    cells = F.array(*[cell(m, F.rint(F.col(m) * RESOLUTION).cast("bigint"), none_i) for m in metrics])
     known = F.col("tenths").isNotNull()
     steps = ["metric", "tenths"]
     if invoice is not None:
-        cells.append(cell(ORDERS, none_t, F.col(invoice)))
+        if scopes is None:
+            cells = F.concat(cells, F.array(cell(ORDERS, none_t, F.col(invoice))))
+        else:
+            spread = F.transform(scopes, lambda s: cell(ORDERS, none_t, F.col(invoice), [s.alias("scope")]))
+            cells = F.concat(cells, spread)
+            steps.append("scope")
         known = known | F.col("order").isNotNull()
         steps.append("order")
     count = F.count(F.lit(1))
     n = count if invoice is None else F.when(F.col("metric") == ORDERS, F.lit(1).cast("bigint")).otherwise(count)
-    return df.select(*keys, F.inline(F.array(*cells))).filter(known).groupBy(*keys, *steps).agg(n.alias("n"))
+    rows = df.select(*keys, F.inline(cells)).filter(known)
+    if scopes is not None:
+        rows = rows.withColumn(within, F.when(F.col("scope").isNull(), F.col(within)))
+    return rows.groupBy(*keys, *steps).agg(n.alias("n"))
 
 
 def _percentiles(of: Column) -> Column:
@@ -131,6 +147,7 @@ def period_compare(
     absolute: Sequence[str] = ("discount",),
     invoice: str = "invoice",
     rows: str | None = None,
+    live: str | None = None,
 ) -> DataFrame:
     """One row per key, every period's order count and sums side by side.
 
@@ -142,9 +159,11 @@ def period_compare(
     second, map-side combined aggregation only counts what is left.
     ``fill=False`` leaves the measures of an absent period missing. ``rows`` names a
     column with the number of lines a row stands for, when lines were reduced before.
+    ``live`` names a key: only its values with any line in ``current`` are reported, which the reduced
+    table tells, so the lines are read once.
     """
     wanted = sorted({m for cols in measures.values() for m in cols})
-    base = not_null(lines, keys).filter(F.col("period").isin(*measures))
+    base = not_null(lines, [live] if live else keys).filter(F.col("period").isin(*measures))
     if orders == "distinct":
         base = base.groupBy(*keys, "period", invoice).agg(
             F.count(F.lit(1)).alias("_rows"), *[F.sum(m).alias(m) for m in wanted]
@@ -168,6 +187,9 @@ def period_compare(
             aggregates.append(total.cast("double").alias(f"{p}_{m}"))
             names.append((p, f"{p}_{m}"))
     wide = base.groupBy(*keys).agg(*aggregates)
+    if live:
+        here = F.sum(f"_{current.lower()}_rows").over(W.partitionBy(live))
+        wide = not_null(wide.withColumn("_live", here).filter("_live > 0"), keys)
     if how == "left":
         wide = wide.filter(F.col(f"_{current.lower()}_rows") > 0)
     elif how != "full":
@@ -190,6 +212,7 @@ def frequency(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def first_known(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str, *more: Column) -> DataFrame:
-    """Per key, each column's first non-missing value by ``order``; ``more`` aggregates ride along."""
-    picks = [F.min_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order))).alias(v) for v in values]
+    """Per key, each column's first non-missing value by ``order``, ties by the smaller value; ``more`` aggregates ride along."""
+    at = lambda v: F.when(F.col(v).isNotNull(), F.struct(F.col(order), F.col(v)))
+    picks = [F.min(at(v)).getField(v).alias(v) for v in values]
     return not_null(df, keys).groupBy(*keys).agg(*picks, *more)

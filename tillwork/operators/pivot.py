@@ -28,14 +28,6 @@ def count_long(df: DataFrame, rows: Sequence[str], counted: str | None = None) -
     return df.groupBy(*rows).agg(count.alias("rows"))
 
 
-def pivot_values(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Distinct values for a data-driven pivot; refuses more than ``limit`` rather than truncating."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values: use the long form")
-    return sorted(r[0] for r in found)
-
-
 def value_pivot(
     df: DataFrame, rows: Sequence[str], column: str, values: Sequence[object], value: str, labels: Sequence[str]
 ) -> DataFrame:

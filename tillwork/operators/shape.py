@@ -22,6 +22,9 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
 def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
     """Every nested object becomes columns named by its path; arrays stay as they are."""
 
@@ -113,7 +116,7 @@ def conform(
         columns.append(column.alias(f.name))
     if keep_extra:
         unknown = [c for c in df.columns if c not in schema.fieldNames()]
-        extra = F.to_json(F.struct(*[F.col(f"`{c}`") for c in unknown])) if unknown else F.lit(None).cast("string")
+        extra = F.to_json(F.struct(*[F.col(f"`{c}`") for c in unknown]), KEEP_NULLS) if unknown else F.lit(None).cast("string")
         columns.append(extra.alias("_extra"))
     return df.select(*columns)
 
@@ -142,11 +145,11 @@ def detect_column(columns: Sequence[str], *needles: str) -> str | None:
 
 
 def json_text(df: DataFrame) -> DataFrame:
-    """Arrays, maps and objects become JSON text; other columns are untouched."""
+    """Arrays, maps and objects become JSON text, missing fields as null; other columns are untouched."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     return df.select(
         *[
-            F.to_json(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`")
+            F.to_json(f"`{f.name}`", KEEP_NULLS).alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
@@ -171,9 +174,10 @@ def unwrap_envelope(df: DataFrame, names: Sequence[str] = ("data", "transactions
     """Payload rows of a response: the first non-empty list among ``names``, one row per element.
 
     Each page of a branch-day is its own envelope row, so pages unite by themselves.
+    An array column named ``_list`` holds the records of a response that is a bare list.
     """
-    lists = [F.when(F.size(n) > 0, F.col(n)) for n in names if n in df.columns]
-    rest = [c for c in df.columns if c not in names]
+    lists = [F.when(F.size(n) > 0, F.col(n)) for n in (*names, "_list") if n in df.columns]
+    rest = [c for c in df.columns if c not in (*names, "_list")]
     return df.select(*rest, F.inline(F.coalesce(*lists)))
 
 
@@ -186,17 +190,11 @@ def latest_lookup(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     )
 
 
-def nest_blocks(df: DataFrame, keys: Sequence[str], array: str, block_rows: int = 1000) -> DataFrame:
-    """Rows to documents with an array of objects, at most ``block_rows`` elements each.
+def nest(df: DataFrame, keys: Sequence[str], array: str) -> DataFrame:
+    """Rows to documents: one per key, its rows as an array of objects.
 
-    Rows of one key from the same stretch of the input share a document, so a
-    key with any number of rows becomes several bounded documents.
+    A document holds all rows of its key, so make the keys fine enough: where one could have very many
+    rows, add a key of the data that splits it (a page or line range), and a document is one such part.
     """
     fields = [c for c in df.columns if c not in keys]
-    block = F.floor(F.monotonically_increasing_id() / block_rows)
-    return (
-        df.withColumn("_block", block)
-        .groupBy(*keys, "_block")
-        .agg(F.collect_list(F.struct(*fields)).alias(array))
-        .drop("_block")
-    )
+    return df.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias(array))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators.joins import only_listed
-from ..operators.shape import explode_objects, flatten_structs
+from ..operators.shape import explode_objects, first_present, flatten_structs
 from ..sources import landed
 from ..sources.sinks import raw_landing, refresh
 
@@ -38,16 +38,18 @@ def raw_table(
 ) -> DataFrame:
     """One landing table: nested objects flattened, order items one per row, lists as JSON.
 
-    Pass a schema for the datasets without a declared one when their files are
-    many; otherwise it is inferred from the day's files.
+    A dataset without a declared schema keeps each record as JSON text beside its branch code; pass a
+    schema to have its fields as columns. No schema is ever inferred from the files.
     """
     dataset, known = DATASETS[table]
     schema = (schemas or {}).get(table, known)
     path = f"{root}/{dataset}"
     if schema is None:
-        df = spark.read.option("basePath", path).json(f"{path}/{landed.DAY}={day.isoformat()}")
+        df = landed.snapshot(spark, path, days=[day])
     else:
-        df = landed.scan(spark, path, schema, days=[day])
+        df = landed.scan_records(spark, path, schema, days=[day])
+        df = df.withColumn("branchCode", first_present(df, [n for n in S.CODE_NAMES if n in df.columns] or ["branchCode"]))
+        df = df.drop(*[n for n in S.CODE_NAMES if n != "branchCode"])
     if "items" in df.columns:
         df = explode_objects(df, "items", "item_")
     df = flatten_structs(df).withColumn("branchCode", F.trim("branchCode"))

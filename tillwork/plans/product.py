@@ -100,7 +100,7 @@ MART_SUMS = ("quantity", "gross", "discount", "net")
 def invoice_mart(mart: DataFrame) -> DataFrame:
     """The mart for a whole set of dashboards: one row per invoice and its attributes.
 
-    Write it once bucketed by invoice (``session.written_by(.., "invoice")``) and
+    Write it once bucketed by invoice (``with session.written_by(.., "invoice") as mart``) and
     build all dashboards on that: counting distinct orders then exchanges no lines.
     Lines are summed first, so an invoice with very many lines is short by the
     time its rows meet in a bucket.
@@ -112,6 +112,14 @@ def _lines_column(mart: DataFrame) -> str | None:
     return "lines" if "lines" in mart.columns else None
 
 
+COUNTED = ("OPEN", "VOIDED")
+
+
+def status_lines(lines: DataFrame, periods: Sequence[Period], names: Sequence[str] = (CUR, LW)) -> tuple[DataFrame, list[Period]]:
+    """The lines that ``order_status_counts`` counts, and their windows: the others need not be joined with dimensions."""
+    return lines.filter(F.upper(F.trim("status")).isin(*COUNTED)), [p for p in periods if p.name in names]
+
+
 def order_status_counts(base: DataFrame, periods: Sequence[str] = (CUR, LW)) -> DataFrame:
     """One row: distinct open and distinct voided orders, counted after one reduction per invoice."""
     seen = base.filter(F.col("period").isin(*periods)).select(F.upper("status").alias("status"), "invoice").distinct()
@@ -150,10 +158,10 @@ def region_source_mix(mart: DataFrame, sources: Sequence[str] = SOURCES) -> Data
     return mix_compare(mart.filter(F.col("channel_group").isin(*sources)), ["region", "channel_group"])
 
 
-def _growth_table(mart: DataFrame, group: Sequence[str], orders: str) -> DataFrame:
+def _growth_table(mart: DataFrame, group: Sequence[str], orders: str, live: str | None = None) -> DataFrame:
     wide = period_compare(
         mart, group, {CUR: ["gross", "discount"], LW: ["gross", "discount"], L2W: []}, how="full", orders=orders,
-        rows=_lines_column(mart),
+        rows=_lines_column(mart), live=live,
     )
     return wide.select(
         *group,
@@ -178,8 +186,7 @@ def category_by_source(mart: DataFrame, sources: Sequence[str] = SOURCES) -> Dat
 
 def region_category(mart: DataFrame) -> DataFrame:
     """As ``category_compare`` per region; only regions that sold today."""
-    today = mart.filter(F.col("period") == CUR).select("region").distinct()
-    return category_compare(mart, ["region"]).join(today, "region", "left_semi")
+    return _growth_table(mart, ["region", "brand", "category_group"], "distinct", live="region")
 
 
 def item_compare(mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
@@ -15,7 +16,9 @@ from ..operators.filters import p80_breach, valid_metric
 from ..operators.joins import with_dimension, with_status_row
 from ..operators.metrics import ORDERS, metric_histogram, sla_columns, sla_finish
 from ..operators.pivot import unpivot
+from ..session import stored
 
+# Limits, names and labels of the published tables.
 METRICS = ("kpt", "o2d")
 LIMITS = {"kpt": 12.0, "o2d": 30.0}
 AGGREGATORS = ("Swiggy", "Zomato")
@@ -115,8 +118,13 @@ def _in_segments(hist: DataFrame) -> DataFrame:
     return rows.withColumn("segment", F.concat_ws(" ", "_when", "_who"))
 
 
-def matrix(sla: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = AGGREGATORS) -> DataFrame:
-    """keys, parameter, and one column per segment: 9 parameters x {FTD, MTD} x {aggregators, overall}."""
+def matrix(
+    sla: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = AGGREGATORS, reported_only: bool = False
+) -> DataFrame:
+    """keys, parameter, and one column per segment: 9 parameters x {FTD, MTD} x {aggregators, overall}.
+
+    ``reported_only`` keeps the keys with orders on the reported day, as the reduced table tells.
+    """
     keys = list(keys)
     hist = histogram(sla, keys)
     for k in keys:
@@ -124,6 +132,9 @@ def matrix(sla: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = AGGR
     raw = _in_segments(hist).groupBy(*keys, "segment").agg(
         *sla_columns("kpt", "kpt", limit=LIMITS["kpt"]), *sla_columns("o2d", "o2d", limit=LIMITS["o2d"])
     )
+    if reported_only:
+        day = F.max(F.when(F.col("segment") == f"FTD {OVERALL}", F.col("kpt_n"))).over(W.partitionBy(*keys))
+        raw = raw.withColumn("_day", day).filter("_day > 0").drop("_day")
     kpt, o2d = sla_finish("kpt", 1), sla_finish("o2d", 1)
     values = (
         F.coalesce(F.col("kpt_n"), F.lit(0)).cast("double"),
@@ -148,8 +159,7 @@ def matrix(sla: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = AGGR
 
 def region_matrix(sla: DataFrame, names: Sequence[str] = AGGREGATORS) -> DataFrame:
     """``matrix`` per region, for regions with orders on the reported day."""
-    reported = sla.filter("is_ftd").select("region").distinct()
-    return matrix(sla, ["region"], names).join(reported, "region", "left_semi")
+    return matrix(sla, ["region"], names, reported_only=True)
 
 
 def _two_periods(places: int, fill: float | None) -> tuple[list[Column], list[Column]]:
@@ -180,23 +190,23 @@ def store_table(sla: DataFrame) -> DataFrame:
     return wide.filter(F.col("ftd_kpt_n") > 0).select(*keys, count("ftd"), count("mtd"), *done)
 
 
-def _scopes(df: DataFrame, region: str = "region") -> DataFrame:
-    """Each row once overall and once for its region."""
-    scopes = F.array_compact(F.array(F.lit(OVERALL), scope_label(region)))
-    return df.withColumn("scope", F.explode(scopes)).drop(region)
+def _scope_list() -> Column:
+    """The scopes of a row: overall, and its region if it has one."""
+    return F.array_compact(F.array(F.lit(OVERALL), scope_label("region")))
 
 
 # How an element counts its orders: categories by invoice, items by sold line.
 KINDS = {"Category": ("category_name", "distinct"), "Item": ("item_name", "count")}
 
 
-def element_tables(lines: DataFrame, kinds: Sequence[str], by_region: bool = False) -> DataFrame:
+def element_tables(lines: DataFrame, kinds: Sequence[str], by_region: bool = False, reported_only: bool = False) -> DataFrame:
     """kind, (scope,) element: orders and both clocks, reported day and month.
 
     One pass over the lines reduces them to counts per value and to distinct
-    invoices; percentiles are taken on that table only. With distinct invoices the
-    scopes fan out before the reduction (one exchange instead of two, as invoices
-    hardly combine); without, they fan out on the reduced table.
+    invoices; percentiles are taken on that table only. Values fan out to their scopes
+    on the reduced table; distinct invoices must do so before.
+    ``reported_only`` keeps the scopes with lines on the reported day, and the overall scope, as the
+    reduced table tells; lines without an element count there, too.
     """
     distinct = [k for k in kinds if KINDS[k][1] == "distinct"]
     cells = []
@@ -206,14 +216,17 @@ def element_tables(lines: DataFrame, kinds: Sequence[str], by_region: bool = Fal
             F.struct(F.lit(kind).alias("kind"), F.col(KINDS[kind][0]).alias("element"), order.alias("_invoice"))
         )
     region = ["region"] if by_region else []
-    rows = lines.select(*region, "is_ftd", *METRICS, F.inline(F.array(*cells))).filter(F.col("element").isNotNull())
+    rows = lines.select(*region, "is_ftd", *METRICS, F.inline(F.array(*cells)))
+    rows = rows if reported_only else rows.filter(F.col("element").isNotNull())
+    base = [*region, "kind", "element", "is_ftd"]
+    # without an invoice there is no cell to spread
+    spread = F.when(F.col("_invoice").isNotNull(), _scope_list()).otherwise(F.array().cast("array<string>")) if by_region else None
+    hist = metric_histogram(rows, base, METRICS, "_invoice" if distinct else None, spread if distinct else None)
     keys = ["kind", "scope", "element"] if by_region else ["kind", "element"]
-    if distinct:
-        rows = _scopes(rows) if by_region else rows
-        hist = metric_histogram(rows, [*keys, "is_ftd"], METRICS, "_invoice")
-    else:
-        hist = metric_histogram(rows, [*region, "kind", "element", "is_ftd"], METRICS)
-        hist = _scopes(hist) if by_region else hist
+    if by_region:
+        own = F.array("scope") if distinct else F.array()
+        fan = F.when(F.col("scope").isNotNull(), own).otherwise(_scope_list()) if distinct else _scope_list()
+        hist = hist.withColumn("_scopes", fan).withColumn("scope", F.explode("_scopes")).drop("_scopes", "region")
     # a line always has a preparation time, so counting lines is counting kpt values
     unit = F.col("metric") == F.when(F.col("kind").isin(*distinct), ORDERS).otherwise("kpt")
     total = lambda test: F.coalesce(F.sum(F.when(unit & test, F.col("n"))), F.lit(0)).cast("bigint")
@@ -221,22 +234,21 @@ def element_tables(lines: DataFrame, kinds: Sequence[str], by_region: bool = Fal
     wide = hist.groupBy(*keys).agg(
         total(F.col("is_ftd")).alias("ftd_orders"), total(F.lit(True)).alias("mtd_orders"), *raw
     )
+    if reported_only:
+        day = F.max("ftd_kpt_n").over(W.partitionBy("scope"))
+        wide = wide.withColumn("_day", day).filter((F.col("_day") > 0) | (F.col("scope") == OVERALL))
+        wide = wide.filter(F.col("element").isNotNull())
     return wide.select(*keys, "ftd_orders", "mtd_orders", *done)
 
 
-def category_table(lines: DataFrame, by_region: bool = False) -> DataFrame:
-    return element_tables(lines, ["Category"], by_region).drop("kind").withColumnRenamed("element", "category_name")
-
-
-def item_table(lines: DataFrame, by_region: bool = False) -> DataFrame:
-    return element_tables(lines, ["Item"], by_region).drop("kind").withColumnRenamed("element", "item_name")
+def category_table(lines: DataFrame, by_region: bool = False, reported_only: bool = False) -> DataFrame:
+    table = element_tables(lines, ["Category"], by_region, reported_only)
+    return table.drop("kind").withColumnRenamed("element", "category_name")
 
 
-def regions_reported(table: DataFrame, lines: DataFrame) -> DataFrame:
-    """Scopes with orders on the reported day, and the overall scope; reads that day only."""
-    seen = lines.filter("is_ftd").select(scope_label("region").alias("scope")).distinct()
-    overall = lines.sparkSession.range(1).select(F.lit(OVERALL).alias("scope"))
-    return table.join(seen.unionByName(overall), "scope", "left_semi")
+def item_table(lines: DataFrame, by_region: bool = False, reported_only: bool = False) -> DataFrame:
+    table = element_tables(lines, ["Item"], by_region, reported_only)
+    return table.drop("kind").withColumnRenamed("element", "item_name")
 
 
 FLAG_COLUMNS = ("scope", "type", "element", "orders", "kpt_p80", "o2d_p80", "issue")
@@ -286,7 +298,7 @@ def with_all_clear(flags: DataFrame) -> DataFrame:
         F.lit(0.0).alias("o2d_p80"),
         F.lit("All metrics within targeted SLA parameters").alias("issue"),
     )
-    return with_status_row(flags, row)
+    return with_status_row(stored(flags, "flags"), row)
 
 
 def with_bands(table: DataFrame) -> DataFrame:

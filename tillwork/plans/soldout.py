@@ -40,10 +40,10 @@ def is_soldout() -> Column:
 
 
 def soldout_base(events: DataFrame, stores: DataFrame) -> DataFrame:
-    """Direct sold-out events with their store; events of unknown stores keep missing attributes."""
+    """Direct sold-out events of the stores in ``stores``; no other store's event is reported."""
     kept = events.filter(is_soldout()).withColumn("business_date", F.col("event_day"))
     dim = stores.select("branch_code", "store_name", "region", *CONTACTS)
-    return with_dimension(kept, dim, "branch_code").select(*BASE_COLUMNS)
+    return with_dimension(kept, dim, "branch_code", "inner").select(*BASE_COLUMNS)
 
 
 def of_type(base: DataFrame, kind: str) -> DataFrame:
@@ -83,6 +83,11 @@ def with_alert_key(base: DataFrame) -> DataFrame:
     return base.withColumn("alert_key", composite_key("store_name", "item_name", "business_date"))
 
 
+def alert_order() -> list[Column]:
+    """Which of a key's events leaves: the earliest, ties by the other columns."""
+    return [F.asc_nulls_last(c) for c in ("event_time", "user_name", "category_name", "item_type", "branch_code")]
+
+
 def new_alerts(base: DataFrame, sent: DataFrame) -> DataFrame:
     """One event per unsent (store, item, business day): the earliest, ties by user then type.
 
@@ -90,8 +95,7 @@ def new_alerts(base: DataFrame, sent: DataFrame) -> DataFrame:
     the exchange; what is left is compared with the log by key.
     """
     keyed = with_alert_key(base.filter(F.col("store_name").isNotNull()))
-    order = [F.asc_nulls_last(c) for c in ("event_time", "user_name", "category_name", "item_type", "branch_code")]
-    return only_new(keep_first(keyed, ["alert_key"], order), sent, "alert_key")
+    return only_new(keep_first(keyed, ["alert_key"], alert_order()), sent, "alert_key")
 
 
 def alert_headers(alerts: DataFrame) -> DataFrame:
@@ -104,19 +108,21 @@ def alert_headers(alerts: DataFrame) -> DataFrame:
     return out.filter(F.size("recipients") > 0).select("store_name", "am_name", "recipients", "n_items")
 
 
-def alert_packets(alerts: DataFrame, part_rows: int = 500) -> DataFrame:
+def alert_packets(alerts: DataFrame, part_rows: int = 500, headers: DataFrame | None = None) -> DataFrame:
     """What one mail needs: store, part, contact, recipients and its items.
 
-    A store's items come in parts of about ``part_rows`` lines, so no task ever
-    gathers a whole store. The part of an item follows from a digest of its key
-    and is the same in every run. Pass written alerts: they are read twice.
+    A store's items come in parts of about ``part_rows`` lines. The part of an item follows from a
+    digest of its key and is the same in every run. Items are first grouped by store and part: the part number
+    comes from the store's header, which a join brings to the items where they are, so no task gathers a
+    whole store. Pass written alerts and written headers: both are read twice.
     """
+    headers = alert_headers(alerts) if headers is None else headers
     digest = F.conv(F.substring(F.md5("alert_key"), 1, 8), 16, 10).cast("bigint")
     parts = F.ceil(F.col("n_items") / F.lit(part_rows))
     item = F.struct("alert_key", "item_type", "category_name", "item_name", "event_time", "user_name")
     lines = alerts.select("store_name", item.alias("item"), digest.alias("digest"))
     return (
-        lines.join(alert_headers(alerts), "store_name")
+        with_dimension(lines, headers, "store_name", "inner")
         .withColumn("part", F.pmod("digest", parts) + 1)
         .groupBy("store_name", "part", "am_name", "recipients", "n_items")
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
@@ -124,24 +130,29 @@ def alert_packets(alerts: DataFrame, part_rows: int = 500) -> DataFrame:
 
 
 def sent_keys(alerts: DataFrame, packets: DataFrame) -> DataFrame:
-    """Alert keys of the stores that were mailed, for the log."""
-    return alerts.join(packets.select("store_name").distinct(), "store_name", "left_semi").select("alert_key")
+    """Alert keys and days of the stores that were mailed, for the log."""
+    mailed = packets.select("store_name").distinct().withColumn("_mailed", F.lit(True))
+    return with_dimension(alerts, mailed, "store_name", "inner").select("alert_key", "business_date")
 
 
 def alert_run(events: DataFrame, stores: DataFrame, log: str, out: str, run: str) -> DataFrame:
     """One alerting run: new alerts -> packets written under ``out`` -> their keys in the log.
 
-    The alerts are written once to the shared scratch folder and read from there.
-    Packets leave before their keys are logged, so a crash in between repeats
+    The alerts are written once to the shared scratch folder and read from there, and so are the headers. Of the log
+    only the days of the events are read. Packets leave before their keys are logged, so a crash in between repeats
     mails rather than losing them; repeating a run by its name gives the same packets.
     """
     spark = events.sparkSession
     staged = f"{scratch_dir(spark)}/alerts/{run}"
-    sent = sent_alerts(spark, log, except_run=run)
-    new_alerts(soldout_base(events, stores), sent).write.mode("overwrite").parquet(staged)
-    alerts = spark.read.parquet(staged)
-    alert_packets(alerts).write.mode("overwrite").parquet(f"{out}/run={run}")
-    append_alerts(sent_keys(alerts, alert_headers(alerts)), log, run)
+    candidates = soldout_base(events, stores)
+    days = events.filter(is_soldout()).agg(F.min("event_day"), F.max("event_day")).first()
+    sent = sent_alerts(spark, log, except_run=run, between=tuple(days))
+    new_alerts(candidates, sent).write.mode("overwrite").parquet(f"{staged}/alerts")
+    alerts = spark.read.parquet(f"{staged}/alerts")
+    alert_headers(alerts).write.mode("overwrite").parquet(f"{staged}/headers")
+    headers = spark.read.parquet(f"{staged}/headers")
+    alert_packets(alerts, headers=headers).write.mode("overwrite").parquet(f"{out}/run={run}")
+    append_alerts(sent_keys(alerts, headers), log, run)
     return spark.read.parquet(f"{out}/run={run}")
 
 

@@ -16,6 +16,13 @@ def _objects(*fields: T.StructField) -> T.ArrayType:
     return T.ArrayType(T.StructType(list(fields)))
 
 
+# Field names as landed, and names that other records use for the same field.
+# A record has its branch code under the first of these names that it fills.
+CODE_NAMES = ("branchCode", "branch", "storeCode", "Store Code")
+CHANNEL_NAMES = ("Channel", "channel")
+# Spark compares names without case, so the reader takes this one in under another name.
+CASE_TWINS = {"Channel": "channelLabel"}
+
 # Times and amounts are landed as text and parsed leniently: a malformed one is missing, not fatal.
 DISCOUNTS = T.StructField("discounts", _objects(*_text("name")))
 ORDER_ITEMS = _objects(
@@ -33,7 +40,7 @@ ORDER_ITEMS = _objects(
 SALES_ORDER = T.StructType(
     [
         *_text(
-            "branchCode",
+            *CODE_NAMES,
             "branchName",
             "brandName",
             "invoiceNumber",
@@ -43,6 +50,7 @@ SALES_ORDER = T.StructType(
             "modifiedDate",
             "createdDate",
             "channel",
+            CASE_TWINS["Channel"],
             "status",
             "totalMaterialCost",
         ),
@@ -52,7 +60,7 @@ SALES_ORDER = T.StructType(
 )
 SOLDOUT_EVENT = T.StructType(
     _text(
-        "branchCode",
+        *CODE_NAMES,
         "eventType",
         "statusType",
         "eventBusinessDay",
@@ -66,7 +74,7 @@ SOLDOUT_EVENT = T.StructType(
 ITEM_ACTIVITY = T.StructType(
     [
         *_text(
-            "branchCode",
+            *CODE_NAMES,
             "activityDate",
             "skuCode",
             "openingBalance",
@@ -81,7 +89,7 @@ STOCK_MOVEMENT = T.StructType(
     [*_text("branchCode", "skuCode", "quantity"), T.StructField("items", _objects(*_text("skuCode", "quantity")))]
 )
 SENT_ALERT = T.StructType([*_text("alert_key"), T.StructField("sent_time", T.TimestampType())])
-PAGE = T.StructType(_text("url", "html"))
+PAGE = T.StructType([*_text("url", "html"), T.StructField("fetched_at", T.TimestampType())])
 
 STORE_COLUMNS = {
     "branchcode": "branch_code",

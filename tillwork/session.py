@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,19 +72,38 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written_by(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
-    """The frame as a table in the scratch folder, bucketed by ``column``.
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame as Parquet files in the shared scratch folder, read back: computed once, and of a known size."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+# A bucket of this size is read by one task, as bucketed scans are not split.
+BUCKET_BYTES = 128 * 1024 * 1024
+
+
+@contextmanager
+def written_by(df: DataFrame, column: str, buckets: int | None = None) -> Iterator[DataFrame]:
+    """The frame as a table of the warehouse, bucketed by ``column``, while the context lasts; then table and files go.
 
-    Later groupings that include the column need no exchange of its rows.
+    Later groupings that include the column need no exchange of its rows. The number of buckets follows
+    from the size of the rows, which are written once before to learn it.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        df = stored(df, "unbucketed")
+        leaf = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(str(leaf)) // BUCKET_BYTES))
     name = f"tillwork_{uuid.uuid4().hex}"
     (
         df.repartition(buckets, column)
         .write.bucketBy(buckets, column)
-        .option("path", f"{scratch_dir(spark)}/{name}")
         .format("parquet")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.text import key_of, null_if_missing, region_code
 from ..operators.filters import company_owned, ledger_store, usable_code
-from ..operators.joins import unique_dimension
+from ..operators.joins import dimension_conflicts, unique_dimension
 from ..operators.shape import MissingColumns, detect_column, safe_headers
 
 
@@ -61,6 +61,20 @@ def store_dim(spark: SparkSession, path: str) -> DataFrame:
     return company_stores(_rename(sheet, S.STORE_COLUMNS, ["branchcode", "ownership", "storename", "region"]))
 
 
+def store_conflicts(spark: SparkSession, path: str) -> DataFrame:
+    """Codes of company-owned stores that the sheet lists with different attributes: what ``store_dim`` had to pick from."""
+    rows = _rename(read_sheet(spark, path), S.STORE_COLUMNS, ["branchcode", "ownership", "storename", "region"])
+    kept = clean_stores(rows).filter(company_owned("ownership"))
+    return dimension_conflicts(kept, ["branch_code"], [c for c in kept.columns if c != "branch_code"])
+
+
+def item_conflicts(spark: SparkSession, path: str) -> DataFrame:
+    """Item names that the sheet lists with different attributes."""
+    rows = _rename(read_sheet(spark, path), S.ITEM_COLUMNS, ["itemname"])
+    keyed = rows.withColumn("item_key", key_of("item_key")).filter(F.col("item_key") != "")
+    return dimension_conflicts(keyed, ["item_key"], [c for c in keyed.columns if c != "item_key"])
+
+
 def ledger_store_dim(spark: SparkSession, path: str, explicit: Sequence[str] = ()) -> DataFrame:
     """Columns are found by part of their name, as this sheet's headers vary."""
     sheet = read_sheet(spark, path)

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.time import parse_ts, parse_utc
-from ..operators.joins import keep_first
-from ..operators.shape import unwrap_envelope
+from ..operators.joins import keep_first, sortable
+from ..operators.shape import first_present, unwrap_envelope
 
 DAY = "business_day"
 ENVELOPES = ("data", "transactions", "timings")
@@ -41,27 +41,78 @@ def scan(
     return df.withColumn("landed_file", F.input_file_name()) if lineage else df
 
 
-def scan_enveloped(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Like ``scan`` for responses landed whole: records under data, transactions or timings."""
+def _lines(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The files' lines as text, one JSON value each."""
+    return scan(spark, path, T.StructType([T.StructField("value", T.StringType())]), fmt="text", **options)
+
+
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines -> rows with the envelope's lists, ``_list`` for a bare list, ``_record`` for a bare record, and the line."""
+    text = F.col("value")
+    for name, twin in S.CASE_TWINS.items():
+        text = F.regexp_replace(text, rf'"{name}"(\s*:)', f'"{twin}"$1')
     record = T.ArrayType(schema)
     envelope = T.StructType([T.StructField(n, record) for n in ENVELOPES])
-    return unwrap_envelope(scan(spark, path, envelope, **options), ENVELOPES)
+    bare = F.ltrim("value").startswith("[")
+    rest = [c for c in lines.columns if c != "value"]
+    parsed = lines.select(*rest, "value", bare.alias("_bare"), text.alias("_text"))
+    return parsed.select(
+        *rest,
+        "value",
+        F.when(~F.col("_bare"), F.from_json("_text", envelope)).alias("_envelope"),
+        F.when(F.col("_bare"), F.from_json("_text", record)).alias("_list"),
+        F.when(~F.col("_bare"), F.from_json("_text", schema)).alias("_record"),
+    )
+
+
+def _lists(parsed: DataFrame) -> DataFrame:
+    return parsed.select(*[c for c in parsed.columns if c not in ("_envelope", "_record")], "_envelope.*")
+
+
+def scan_enveloped(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """Like ``scan_records`` for responses landed whole: records under data, transactions or timings, or a bare list."""
+    return unwrap_envelope(_lists(_parsed(_lines(spark, path, **options), schema)).drop("value"), ENVELOPES)
+
+
+def scan_records(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """Files of one record a line."""
+    if options.get("fmt", "json") != "json":
+        return scan(spark, path, schema, **options)
+    options.pop("fmt", None)
+    parsed = _parsed(_lines(spark, path, **options), schema)
+    return parsed.select(*[c for c in parsed.columns if c not in ("value", "_envelope", "_list", "_record")], "_record.*")
+
+
+def rejected(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Response lines that none of the readers gets records from: no JSON, or no list under a known name. Keep them with the run."""
+    parsed = _lists(_parsed(_lines(spark, path, **options), T.StructType([T.StructField("branchCode", T.StringType())])))
+    lists = F.coalesce(*[F.col(n) for n in (*ENVELOPES, "_list")])
+    return parsed.filter(lists.isNull() & (F.trim("value") != "")).select(*[c for c in parsed.columns if c not in (*ENVELOPES, "_list")])
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, enveloped: bool, options: dict) -> DataFrame:
+    return (scan_enveloped if enveloped else scan_records)(spark, path, schema, **options)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
-    """Optional: drop repeats of a record that two pages both carry, newest kept."""
-    return keep_first(df, keys, [F.desc_nulls_last(newest)])
+    """Optional: drop repeats of a record that two pages both carry, newest kept; ties go by all other columns."""
+    rest = [F.asc_nulls_last(c) for c in sortable(df) if c not in (*keys, newest)]
+    return keep_first(df, keys, [F.desc_nulls_last(newest), *rest])
 
 
-def _code(name: str = "branchCode"):
-    return F.trim(F.col(name)).alias("branch_code")
+def _code(df: DataFrame) -> Column:
+    return F.trim(first_present(df, S.CODE_NAMES)).alias("branch_code")
+
+
+def _channel(df: DataFrame) -> Column:
+    return first_present(df, [S.CASE_TWINS.get(n, n) for n in S.CHANNEL_NAMES]).alias("channel")
 
 
 def sales_orders(spark: SparkSession, path: str, enveloped: bool = False, **options) -> DataFrame:
     """One row per order, items still nested."""
-    df = (scan_enveloped if enveloped else scan)(spark, path, S.SALES_ORDER, **options)
+    df = _read(spark, path, S.SALES_ORDER, enveloped, options)
     return df.select(
-        _code(),
+        _code(df),
         F.col("brandName").alias("brand"),
         F.col("invoiceNumber").alias("invoice"),
         F.coalesce(F.col("invoiceDay").try_cast("date"), F.col(DAY)).alias("invoice_day"),
@@ -69,7 +120,7 @@ def sales_orders(spark: SparkSession, path: str, enveloped: bool = False, **opti
         parse_ts("orderReadyTimestamp").alias("ready_time"),
         parse_ts("modifiedDate").alias("delivered_time"),
         parse_utc("createdDate").alias("created_utc"),
-        "channel",
+        _channel(df),
         F.upper(F.trim("status")).alias("status"),
         F.col("totalMaterialCost").try_cast("decimal(18,2)").alias("material_cost"),
         "discounts",
@@ -79,9 +130,9 @@ def sales_orders(spark: SparkSession, path: str, enveloped: bool = False, **opti
 
 
 def soldout_events(spark: SparkSession, path: str, enveloped: bool = False, **options) -> DataFrame:
-    df = (scan_enveloped if enveloped else scan)(spark, path, S.SOLDOUT_EVENT, **options)
+    df = _read(spark, path, S.SOLDOUT_EVENT, enveloped, options)
     return df.select(
-        _code(),
+        _code(df),
         F.col("eventType").alias("event_type"),
         F.col("statusType").alias("status_type"),
         F.coalesce(F.col("eventBusinessDay").try_cast("date"), F.col(DAY)).alias("event_day"),
@@ -95,9 +146,9 @@ def soldout_events(spark: SparkSession, path: str, enveloped: bool = False, **op
 
 def item_activity(spark: SparkSession, path: str, enveloped: bool = False, **options) -> DataFrame:
     """One row per branch, day and item, activities still nested."""
-    df = (scan_enveloped if enveloped else scan)(spark, path, S.ITEM_ACTIVITY, **options)
+    df = _read(spark, path, S.ITEM_ACTIVITY, enveloped, options)
     return df.select(
-        _code(),
+        _code(df),
         F.coalesce(F.col("activityDate").try_cast("date"), F.col(DAY)).alias("activity_date"),
         F.col("skuCode").alias("sku_code"),
         F.col("openingBalance").alias("opening_qty"),
@@ -110,31 +161,56 @@ def item_activity(spark: SparkSession, path: str, enveloped: bool = False, **opt
 
 def stock_movements(spark: SparkSession, path: str, enveloped: bool = False, **options) -> DataFrame:
     """Transfers, receipts or stock; the code sits on the record or on its items."""
-    return (scan_enveloped if enveloped else scan)(spark, path, S.STOCK_MOVEMENT, **options)
+    return _read(spark, path, S.STOCK_MOVEMENT, enveloped, options)
 
 
-def snapshot(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType | None = None) -> DataFrame:
+def snapshot(
+    spark: SparkSession, path: str, days: Sequence[date] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """A snapshot kept as landed: current sold-out, store items, shrinkage, coupons, timings.
 
-    Pass ``schema`` at scale; without one the fields are inferred from the files.
+    Without a schema nothing is inferred: each record is its branch code and its own JSON text, whatever fields the
+    day's records have. Records come one a line, in a list, or under a known name of a response.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.format(fmt).load(path)
+    if schema is not None:
+        return scan_records(spark, path, schema, days=days)
+    lines = _lines(spark, path, days=days)
+    texts = T.ArrayType(T.StringType())
+    envelope = T.StructType([T.StructField(n, texts) for n in ENVELOPES])
+    bare = F.ltrim("value").startswith("[")
+    under = F.from_json("value", envelope)
+    filled = [F.when(F.size(under[n]) > 0, under[n]) for n in ENVELOPES]
+    # a response whose lists are all empty has no record
+    response = F.coalesce(*[under[n] for n in ENVELOPES])
+    records = F.when(bare, F.from_json("value", texts)).otherwise(
+        F.coalesce(*filled, F.when(response.isNull(), F.array("value")), F.array().cast(texts))
+    )
+    rows = lines.filter(F.trim("value") != "").select(DAY, F.explode(records).alias("record"))
+    code = F.coalesce(*[F.get_json_object("record", f"$['{n}']") for n in S.CODE_NAMES])
+    return rows.select(code.alias("branchCode"), "record", DAY)
 
 
 def pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(S.PAGE).format(fmt).load(path)
 
 
-def sent_alerts(spark: SparkSession, path: str, except_run: str | None = None) -> DataFrame:
-    """The alert log, without one run's own keys if asked; an empty table before the first run."""
+def sent_alerts(
+    spark: SparkSession, path: str, except_run: str | None = None, between: tuple[date | None, date | None] | None = None
+) -> DataFrame:
+    """The alert log, without one run's own keys if asked; an empty table before the first run.
+
+    ``between`` reads the partitions of those business days only.
+    """
     from .sinks import path_exists
 
     if not path_exists(spark, path):
         return spark.createDataFrame([], S.SENT_ALERT)
-    log = spark.read.schema(T.StructType([*S.SENT_ALERT.fields, T.StructField("run", T.StringType())])).parquet(path)
+    folders = [T.StructField("run", T.StringType()), T.StructField("business_date", T.DateType())]
+    log = spark.read.schema(T.StructType([*S.SENT_ALERT.fields, *folders])).parquet(path)
     if except_run is not None:
         log = log.filter(F.col("run") != except_run)
+    if between is not None:
+        log = log.filter(F.col("business_date").between(F.lit(between[0]), F.lit(between[1])))
     return log.select("alert_key", "sent_time")
 
 
@@ -151,9 +227,11 @@ __all__ = [
     "missing_landings",
     "one_per_key",
     "pages",
+    "rejected",
     "sales_orders",
     "scan",
     "scan_enveloped",
+    "scan_records",
     "sent_alerts",
     "snapshot",
     "soldout_events",

@@ -18,18 +18,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def refresh(df: DataFrame, path: str, as_of: date | None = None, fmt: str = "parquet") -> None:
-    """Replace the table, or only the ``as_of`` partition of it."""
-    if as_of is None:
-        df.write.mode("overwrite").format(fmt).save(path)
-        return
-    (
-        tag(df, as_of=F.lit(as_of))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("as_of")
-        .format(fmt)
-        .save(path)
-    )
+    """Replace the table, or only the ``as_of`` partition of it; an empty result clears it.
+
+    The partition is written as its own folder: a dynamic overwrite would keep the old rows
+    of a day that has none now.
+    """
+    folder = path if as_of is None else f"{path}/as_of={as_of.isoformat()}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(folder)
 
 
 def by_folder(df: DataFrame, key: str) -> DataFrame:
@@ -51,9 +46,11 @@ def ledger_csv(df: DataFrame, path: str, day: str = "activity_date") -> None:
 
 
 def append_alerts(keys: DataFrame, path: str, run: str) -> None:
-    """Append a run's alert keys with the time they were sent; repeating the run replaces its own keys."""
-    sent = keys.select("alert_key", F.current_timestamp().alias("sent_time"))
-    sent.write.mode("overwrite").parquet(f"{path}/run={run}")
+    """Append a run's alert keys with the time they were sent, by business day; repeating the run replaces its own keys."""
+    sent = keys.select("alert_key", F.current_timestamp().alias("sent_time"), "business_date")
+    by_folder(sent, "business_date").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "business_date"
+    ).parquet(f"{path}/run={run}")
 
 
 def raw_landing(df: DataFrame, table: str) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Sold-out alerts as a stream: each (store, item, business day) leaves once, across runs."""
+"""Sold-out alerts as a stream: each (store, item, business day) leaves once, across runs, however late its event lands.
+
+The log of what was sent is the only state. It is laid out by business day, and a batch reads
+the days of its own events alone, so neither the stream nor a batch ever forgets a key or
+reads the whole log.
+"""
 
 from __future__ import annotations
 
@@ -7,49 +12,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import keep_first, only_new
-from ..plans.soldout import soldout_base, with_alert_key
+from ..plans.soldout import alert_order, soldout_base, with_alert_key
 from ..sources.sinks import path_exists
 
-LOG_SCHEMA = "alert_key string, store_name string, item_name string, business_date date, event_time timestamp, batch_id bigint"
+LOG_SCHEMA = "alert_key string, store_name string, item_name string, event_time timestamp_ntz, business_date date, batch_id bigint"
 
 
-def alert_stream(events: DataFrame, stores: DataFrame, horizon: str = "1 day", salts: int = 16) -> DataFrame:
-    """Streaming events -> alerts, repeats inside the horizon dropped by streaming state.
+def landed_stream(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """A Parquet table as a stream, be it one file or a folder of part files that grows.
 
-    An event up to ``horizon`` late still alerts. The state forgets a key after the
-    horizon; that a key never alerts twice over all time is the log's job.
-    One key may repeat in a large share of the events, so repeats are first dropped
-    per (key, salt), the salt following from the event's time, and then per key.
+    A stream cannot be opened on a file, but on a pattern; in braces the last name is a pattern of itself.
     """
-    keyed = with_alert_key(soldout_base(events, stores)).filter(F.col("store_name").isNotNull())
-    timed = keyed.select(
-        "alert_key", "store_name", "item_name", "business_date", F.col("event_time").cast("timestamp").alias("event_time")
-    ).withWatermark("event_time", horizon)
-    if salts > 1:
-        salt = F.pmod(F.xxhash64("event_time"), F.lit(salts))
-        timed = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["alert_key", "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark(["alert_key"])
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}")
+
+
+def alert_stream(events: DataFrame, stores: DataFrame) -> DataFrame:
+    """Streaming events -> every alert candidate with its key; repeats are dropped where the batch is written."""
+    return with_alert_key(soldout_base(events, stores)).filter(F.col("store_name").isNotNull())
 
 
 def write_batch(batch: DataFrame, batch_id: int, log: str) -> None:
-    """Append a batch's unsent alerts to the log.
+    """Append a batch's unsent alerts to the log: per key the earliest event, as in the batch form.
 
-    A batch owns the folder ``batch_id=N`` and overwrites it, and compares itself
+    Repeats within the batch go first, at most one row per key and task reaching the
+    exchange. A batch owns the folders ``batch_id=N`` and overwrites them, and compares itself
     with the other batches only, so a batch replayed after a failure writes the same rows.
-    Only the part of the log from the batch's first business day on is read.
     """
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        first = batch.agg(F.min("business_date")).first()[0]
+        first, last = batch.agg(F.min("business_date"), F.max("business_date")).first()
         if first is None:
             return
-        fresh = keep_first(batch, ["alert_key"], [F.asc_nulls_last("event_time"), F.asc_nulls_last("item_name")])
+        fresh = keep_first(batch, ["alert_key"], alert_order())
         if path_exists(spark, log):
-            earlier = spark.read.schema(LOG_SCHEMA).parquet(log)
-            since = (F.col("batch_id") != batch_id) & (F.col("business_date") >= F.lit(first))
-            fresh = only_new(fresh, earlier.filter(since), "alert_key")
-        fresh.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+            days = F.col("business_date").between(F.lit(first), F.lit(last))
+            earlier = spark.read.schema(LOG_SCHEMA).parquet(log).filter(days & (F.col("batch_id") != batch_id))
+            fresh = only_new(fresh, earlier, "alert_key")
+        sent = fresh.select("alert_key", "store_name", "item_name", "event_time", "business_date", F.lit(batch_id).alias("batch_id"))
+        (
+            sent.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("business_date", "batch_id")
+            .parquet(log)
+        )
     finally:
         batch.unpersist()
 
