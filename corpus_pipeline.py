@@ -16,9 +16,18 @@ def _model() -> dict:
     return pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """Whole documents in one column, so that none of their columns meets an operator's, beside those the stages read."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), "doc_id", "text", "lang", "source")
+
+
+def unboxed(kept: DataFrame) -> DataFrame:
+    return kept.select("document.*")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.judged(docs).filter("kept").select(*docs.columns)
+    return unboxed(quality.judged(boxed(docs), keep=["document"]).filter("kept"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,32 +36,39 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = language.trained(docs)
     source = F.col("source")
     judged = language.fused(
-        docs, profiles, declared=language.primary(F.col("lang")), host=source, domain=F.regexp_replace(source, r"\d+$", "")
+        boxed(docs),
+        profiles,
+        declared=language.primary(F.col("lang")),
+        host=source,
+        domain=F.regexp_replace(source, r"\d+$", ""),
+        keep=["document"],
     )
-    return judged.filter("language_kept").select(*docs.columns)
+    return unboxed(judged.filter("language_kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that with the least id. Documents without id stay."""
     ship(spark)
-    kept = near_dup.with_groups(docs).filter("kept").select("doc_id").distinct()
+    kept = near_dup.with_groups(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
     first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    of_group = docs.join(kept, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1")
-    return of_group.select(*docs.columns).union(docs.filter("doc_id is null"))
+    rows = boxed(docs)
+    of_group = rows.join(kept, "doc_id", "left_semi").withColumn("place", first).filter("place = 1")
+    return unboxed(of_group.select("document").union(rows.filter("doc_id is null").select("document")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ten words, or whole shorter item, of the benchmark."""
     ship(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.occurrences(docs, items).filter(F.size("spans") == 0).select(*docs.columns)
+    return unboxed(decontaminate.occurrences(boxed(docs), items, keep=["document"]).filter(F.size("spans") == 0))
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the whole texts, and whether decoding them gives the text back."""
     ship(spark)
     model = _model()
-    both = pieces.decoded(pieces.encoded(docs, model, keep=["doc_id", "lang", "source", "text"]), model)
+    slim = docs.select("doc_id", "lang", "source", "text")
+    both = pieces.decoded(pieces.encoded(slim, model), model)
     return both.select(
         "doc_id",
         "lang",

@@ -4,7 +4,7 @@ P(word | word before) = P(class | class before) * P(word | class). Each text is
 end token; the text before the first word counts as an end.
 
 Learning reads the training rows twice. The first pass counts all words; the counts stay a distributed table.
-The ``FREQUENT`` commonest words go to the tasks as one broadcast. What is clustered are items: the ``CORE``
+The ``FREQUENT`` commonest words, of those that recur, go to the tasks as one broadcast. What is clustered are items: the ``CORE``
 commonest words one by one, the other frequent words in blocks of neighbouring ranks, all rarer words together, and the end.
 The second pass counts pairs of neighbouring items, map-side first; their sums are a table of at most ITEMS^2 numbers, on
 which exchange clustering runs: each item in turn moves to the class that raises the likelihood of the
@@ -39,6 +39,7 @@ from . import words as W
 from .common import stored
 
 FREQUENT = 65_536
+LEAST = 2  # words that occur once are rare ones at any size: they tell how often unseen words come
 CORE = 960
 BLOCK = 1_024  # ranks of the frequent words beyond the core that share an item
 CLASSES = 32
@@ -128,7 +129,7 @@ def learned(texts: DataFrame, seen: DataFrame) -> Model:
     total, distinct, ends = seen.agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("h") == int(end), F.col("c"))), F.lit(0))
     ).first()
-    top = seen.filter(F.col("h") != int(end)).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
+    top = seen.filter((F.col("h") != int(end)) & (F.col("c") >= LEAST)).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
     hashes, counts = top.column("h").to_numpy().astype(np.int64).view(W.U), top.column("c").to_numpy().astype(np.int64)
     rank = np.arange(len(hashes))
     item = np.where(rank < CORE, rank, min(CORE, len(rank)) + (rank - CORE) // BLOCK)
@@ -206,7 +207,8 @@ def exchanged(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarr
 
 def _gains(between: np.ndarray, out: np.ndarray, into: np.ndarray, own: float) -> np.ndarray:
     """By class, what the likelihood of the pairs gains when the item joins it."""
-    rows, columns = between.sum(axis=1), between.sum(axis=0)
+    # whatever class the item joins, each class has its pairs with the item
+    rows, columns = between.sum(axis=1) + into, between.sum(axis=0) + out
     joined_row = _entropy(between + out) - _entropy(between)  # row k with the item's pairs added
     joined_column = _entropy(between + into[:, None]) - _entropy(between)
     corner = np.diagonal(between)

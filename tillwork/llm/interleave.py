@@ -4,7 +4,8 @@ Rows of a source are put in a seeded random order; the row of rank r (from 0) am
 fractional rank (r + u) / n, with one u in [0, 1) drawn for each source. Sorted by fractional rank,
 every stretch of rows holds the sources in their overall mixture, so cutting the order into equal
 stretches gives shards of equal row counts (at most one apart) that each match the mixture.
-The u keeps sources of a single row from all meeting at the same place.
+Sources with fewer rows than there are shards are ranked together as one stratum, as none of them
+can be in every shard.
 
 Ranks are exact without ever bringing a source together: rows are dealt out by a bucket
 of their random key, buckets are counted, and a row's rank is the rows in earlier buckets
@@ -67,17 +68,21 @@ def interleaved(rows: DataFrame, key: str, strata: str, shards: int, seed: int =
     buckets = max(1, -(-total // ROWS_PER_BUCKET))
     source, order = ["_source", "_none"], ["_drawn", "_tie"]
     base = base.withColumn("_bucket", F.floor(F.col("_drawn") / F.lit((1 << 48) / buckets)))
-    sizes = base.groupBy(*source).agg(F.count(F.lit(1)).alias("_of"))
-    offset = random_bits(salt, F.col("_source"), F.col("_none").cast("string")) / F.lit(float(1 << 48))
+    sizes = base.groupBy(*source).agg(F.count(F.lit(1)).alias("_rows"))
+    small = F.col("_rows") < shards
+    name = F.when(~small, F.to_json(F.struct("_source", "_none")))
+    strata = stored(sizes.select(*source, F.coalesce(name, F.lit("")).alias("_stratum"), "_rows"), "strata")
+    of = strata.groupBy("_stratum").agg(F.sum("_rows").alias("_of"))
+    offset = random_bits(salt, F.col("_stratum")) / F.lit(float(1 << 48))
     placed = stored(
-        _ranked(base, source, "_bucket", order, "_rank")
-        .join(sizes, source)
+        _ranked(base.join(strata.drop("_rows"), source), ["_stratum"], "_bucket", order, "_rank")
+        .join(of, "_stratum")
         .withColumn("_at", (F.col("_rank") + offset) / F.col("_of"))
-        .select("_row", "_drawn", "_tie", *source, "_at"),
+        .select("_row", "_drawn", "_tie", "_stratum", "_at"),
         "placed",
     )
     stretched = placed.withColumns({"_stretch": F.floor(F.col("_at") * buckets), "_all": F.lit(0)})
-    final = _ranked(stretched, ["_all"], "_stretch", ["_at", *source, *order], "_position")
+    final = _ranked(stretched, ["_all"], "_stretch", ["_at", "_stratum", *order], "_position")
     # whole numbers throughout: shard s begins at position ceil(s * total / shards)
     shard = F.expr(f"int((_position * {shards}) div {max(total, 1)})")
     first = F.expr(f"(_shard * bigint({total}) + {shards - 1}) div {shards}")
