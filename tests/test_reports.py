@@ -421,3 +421,7 @@ def test_stacked_growth_bands(mart):
     bands = product.growth_bands(product.category_compare(mart))
     assert [(r.today_band, r.lw_band) for r in bands.collect()] == [("positive", "positive")]
     assert product.top_items(product.item_compare(mart), 1).select(F.col("item_group")).first()[0] == "Cakes"
+
+
+def test_allowed_channels_are_aggregators_of_the_brands():
+    assert sla.allowed_channels(["B1", "B2"]) == ["Swiggy B1", "Swiggy B2", "Zomato B1", "Zomato B2"]

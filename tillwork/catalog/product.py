@@ -106,9 +106,9 @@ query(
     growth_sql(
         "item_group",
         COUNTED,
-        having="QUALIFY row_number() OVER (PARTITION BY brand ORDER BY today_orders DESC, item_group) <= 10",
+        having="QUALIFY row_number() OVER (PARTITION BY brand ORDER BY today_orders DESC, item_group) <= 3",
     ),
-)(lambda s, d: P.top_items(P.item_compare(mart(s, d)), 10))
+)(lambda s, d: P.top_items(P.item_compare(mart(s, d)), 3))
 
 
 @query(
@@ -149,14 +149,14 @@ SELECT brand, code, orders, qty_sold, net_rev, discount_given, {dis('discount_gi
        coalesce(lw_discount, 0.0) AS lw_discount, {dis('lw_discount', 'lw_gross')} AS lw_dis_pct,
        CASE WHEN lw_orders > 0 THEN round_even(lw_net_rev / lw_orders * 10.0, 0) / 10.0 ELSE 0.0 END AS lw_aov
 FROM cur LEFT JOIN lw USING (brand, code)
-QUALIFY row_number() OVER (PARTITION BY brand ORDER BY orders DESC, code) <= 15"""
+QUALIFY row_number() OVER (PARTITION BY brand ORDER BY orders DESC, code) <= 3"""
 
 
 query("offer_topk_bracket", offer_sql("bracket_code", "Swiggy"))(
-    lambda s, d: P.offer_performance(mart(s, d), "bracket_code", "Swiggy")
+    lambda s, d: P.offer_performance(mart(s, d), "bracket_code", "Swiggy", k=3)
 )
 query("offer_topk_voucher", offer_sql("voucher_code", "Zomato"))(
-    lambda s, d: P.offer_performance(mart(s, d), "voucher_code", "Zomato")
+    lambda s, d: P.offer_performance(mart(s, d), "voucher_code", "Zomato", k=3)
 )
 
 

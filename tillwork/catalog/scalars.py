@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
@@ -158,6 +160,18 @@ def month_sequence(spark, folder):
     return spread.select(F.col("day").cast("string").alias("day"), F.col("month_day").cast("string").alias("month_day"))
 
 
+@query(
+    "reported_day",
+    """SELECT '1998-06-29' AS day, count(*) AS orders, TRUE AS stamped FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-06-29'""",
+)
+def reported_day(spark, folder):
+    """Orders of the day before the run, and whether the run was stamped."""
+    day = D.report_day(date(1998, 6, 30))
+    orders = R.table(spark, folder, "orders").filter(F.to_date("o_orderdate") == F.lit(day))
+    stamped = D.run_stamp().isNotNull()
+    return orders.agg(F.lit(day.isoformat()).alias("day"), F.count(F.lit(1)).alias("orders"), stamped.alias("stamped"))
+
+
 @query(
     "lenient_times",
     """SELECT o_orderpriority, count(*) FILTER (o_orderpriority <> '5-LOW') AS parsed,

@@ -58,6 +58,11 @@ def enrich(
     return with_dimension(timed.filter(valid_metric("kpt")), stores, "branch_code", "inner")
 
 
+def allowed_channels(brands: Sequence[str], names: Sequence[str] = AGGREGATORS) -> list[str]:
+    """The channels that the SLA reports admit: each aggregator's channel of each brand."""
+    return [f"{name} {brand}" for name in names for brand in brands]
+
+
 def enrich_day(orders: DataFrame, stores: DataFrame, channels: Sequence[str] | None, day: date) -> DataFrame:
     """Production form: month to date up to ``day``, reported day = ``day``."""
     return enrich(
