@@ -256,6 +256,12 @@ def item_table(lines: DataFrame, by_region: bool = False, reported_only: bool =
     return table.drop("kind").withColumnRenamed("element", "item_name")
 
 
+# The texts of the published flags.
+ISSUE_REGION = "Target Dropped in Region"
+ISSUE_KPT = "High Prep Time (KPT)"
+ISSUE_O2D = "Logistics Delay (O2D)"
+CLEAR_TYPE, CLEAR_ELEMENT = "Status Log", "All Categories & Items"
+CLEAR_TEXT = "All metrics within targeted SLA parameters"
 FLAG_COLUMNS = ("scope", "type", "element", "orders", "kpt_p80", "o2d_p80", "issue")
 
 
@@ -265,11 +271,7 @@ def root_causes(lines: DataFrame, min_overall: int = 5, min_region: int = 3) ->
     overall = F.col("scope") == OVERALL
     least = F.when(F.col("kind") == "Category", 0).when(overall, min_overall).otherwise(min_region)
     kpt, o2d = F.col("ftd_kpt_p80"), F.col("ftd_o2d_p80")
-    issue = (
-        F.when(~overall, "Target Dropped in Region")
-        .when(kpt > 12.0, "High Prep Time (KPT)")
-        .otherwise("Logistics Delay (O2D)")
-    )
+    issue = F.when(~overall, ISSUE_REGION).when(kpt > 12.0, ISSUE_KPT).otherwise(ISSUE_O2D)
     return tables.filter(p80_breach(kpt, o2d, F.col("ftd_orders"), least)).select(
         "scope",
         F.col("kind").alias("type"),
@@ -296,12 +298,12 @@ def with_all_clear(flags: DataFrame) -> DataFrame:
     """The flags, or one status row of the same columns when nothing is flagged."""
     row = flags.sparkSession.range(1).select(
         F.lit(OVERALL).alias("scope"),
-        F.lit("Status Log").alias("type"),
-        F.lit("All Categories & Items").alias("element"),
+        F.lit(CLEAR_TYPE).alias("type"),
+        F.lit(CLEAR_ELEMENT).alias("element"),
         F.lit(0).cast("bigint").alias("orders"),
         F.lit(0.0).alias("kpt_p80"),
         F.lit(0.0).alias("o2d_p80"),
-        F.lit("All metrics within targeted SLA parameters").alias("issue"),
+        F.lit(CLEAR_TEXT).alias("issue"),
     )
     return with_status_row(stored(flags, "flags"), row)
 
