@@ -73,9 +73,12 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame as Parquet files in the shared scratch folder, read back: computed once, and of a known size."""
+    """The frame as Parquet files in the shared scratch folder, read back: computed once, and of a known size.
+
+    All tables of an application lie in one folder, which can go when the application has ended.
+    """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/tables/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
