@@ -21,13 +21,15 @@ can lie in any store that Spark writes to. Its columns:
 
 ``ids_between`` decodes any range of a block's ids: the expansion lengths tell which symbols to
 expand. Defined cases: null and empty texts have the end id alone; rows without key come first; rows of
-equal key are ordered by their text; an empty table writes no block.
+equal key are ordered by a hash of their text and then by the text; an empty table writes no block.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,7 +107,9 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
 
 
 def _slot(code: np.ndarray) -> np.ndarray:
-    return ((code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+    if code.dtype == np.uint32:
+        return (code * np.uint32(0x9E3779B1)) >> np.uint32(14)
+    return (code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
 
 
 def expansions(rules: np.ndarray, base: int) -> list[np.ndarray]:
@@ -158,24 +162,36 @@ def ids_between(block: dict, first: int, stop: int) -> np.ndarray:
 class ChunkEncoder:
     """Ids of texts from those of their chunks, for tokenizers that drop white space before splitting into words.
 
-    A text is cut at spaces and line feeds only. An ASCII chunk is taken lower-cased, and its last
-    punctuation apart from the rest, as the tokenizer's own pattern does; that saves most of the encoding.
+    A text is cut at spaces and line feeds only. Chunks of Latin letters and closing punctuation are what the
+    library's normalizer and pattern would make one word and one sign of, so they go to the library's merges
+    directly, lower-cased; other chunks go through the whole library.
     """
 
-    CLOSING = ".,;:!?"
+    # Latin letters whose lower case and normal form are simple.
+    LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
 
     def __init__(self, tokenizer: str):
         self.library = load(tokenizer)
-        self.known = Recent(self.make)
+        self.merges = self.library.model
+        # the tokenizer writes each byte as a letter; these are of two bytes each
+        written = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        other = [b for b in range(256) if b not in written]
+        letter = {b: chr(b) for b in written} | {b: chr(256 + i) for i, b in enumerate(other)}
+        self.letters = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.known = Recent(self.make, most=800_000)
 
     def make(self, chunk: str) -> bytes:
-        if chunk.isascii() and "<|" not in chunk:
-            plain = chunk.lower()
-            core = plain.rstrip(self.CLOSING)
-            if core and core[-1].isalpha() and core != chunk:
-                return self.known[core] + (self.known[plain[len(core) :]] if len(core) < len(plain) else b"")
-        ids = self.library.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        simple = self.LATIN.match(chunk)
+        if not simple:
+            return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+        word, sign = simple.groups()
+        core = word.lower()
+        if core != chunk:
+            return self.known[core] + (self.word(sign) if sign else b"")
+        return self.word(core if core.isascii() else core.translate(self.letters))
+
+    def word(self, written: str) -> bytes:
+        return array("I", [token.id for token in self.merges.tokenize(written)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
@@ -235,7 +251,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_
     """Encode whole texts, append the id ``end`` to each, and write them to ``path`` in ascending order of ``key``."""
     vocabulary = load(tokenizer).get_vocab_size(with_added_tokens=True)
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # by key and then by a hash of the text, so that a key with very many rows can be cut
+    order = ["key", F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     closing = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,4 +319,4 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{scratch_dir(spark)}/llm/ids-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/llm/{spark.sparkContext.applicationId}/ids-{uuid.uuid4().hex}"
