@@ -38,6 +38,7 @@ from .caches import Recent
 from .common import content, extended, own_columns, plus, unboxed, with_content
 
 MARK = "▁"
+PAIRS = 500_000  # pairs of tokens whose compatibility a worker remembers
 
 
 def read_model(path: str) -> dict:
@@ -90,7 +91,7 @@ class Encoder:
         self.found.make_automaton()
         single = "".join(re.escape(p) for p in self.pieces if len(p) == 1)
         self.known = re.compile(f"[{single}]+|[^{single}]+", re.DOTALL)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.words = Recent(lambda key: np.array(self.encode_segment(key), dtype="<i4").tobytes())
 
     def compatible(self, a: int, b: int) -> bool:
@@ -117,10 +118,11 @@ class Encoder:
                 if end + 1 == n:
                     last[n] = r
                 else:
-                    pair = (last[end + 1 - n], r)
+                    before = last[end + 1 - n]
+                    pair = before << 32 | r
                     ok = fits.get(pair)
                     if ok is None:
-                        ok = fits[pair] = self.compatible(*pair)
+                        ok = fits[pair] = self.compatible(before, r)
                     if ok:
                         last[end + 1] = r
         out, at = [], len(text)
@@ -132,7 +134,7 @@ class Encoder:
         return out
 
     def encode_word(self, text: str) -> list[int]:
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) > PAIRS:
             self.fits.clear()
         out: list[int] = []
         for part in self.known.findall(text):
