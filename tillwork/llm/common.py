@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from collections.abc import Sequence
@@ -19,11 +19,12 @@ from ..session import scratch_dir
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame as a Parquet table in the shared scratch folder; lineage ends there.
 
-    A table survives lost executors and is read again without computing it again.
+    A table survives lost executors and is read again without computing it again. All tables of an
+    application lie in one folder, which can go when the application has ended.
     Parquet rather than ``checkpoint()`` where rows are many: it is compressed and prunes columns.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/llm/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,18 +43,26 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors, once for each application; their Python need not have it installed."""
+    """Send this package to the executors, once for each application; their Python need not have it installed.
+
+    The archive lies in the shared scratch folder.
+    """
     context = spark.sparkContext
     # texts can be long: few rows at a time in a Python worker
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="tillwork-code-")) / f"{package.name}.zip"
-        with zipfile.ZipFile(archive, "w") as out:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as archive:
             for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(str(archive))  # the driver's own file server hands it out
+                archive.write(file, file.relative_to(package.parent))
+        target = f"{scratch_dir(spark)}/llm/{context.applicationId}/{package.name}.zip"
+        path = context._jvm.org.apache.hadoop.fs.Path(target)
+        out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
+        context.addPyFile(target)
         _shipped.add(context.applicationId)
     return spark
 

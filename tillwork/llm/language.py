@@ -18,8 +18,8 @@ The text is read once; what follows works on a slim written table, grouped aggre
 with those. Rows of one host or value are summed up map-side and never brought together.
 
 Defined cases: null and empty texts have no text evidence, and without trigrams the language is ``und``;
-null evidence counts for nothing; ties go to the language that sorts first; languages are those of the labelled
-rows; without labelled rows every row is ``und``; repeated rows are judged alike; other columns pass
+null evidence counts for nothing; ties go to the language that sorts first; languages are the ``LANGUAGES`` commonest labels;
+without labelled rows every row is ``und``; repeated rows are judged alike; other columns pass
 through, but columns with the names of the results are replaced.
 """
 
@@ -40,6 +40,7 @@ from .words import BLOCK_BYTES, LOWERED, buffers
 
 TRAIN_ROWS = 16_000
 TRAIN_TASKS = 8
+LANGUAGES = 256  # languages with most labelled rows that get a profile
 SLOTS = 1 << 14
 SHARED, MOST = 3.0, 600
 NEAR = 20.0  # rows' weight of the wider group in a host's prior
@@ -84,7 +85,9 @@ class Profiles:
 def trained(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = TRAIN_ROWS) -> Profiles:
     """Profiles from a bounded sample of the rows with a label."""
     known = labelled.select(F.col(label).alias("label"), F.col(text).alias("text")).dropna()
-    every = max(1, known.count() // rows)
+    top = labelled.select(F.col(label).alias("label")).dropna().groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()
+    every = max(1, sum(r.n for r in top) // rows)
+    known = known.filter(F.col("label").isin([r.label for r in top]))
     sample = known.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).coalesce(TRAIN_TASKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
