@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwork.llm import decontaminate, language, near_dup, pieces, quality
 from tillwork.llm.common import ship, stored
+from tillwork.operators.joins import keep_first, sized
 
 
 def _model() -> dict:
@@ -47,13 +47,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the least id. Documents without id stay."""
+    """One document of each group: that with the least id, of several rows of an id that with the least text. Documents without id stay.
+
+    The texts are not shuffled to find it, unless the ids that go are too many to broadcast.
+    """
     ship(spark)
-    kept = near_dup.with_groups(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
+    groups = stored(near_dup.with_groups(docs), "groups").filter("doc_id is not null")
+    counted = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept"))
+    repeated = stored(counted.filter("rows > 1").select("doc_id", "kept"), "repeated")
+    gone = stored(groups.filter("not kept").select("doc_id").union(repeated.select("doc_id")).distinct(), "gone")
     rows = boxed(docs)
-    of_group = rows.join(kept, "doc_id", "left_semi").withColumn("place", first).filter("place = 1")
-    return unboxed(of_group.select("document").union(rows.filter("doc_id is null").select("document")))
+    once = rows.join(sized(gone, "gone"), "doc_id", "left_anti")
+    again = rows.join(sized(repeated.filter("kept"), "repeated"), "doc_id", "left_semi")
+    return unboxed(once.select("document").union(keep_first(again, ["doc_id"], ["text"]).select("document")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
