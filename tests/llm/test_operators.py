@@ -101,7 +101,8 @@ def family(rng, n, base_words, changes):
 
 @pytest.mark.parametrize("size", [2, 5])
 def test_groups_equal_brute_force(rows, size, monkeypatch):
-    monkeypatch.setattr(near_dup, "BLOCK", 7)  # several blocks a bucket
+    monkeypatch.setattr(near_dup, "BLOCK", 7)  # several blocks a centre and a bucket
+    monkeypatch.setattr(near_dup, "MEMBERS", 5)
     rng = random.Random(size)
     made = [t for n, w, c in ((60, 120, 9), (40, 60, 4), (30, 300, 16), (5, 3, 1)) for t in family(rng, n, w, c)]
     rng.shuffle(made)
@@ -110,7 +111,9 @@ def test_groups_equal_brute_force(rows, size, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == exact_groups(docs, size)
 
 
-def test_components_of_random_links(rows):
+@pytest.mark.parametrize("whole", [0, 10**6])
+def test_components_of_random_links(rows, monkeypatch, whole):
+    monkeypatch.setattr(components, "WHOLE", whole)
     rng = random.Random(3)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5001 + i) for i in range(300)]
     want = components.UnionFind()

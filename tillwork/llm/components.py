@@ -1,9 +1,11 @@
-"""Connected components of links between ids, by alternating star contractions.
+"""Connected components of links between ids, by union-find and alternating star contractions.
 
-Each task first joins its own links with union-find and keeps a spanning forest. Then every id is
+Each task first joins its own links with union-find and keeps a spanning forest. A forest of at most ``WHOLE``
+links, which is of a known size then, is finished by one task in the same way. A larger one is contracted: every id is
 linked to the least id among its neighbours, from the larger side and from the smaller side in
 turn, until all links of a component meet in its least id. An id with very many links is reduced by
-partial aggregation; joins on it are split by adaptive execution.
+partial aggregation, and its least neighbour is written before the join that brings it back, so that
+adaptive execution can split the join. Both ways give the same components.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import sized
 from .common import stored
 
 FLUSH = 200_000  # ids that a task's union-find holds at once
+WHOLE = 1_000_000  # links of a forest that one task finishes
 
 
 class UnionFind(dict):
@@ -35,6 +39,14 @@ class UnionFind(dict):
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _joined(batches, FLUSH)
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _joined(batches, 2 * WHOLE)
+
+
+def _joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     held = UnionFind()
 
     def out() -> pa.RecordBatch:
@@ -45,7 +57,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             held.join(a, b)
-        if len(held) > FLUSH:
+        if len(held) > most:
             yield out()
             held = UnionFind()
     yield out()
@@ -53,22 +65,29 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component): each id that has a link, with the least id it is connected to. ``links``: a, b bigint."""
-    # the larger id first
-    edges = stored(links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint").distinct(), "forest")
+    edges = stored(links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint"), "forest")
     size = _digest(edges)
-    while size[0]:
+    if size[0] <= WHOLE:
+        edges = stored(edges.coalesce(1).mapInArrow(_whole, "a bigint, b bigint"), "components")
+    else:
+        edges = _contracted(edges, size)
+    roots = edges.select(F.col("b").alias("a"), "b").distinct()
+    return edges.union(roots).select(F.col("a").alias("id"), F.col("b").alias("component"))
+
+
+def _contracted(edges: DataFrame, size: tuple) -> DataFrame:
+    """(id, least id of its component), for all ids but the least ones."""
+    while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = sized(stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least"), "least")
         larger = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         larger = stored(larger.union(least.filter("m < a").select("a", F.col("m").alias("b"))).distinct(), "large")
-        least = larger.groupBy("a").agg(F.min("b").alias("m"))
+        least = sized(stored(larger.groupBy("a").agg(F.min("b").alias("m")), "least"), "least")
         smaller = larger.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(smaller.union(least.select("a", F.col("m").alias("b"))).distinct(), "small")
         size, before = _digest(edges), size
         if size == before:
-            break
-    roots = edges.select(F.col("b").alias("a"), "b").distinct()
-    return edges.union(roots).select(F.col("a").alias("id"), F.col("b").alias("component"))
+            return edges
 
 
 def _digest(edges: DataFrame) -> tuple:

@@ -6,13 +6,16 @@ sequence is the one element. Two documents are linked if 100 * |intersection| >=
 1. Equal sets form classes by digest; only the document with the least key of each class goes on.
 2. Documents that share a band of their signatures share a bucket. With 32 bands of 4 places a pair of
    similarity 0.8 shares none once in 20 million pairs.
+   What is joined with buckets, centres or documents is written first: a small table is broadcast by its measured size, and
+   beside a large one Spark can split a hot bucket.
 3. In each bucket a centre is compared with all others: stars, not pairs. Pairs are verified on the
    full sets, dealt out by centre and by blocks of its partners, so that a centre's set travels once per block.
-4. Linked documents are grouped. Where a bucket still holds several groups, its most linked member becomes the
-   next centre, for a few rounds.
-5. What is still undecided, members of different groups in one bucket, is compared by signature in blocks of
-   members, and the pairs whose estimate is not clearly below the threshold are verified. So every pair in a
-   bucket is either connected, verified, or far below the threshold by its signature: no bucket is capped.
+   Linked documents form components.
+4. What is still undecided are members of different components in one bucket. Blocks of members meet, each pair in
+   the first of its common buckets only, and a signature whose estimate is clearly below the threshold rules a pair out. Members
+   with any pair left meet again with their full sets, and similar pairs are joined there; pairs that are joined by
+   then are not looked at. So every pair in a bucket is connected, verified, or far below the threshold by its
+   signature; no bucket is capped, and no task hands on pairs but those that join components.
 
 Defined cases: null, empty and wordless texts have no set and are linked with nothing; a null key is linked with
 nothing and has no component; rows of one key are one document with several texts: a link of any of them links it;
@@ -30,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import keep_first
+from ..operators.joins import keep_first, sized
 from . import minhash, words
 from .common import stored
-from .components import components
+from .components import UnionFind, components
 
-BLOCK = 256  # partners of a centre, or members of a bucket, that are compared at once
-HUB_ROUNDS = 2
+BLOCK = 256  # partners of a centre that are compared with it at once
+MEMBERS, ELEMENTS = 2_048, 1 << 21  # members of a bucket, and elements of their sets, that make a block
 # five standard deviations of the estimate at a similarity of 0.8
 SLACK = 0.17
 
@@ -76,7 +79,7 @@ def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, key: str, text: str, size: int, ids: DataFrame) -> DataFrame:
-    """(key, elements) of the documents in ``ids``."""
+    """(key, elements) of the documents in ``ids``, which a measured broadcast keeps from shuffling the texts if they are few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,7 +88,7 @@ def full_sets(docs: DataFrame, key: str, text: str, size: int, ids: DataFrame) -
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), packed], names=["key", "elements"])
 
     slim = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    return slim.join(ids, "key", "left_semi").mapInArrow(run, "key bigint, elements binary")
+    return slim.join(sized(stored(ids, "ids"), "ids"), "key", "left_semi").mapInArrow(run, "key bigint, elements binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -107,8 +110,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     b.append(member)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    dealt = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
+    counts = stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")).filter("parts > 1"), "parts")
+    of = pairs.join(sized(counts, "parts"), "a", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = of.select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
     members = dealt.join(sets, dealt.b == sets.key).select("a", "part", "b", "elements")
     heads = dealt.select("a", "part").distinct().join(sets, F.col("a") == sets.key)
     heads = heads.select("a", "part", F.lit(None).cast("bigint").alias("b"), "elements")
@@ -133,74 +137,136 @@ def _sizes_fit(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _pairs(joined: DataFrame, centre: str, member: str) -> DataFrame:
-    return joined.select(F.col(centre).alias("a"), F.col(member).alias("b")).distinct()
-
-
-def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs that were not compared yet, in either order."""
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    known = tried.select(low.alias("_low"), high.alias("_high")).distinct()
-    marked = pairs.withColumns({"_low": low, "_high": high})
-    return marked.join(known, ["_low", "_high"], "left_anti").dropDuplicates(["_low", "_high"]).select("a", "b")
-
-
 def _open(members: DataFrame, linked: DataFrame) -> DataFrame:
     """Members of buckets that hold several groups, with their group."""
-    groups = components(linked)
+    groups = sized(components(linked), "groups")
     labelled = members.join(groups, members.node == groups.id, "left").drop("id")
-    labelled = stored(labelled.withColumn("component", F.coalesce("component", "node")), "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size"))
+    labelled = labelled.withColumn("component", F.coalesce("component", "node"))
+    sums = [F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements")]
     # a bucket of two has been compared as a star
-    mixed = mixed.filter("x <> y and size > 2").select("bucket", "size")
-    return stored(labelled.join(mixed, "bucket"), "open")
+    mixed = labelled.groupBy("bucket").agg(*sums).filter("x <> y and size > 2").select("bucket", "size", "elements")
+    return labelled.join(sized(stored(mixed, "mixed"), "mixed"), "bucket")
 
 
-def _by_signature(open_members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different groups in a bucket whose signatures do not rule them out."""
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+KEYS = ("bucket", "p", "q")
+
+
+def _spread(open_members: DataFrame) -> DataFrame:
+    """Members of a bucket in blocks, and each pair of blocks as a group: (bucket, p, q), ``second`` for those of block q."""
+    parts = F.greatest(F.ceil(F.col("size") / MEMBERS), F.ceil(F.col("elements") / ELEMENTS)).cast("int")
     placed = open_members.withColumns({"_parts": parts, "_own": F.pmod(F.xxhash64("node"), parts).cast("int")})
     other = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    spread = placed.withColumn("_other", other).select(
-        "bucket", F.least("_own", "_other").alias("p"), F.greatest("_own", "_other").alias("q"), (F.col("_own") > F.col("_other")).alias("_second"),
-        "node", "n", "component", "signature",
+    return placed.withColumn("_other", other).select(
+        "bucket",
+        F.least("_own", "_other").alias("p"),
+        F.greatest("_own", "_other").alias("q"),
+        (F.col("_own") > F.col("_other")).alias("second"),
+        "node",
+        "n",
+        "component",
+        "signature",
+        "bands",
     )
-    ordered = spread.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "node")
-    least = percent / 100 - SLACK
-
-    def compared(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        a, b = [], []
-        p, q = rows[0][1], rows[0][2]
-        node = np.array([r[4] for r in rows], dtype=np.int64)
-        n = np.array([r[5] for r in rows], dtype=np.int64)
-        group = np.array([r[6] for r in rows], dtype=np.int64)
-        second = np.array([r[3] for r in rows], dtype=bool)
-        signature = np.frombuffer(b"".join(r[7] for r in rows), dtype="<u2").reshape(len(rows), -1)
-        for i in range(len(rows)):
-            with_i = (group != group[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-            with_i &= (second if not second[i] else False) if p != q else np.arange(len(rows)) > i
-            at = np.flatnonzero(with_i)
-            at = at[(signature[at] == signature[i]).mean(axis=1) >= least] if len(at) else at
-            a += [int(node[i])] * len(at)
-            b += node[at].tolist()
-        return a, b
+
+
+def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray | list]:
+    """The columns of a batch as arrays, signatures and bands as matrices."""
+    out = {name: np.asarray(batch.column(name)) for name in (*KEYS, "second", "node", "n", "component") if name in batch.schema.names}
+    out["signature"] = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="<u2").reshape(batch.num_rows, -1)
+    out["bands"] = np.asarray(batch.column("bands").flatten()).reshape(batch.num_rows, -1)
+    if "elements" in batch.schema.names:
+        out["elements"] = [np.frombuffer(e, dtype=words.U) for e in batch.column("elements").to_pylist()]
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Runs of rows with equal (bucket, p, q); a run may go over several batches."""
+    held, of = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = _arrays(batch)
+        key = np.stack([rows[k].astype(np.int64) for k in KEYS])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            part, at = {k: v[start:end] for k, v in rows.items()}, tuple(key[:, start].tolist())
+            if at == of:
+                held = {k: held[k] + v if isinstance(v, list) else np.concatenate([held[k], v]) for k, v in part.items()}
+            else:
+                if held is not None:
+                    yield held
+                held, of = part, at
+    if held is not None:
+        yield held
+
+
+def _candidates(rows: dict, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(member, partners, estimates): pairs of a group that may be similar and belong to no common component.
+
+    A pair is looked at in the first of its common buckets only.
+    """
+    n, group, second = rows["n"], rows["component"], rows["second"]
+    across = rows["p"][0] != rows["q"][0]
+    place = np.arange(len(n))
+    for i in range(len(n)):
+        if across and second[i]:
+            continue
+        with_i = (group != group[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+        with_i &= second if across else place > i
+        at = np.flatnonzero(with_i)
+        if not len(at):
+            continue
+        common = rows["bands"][at] == rows["bands"][i]
+        first = rows["bands"][i][common.argmax(axis=1)] == rows["bucket"][0]
+        at = at[first]
+        estimate = (rows["signature"][at] == rows["signature"][i]).mean(axis=1) if len(at) else np.zeros(0)
+        near = estimate >= percent / 100 - SLACK
+        if near.any():
+            yield i, at[near], estimate[near]
+
+
+def _undecided(open_members: DataFrame, percent: int) -> DataFrame:
+    """The members of each group that have a candidate in it; pairs are not handed on."""
+    spread = _spread(open_members)
+    names = spread.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
-        for batch in batches:
-            a, b = [], []
-            for row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
-                if row[:3] != group and rows:
-                    more = compared(rows)
-                    a, b, rows = a + more[0], b + more[1], []
-                group = row[:3]
-                rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-        if rows:
-            a, b = compared(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for rows in _groups(batches):
+            wanted = np.zeros(len(rows["node"]), dtype=bool)
+            for i, at, _ in _candidates(rows, percent):
+                wanted[i] = wanted[at] = True
+            keep = np.flatnonzero(wanted)
+            if len(keep):
+                columns = [pa.array(rows[k][keep]) for k in (*KEYS, "second", "node", "n", "component")]
+                signature = pa.array([rows["signature"][i].tobytes() for i in keep], pa.binary())
+                flat = pa.array(rows["bands"][keep].ravel())
+                size = rows["bands"].shape[1]
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, size, dtype=np.int32)), flat)
+                yield pa.RecordBatch.from_arrays([*columns, signature, bands], names=names)
+
+    ordered = spread.repartition(*KEYS).sortWithinPartitions(*KEYS)
+    return ordered.mapInArrow(run, spread.schema)
+
+
+def _settled(undecided: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join what similar members of each group belong to: a forest, not all similar pairs."""
 
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            joined, a, b = UnionFind(), [], []
+            for i, at, estimate in _candidates(rows, percent):
+                for j in at[np.argsort(-estimate, kind="stable")].tolist():
+                    x, y = int(rows["component"][i]), int(rows["component"][j])
+                    if joined.find(x) != joined.find(y) and similar(rows["elements"][i], rows["elements"][j], percent):
+                        joined.join(x, y)
+                        a.append(int(rows["node"][i]))
+                        b.append(int(rows["node"][j]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    whole = undecided.join(sets.withColumnRenamed("key", "node"), "node").select(*undecided.columns, "elements")
+    ordered = whole.repartition(*KEYS).sortWithinPartitions(*KEYS, "node")
+    return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
 def grouped(
@@ -209,37 +275,21 @@ def grouped(
     """(rows, groups): ``rows`` has key, n_shingles, digest for every row; ``groups`` has digest, component for every set."""
     sketch = stored(sketches(docs, key, text, shingle), "sketches")
     nodes = stored(keep_first(sketch.filter("digest is not null and key is not null"), ["digest"], ["key"]), "nodes")
-    signed = nodes.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "signature")
+    signed = nodes.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "signature", "bands")
     buckets = nodes.select(F.explode("bands").alias("bucket"), F.col("key").alias("node"), F.col("n_shingles").alias("n"))
     # any member can be the first centre; a hash picks others in other bands
     first = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node").alias("centre"), F.col("n").alias("m")))
     heads = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"), first.alias("_head")).filter("_size > 1")
+    heads = sized(stored(heads, "heads"), "heads")
     members = stored(buckets.join(heads, "bucket").select("bucket", "node", "n", "_head.centre", "_head.m"), "members")
     sets = stored(full_sets(docs, key, text, shingle, members.select(F.col("node").alias("key")).distinct()), "sets")
 
     star = members.filter((F.col("node") != F.col("centre")) & _sizes_fit("n", "m", percent))
-    nothing = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
-    tried = stored(_untried(_pairs(star, "centre", "node"), nothing), "tried")
-    linked = stored(verified(tried, sets, percent), "linked")
-    members = members.select("bucket", "node", "n")
-    for _ in range(HUB_ROUNDS):
-        open_members = _open(members, linked)
-        if open_members.isEmpty():
-            break
-        ends = linked.select(F.col("a").alias("node")).union(linked.select("b"))
-        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-        ranked = open_members.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-        hub = F.max(F.struct("degree", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("component").alias("of"))).alias("_hub")
-        star = open_members.join(ranked.groupBy("bucket").agg(hub).select("bucket", "_hub.*"), "bucket")
-        star = star.filter((F.col("component") != F.col("of")) & _sizes_fit("n", "m", percent))
-        fresh = stored(_untried(_pairs(star, "hub", "node"), tried), "tried")
-        tried = tried.union(fresh)
-        linked = stored(linked.union(verified(fresh, sets, percent)), "linked")
-    open_members = _open(members, linked)
-    if not open_members.isEmpty():
-        rest = _by_signature(open_members.join(signed, ["node", "n"]), percent)
-        fresh = stored(_untried(rest, tried), "tried")
-        linked = stored(linked.union(verified(fresh, sets, percent)), "linked")
+    pairs = star.select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    linked = stored(verified(stored(pairs.distinct(), "pairs"), sets, percent), "linked")
+
+    undecided = stored(_undecided(_open(members, linked).join(signed, ["node", "n"]), percent), "undecided")
+    linked = linked.union(stored(_settled(undecided, sets, percent), "settled"))
 
     # a key that stands for several sets brings their classes together
     classes = nodes.select("digest", F.col("key").alias("node"))
