@@ -95,7 +95,7 @@ def op5_language_id(spark, folder):
 
 
 @register
-def op5_language_id_of_pages(spark, folder):
+def language_of_pages(spark, folder):
     profiles = language.trained(table(spark, folder, "documents"))
     host = url_rules.host_of("url")
     pages = table(spark, folder, "pages").select(
