@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import decontaminate, language, near_dup, pieces, quality
-from tillwork.llm.common import ship, stored
+from tillwork.llm.common import ship, stage, stored
 from tillwork.operators.joins import keep_first, sized
 
 
@@ -25,11 +25,13 @@ def unboxed(kept: DataFrame) -> DataFrame:
     return kept.select("document.*")
 
 
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return unboxed(quality.judged(boxed(docs), keep=["document"]).filter("kept"))
 
 
+@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with at least even odds."""
     ship(spark)
@@ -46,6 +48,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return unboxed(judged.filter("language_kept"))
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that with the least id, of several rows of an id that with the least text. Documents without id stay.
 
@@ -62,6 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return unboxed(once.select("document").union(keep_first(again, ["doc_id"], ["text"]).select("document")))
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ten words, or whole shorter item, of the benchmark."""
     ship(spark)
@@ -69,12 +73,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return unboxed(decontaminate.occurrences(boxed(docs), items, keep=["document"]).filter(F.size("spans") == 0))
 
 
+@stage
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the whole texts, and whether decoding them gives the text back."""
     ship(spark)
     model = _model()
-    slim = docs.select("doc_id", "lang", "source", "text")
-    both = pieces.decoded(pieces.encoded(slim, model), model)
+    both = pieces.encoded(docs.select("doc_id", "lang", "source", "text"), model, back="decoded")
     return both.select(
         "doc_id",
         "lang",
@@ -85,7 +89,7 @@ def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     )
 
 
-# (name, function): each takes (spark, docs, sf_dir) and returns a DataFrame.
+# (name, function): each takes (spark, docs, sf_dir) and returns a DataFrame, which is written before the next is called.
 STAGES = [
     ("quality_rules", quality_rules),
     ("language_id", language_id),
@@ -101,8 +105,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``; each result is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for i, (name, apply) in enumerate(STAGES):
+        docs = apply(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = stored(docs, name)
     return docs

@@ -19,6 +19,7 @@ from tillwork.llm import (
     token_counts,
     url_rules,
 )
+from tillwork.llm.common import stored
 from tillwork.llm.queries import tokenizer
 
 EXTRA = ("ids", "key", "bucket", "_row", "_content", "kept", "n_words", "shard", "a.b")
@@ -61,6 +62,8 @@ def model():
 def test_sentencepiece(messy, nothing, model):
     out = pieces.decoded(pieces.encoded(messy, model, to="codes"), model, ids="codes").collect()
     same_extras(out, EXTRA)
+    at_once = pieces.encoded(messy, model, to="codes", back="decoded").collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, out))
     for r in out:
         assert r.decoded == (r.text or "").replace("▁", " ")
         assert (len(r.codes) == 0) == (not r.text)
@@ -185,7 +188,7 @@ def test_pipeline(spark, messy, nothing, folder):
         kept = docs
         for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
             before = kept.dtypes
-            kept = stage(spark, kept, folder)
+            kept = stored(stage(spark, kept, folder), "kept")
             if i + 1 < len(corpus_pipeline.STAGES):
                 assert kept.dtypes == before
                 same_extras(kept.collect(), EXTRA)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -26,9 +27,39 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/llm/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _recording is not None:
+        _recording.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_recording: list[str] | None = None
+_left: list[str] = []
+
+
+def stage(fn: Callable) -> Callable:
+    """A stage ``fn(spark, docs, ...)`` of a pipeline that writes each stage's result before it calls the next one.
+
+    The tables that a stage wrote on its way are dropped when the next stage begins, so that a pipeline
+    needs room for one stage's tables only. Tables of others, and results, are not touched.
+    """
+
+    @wraps(fn)
+    def run(spark: SparkSession, *args):
+        global _recording
+        for path in _left:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        _left.clear()
+        _recording = []
+        try:
+            return fn(spark, *args)
+        finally:
+            _left.extend(_recording)
+            _recording = None
+
+    return run
+
+
 def lower_ascii(text: Column | str) -> Column:
     """A-Z to a-z, all other characters as they are."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -38,7 +38,8 @@ from .caches import Recent
 from .common import content, extended, own_columns, plus, unboxed, with_content
 
 MARK = "▁"
-PAIRS = 500_000  # pairs of tokens whose compatibility a worker remembers
+PAIRS = 300_000  # pairs of tokens whose compatibility a worker remembers
+WORDS = 300_000  # words whose ids it remembers
 
 
 def read_model(path: str) -> dict:
@@ -81,7 +82,7 @@ def last_merge(piece: str, rank: dict[str, int]) -> tuple[int, int] | None:
 class Encoder:
     def __init__(self, tables: dict):
         self.ids, self.pieces, self.split = tables["ids"], tables["pieces"], tables["split"]
-        self.bytes, self.runs = tables["bytes"], tables["runs"]
+        self.bytes, self.runs, self.surface = tables["bytes"], tables["runs"], tables["surface"]
         self.rank = {p: r for r, p in enumerate(self.pieces)}
         self.length = [len(p) for p in self.pieces]
         self.found = ahocorasick.Automaton()
@@ -92,7 +93,7 @@ class Encoder:
         single = "".join(re.escape(p) for p in self.pieces if len(p) == 1)
         self.known = re.compile(f"[{single}]+|[^{single}]+", re.DOTALL)
         self.fits: dict[int, bool] = {}
-        self.words = Recent(lambda key: np.array(self.encode_segment(key), dtype="<i4").tobytes())
+        self.words = Recent(lambda key: np.array(self.encode_segment(key), dtype="<i4").tobytes(), most=WORDS)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the encoding of the two tokens' text is just the two."""
@@ -197,11 +198,17 @@ def _segments(keys: list[str]) -> Iterator[str]:
     yield " " * spaces + keys[-1]
 
 
-def encoded(docs: DataFrame, tables: dict, text: str = "text", to: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) with the ids of the whole text as an array; ``tables`` from ``read_model``."""
+def encoded(
+    docs: DataFrame, tables: dict, text: str = "text", to: str = "ids", keep: Sequence[str] | None = None, back: str | None = None
+) -> DataFrame:
+    """The columns ``keep`` (all by default) with the ids of the whole text as an array; ``tables`` from ``read_model``.
+
+    ``back`` names a column for the text that the ids decode to; both come from one pass of Python workers.
+    """
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(tables))
-    own = own_columns(docs, keep, [to])
+    own = own_columns(docs, keep, [to] if back is None else [to, back])
     rows = with_content(docs, own, text)
+    results = {"_ids": "array<int>"} if back is None else {"_ids": "array<int>", "_back": "string"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(packed.value)
@@ -211,9 +218,14 @@ def encoded(docs: DataFrame, tables: dict, text: str = "text", to: str = "ids",
             offsets = np.zeros(len(ids) + 1, dtype=np.int32)
             np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-            yield extended(batch, _ids=pa.ListArray.from_arrays(pa.array(offsets), values))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+            if back is None:
+                yield extended(batch, _ids=lists)
+            else:
+                yield extended(batch, _ids=lists, _back=pa.array(decode(lists, encoder.surface), pa.string()))
 
-    return unboxed(rows.mapInArrow(run, plus(rows, _ids="array<int>")), own, F.col("_ids").alias(to))
+    named = [F.col("_ids").alias(to)] if back is None else [F.col("_ids").alias(to), F.col("_back").alias(back)]
+    return unboxed(rows.mapInArrow(run, plus(rows, **results)), own, *named)
 
 
 _ENCODERS: dict[int, Encoder] = {}

@@ -46,7 +46,7 @@ def op1_near_duplicates(spark, folder):
 @register
 def op2_sentencepiece(spark, folder):
     model = pieces.read_model(tokenizer("piece_bpe_32k.model"))
-    both = pieces.decoded(pieces.encoded(table(spark, folder, "documents"), model, keep=["doc_id"]), model)
+    both = pieces.encoded(table(spark, folder, "documents"), model, keep=["doc_id"], back="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
