@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import boxed, own_columns, stored, unboxed
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 
 
 def _ranked(df: DataFrame, group: list[str], bucket: str, order: Sequence[str], name: str) -> DataFrame:
