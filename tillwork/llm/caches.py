@@ -19,7 +19,9 @@ class Recent(dict):
         self.most = len(self) + most
 
     def __missing__(self, key: str):
-        value = self.make(key)
+        return self.keep(key, self.make(key))
+
+    def keep(self, key: str, value):
         if len(key) <= self.longest and len(self) < self.most:
             self[key] = value
         return value

@@ -186,11 +186,15 @@ class ChunkEncoder:
             return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
         word, sign = simple.groups()
         core = word.lower()
-        if core != chunk:
-            return self.known[core] + (self.word(sign) if sign else b"")
-        return self.word(core if core.isascii() else core.translate(self.letters))
-
-    def word(self, written: str) -> bytes:
+        if core == chunk:
+            return self.word(core)
+        ids = self.known.get(core)
+        if ids is None:
+            ids = self.known.keep(core, self.word(core))
+        return ids + self.known[sign] if sign else ids
+
+    def word(self, core: str) -> bytes:
+        written = core if core.isascii() else core.translate(self.letters)
         return array("I", [token.id for token in self.merges.tokenize(written)]).tobytes()
 
     def encode(self, text: str) -> bytes:
