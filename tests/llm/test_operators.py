@@ -324,6 +324,23 @@ def test_language_on_rows_not_trained_on(spark, folder):
     assert sum(r.language == r.lang for r in out) >= 0.98 * len(out)
 
 
+def test_every_label_has_a_profile(spark):
+    """Few rows beside many, more labels than 256, equal texts of several ids, and regional tags."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    few = [(a + b) for a in letters[:12] for b in letters if a + b not in ("en", "un")][:300]
+    many = spark.range(40_000).select(F.lit("en-GB").alias("lang"), F.concat(F.lit("the and of with number "), "id").alias("text"))
+    rare = spark.createDataFrame([(x, f"{x}{x} {x}q{x} z{x}z{x}") for x in few], "lang string, text string")
+    copies = spark.range(40_000).select(F.lit("zz").alias("lang"), F.lit("one text of all").alias("text"))
+    profiles = language.trained(many.union(rare).union(copies))
+    assert profiles.languages == [*sorted([*few, "en", "zz"]), "und"]
+    assert profiles.log.shape == (303, language.SLOTS)
+    assert np.allclose(np.exp(profiles.log.astype(float)).sum(axis=1), 1, atol=1e-3)
+    # all rows count: 40,000 times the trigrams of the text
+    _, _, slot = next(language.trigrams(pa.array(["one text of all"])))
+    best = np.bincount(slot, minlength=language.SLOTS) * 40_000 + 0.5
+    assert np.allclose(profiles.log[profiles.languages.index("zz")], np.log(best / best.sum()), atol=1e-4)
+
+
 def test_evidence_decides_where_the_text_does_not(rows, spark, folder):
     profiles = language.trained(spark.read.parquet(f"{folder}/documents.parquet"))
     en, fr = "the of and with that are for this was then " * 4, "le la des et pour dans que qui les une est " * 4

@@ -5,7 +5,7 @@ likelihood of its text, the language its markup declares, the suffix of its addr
 from its host.
 
 - Text: hashed byte trigrams of lower-cased letters against a profile of each language, learned from
-  at most about ``TRAIN_ROWS`` labelled rows picked by a hash. Neighbouring trigrams are not independent, so the
+  all labelled rows. Neighbouring trigrams are not independent, so the
   likelihood is tempered: ``1 / SHARED`` of it counts, and no more than that of ``MOST`` trigrams. All bytes are read.
 - Declared language and suffix: how often a value goes with a language, as the text alone decides,
   over all rows.
@@ -18,7 +18,8 @@ The text is read once; what follows works on a slim written table, grouped aggre
 with those. Rows of one host or value are summed up map-side and never brought together.
 
 Defined cases: null and empty texts have no text evidence, and without trigrams the language is ``und``;
-null evidence counts for nothing; ties go to the language that sorts first; languages are the ``LANGUAGES`` commonest labels;
+null evidence counts for nothing; ties go to the language that sorts first; every label has a profile, by its primary
+tag (``en`` of ``en-GB``) if it is one, and if any of its rows has a trigram;
 without labelled rows every row is ``und``; repeated rows are judged alike; other columns pass
 through, but columns with the names of the results are replaced.
 """
@@ -38,9 +39,7 @@ from ..operators.joins import source_bytes
 from .common import content, extended, own_columns, plus, stored, unboxed, with_content
 from .words import BLOCK_BYTES, LOWERED, buffers
 
-TRAIN_ROWS = 16_000
-TRAIN_TASKS = 8
-LANGUAGES = 256  # languages with most labelled rows that get a profile
+HELD_LABELS = 128  # labels whose counts a task holds before it hands them on
 SLOTS = 1 << 14
 SHARED, MOST = 3.0, 600
 NEAR = 20.0  # rows' weight of the wider group in a host's prior
@@ -82,31 +81,45 @@ class Profiles:
     log: np.ndarray  # languages x SLOTS
 
 
-def trained(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = TRAIN_ROWS) -> Profiles:
-    """Profiles from a bounded sample of the rows with a label."""
-    known = labelled.select(F.col(label).alias("label"), F.col(text).alias("text")).dropna()
-    top = labelled.select(F.col(label).alias("label")).dropna().groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()
-    every = max(1, sum(r.n for r in top) // rows)
-    known = known.filter(F.col("label").isin([r.label for r in top]))
-    sample = known.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).coalesce(TRAIN_TASKS)
+def trained(labelled: DataFrame, text: str = "text", label: str = "lang") -> Profiles:
+    """A profile of every label, from all rows with a label; the counts are summed by label and slot in Spark."""
+    tag = F.col(label).cast("string")
+    name = F.coalesce(primary(tag), F.nullif(F.lower(F.trim(tag)), F.lit("")))  # a label that is no tag stands for itself
+    known = labelled.select(name.alias("label"), F.col(text).alias("text")).dropna().filter(F.col("label") != UNKNOWN)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, np.ndarray] = {}
+        held: dict[str, np.ndarray] = {}
+
+        def sums() -> Iterator[pa.RecordBatch]:
+            for name, n in held.items():
+                slot = np.flatnonzero(n)
+                yield pa.RecordBatch.from_pydict({"label": pa.array([name] * len(slot), pa.string()), "slot": pa.array(slot), "n": pa.array(n[slot])})
+            held.clear()
+
         for batch in batches:
-            labels = np.array(batch.column(0).to_pylist(), dtype=object)
+            names, of_row = np.unique(np.array(batch.column(0).to_pylist(), dtype=object), return_inverse=True)
             for first, doc, slot in trigrams(batch.column(1)):
-                of = labels[first + doc]
-                for name in set(labels[first : first + int(doc[-1]) + 1] if len(doc) else ()):
-                    seen.setdefault(name, np.zeros(SLOTS, np.int64))
-                    seen[name] += np.bincount(slot[of == name], minlength=SLOTS)
-        yield pa.RecordBatch.from_pydict({"label": pa.array(list(seen), pa.string()), "slots": pa.array([v.astype("<i8").tobytes() for v in seen.values()], pa.binary())})
-
-    total: dict[str, np.ndarray] = {}
-    for name, packed in sample.mapInArrow(count, "label string, slots binary").toLocalIterator():
-        total[name] = total.get(name, 0) + np.frombuffer(packed, "<i8")
-    names = sorted(n for n in total if n != UNKNOWN)
-    log = [np.log((total[n] + 0.5) / (total[n].sum() + 0.5 * SLOTS)) for n in names]
-    return Profiles([*names, UNKNOWN], np.array([*log, np.full(SLOTS, -np.log(SLOTS))]).astype(np.float32))
+                of = of_row[first + doc]
+                order = np.argsort(of, kind="stable")
+                of, slot = of[order], slot[order]
+                for k in np.unique(of):
+                    if names[k] not in held and len(held) == HELD_LABELS:
+                        yield from sums()
+                    n = held.setdefault(names[k], np.zeros(SLOTS, np.int64))
+                    n += np.bincount(slot[np.searchsorted(of, k) : np.searchsorted(of, k, side="right")], minlength=SLOTS)
+        yield from sums()
+
+    counts = known.mapInArrow(count, "label string, slot bigint, n bigint").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
+    label_of = counts.column("label").combine_chunks().dictionary_encode()
+    if isinstance(label_of, pa.ChunkedArray):
+        label_of = label_of.combine_chunks()
+    found = label_of.dictionary.to_pylist()
+    names = sorted(found)
+    row = np.array([names.index(x) for x in found], dtype=np.int64)[label_of.indices.to_numpy()] if names else np.zeros(0, np.int64)
+    total = np.zeros((len(names), SLOTS))
+    total[row, counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    log = np.log((total + 0.5) / (total.sum(axis=1, keepdims=True) + 0.5 * SLOTS))
+    return Profiles([*names, UNKNOWN], np.vstack([log, np.full((1, SLOTS), -np.log(SLOTS))]).astype(np.float32))
 
 
 def likelihoods(rows: DataFrame, profiles: Profiles, text: str, own: list[str]) -> DataFrame:
