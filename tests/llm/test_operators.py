@@ -261,6 +261,70 @@ def test_exchange_finds_classes():
     assert len(set(group[:6])) == 1 and len(set(group[6:12])) == 1 and group[0] != group[6] and group[12:].tolist() == [2, 3]
 
 
+def test_best_class_of_many_words_is_that_of_the_gains(monkeypatch):
+    rng = np.random.default_rng(5)
+    size, words = class_lm.CLASSES + 2, 200
+    pairs = rng.poisson(0.05, (words, words)).astype(float)
+    group = np.concatenate([rng.integers(0, class_lm.CLASSES, words - 2), [size - 2, size - 1]])
+    onto = np.eye(size)[group]
+    between, own = onto.T @ pairs @ onto, np.diagonal(pairs).copy()
+    out, into, r = pairs @ onto, pairs.T @ onto, np.arange(words)
+    out[r, group] -= own
+    into[r, group] -= own
+    best = class_lm._best(between, out, into, own, group)
+    for w in range(words - 2):
+        rest = onto.copy()
+        rest[w] = 0
+        gain = class_lm._gains(rest.T @ pairs @ rest, out[w], into[w], own[w])
+        gain[class_lm.CLASSES :] = -np.inf
+        assert gain[best[w]] == pytest.approx(gain.max())
+
+
+def test_every_recurring_word_has_a_class(rows, monkeypatch):
+    """Words past the frequent ones take the class that their own neighbours tell, and the sums stay those of the tokens."""
+    monkeypatch.setattr(class_lm, "FREQUENT", 20)
+    rng = random.Random(3)
+    made = []
+    for i in range(800):  # a word of one kind, then one of the other, few of them frequent
+        made.append((i, " ".join(f"{'a' if j % 2 == 0 else 'b'}{min(int(rng.paretovariate(0.6)), 150)}" for j in range(10))))
+    docs = rows("doc_id bigint, text string", *made)
+    model, seen = class_lm.modelled(docs)
+    kinds = {"a": Counter(), "b": Counter()}
+    known = {r.h: r for r in seen.collect()}
+    held = {r[0] for r in docs.filter(class_lm.held_out("doc_id")).select("doc_id").collect()}
+    count = Counter(w for i, t in made if i not in held for w in t.split())
+    group = {}
+    for w, c in count.items():
+        h = class_lm.W._block(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]), 0, 1, class_lm.W.WHITE, True).hash
+        at = np.flatnonzero(model.hashes == h[0])
+        r = known[int(h.view(np.int64)[0])]
+        assert r.c == c and (r.k is not None) == (c >= 2 and not len(at))
+        group[w] = int(model.group[at[0]]) if len(at) else class_lm.CLASSES if r.k is None else r.k
+        if c >= 2:
+            kinds[w[0]][group[w]] += 1
+            assert group[w] < class_lm.CLASSES
+    assert sum(len(at) > 0 for at in [model.hashes]) and len(model.hashes) == 20 and len(count) > 150
+    # the matrix of classes behind the model is that of the texts
+    size = class_lm.CLASSES + 2
+    between = np.zeros((size, size))
+    for i, t in made:
+        if i not in held:
+            ks = [size - 1, *[group[w] for w in t.split()], size - 1]
+            np.add.at(between, (ks[:-1], ks[1:]), 1)
+    assert (model.tokens == between.sum(axis=0)).all()
+    share = (between.sum(axis=0) + 1) / (between.sum() + size)
+    assert np.allclose(model.step, np.log10((between + class_lm.WIDER * share) / (between.sum(axis=1, keepdims=True) + class_lm.WIDER)))
+    # a text's score is that of its words and classes
+    for r in class_lm.scored(docs, model, seen, "doc_id", "text").collect():
+        ks, score = [size - 1], 0.0
+        for w in made[r.doc_id][1].split():
+            k, c = group.get(w, class_lm.CLASSES), count.get(w, 0)
+            e = c / model.tokens[k] if k < class_lm.CLASSES else (c - 0.5 if c else 0.5 * model.rare + 1) / (model.rare + 1)
+            score += model.step[ks[-1], k] + math.log10(e)
+            ks.append(k)
+        assert r.score == pytest.approx(score + model.step[ks[-1], size - 1])
+
+
 def test_exchange_gain_is_the_change_of_likelihood():
     rng = np.random.default_rng(2)
     pairs = rng.integers(0, 9, (8, 8)).astype(float)

@@ -3,19 +3,23 @@
 P(word | word before) = P(class | class before) * P(word | class). Each text is its words and then one
 end token; the text before the first word counts as an end.
 
-Learning reads the training rows twice. The first pass counts all words; the counts stay a distributed table.
-The ``FREQUENT`` commonest words, of those that recur, go to the tasks as one broadcast. What is clustered are items: the ``CORE``
-commonest words one by one, the other frequent words in blocks of neighbouring ranks, all rarer words together, and the end.
-The second pass counts pairs of neighbouring items, map-side first; their sums are a table of at most ITEMS^2 numbers, on
-which exchange clustering runs: each item in turn moves to the class that raises the likelihood of the
-pairs most, until a sweep moves none. The end and the rare words are classes of their own.
+Every word that recurs in the training rows has a class of its own choice. Words that occur once share one fixed
+class, as they tell how often unseen words come; the end is another.
+
+Learning counts all words first; the counts stay a distributed table. The ``FREQUENT`` commonest words go to the tasks as one
+broadcast, which decides only where their pairs are counted. A start comes from exchange clustering in the driver, over items: the ``CORE``
+commonest words one by one, the other frequent words in blocks of neighbouring ranks, each item in turn moving to the class that
+raises the likelihood of the pairs most, until a sweep moves none. Then the texts are written once as ranks, and for each rarer word a list of its
+neighbours. A sweep sums for every word its pairs by the neighbour's class (of two rarer neighbours through joins
+with the words' classes), and the words of one half choose their best class against the matrix of classes by classes; the next sweep
+is the other half's. Sweeps go on until one of each half together gain less than ``LEAST_GAIN`` a token.
 
 Class transitions are smoothed by the classes' shares. Words of a class have their share of its
-tokens; in the class of rare words each word gives up ``DISCOUNT`` of a token to the words never seen, which
+tokens; in the class of words that occur once each word gives up ``DISCOUNT`` of a token to the words never seen, which
 count as one. So the probabilities of all words add up to one after any word.
 
-Scoring adds up on the map side what frequent words and transitions give, and joins only the rare words of each
-text with the counts, by their hash. None of them is frequent enough to make a hot key. Words are
+Scoring adds up on the map side what frequent words and the transitions between them give, and joins only the rarer words of
+each text, and pairs of them, with the counts and classes, by their hash. None of them is frequent enough to make a hot key. Words are
 identified by 64-bit hashes, which collide with a chance of about 2^-60 a pair.
 
 Defined cases: null, empty and wordless texts are the end token alone; without training rows every word is unseen and
@@ -26,6 +30,7 @@ key passes through.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written_by
 from . import words as W
 from .common import stored
 
@@ -43,7 +49,9 @@ LEAST = 2  # words that occur once are rare ones at any size: they tell how ofte
 CORE = 960
 BLOCK = 1_024  # ranks of the frequent words beyond the core that share an item
 CLASSES = 32
-SWEEPS = 8
+LEAST_GAIN = 0.002  # nats a token
+WORDS_AT_ONCE = 4_096
+WIDTH = 2 * (CLASSES + 2) + 1  # sums of a frequent word
 DISCOUNT = 0.5
 WIDER = 20.0  # weight of the classes' shares in a transition
 HELD_TOKENS = 1 << 23  # tokens that a task counts before it hands on the sums
@@ -108,26 +116,30 @@ def counted(texts: DataFrame) -> DataFrame:
 class Model:
     hashes: np.ndarray  # of the frequent words, by rank
     counts: np.ndarray
-    item: np.ndarray  # of the frequent words, by rank
+    item: np.ndarray  # of the frequent words, by rank: each is one
     group: np.ndarray  # class of each item; the last two items are the rare words and the end
+    tokens: np.ndarray  # of each class
     total: int  # N
     distinct: int  # V, the end included
     ends: int  # how often the end occurs
     step: np.ndarray  # log10 P(class | class before)
     emit: np.ndarray  # log10 P(word | class) of the frequent words, by rank
-    rare: tuple[float, float]  # tokens and words of the rare words' class
+    rare: float  # words that occur once, and their tokens
 
     @property
     def items(self) -> int:
         return len(self.group)
 
 
-def learned(texts: DataFrame, seen: DataFrame) -> Model:
-    """The model of the texts; ``seen``: their token counts."""
+def learned(texts: DataFrame, seen: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of the texts, and (h, k): the classes of the recurring words that are not frequent. ``seen``: the texts' token counts."""
     spark = texts.sparkSession
     end = np.int64(END.view(np.int64))
-    total, distinct, ends = seen.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("h") == int(end), F.col("c"))), F.lit(0))
+    total, distinct, ends, once = seen.agg(
+        F.coalesce(F.sum("c"), F.lit(0)),
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(F.when(F.col("h") == int(end), F.col("c"))), F.lit(0)),
+        F.count(F.when((F.col("h") != int(end)) & (F.col("c") < LEAST), 1)),
     ).first()
     top = seen.filter((F.col("h") != int(end)) & (F.col("c") >= LEAST)).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
     hashes, counts = top.column("h").to_numpy().astype(np.int64).view(W.U), top.column("c").to_numpy().astype(np.int64)
@@ -135,11 +147,17 @@ def learned(texts: DataFrame, seen: DataFrame) -> Model:
     item = np.where(rank < CORE, rank, min(CORE, len(rank)) + (rank - CORE) // BLOCK)
     items = (int(item.max()) + 1 if len(item) else 0) + 2
     pairs = spark.sparkContext.broadcast(pickle.dumps((hashes, item, items)))
-    sums = texts.mapInArrow(_pair_counts(pairs), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
-    matrix = np.zeros(items * items)
-    matrix[sums.column("pair").to_numpy().astype(np.int64)] = sums.column("c").to_numpy()
-    group = exchanged(matrix.reshape(items, items), CLASSES)
-    return _model(matrix.reshape(items, items), group, hashes, counts, item, total, distinct, ends)
+    sums = texts.mapInArrow(_pair_counts(pairs), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
+    start = exchanged(_filled(sums, items * items, "pair").reshape(items, items), CLASSES)
+    group = np.concatenate([start[item] if len(item) else np.zeros(0, np.int64), [CLASSES, CLASSES + 1]]).astype(np.int64)
+    group, classes, between = _swept(texts, hashes, group)
+    return _model(between, group, hashes, counts, total, distinct, ends, float(once)), classes
+
+
+def _filled(sums: DataFrame, size: int, key: str) -> np.ndarray:
+    table, out = sums.toArrow(), np.zeros(size)
+    out[table.column(key).to_numpy().astype(np.int64)] = table.column("c").to_numpy()
+    return out
 
 
 def _pair_counts(packed):
@@ -168,7 +186,7 @@ def _entropy(n: np.ndarray) -> np.ndarray:
     return n * np.log(np.maximum(n, 1))
 
 
-def exchanged(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def exchanged(pairs: np.ndarray, classes: int) -> np.ndarray:
     """The class of each item. The last two items are classes of their own: ``classes`` and ``classes + 1``."""
     items = len(pairs)
     free = items - 2
@@ -177,7 +195,8 @@ def exchanged(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarr
     onto = np.zeros((items, size))
     onto[np.arange(items), group] = 1
     between = onto.T @ pairs @ onto
-    for _ in range(sweeps):
+    moved = 1
+    while moved:
         moved = 0
         for w in range(free):
             old, own = group[w], pairs[w, w]
@@ -200,8 +219,6 @@ def exchanged(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarr
                 onto[w, old], onto[w, new] = 0, 1
                 group[w] = new
                 moved += 1
-        if not moved:
-            break
     return group
 
 
@@ -219,24 +236,259 @@ def _gains(between: np.ndarray, out: np.ndarray, into: np.ndarray, own: float) -
     return gain
 
 
-def _model(pairs, group, hashes, counts, item, total, distinct, ends) -> Model:
+def _code(rank: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """The rank of frequent words, ``n`` for rarer words, ``n + 1`` for the end."""
+    code = np.where(rank >= 0, rank, n)
+    code[h == END] = n + 1
+    return code
+
+
+def _coded(packed):
+    """One row for each block of texts: the codes of its tokens, and the hashes of the rarer words among them in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(hashes := pickle.loads(packed.value))
+        for batch in batches:
+            for block in W.blocks(batch.column(0), W.WHITE):
+                _, h = _tokens(block)
+                code = _code(lookup(h), h, len(hashes))
+                rare = h[code == len(hashes)].view(np.int64)
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.array(code.astype(np.int32)), pa.array(rare))]
+                yield pa.RecordBatch.from_arrays(lists, names=["codes", "rare"])
+
+    return run
+
+
+def _after_ends(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of a batch's tokens, and of the token before each; all blocks end with an end."""
+    code = batch.column("codes").flatten().to_numpy().astype(np.int64)
+    return np.concatenate(([n + 1], code[:-1])) if len(code) else code, code
+
+
+def _neighbours(n: int):
+    """(h, near): for rarer words their neighbours' codes, doubled, and one more for those before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, code = _after_ends(batch, n)
+            at, h = np.flatnonzero(code == n), batch.column("rare").flatten().to_numpy()
+            word, near = np.concatenate([h, h]), np.concatenate([before[at] * 2 + 1, code[at + 1] * 2])
+            order = np.argsort(word, kind="stable")
+            words, first = np.unique(word[order], return_index=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(word)).astype(np.int32)), pa.array(near[order].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(words), lists], names=["h", "near"])
+
+    return run
+
+
+def _rare_pairs(n: int):
+    """(a, b) of neighbours that are both rarer words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, code = _after_ends(batch, n)
+            second = (before == n)[code == n]  # of the rarer words, those after another
+            h, at = batch.column("rare").flatten().to_numpy(), np.flatnonzero(second)
+            yield pa.RecordBatch.from_arrays([pa.array(h[at - 1]), pa.array(h[at])], names=["a", "b"])
+
+    return run
+
+
+def _by_class(packed):
+    """(slot, c): pairs of each code by the class of its neighbour, that after it, then that before it; last its pairs with itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pickle.loads(packed.value)
+        size, n = CLASSES + 2, len(group) - 2
+        total = np.zeros(WIDTH * len(group), dtype=np.int64)
+        for batch in batches:
+            before, code = _after_ends(batch, n)
+            total += np.bincount(before * WIDTH + group[code], minlength=len(total))
+            total += np.bincount(code * WIDTH + size + group[before], minlength=len(total))
+            total += np.bincount(code[before == code] * WIDTH + 2 * size, minlength=len(total))
+        yield _nonzero(total)
+
+    return run
+
+
+def _nonzero(total: np.ndarray) -> pa.RecordBatch:
+    slot = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "c"])
+
+
+def _moved_pairs(packed):
+    """What changes in the sums of ``_by_class``, and in the class matrix behind them, as rarer words have classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pickle.loads(packed.value)
+        size, n = CLASSES + 2, len(group) - 2
+        matrix = WIDTH * len(group)
+        total = np.zeros(matrix + size * size, dtype=np.int64)
+        for batch in batches:
+            near = batch.column("near").flatten().to_numpy().astype(np.int64)
+            k = np.repeat(batch.column("k").to_numpy(), batch.column("near").value_lengths().to_numpy())
+            other, before = near >> 1, near & 1
+            of, single = group[other], other != n
+            for kind, sign in ((k, 1), (np.full(len(k), CLASSES), -1)):
+                of_other = (other * WIDTH + (1 - before) * size + kind)[single]
+                between = matrix + np.where(before == 1, of * size + kind, kind * size + of)
+                total += sign * np.bincount(np.concatenate([of_other, between]), minlength=len(total))
+        yield _nonzero(total)
+
+    return run
+
+
+def _best(between: np.ndarray, out: np.ndarray, into: np.ndarray, own: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """The best class of each of many words: the gains of ``_gains``, each word taken out of its class ``old``, by its pairs only."""
+    r, size = np.arange(len(old)), len(between)
+    gain = np.zeros((len(old), size))
+    for b, x, y in ((between, out, into), (between.T, into, out)):
+        w, k = np.nonzero(x)
+        n, was = x[w, k], old[w]
+        base = b[:, k].T.copy()  # pairs of each class with k, without the word's
+        e = np.arange(len(w))
+        base[e, was] -= n
+        same = k == was
+        base[same] -= y[w[same]]
+        base[e[same], was[same]] -= own[w[same]]
+        more = _entropy(base + n[:, None]) - _entropy(base)
+        more[e, k] = 0
+        if len(w):
+            first = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+            gain[w[first]] += np.add.reduceat(more, first, axis=0)
+        sums = np.repeat(b.sum(axis=1)[None], len(old), axis=0)
+        all_of = x.sum(axis=1) + own
+        sums[r, old] -= all_of
+        gain -= _entropy(sums + all_of[:, None]) - _entropy(sums)
+    corner = np.repeat(np.diagonal(between)[None], len(old), axis=0)
+    corner[r, old] -= out[r, old] + into[r, old] + own
+    gain += _entropy(corner + out + into + own[:, None]) - _entropy(corner)
+    gain[:, CLASSES:] = -np.inf
+    best = gain.argmax(axis=1)
+    return np.where(gain[r, best] > gain[r, old] + 1e-9, best, old)
+
+
+def _chosen(packed, half: int):
+    """(code, k): the new classes of the frequent words of one half."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between, group, sums = pickle.loads(zlib.decompress(packed.value))
+        for batch in batches:
+            code = batch.column(0).to_numpy()
+            code = code[code % 2 == half]
+            out, into, own = (x.astype(float) for x in np.split(sums[code], [CLASSES + 2, 2 * (CLASSES + 2)], axis=1))
+            r, own, old = np.arange(len(code)), own[:, 0], group[code]
+            out[r, old] -= own
+            into[r, old] -= own
+            k = _best(between, out, into, own, old)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(k)], names=["code", "k"])
+
+    return run
+
+
+def _chosen_rare(packed, half: int):
+    """(h, k): the classes of rarer words after those of one half, and those without a class, have chosen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between, group = pickle.loads(packed.value)
+        size = CLASSES + 2
+        for whole in batches:
+            for first in range(0, whole.num_rows, WORDS_AT_ONCE):
+                batch = whole.slice(first, WORDS_AT_ONCE)
+                h, old = batch.column("h").to_numpy(), batch.column("k").to_numpy().astype(np.int64)
+                near, more = batch.column("near"), batch.column("more")
+                code = near.flatten().to_numpy().astype(np.int64)
+                word = np.repeat(np.arange(len(h)), near.value_lengths().to_numpy())
+                sums = np.bincount((word * 2 + (code & 1)) * size + group[code >> 1], minlength=len(h) * 2 * size).astype(float)
+                fixed = more.flatten().to_numpy().astype(np.int64)  # neighbours that are rarer words with a class
+                word = np.repeat(np.arange(len(h)), more.value_lengths().fill_null(0).to_numpy())
+                slot, c = fixed & 255, fixed >> 8
+                at = (word * 2 + (slot & 1)) * size
+                np.add.at(sums, at + (slot >> 1), c)
+                np.add.at(sums, at + CLASSES, -c)
+                sums = sums.reshape(len(h), 2, size)
+                own = np.asarray(batch.column("own").to_numpy(zero_copy_only=False), dtype=float)
+                r = np.arange(len(h))
+                sums[r, 0, old] -= own
+                sums[r, 1, old] -= own
+                k = np.where((h & 1 == half) | (old == CLASSES), _best(between, sums[:, 0], sums[:, 1], own, old), old)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k)], names=["h", "k"])
+
+    return run
+
+
+def _swept(texts: DataFrame, hashes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+    """The classes of the codes, (h, k) of the rarer words that recur, and the pairs by classes, after sweeps over all words."""
+    spark, n = texts.sparkSession, len(hashes)
+    packed = spark.sparkContext.broadcast(pickle.dumps(hashes))
+    coded = stored(texts.mapInArrow(_coded(packed), "codes array<int>, rare array<bigint>"), "coded")
+    packed.destroy()
+    near = coded.mapInArrow(_neighbours(n), "h bigint, near array<int>").groupBy("h").agg(F.flatten(F.collect_list("near")).alias("near"))
+    rare = stored(coded.mapInArrow(_rare_pairs(n), "a bigint, b bigint").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "pairs")
+    # the lists lie by word, so that a sweep exchanges classes only
+    with written_by(near.filter(F.size("near") >= 2 * LEAST), "h", int(spark.conf.get("spark.sql.shuffle.partitions"))) as lists:
+        return _sweeps(coded.select("codes"), lists, rare, group)
+
+
+def _sweeps(coded: DataFrame, near: DataFrame, rare: DataFrame, group: np.ndarray) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+    """The same from the coded texts, the rarer words' lists of neighbours, and the pairs of rarer words."""
+    spark, n, size = coded.sparkSession, len(group) - 2, CLASSES + 2
+    classes = stored(near.select("h", F.lit(CLASSES).cast("bigint").alias("k")), "classes")
+    reached: list[float] = []
+    while True:
+        classed = rare.join(classes.toDF("a", "ka"), "a").join(classes.toDF("b", "kb"), "b")
+        both = stored(classed.select("a", "b", "ka", "kb", "c"), "classed")
+        ours, matrix = spark.sparkContext.broadcast(pickle.dumps(group)), WIDTH * (n + 2)
+        found = _filled(coded.mapInArrow(_by_class(ours), "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), matrix, "slot")
+        between = np.zeros((size, size))
+        np.add.at(between, group, found.reshape(n + 2, WIDTH)[:, :size])
+        moved = near.join(classes, "h").mapInArrow(_moved_pairs(ours), "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c"))
+        change = _filled(moved, matrix + size * size, "slot")
+        found += change[:matrix]
+        between += change[matrix:].reshape(size, size)
+        pairs = both.groupBy("ka", "kb").agg(F.sum("c").alias("c")).toArrow()
+        ka, kb, c = (pairs.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
+        once = np.full(len(c), CLASSES)
+        for i, j, sign in ((ka, kb, 1), (ka, once, -1), (once, kb, -1), (once, once, 1)):  # each was counted from both its words
+            np.add.at(between, (i, j), sign * c)
+        likelihood = _entropy(between).sum() - _entropy(between.sum(axis=1)).sum() - _entropy(between.sum(axis=0)).sum()
+        if reached and likelihood < max(reached):
+            return best
+        best = group, classes, between
+        reached.append(likelihood)
+        if len(reached) > 2 and likelihood - reached[-3] <= LEAST_GAIN * between.sum():
+            return best
+        half = len(reached) % 2
+        sums = spark.sparkContext.broadcast(zlib.compress(pickle.dumps((between, group, found.reshape(n + 2, WIDTH).astype(np.int64))), 1))
+        state = spark.sparkContext.broadcast(pickle.dumps((between, group)))
+        chosen = spark.range(0, n, 1, max(1, n // WORDS_AT_ONCE)).mapInArrow(_chosen(sums, half), "code bigint, k bigint").toArrow()
+        after = F.lit(256) * F.col("c")
+        more = both.select(F.col("a").alias("h"), (after + 2 * F.col("kb")).alias("more"), F.when(F.col("a") == F.col("b"), F.col("c")).otherwise(0).alias("own"))
+        more = more.union(both.select("b", after + 2 * F.col("ka") + 1, F.lit(0).cast("bigint")))
+        more = more.groupBy("h").agg(F.collect_list("more").alias("more"), F.sum("own").alias("own"))
+        whole = near.join(classes, "h").join(more, "h", "left").select(
+            "h", "k", "near", F.coalesce("more", F.array().cast("array<bigint>")).alias("more"), F.coalesce("own", F.lit(0)).alias("own")
+        )
+        classes = stored(whole.mapInArrow(_chosen_rare(state, half), "h bigint, k bigint"), "classes")
+        group = group.copy()
+        group[chosen.column("code").to_numpy()] = chosen.column("k").to_numpy()
+        for sent in (ours, sums, state):
+            sent.destroy()  # their files go from every machine
+        spark.sparkContext._jvm.System.gc()  # lets Spark drop the files of this sweep's exchanges
+
+
+def _model(between, group, hashes, counts, total, distinct, ends, once) -> Model:
     size = CLASSES + 2
-    onto = np.zeros((len(group), size))
-    onto[np.arange(len(group)), group] = 1
-    between = onto.T @ pairs @ onto
     share = (between.sum(axis=0) + 1) / (between.sum() + size)
     step = np.log10((between + WIDER * share) / (between.sum(axis=1, keepdims=True) + WIDER))
-    of = group[item] if len(item) else np.zeros(0, np.int64)
-    tokens = np.bincount(of, weights=counts, minlength=size)
-    emit = np.log10(counts / tokens[of]) if len(item) else np.zeros(0)
-    known = int(ends > 0)
-    return Model(hashes, counts, item, group, total, distinct, ends, step, emit, (float(total - ends - counts.sum()), float(distinct - known - len(counts))))
+    of, tokens = group[:-2], between.sum(axis=0)
+    emit = np.log10(counts / tokens[of])
+    return Model(hashes, counts, np.arange(len(hashes)), group, tokens, total, distinct, ends, step, emit, once)
 
 
 def scored(docs: DataFrame, model: Model, seen: DataFrame, key: str, text: str) -> DataFrame:
     """key, n_tokens, n_known, base_score, score and perplexity of every text."""
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    rare_tokens, rare_words = model.rare
     slots = float(model.total + model.distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,25 +499,32 @@ def scored(docs: DataFrame, model: Model, seen: DataFrame, key: str, text: str)
             for block in W.blocks(batch.column(1), W.WHITE):
                 doc, h = _tokens(block)
                 rank = lookup(h)
-                of = m.group[_items(rank, h, m.item, m.items)]
+                of = m.group[code := _code(rank, h, len(m.hashes))]
                 before = np.concatenate(([m.group[-1]], of[:-1]))
-                score, base = m.step[before, of], np.zeros(len(h))
+                rare = code == len(m.hashes)
+                after_rare = np.concatenate(([False], rare[:-1]))
+                score, base = np.where(rare | after_rare, 0, m.step[before, of]), np.zeros(len(h))
                 frequent = rank >= 0
                 score[frequent] += m.emit[rank[frequent]]
                 base[frequent] = base_of[rank[frequent]]
                 closing = h == END
                 base[closing] = base_of_end
                 known = frequent | (closing & (m.ends > 0))
-                rest = np.flatnonzero(~frequent & ~closing)
-                # one row for each different rare word of a text
+                # each rarer word of a text with the classes around it, -1 those of rarer words, and pairs of rarer words
                 n = np.bincount(doc, minlength=block.docs)
-                at, word = doc[rest], h[rest]
-                order = np.lexsort((word, at))
-                at, word = at[order], word[order]
-                edge = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (word[1:] != word[:-1])))[: len(at)])
-                times = np.diff(np.append(edge, len(at)))
-                begin = np.searchsorted(at[edge], np.arange(block.docs + 1))
-                entries = pa.StructArray.from_arrays([pa.array(word[edge].view(np.int64)), pa.array(times)], names=["h", "times"])
+                at, texts = np.flatnonzero(rare), np.arange(block.docs + 1)
+                entries = pa.StructArray.from_arrays(
+                    [
+                        pa.array(h[at].view(np.int64)),
+                        pa.array(np.where(after_rare[at], -1, before[at]).astype(np.int32)),
+                        pa.array(np.where(rare[at + 1], -1, of[at + 1]).astype(np.int32)),
+                    ],
+                    names=["h", "before", "after"],
+                )
+                begin = np.searchsorted(doc[at], texts)
+                second = np.flatnonzero(rare & after_rare)
+                pairs = pa.StructArray.from_arrays([pa.array(h[second - 1].view(np.int64)), pa.array(h[second].view(np.int64))], names=["a", "b"])
+                begin_pairs = np.searchsorted(doc[second], texts)
                 row = (TaskContext.get().partitionId() << 33) + done + np.arange(block.docs)
                 done += block.docs
                 yield pa.RecordBatch.from_arrays(
@@ -277,26 +536,36 @@ def scored(docs: DataFrame, model: Model, seen: DataFrame, key: str, text: str)
                         pa.array(np.bincount(doc, weights=base, minlength=block.docs)),
                         pa.array(np.bincount(doc, weights=score, minlength=block.docs)),
                         pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), entries),
+                        pa.ListArray.from_arrays(pa.array(begin_pairs.astype(np.int32)), pairs),
                     ],
-                    names=["row", "key", "n_tokens", "known", "base", "score", "rare"],
+                    names=["row", "key", "n_tokens", "known", "base", "score", "rare", "pairs"],
                 )
 
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     sums = stored(
         slim.mapInArrow(
-            run, f"row bigint, key {kind}, n_tokens bigint, known bigint, base double, score double, rare array<struct<h:bigint,times:bigint>>"
+            run,
+            f"row bigint, key {kind}, n_tokens bigint, known bigint, base double, score double, "
+            "rare array<struct<h:bigint,before:int,after:int>>, pairs array<struct<a:bigint,b:bigint>>",
         ),
         "scores",
     )
-    words = sums.select("row", F.explode("rare").alias("w")).select("row", "w.h", "w.times")
-    c = F.coalesce("c", F.lit(0))
-    emission = F.when(c > 0, c - DISCOUNT).otherwise(DISCOUNT * rare_words + 1) / F.lit(rare_tokens + 1)
-    looked_up = words.join(seen, "h", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("_known"),
-        F.sum(F.col("times") * F.log10((c + 1) / F.lit(slots))).alias("_base"),
-        F.sum(F.col("times") * F.log10(emission)).alias("_score"),
-    )
+    size, once = CLASSES + 2, F.lit(CLASSES)
+    steps = F.array(*[F.lit(float(x)) for x in model.step.ravel()])
+    step = lambda i, j: F.element_at(steps, (i * size + j + 1).cast("int"))
+    tokens = F.array(*[F.lit(float(x)) for x in model.tokens])
+    words = sums.select("row", F.explode("rare").alias("w")).select("row", "w.*")
+    c, k = F.coalesce("c", F.lit(0)), F.coalesce("k", once)
+    emission = F.when(F.col("k").isNotNull(), c / F.element_at(tokens, (k + 1).cast("int")))
+    emission = emission.otherwise(F.when(c > 0, c - DISCOUNT).otherwise(DISCOUNT * model.rare + 1) / F.lit(model.rare + 1))
+    steps_of = F.when(F.col("before") >= 0, step(F.col("before"), k)).otherwise(0) + F.when(F.col("after") >= 0, step(k, F.col("after"))).otherwise(0)
+    of_words = words.join(seen, "h", "left").select("row", F.when(c > 0, 1).otherwise(0).alias("_known"), F.log10((c + 1) / F.lit(slots)).alias("_base"), (F.log10(emission) + steps_of).alias("_score"))
+    classes = seen.filter("k is not null").select("h", "k")
+    pairs = sums.select("row", F.explode("pairs").alias("p")).select("row", "p.*")
+    pairs = pairs.join(classes.toDF("a", "ka"), "a", "left").join(classes.toDF("b", "kb"), "b", "left")
+    of_pairs = pairs.select("row", F.lit(0), F.lit(0.0), step(F.coalesce("ka", once), F.coalesce("kb", once)))
+    looked_up = of_words.union(of_pairs).groupBy("row").agg(F.sum("_known").alias("_known"), F.sum("_base").alias("_base"), F.sum("_score").alias("_score"))
     score = F.col("score") + F.coalesce("_score", F.lit(0.0))
     return sums.join(looked_up, "row", "left").select(
         F.col("key").alias(key),
@@ -314,7 +583,8 @@ def held_out(key: Column | str, of: int = 7, remainder: int = 2) -> Column:
 
 
 def modelled(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Model, DataFrame]:
-    """(model, token counts) of the rows that are not held out."""
+    """(model, token counts) of the rows that are not held out; the counts come with the classes of rarer words."""
     training = docs.filter(~held_out(key)).select(text)
     seen = stored(counted(training), "words")
-    return learned(training, seen), seen
+    model, classes = learned(training, seen)
+    return model, stored(seen.join(classes, "h", "left"), "classed_words")
