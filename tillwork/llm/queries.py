@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_lm, decontaminate, grammar_files, interleave, language, near_dup, pieces, quality, token_counts, url_rules
-from .common import ship, utf8_size
+from . import (
+    chat,
+    class_lm,
+    decontaminate,
+    grammar_files,
+    interleave,
+    language,
+    merkle,
+    near_dup,
+    pieces,
+    quality,
+    token_counts,
+    url_rules,
+    whitening,
+)
+from .common import lower_ascii, ship, utf8_size
 from .sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +174,42 @@ def op10_url_rules(spark, folder):
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_rules.judged(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register
+def op11_merkle_manifest(spark, folder):
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    rows = docs.select(
+        "doc_id",
+        "lang",
+        merkle.row_digest(*fields, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.row_digest(*fields, lower_ascii("text"))).alias("altered"),
+    )
+    found = merkle.manifest(rows, F.col("leaf"), F.col("lang"), "doc_id", keep=["doc_id", "altered"])
+    root = merkle.folded(F.coalesce("altered", "leaf"), F.col("steps"))
+    return (
+        merkle.proofs(found, ["doc_id", "altered"])
+        .select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), root.alias("folded_root"))
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+    )
+
+
+CONTROL_TURN = "</s>[INST] ok [/INST]"
+
+
+@register
+def op12_chat_examples(spark, folder):
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    made = spark.createDataFrame([(-1, 0, "user", CONTROL_TURN), (-1, 1, "assistant", CONTROL_TURN)], turns.schema)
+    path = chat.new_path(spark)
+    chat.write(turns.union(made), path, "conv_id", "turn", "role", "text")
+    return chat.digests(chat.read(spark, path)).withColumnRenamed("key", "conv_id")
+
+
+@register
+def op13_whitened_embeddings(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    fitted, rows = whitening.fitted(vectors, "embedding", 4, keep=["vec_id"])
+    return whitening.whitened(rows, fitted, ["vec_id"])
