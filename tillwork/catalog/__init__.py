@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import landing, product, scalars, shaping, sla, soldout, stock
+from . import incremental, landing, product, scalars, shaping, sla, soldout, stock
 from .registry import ORACLES, QUERIES
 
-FAMILIES = (product, sla, stock, soldout, landing, shaping, scalars)
+FAMILIES = (product, sla, stock, soldout, landing, shaping, scalars, incremental)
 
 
 def queries():

@@ -180,8 +180,8 @@ def landed_rejects(spark, folder):
 
 
 def sheet(df, path: str) -> str:
-    """A frame as one CSV file with its headers."""
-    df.coalesce(1).write.option("header", True).csv(path)
+    """A frame as a folder of CSV files, each with the headers."""
+    df.write.option("header", True).csv(path)
     return path
 
 

@@ -102,3 +102,19 @@ def with_status_row(result: DataFrame, status: DataFrame) -> DataFrame:
     ``result`` is read once more to see whether it has a row: pass a scan or a written result, not an aggregation.
     """
     return result.unionByName(status.select(*result.columns).filter(is_empty(result)))
+
+
+def in_windows(df: DataFrame, ts: str, windows: DataFrame, name: str = "period") -> DataFrame:
+    """Rows once for every window that holds their time. ``windows``: the name, ``start`` and ``end``, ends included.
+
+    Windows may overlap and come as data. Both sides meet by day, each window once for every day it touches, and the
+    time decides within the day; so a row meets the windows of its own day and no others. A window without name, start or end, or whose
+    end comes first, holds nothing. The windows are broadcast if their measured size allows it.
+    """
+    real = windows.filter(F.col(name).isNotNull() & (F.col("start") <= F.col("end"))).select(
+        F.col(name).alias("_name"), F.col("start").alias("_start"), F.col("end").alias("_end")
+    )
+    days = real.withColumn("_day", F.explode(F.sequence(F.to_date("_start"), F.to_date("_end"))))
+    dated = df.withColumn("_on", F.to_date(ts))
+    inside = (F.col("_on") == F.col("_day")) & F.col(ts).between(F.col("_start"), F.col("_end"))
+    return dated.join(sized(days, "windows"), inside).select(*[F.col(f"`{c}`") for c in df.columns], F.col("_name").alias(name))

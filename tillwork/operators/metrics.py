@@ -211,6 +211,23 @@ def frequency(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def scoped_totals(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], *aggregates: Column) -> DataFrame:
+    """Totals of every set of keys in one pass, with ``scope``: the names of the keys that the row is a total of, joined by ``+``.
+
+    A key that is missing in the data and a key that is summed over are both null; ``scope`` tells them apart. Rows fan
+    out before the exchange, and are combined map-side: reduce large tables to the finest keys first.
+    """
+    bit = {k: 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)}
+    names = None
+    for kept in sets:
+        summed = sum(bit[k] for k in keys if k not in kept)
+        label = "+".join(k for k in keys if k in kept) or "all"
+        hit = F.col("_grouping") == summed
+        names = F.when(hit, label) if names is None else names.when(hit, label)
+    grouped = df.groupingSets([[F.col(k) for k in kept] for kept in sets], *[F.col(k) for k in keys])
+    return grouped.agg(F.grouping_id().alias("_grouping"), *aggregates).withColumn("scope", names).drop("_grouping")
+
+
 def first_known(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str, *more: Column) -> DataFrame:
     """Per key, each column's first non-missing value by ``order``, ties by the smaller value; ``more`` aggregates ride along."""
     at = lambda v: F.when(F.col(v).isNotNull(), F.struct(F.col(order), F.col(v)))

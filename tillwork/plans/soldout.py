@@ -12,6 +12,7 @@ from ..operators.joins import keep_first, only_new, with_dimension
 from ..operators.metrics import first_known
 from ..operators.pivot import count_long, count_pivot
 from ..session import scratch_dir
+from ..sources.keylog import days_of
 from ..sources.landed import sent_alerts
 from ..sources.sinks import append_alerts
 
@@ -145,8 +146,7 @@ def alert_run(events: DataFrame, stores: DataFrame, log: str, out: str, run: str
     spark = events.sparkSession
     staged = f"{scratch_dir(spark)}/alerts/{run}"
     candidates = soldout_base(events, stores)
-    days = events.filter(is_soldout()).agg(F.min("event_day"), F.max("event_day")).first()
-    sent = sent_alerts(spark, log, except_run=run, between=tuple(days))
+    sent = sent_alerts(spark, log, except_run=run, days=days_of(events.filter(is_soldout()), "event_day"))
     new_alerts(candidates, sent).write.mode("overwrite").parquet(f"{staged}/alerts")
     alerts = spark.read.parquet(f"{staged}/alerts")
     alert_headers(alerts).write.mode("overwrite").parquet(f"{staged}/headers")

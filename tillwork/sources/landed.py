@@ -7,7 +7,7 @@ envelope or one record per line). A day filter becomes partition pruning.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,11 @@ from .. import schemas as S
 from ..functions.time import parse_ts, parse_utc
 from ..operators.joins import keep_first, sortable
 from ..operators.shape import first_present, unwrap_envelope
+from . import keylog
 
 DAY = "business_day"
 ENVELOPES = ("data", "transactions", "timings")
+ALERT_LOG = S.SENT_ALERT.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", run string, business_date date"
 
 
 def scan(
@@ -195,22 +197,23 @@ def pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
 
 
 def sent_alerts(
-    spark: SparkSession, path: str, except_run: str | None = None, between: tuple[date | None, date | None] | None = None
+    spark: SparkSession,
+    path: str,
+    except_run: str | None = None,
+    days: Sequence[date | None] | None = None,
+    between: tuple[date, date] | None = None,
 ) -> DataFrame:
     """The alert log, without one run's own keys if asked; an empty table before the first run.
 
-    ``between`` reads the partitions of those business days only.
+    ``days`` reads the folders of those business days only, None among them standing for rows without a day;
+    ``between`` those from the first to the last.
     """
-    from .sinks import path_exists
-
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], S.SENT_ALERT)
-    folders = [T.StructField("run", T.StringType()), T.StructField("business_date", T.DateType())]
-    log = spark.read.schema(T.StructType([*S.SENT_ALERT.fields, *folders])).parquet(path)
+    if between is not None:
+        first, last = between
+        days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    log = keylog.read(spark, path, ALERT_LOG, "run", days)
     if except_run is not None:
         log = log.filter(F.col("run") != except_run)
-    if between is not None:
-        log = log.filter(F.col("business_date").between(F.lit(between[0]), F.lit(between[1])))
     return log.select("alert_key", "sent_time")
 
 

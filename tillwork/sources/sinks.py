@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import with_status_row
 from ..operators.shape import json_text, lead, tag, union_all
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+from . import keylog
+from .landed import ALERT_LOG
 
 
 def refresh(df: DataFrame, path: str, as_of: date | None = None, fmt: str = "parquet") -> None:
@@ -53,6 +50,16 @@ def append_alerts(keys: DataFrame, path: str, run: str) -> None:
     ).parquet(f"{path}/run={run}")
 
 
+def compact_alerts(spark: SparkSession, path: str, least: int = 2) -> list:
+    """Merge the log's folders of each business day that has at least ``least`` new ones."""
+    return keylog.compact(spark, path, ALERT_LOG, "run", least)
+
+
+def drop_merged_alerts(spark: SparkSession, path: str) -> int:
+    """Delete the folders that ``compact_alerts`` merged; when no run is at work."""
+    return keylog.drop_merged(spark, path, ALERT_LOG, "run", ("run", "business_date"))
+
+
 def raw_landing(df: DataFrame, table: str) -> DataFrame:
     """A raw table ready to publish: complex values as JSON, a status row when nothing landed."""
     text = json_text(df)

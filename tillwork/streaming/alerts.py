@@ -1,8 +1,8 @@
 """Sold-out alerts as a stream: each (store, item, business day) leaves once, across runs, however late its event lands.
 
 The log of what was sent is the only state. It is laid out by business day, and a batch reads
-the days of its own events alone, so neither the stream nor a batch ever forgets a key or
-reads the whole log.
+the days of its own events alone, whichever they are, so neither the stream nor a batch ever forgets a key or
+reads the whole log. Events without a business day are a day of their own. ``compact_log`` keeps the number of files small.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import keep_first, only_new
 from ..plans.soldout import alert_order, soldout_base, with_alert_key
-from ..sources.sinks import path_exists
+from ..sources import keylog
 
 LOG_SCHEMA = "alert_key string, store_name string, item_name string, event_time timestamp_ntz, business_date date, batch_id bigint"
 
@@ -42,14 +42,11 @@ def write_batch(batch: DataFrame, batch_id: int, log: str) -> None:
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        first, last = batch.agg(F.min("business_date"), F.max("business_date")).first()
-        if first is None:
+        days = keylog.days_of(batch, "business_date")
+        if not days:
             return
-        fresh = keep_first(batch, ["alert_key"], alert_order())
-        if path_exists(spark, log):
-            days = F.col("business_date").between(F.lit(first), F.lit(last))
-            earlier = spark.read.schema(LOG_SCHEMA).parquet(log).filter(days & (F.col("batch_id") != batch_id))
-            fresh = only_new(fresh, earlier, "alert_key")
+        earlier = keylog.read(spark, log, LOG_SCHEMA, "batch_id", days).filter(F.col("batch_id") != batch_id)
+        fresh = only_new(keep_first(batch, ["alert_key"], alert_order()), earlier, "alert_key")
         sent = fresh.select("alert_key", "store_name", "item_name", "event_time", "business_date", F.lit(batch_id).alias("batch_id"))
         (
             sent.write.mode("overwrite")
@@ -75,6 +72,14 @@ def run_available(alerts: DataFrame, log: str, checkpoint: str) -> StreamingQuer
 
 def sent_log(spark: SparkSession, log: str) -> DataFrame:
     """Every alert sent so far; an empty table before the first."""
-    if not path_exists(spark, log):
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(log)
+    return keylog.read(spark, log, LOG_SCHEMA, "batch_id")
+
+
+def compact_log(spark: SparkSession, log: str, least: int = 2) -> list:
+    """Merge the folders of each day with at least ``least`` new ones; between two batches, or while readers and a batch are at work."""
+    return keylog.compact(spark, log, LOG_SCHEMA, "batch_id", least)
+
+
+def drop_merged(spark: SparkSession, log: str) -> int:
+    """Delete what ``compact_log`` merged; when neither readers nor a batch are at work."""
+    return keylog.drop_merged(spark, log, LOG_SCHEMA, "batch_id", ("business_date", "batch_id"))
