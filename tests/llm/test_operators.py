@@ -240,6 +240,44 @@ def test_class_lm_base_and_gain(result, texts):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_invented_words_cost_no_less_than_words_of_the_texts(spark, folder, texts):
+    """Shuffled letters score below the text they come from, an unseen word no better than any, and known words gain over the base."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model, seen = class_lm.modelled(docs)
+    rng = random.Random(9)
+    held = {k: t for k, t in texts.items() if t and zlib.crc32(str(k).encode()) % 7 == 2 and len(t.split()) > 30}
+    known = {w for k, t in texts.items() if zlib.crc32(str(k).encode()) % 7 != 2 for w in WORD.findall((t or "").translate(LOWER))}
+    invented = {k: " ".join("".join(rng.sample(w, len(w))) + "q" for w in t.split()) for k, t in held.items()}
+    only_known = {k: " ".join(w for w in WORD.findall(t.translate(LOWER)) if w in known) for k, t in held.items()}
+    made = [(f"{kind}{k}", t) for kind, some in (("t", held), ("i", invented), ("k", only_known)) for k, t in some.items()]
+    frame = spark.createDataFrame(made, "doc_id string, text string")
+    out = {r.doc_id: r for r in class_lm.scored(frame, model, seen, "doc_id", "text").collect()}
+    of_known_words = [k for k in held if out[f"t{k}"].n_known > 0.6 * out[f"t{k}"].n_tokens]
+    assert len(of_known_words) > 10
+    for k in of_known_words:
+        assert out[f"i{k}"].perplexity > out[f"t{k}"].perplexity
+    assert sum(out[f"k{k}"].score for k in held) > sum(out[f"k{k}"].base_score for k in held)
+    # all words together, seen or estimated, have probability one in their class
+    of, chances = model.group[:-2], 10**model.emit
+    for k in set(of.tolist()):
+        rest = seen.filter(f"k = {k}").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0] / model.tokens[k]
+        assert chances[of == k].sum() + rest == pytest.approx(1)
+    assert model.kept / (model.rare + 1) * (model.rare + model.unseen) == pytest.approx(1)
+    least = min(chances.min(), seen.filter("k is not null").agg(F.min(F.col("c"))).first()[0] / max(model.tokens))
+    assert model.kept / (model.rare + 1) * 10 ** model.step[:, class_lm.CLASSES].mean() < least
+
+
+def test_a_hot_rare_word(rows, monkeypatch):
+    """A word just past the frequent ones that fills a third of the texts keeps a bounded list."""
+    monkeypatch.setattr(class_lm, "FREQUENT", 3)
+    texts = [(i, " ".join(["hot" if j % 3 == 0 else f"w{(i * j) % 40}" for j in range(12)])) for i in range(300)]
+    texts += [(1000 + i, "aa bb cc " * 700) for i in range(8)]
+    model, seen = class_lm.modelled(rows("doc_id bigint, text string", *texts).repartition(4))
+    assert len(model.hashes) == 3 and seen.filter("k is not null and c > 500").count() >= 1
+    # every token but the ends has its class in the sums
+    assert model.tokens.sum() == model.total
+
+
 def test_probabilities_add_up(spark, rows):
     docs = rows("doc_id bigint, text string", *[(i, " ".join(f"w{(i * j) % 23}" for j in range(1, 9))) for i in range(60)])
     model, seen = class_lm.modelled(docs)
@@ -319,7 +357,7 @@ def test_every_recurring_word_has_a_class(rows, monkeypatch):
         ks, score = [size - 1], 0.0
         for w in made[r.doc_id][1].split():
             k, c = group.get(w, class_lm.CLASSES), count.get(w, 0)
-            e = c / model.tokens[k] if k < class_lm.CLASSES else (c - 0.5 if c else 0.5 * model.rare + 1) / (model.rare + 1)
+            e = c / model.tokens[k] if k < class_lm.CLASSES else model.kept / (model.rare + 1)
             score += model.step[ks[-1], k] + math.log10(e)
             ks.append(k)
         assert r.score == pytest.approx(score + model.step[ks[-1], size - 1])

@@ -9,14 +9,18 @@ class, as they tell how often unseen words come; the end is another.
 Learning counts all words first; the counts stay a distributed table. The ``FREQUENT`` commonest words go to the tasks as one
 broadcast, which decides only where their pairs are counted. A start comes from exchange clustering in the driver, over items: the ``CORE``
 commonest words one by one, the other frequent words in blocks of neighbouring ranks, each item in turn moving to the class that
-raises the likelihood of the pairs most, until a sweep moves none. Then the texts are written once as ranks, and for each rarer word a list of its
-neighbours. A sweep sums for every word its pairs by the neighbour's class (of two rarer neighbours through joins
-with the words' classes), and the words of one half choose their best class against the matrix of classes by classes; the next sweep
-is the other half's. Sweeps go on until one of each half together gain less than ``LEAST_GAIN`` a token.
+raises the likelihood of the pairs most, until a sweep moves none. Then the texts are written once as ranks, and words are exchanged in
+distributed sweeps, in two steps. First the frequent words, by their sums over the neighbours' classes, while the rarer words stand together. Then
+every rarer word that recurs: of it a table keeps how often it stands before and after each class of frequent words, at most 68
+numbers however often the word occurs, and the pairs of two rarer words are another table. A sweep classes those pairs, adds them to
+the words' numbers, and the words of one half choose their best class against the matrix of classes by classes; the next sweep is
+the other half's. Either step ends when a sweep of each half together gains less than ``LEAST_GAIN`` a token. A sweep's tables go when the next has read them.
 
 Class transitions are smoothed by the classes' shares. Words of a class have their share of its
-tokens; in the class of words that occur once each word gives up ``DISCOUNT`` of a token to the words never seen, which
-count as one. So the probabilities of all words add up to one after any word.
+tokens. The class of the words that occur once also holds all words never seen. Their number and their mass follow from the counts of
+words that occur once and twice (Good and Turing): ``2 * twice / once`` is what a word that occurred once is expected to
+occur, the rest of its token goes to the words never seen, and these are estimated to be so many that each has the probability of one that
+occurred once. So the probabilities of all words, seen or not, add up to one after any word, and an invented word costs no less than any word of the texts does.
 
 Scoring adds up on the map side what frequent words and the transitions between them give, and joins only the rarer words of
 each text, and pairs of them, with the counts and classes, by their hash. None of them is frequent enough to make a hot key. Words are
@@ -40,9 +44,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written_by
 from . import words as W
-from .common import stored
+from .common import discard, stored
 
 FREQUENT = 65_536
 LEAST = 2  # words that occur once are rare ones at any size: they tell how often unseen words come
@@ -52,7 +55,7 @@ CLASSES = 32
 LEAST_GAIN = 0.002  # nats a token
 WORDS_AT_ONCE = 4_096
 WIDTH = 2 * (CLASSES + 2) + 1  # sums of a frequent word
-DISCOUNT = 0.5
+KEPT = (0.05, 0.95)  # bounds of what a word that occurred once is expected to occur
 WIDER = 20.0  # weight of the classes' shares in a transition
 HELD_TOKENS = 1 << 23  # tokens that a task counts before it hands on the sums
 END = np.uint64(0x456E64206F662074)  # stands for the end in the counts
@@ -125,6 +128,8 @@ class Model:
     step: np.ndarray  # log10 P(class | class before)
     emit: np.ndarray  # log10 P(word | class) of the frequent words, by rank
     rare: float  # words that occur once, and their tokens
+    kept: float  # what such a word is expected to occur
+    unseen: float  # estimated number of words never seen
 
     @property
     def items(self) -> int:
@@ -135,11 +140,12 @@ def learned(texts: DataFrame, seen: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the texts, and (h, k): the classes of the recurring words that are not frequent. ``seen``: the texts' token counts."""
     spark = texts.sparkSession
     end = np.int64(END.view(np.int64))
-    total, distinct, ends, once = seen.agg(
+    total, distinct, ends, once, twice = seen.agg(
         F.coalesce(F.sum("c"), F.lit(0)),
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.when(F.col("h") == int(end), F.col("c"))), F.lit(0)),
         F.count(F.when((F.col("h") != int(end)) & (F.col("c") < LEAST), 1)),
+        F.count(F.when((F.col("h") != int(end)) & (F.col("c") == LEAST), 1)),
     ).first()
     top = seen.filter((F.col("h") != int(end)) & (F.col("c") >= LEAST)).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
     hashes, counts = top.column("h").to_numpy().astype(np.int64).view(W.U), top.column("c").to_numpy().astype(np.int64)
@@ -150,8 +156,8 @@ def learned(texts: DataFrame, seen: DataFrame) -> tuple[Model, DataFrame]:
     sums = texts.mapInArrow(_pair_counts(pairs), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
     start = exchanged(_filled(sums, items * items, "pair").reshape(items, items), CLASSES)
     group = np.concatenate([start[item] if len(item) else np.zeros(0, np.int64), [CLASSES, CLASSES + 1]]).astype(np.int64)
-    group, classes, between = _swept(texts, hashes, group)
-    return _model(between, group, hashes, counts, total, distinct, ends, float(once)), classes
+    group, classes, between = _swept(texts, hashes, group, seen)
+    return _model(between, group, hashes, counts, total, distinct, ends, float(once), float(twice)), classes
 
 
 def _filled(sums: DataFrame, size: int, key: str) -> np.ndarray:
@@ -265,18 +271,33 @@ def _after_ends(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([n + 1], code[:-1])) if len(code) else code, code
 
 
-def _neighbours(n: int):
-    """(h, near): for rarer words their neighbours' codes, doubled, and one more for those before."""
+def _beside(packed):
+    """(h, slot, c): how often rarer words stand beside each class of the frequent words and the end; doubled, and one more where that comes before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pickle.loads(packed.value)
+        n, held, size = len(group) - 2, [], 0
+
+        def sums() -> pa.RecordBatch:
+            word, slot = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((slot, word))
+            word, slot = word[order], slot[order]
+            first = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (slot[1:] != slot[:-1])))) if len(word) else np.zeros(0, np.int64)
+            c = np.diff(np.append(first, len(word)))
+            return pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(slot[first].astype(np.int32)), pa.array(c)], names=["h", "slot", "c"])
+
         for batch in batches:
             before, code = _after_ends(batch, n)
             at, h = np.flatnonzero(code == n), batch.column("rare").flatten().to_numpy()
-            word, near = np.concatenate([h, h]), np.concatenate([before[at] * 2 + 1, code[at + 1] * 2])
-            order = np.argsort(word, kind="stable")
-            words, first = np.unique(word[order], return_index=True)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(word)).astype(np.int32)), pa.array(near[order].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(words), lists], names=["h", "near"])
+            for near, side in ((before[at], 1), (code[at + 1], 0)):  # every block ends with an end
+                fixed = near != n
+                held.append((h[fixed], group[near[fixed]] * 2 + side))
+                size += int(fixed.sum())
+            if size >= HELD_TOKENS:
+                yield sums()
+                held, size = [], 0
+        if held:
+            yield sums()
 
     return run
 
@@ -316,26 +337,15 @@ def _nonzero(total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "c"])
 
 
-def _moved_pairs(packed):
-    """What changes in the sums of ``_by_class``, and in the class matrix behind them, as rarer words have classes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = pickle.loads(packed.value)
-        size, n = CLASSES + 2, len(group) - 2
-        matrix = WIDTH * len(group)
-        total = np.zeros(matrix + size * size, dtype=np.int64)
-        for batch in batches:
-            near = batch.column("near").flatten().to_numpy().astype(np.int64)
-            k = np.repeat(batch.column("k").to_numpy(), batch.column("near").value_lengths().to_numpy())
-            other, before = near >> 1, near & 1
-            of, single = group[other], other != n
-            for kind, sign in ((k, 1), (np.full(len(k), CLASSES), -1)):
-                of_other = (other * WIDTH + (1 - before) * size + kind)[single]
-                between = matrix + np.where(before == 1, of * size + kind, kind * size + of)
-                total += sign * np.bincount(np.concatenate([of_other, between]), minlength=len(total))
-        yield _nonzero(total)
-
-    return run
+def _placed_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, c): rarer words' tokens by their class and by what they stand beside."""
+    size = CLASSES + 2
+    total = np.zeros(size * 2 * size, dtype=np.int64)
+    for batch in batches:
+        slots, counts = (batch.column(x).flatten().to_numpy().astype(np.int64) for x in ("slots", "counts"))
+        k = np.repeat(batch.column("k").to_numpy().astype(np.int64), batch.column("slots").value_lengths().to_numpy())
+        np.add.at(total, k * 2 * size + slots, counts)
+    yield _nonzero(total)
 
 
 def _best(between: np.ndarray, out: np.ndarray, into: np.ndarray, own: np.ndarray, old: np.ndarray) -> np.ndarray:
@@ -387,103 +397,149 @@ def _chosen(packed, half: int):
 
 
 def _chosen_rare(packed, half: int):
-    """(h, k): the classes of rarer words after those of one half, and those without a class, have chosen."""
+    """The rarer words with their classes after those of one half, and those without a class, have chosen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        between, group = pickle.loads(packed.value)
+        between = pickle.loads(packed.value)
         size = CLASSES + 2
         for whole in batches:
             for first in range(0, whole.num_rows, WORDS_AT_ONCE):
                 batch = whole.slice(first, WORDS_AT_ONCE)
                 h, old = batch.column("h").to_numpy(), batch.column("k").to_numpy().astype(np.int64)
-                near, more = batch.column("near"), batch.column("more")
-                code = near.flatten().to_numpy().astype(np.int64)
-                word = np.repeat(np.arange(len(h)), near.value_lengths().to_numpy())
-                sums = np.bincount((word * 2 + (code & 1)) * size + group[code >> 1], minlength=len(h) * 2 * size).astype(float)
-                fixed = more.flatten().to_numpy().astype(np.int64)  # neighbours that are rarer words with a class
-                word = np.repeat(np.arange(len(h)), more.value_lengths().fill_null(0).to_numpy())
-                slot, c = fixed & 255, fixed >> 8
-                at = (word * 2 + (slot & 1)) * size
-                np.add.at(sums, at + (slot >> 1), c)
-                np.add.at(sums, at + CLASSES, -c)
+                sums = np.zeros(len(h) * 2 * size)
+                for slots, counts in (("slots", "counts"), ("more", "more_counts")):
+                    lists = batch.column(slots)
+                    word = np.repeat(np.arange(len(h)), lists.value_lengths().fill_null(0).to_numpy())
+                    slot, c = lists.flatten().to_numpy().astype(np.int64), batch.column(counts).flatten().to_numpy()
+                    np.add.at(sums, (word * 2 + (slot & 1)) * size + (slot >> 1), c)
                 sums = sums.reshape(len(h), 2, size)
-                own = np.asarray(batch.column("own").to_numpy(zero_copy_only=False), dtype=float)
+                own = batch.column("own").fill_null(0).to_numpy().astype(float)
                 r = np.arange(len(h))
                 sums[r, 0, old] -= own
                 sums[r, 1, old] -= own
                 k = np.where((h & 1 == half) | (old == CLASSES), _best(between, sums[:, 0], sums[:, 1], own, old), old)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k)], names=["h", "k"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), batch.column("slots"), batch.column("counts")], names=["h", "k", "slots", "counts"])
 
     return run
 
 
-def _swept(texts: DataFrame, hashes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+WORDS = "h bigint, k bigint, slots array<int>, counts array<bigint>"
+
+
+def _lists(rows: DataFrame, slots: str, counts: str, *more: Column) -> DataFrame:
+    """(h, slot, c) as two lists a word, at most one entry for each slot."""
+    sums = rows.repartition("h").groupBy("h", "slot").agg(F.sum("c").alias("c"), *more)
+    return sums.groupBy("h").agg(F.collect_list("slot").alias(slots), F.collect_list("c").alias(counts), *[F.sum("own").alias("own") for _ in more])
+
+
+def _swept(texts: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFrame) -> tuple[np.ndarray, DataFrame, np.ndarray]:
     """The classes of the codes, (h, k) of the rarer words that recur, and the pairs by classes, after sweeps over all words."""
     spark, n = texts.sparkSession, len(hashes)
     packed = spark.sparkContext.broadcast(pickle.dumps(hashes))
     coded = stored(texts.mapInArrow(_coded(packed), "codes array<int>, rare array<bigint>"), "coded")
     packed.destroy()
-    near = coded.mapInArrow(_neighbours(n), "h bigint, near array<int>").groupBy("h").agg(F.flatten(F.collect_list("near")).alias("near"))
-    rare = stored(coded.mapInArrow(_rare_pairs(n), "a bigint, b bigint").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "pairs")
-    # the lists lie by word, so that a sweep exchanges classes only
-    with written_by(near.filter(F.size("near") >= 2 * LEAST), "h", int(spark.conf.get("spark.sql.shuffle.partitions"))) as lists:
-        return _sweeps(coded.select("codes"), lists, rare, group)
+    group, between = _frequent_swept(coded.select("codes"), group)
+    ours = spark.sparkContext.broadcast(pickle.dumps(group))
+    beside = _lists(coded.mapInArrow(_beside(ours), "h bigint, slot int, c bigint"), "slots", "counts")
+    recurring = seen.filter((F.col("c") >= LEAST) & (F.col("h") != int(END.view(np.int64)))).select("h")
+    if n:
+        # the frequent words are in every text; they are known by their rank
+        recurring = recurring.join(F.broadcast(spark.createDataFrame(pa.table({"h": hashes.view(np.int64)}))), "h", "left_anti")
+    none = lambda kind: F.array().cast(kind)
+    words = recurring.join(beside, "h", "left").select(
+        "h", F.lit(CLASSES).cast("bigint").alias("k"), F.coalesce("slots", none("array<int>")).alias("slots"), F.coalesce("counts", none("array<bigint>")).alias("counts")
+    )
+    words = stored(words, "rarer")
+    ours.destroy()
+    pairs = stored(coded.mapInArrow(_rare_pairs(n), "a bigint, b bigint").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "pairs")
+    classes, between = _rarer_swept(words, pairs, between)
+    discard(coded, pairs)
+    return group, classes, between
+
+
+def _likelihood(between: np.ndarray) -> float:
+    return _entropy(between).sum() - _entropy(between.sum(axis=1)).sum() - _entropy(between.sum(axis=0)).sum()
+
+
+def _settled(reached: list[float], tokens: float) -> bool:
+    return len(reached) > 2 and reached[-1] - reached[-3] <= LEAST_GAIN * tokens
 
 
-def _sweeps(coded: DataFrame, near: DataFrame, rare: DataFrame, group: np.ndarray) -> tuple[np.ndarray, DataFrame, np.ndarray]:
-    """The same from the coded texts, the rarer words' lists of neighbours, and the pairs of rarer words."""
+def _frequent_swept(coded: DataFrame, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of the codes, and the pairs by classes, where all rarer words are one class."""
     spark, n, size = coded.sparkSession, len(group) - 2, CLASSES + 2
-    classes = stored(near.select("h", F.lit(CLASSES).cast("bigint").alias("k")), "classes")
     reached: list[float] = []
     while True:
-        classed = rare.join(classes.toDF("a", "ka"), "a").join(classes.toDF("b", "kb"), "b")
-        both = stored(classed.select("a", "b", "ka", "kb", "c"), "classed")
-        ours, matrix = spark.sparkContext.broadcast(pickle.dumps(group)), WIDTH * (n + 2)
-        found = _filled(coded.mapInArrow(_by_class(ours), "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), matrix, "slot")
+        ours = spark.sparkContext.broadcast(pickle.dumps(group))
+        found = _filled(coded.mapInArrow(_by_class(ours), "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), WIDTH * (n + 2), "slot")
+        ours.destroy()
+        found = found.reshape(n + 2, WIDTH)
         between = np.zeros((size, size))
-        np.add.at(between, group, found.reshape(n + 2, WIDTH)[:, :size])
-        moved = near.join(classes, "h").mapInArrow(_moved_pairs(ours), "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c"))
-        change = _filled(moved, matrix + size * size, "slot")
-        found += change[:matrix]
-        between += change[matrix:].reshape(size, size)
-        pairs = both.groupBy("ka", "kb").agg(F.sum("c").alias("c")).toArrow()
-        ka, kb, c = (pairs.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
-        once = np.full(len(c), CLASSES)
-        for i, j, sign in ((ka, kb, 1), (ka, once, -1), (once, kb, -1), (once, once, 1)):  # each was counted from both its words
-            np.add.at(between, (i, j), sign * c)
-        likelihood = _entropy(between).sum() - _entropy(between.sum(axis=1)).sum() - _entropy(between.sum(axis=0)).sum()
+        np.add.at(between, group, found[:, :size])
+        likelihood = _likelihood(between)
         if reached and likelihood < max(reached):
             return best
-        best = group, classes, between
+        best = group, between
         reached.append(likelihood)
-        if len(reached) > 2 and likelihood - reached[-3] <= LEAST_GAIN * between.sum():
+        if not n or _settled(reached, between.sum()):
             return best
-        half = len(reached) % 2
-        sums = spark.sparkContext.broadcast(zlib.compress(pickle.dumps((between, group, found.reshape(n + 2, WIDTH).astype(np.int64))), 1))
-        state = spark.sparkContext.broadcast(pickle.dumps((between, group)))
-        chosen = spark.range(0, n, 1, max(1, n // WORDS_AT_ONCE)).mapInArrow(_chosen(sums, half), "code bigint, k bigint").toArrow()
-        after = F.lit(256) * F.col("c")
-        more = both.select(F.col("a").alias("h"), (after + 2 * F.col("kb")).alias("more"), F.when(F.col("a") == F.col("b"), F.col("c")).otherwise(0).alias("own"))
-        more = more.union(both.select("b", after + 2 * F.col("ka") + 1, F.lit(0).cast("bigint")))
-        more = more.groupBy("h").agg(F.collect_list("more").alias("more"), F.sum("own").alias("own"))
-        whole = near.join(classes, "h").join(more, "h", "left").select(
-            "h", "k", "near", F.coalesce("more", F.array().cast("array<bigint>")).alias("more"), F.coalesce("own", F.lit(0)).alias("own")
-        )
-        classes = stored(whole.mapInArrow(_chosen_rare(state, half), "h bigint, k bigint"), "classes")
+        sums = spark.sparkContext.broadcast(zlib.compress(pickle.dumps((between, group, found.astype(np.int64))), 1))
+        chosen = spark.range(0, n, 1, max(1, n // WORDS_AT_ONCE)).mapInArrow(_chosen(sums, len(reached) % 2), "code bigint, k bigint").toArrow()
+        sums.destroy()
         group = group.copy()
         group[chosen.column("code").to_numpy()] = chosen.column("k").to_numpy()
-        for sent in (ours, sums, state):
-            sent.destroy()  # their files go from every machine
-        spark.sparkContext._jvm.System.gc()  # lets Spark drop the files of this sweep's exchanges
 
 
-def _model(between, group, hashes, counts, total, distinct, ends, once) -> Model:
+def _rarer_swept(words: DataFrame, pairs: DataFrame, lumped: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """(h, k) of the rarer words that recur, and the pairs by classes. ``lumped``: those pairs while rarer words are one class."""
+    spark, size = words.sparkSession, CLASSES + 2
+    reached: list[float] = []
+    best = None
+    while True:
+        k = words.select("h", "k")
+        once = F.lit(CLASSES).cast("bigint")
+        classed = pairs.join(k.toDF("a", "ka"), "a", "left").join(k.toDF("b", "kb"), "b", "left")
+        classed = stored(classed.select("a", "b", F.coalesce("ka", once).alias("ka"), F.coalesce("kb", once).alias("kb"), "c"), "classed")
+        between = lumped.copy()
+        both = classed.groupBy("ka", "kb").agg(F.sum("c").alias("c")).toArrow()
+        ka, kb, c = (both.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
+        between[CLASSES, CLASSES] -= c.sum()
+        np.add.at(between, (ka, kb), c)
+        beside = _filled(words.mapInArrow(_placed_sums, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), size * 2 * size, "slot")
+        beside = beside.reshape(size, size, 2)  # own class, the other's, whether the other comes before
+        for matrix, moved in ((between, beside[:, :, 0]), (between.T, beside[:, :, 1])):
+            matrix += moved
+            matrix[CLASSES] -= moved.sum(axis=0)
+        likelihood = _likelihood(between)
+        if best is not None and likelihood < max(reached):
+            discard(words, classed)
+            return best
+        if best is not None:
+            discard(last)
+        best, last = (k, between), words
+        reached.append(likelihood)
+        if _settled(reached, between.sum()):
+            discard(classed)
+            return best
+        own = F.when((F.col("a") == F.col("b")), F.col("c")).otherwise(0)
+        more = classed.select(F.col("a").alias("h"), (F.col("kb") * 2).cast("int").alias("slot"), "c", own.alias("own"))
+        more = more.union(classed.select("b", (F.col("ka") * 2 + 1).cast("int"), "c", F.lit(0).cast("bigint")))
+        with_more = words.join(_lists(more, "more", "more_counts", F.sum("own").alias("own")), "h", "left")
+        state = spark.sparkContext.broadcast(pickle.dumps(between))
+        words = stored(with_more.mapInArrow(_chosen_rare(state, len(reached) % 2), WORDS), "rarer")
+        state.destroy()
+        discard(classed)
+
+
+def _model(between, group, hashes, counts, total, distinct, ends, once, twice) -> Model:
     size = CLASSES + 2
     share = (between.sum(axis=0) + 1) / (between.sum() + size)
     step = np.log10((between + WIDER * share) / (between.sum(axis=1, keepdims=True) + WIDER))
     of, tokens = group[:-2], between.sum(axis=0)
     emit = np.log10(counts / tokens[of])
-    return Model(hashes, counts, np.arange(len(hashes)), group, tokens, total, distinct, ends, step, emit, once)
+    kept = min(max(2 * twice / once, KEPT[0]), KEPT[1]) if once else KEPT[1]
+    unseen = ((1 - kept) * once + 1) / kept  # one token more, so that they have a share without any text too
+    return Model(hashes, counts, np.arange(len(hashes)), group, tokens, total, distinct, ends, step, emit, once, kept, unseen)
 
 
 def scored(docs: DataFrame, model: Model, seen: DataFrame, key: str, text: str) -> DataFrame:
@@ -558,7 +614,7 @@ def scored(docs: DataFrame, model: Model, seen: DataFrame, key: str, text: str)
     words = sums.select("row", F.explode("rare").alias("w")).select("row", "w.*")
     c, k = F.coalesce("c", F.lit(0)), F.coalesce("k", once)
     emission = F.when(F.col("k").isNotNull(), c / F.element_at(tokens, (k + 1).cast("int")))
-    emission = emission.otherwise(F.when(c > 0, c - DISCOUNT).otherwise(DISCOUNT * model.rare + 1) / F.lit(model.rare + 1))
+    emission = emission.otherwise(F.lit(model.kept / (model.rare + 1)))
     steps_of = F.when(F.col("before") >= 0, step(F.col("before"), k)).otherwise(0) + F.when(F.col("after") >= 0, step(k, F.col("after"))).otherwise(0)
     of_words = words.join(seen, "h", "left").select("row", F.when(c > 0, 1).otherwise(0).alias("_known"), F.log10((c + 1) / F.lit(slots)).alias("_base"), (F.log10(emission) + steps_of).alias("_score"))
     classes = seen.filter("k is not null").select("h", "k")

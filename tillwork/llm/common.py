@@ -29,7 +29,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     if _recording is not None:
         _recording.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``stored`` returned; nothing may read them any more."""
+    for frame in frames:
+        _remove(frame.sparkSession, frame._stored_at)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _recording: list[str] | None = None
@@ -47,8 +60,7 @@ def stage(fn: Callable) -> Callable:
     def run(spark: SparkSession, *args):
         global _recording
         for path in _left:
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            _remove(spark, path)
         _left.clear()
         _recording = []
         try:
