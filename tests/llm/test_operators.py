@@ -263,7 +263,8 @@ def test_invented_words_cost_no_less_than_words_of_the_texts(spark, folder, text
         rest = seen.filter(f"k = {k}").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0] / model.tokens[k]
         assert chances[of == k].sum() + rest == pytest.approx(1)
     assert model.kept / (model.rare + 1) * (model.rare + model.unseen) == pytest.approx(1)
-    least = min(chances.min(), seen.filter("k is not null").agg(F.min(F.col("c"))).first()[0] / max(model.tokens))
+    fewest = seen.filter("k is not null").agg(F.min("c")).first()[0]
+    least = min(chances.min(), fewest / max(model.tokens) if fewest else 1)
     assert model.kept / (model.rare + 1) * 10 ** model.step[:, class_lm.CLASSES].mean() < least
 
 

@@ -152,11 +152,17 @@ def learned(texts: DataFrame, seen: DataFrame) -> tuple[Model, DataFrame]:
     rank = np.arange(len(hashes))
     item = np.where(rank < CORE, rank, min(CORE, len(rank)) + (rank - CORE) // BLOCK)
     items = (int(item.max()) + 1 if len(item) else 0) + 2
-    pairs = spark.sparkContext.broadcast(pickle.dumps((hashes, item, items)))
-    sums = texts.mapInArrow(_pair_counts(pairs), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
+    packed = spark.sparkContext.broadcast(pickle.dumps(hashes))
+    coded = stored(texts.mapInArrow(_coded(packed), "codes array<int>, rare array<bigint>"), "coded")
+    packed.destroy()
+    of_codes = np.concatenate([item, [items - 2, items - 1]]).astype(np.int64)
+    kinds = spark.sparkContext.broadcast(pickle.dumps((of_codes, items)))
+    sums = coded.select("codes").mapInArrow(_pair_counts(kinds), "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
     start = exchanged(_filled(sums, items * items, "pair").reshape(items, items), CLASSES)
+    kinds.destroy()
     group = np.concatenate([start[item] if len(item) else np.zeros(0, np.int64), [CLASSES, CLASSES + 1]]).astype(np.int64)
-    group, classes, between = _swept(texts, hashes, group, seen)
+    group, classes, between = _swept(coded, hashes, group, seen)
+    discard(coded)
     return _model(between, group, hashes, counts, total, distinct, ends, float(once), float(twice)), classes
 
 
@@ -167,27 +173,19 @@ def _filled(sums: DataFrame, size: int, key: str) -> np.ndarray:
 
 
 def _pair_counts(packed):
+    """(pair, c): how often the item of one code comes before that of another."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, item, items = pickle.loads(packed.value)
-        lookup, total = Lookup(hashes), np.zeros(items * items, dtype=np.int64)
+        item, items = pickle.loads(packed.value)
+        total = np.zeros(items * items, dtype=np.int64)
         for batch in batches:
-            for block in W.blocks(batch.column(0), W.WHITE):
-                _, h = _tokens(block)
-                of = _items(lookup(h), h, item, items)
-                before = np.concatenate(([items - 1], of[:-1]))  # after an end comes the next text
-                total += np.bincount(before * items + of, minlength=items * items)
-        pair = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "c"])
+            before, code = _after_ends(batch, len(item) - 2)
+            total += np.bincount(item[before] * items + item[code], minlength=items * items)
+        yield _nonzero(total).rename_columns(["pair", "c"])
 
     return run
 
 
-def _items(rank: np.ndarray, h: np.ndarray, item: np.ndarray, items: int) -> np.ndarray:
-    of = np.where(rank >= 0, item[rank] if len(item) else 0, items - 2)
-    of[h == END] = items - 1
-    return of
-
-
 def _entropy(n: np.ndarray) -> np.ndarray:
     return n * np.log(np.maximum(n, 1))
 
@@ -316,7 +314,8 @@ def _rare_pairs(n: int):
 
 
 def _by_class(packed):
-    """(slot, c): pairs of each code by the class of its neighbour, that after it, then that before it; last its pairs with itself."""
+    """(part, sums): for ``WORDS_AT_ONCE`` codes a part, the pairs of each code by the class of its neighbour, that after it, then that
+    before it; last its pairs with itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = pickle.loads(packed.value)
@@ -327,11 +326,44 @@ def _by_class(packed):
             total += np.bincount(before * WIDTH + group[code], minlength=len(total))
             total += np.bincount(code * WIDTH + size + group[before], minlength=len(total))
             total += np.bincount(code[before == code] * WIDTH + 2 * size, minlength=len(total))
-        yield _nonzero(total)
+        yield from _parts(total)
 
     return run
 
 
+def _parts(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    width = WIDTH * WORDS_AT_ONCE
+    for part in range(0, -(-len(total) // width)):
+        sums = total[part * width : (part + 1) * width]
+        if sums.any():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["part", "sums"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts that come, one after another, added up; each is of a bounded size."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, sums in zip(batch.column("part").to_pylist(), batch.column("sums")):
+            more = np.frombuffer(sums.as_buffer(), dtype=np.int64)
+            held[part] = held[part] + more if part in held else more.copy()
+    for part, sums in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["part", "sums"])
+
+
+def _sums_by_class(coded: DataFrame, group: np.ndarray) -> np.ndarray:
+    """The rows of ``_by_class`` of all texts: a table of codes by ``WIDTH``."""
+    spark, out = coded.sparkSession, np.zeros(WIDTH * len(group))
+    ours = spark.sparkContext.broadcast(pickle.dumps(group))
+    parts = -(-len(group) // WORDS_AT_ONCE)
+    summed = coded.mapInArrow(_by_class(ours), "part bigint, sums binary").repartition(parts, "part").mapInArrow(_added, "part bigint, sums binary")
+    table = summed.toArrow()
+    for part, sums in zip(table.column("part").to_pylist(), table.column("sums")):
+        sums = np.frombuffer(sums.as_buffer(), dtype=np.int64)
+        out[part * WIDTH * WORDS_AT_ONCE :][: len(sums)] = sums
+    ours.destroy()
+    return out.reshape(len(group), WIDTH)
+
+
 def _nonzero(total: np.ndarray) -> pa.RecordBatch:
     slot = np.flatnonzero(total)
     return pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "c"])
@@ -432,12 +464,9 @@ def _lists(rows: DataFrame, slots: str, counts: str, *more: Column) -> DataFrame
     return sums.groupBy("h").agg(F.collect_list("slot").alias(slots), F.collect_list("c").alias(counts), *[F.sum("own").alias("own") for _ in more])
 
 
-def _swept(texts: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFrame) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+def _swept(coded: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFrame) -> tuple[np.ndarray, DataFrame, np.ndarray]:
     """The classes of the codes, (h, k) of the rarer words that recur, and the pairs by classes, after sweeps over all words."""
-    spark, n = texts.sparkSession, len(hashes)
-    packed = spark.sparkContext.broadcast(pickle.dumps(hashes))
-    coded = stored(texts.mapInArrow(_coded(packed), "codes array<int>, rare array<bigint>"), "coded")
-    packed.destroy()
+    spark, n = coded.sparkSession, len(hashes)
     group, between = _frequent_swept(coded.select("codes"), group)
     ours = spark.sparkContext.broadcast(pickle.dumps(group))
     beside = _lists(coded.mapInArrow(_beside(ours), "h bigint, slot int, c bigint"), "slots", "counts")
@@ -453,7 +482,7 @@ def _swept(texts: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFr
     ours.destroy()
     pairs = stored(coded.mapInArrow(_rare_pairs(n), "a bigint, b bigint").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "pairs")
     classes, between = _rarer_swept(words, pairs, between)
-    discard(coded, pairs)
+    discard(pairs)
     return group, classes, between
 
 
@@ -470,10 +499,7 @@ def _frequent_swept(coded: DataFrame, group: np.ndarray) -> tuple[np.ndarray, np
     spark, n, size = coded.sparkSession, len(group) - 2, CLASSES + 2
     reached: list[float] = []
     while True:
-        ours = spark.sparkContext.broadcast(pickle.dumps(group))
-        found = _filled(coded.mapInArrow(_by_class(ours), "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), WIDTH * (n + 2), "slot")
-        ours.destroy()
-        found = found.reshape(n + 2, WIDTH)
+        found = _sums_by_class(coded, group)
         between = np.zeros((size, size))
         np.add.at(between, group, found[:, :size])
         likelihood = _likelihood(between)
