@@ -34,7 +34,6 @@ key passes through.
 from __future__ import annotations
 
 import pickle
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,7 +51,7 @@ LEAST = 2  # words that occur once are rare ones at any size: they tell how ofte
 CORE = 960
 BLOCK = 1_024  # ranks of the frequent words beyond the core that share an item
 CLASSES = 32
-LEAST_GAIN = 0.002  # nats a token
+LEAST_GAIN = 0.005  # nats a token
 WORDS_AT_ONCE = 4_096
 WIDTH = 2 * (CLASSES + 2) + 1  # sums of a frequent word
 KEPT = (0.05, 0.95)  # bounds of what a word that occurred once is expected to occur
@@ -323,45 +322,62 @@ def _by_class(packed):
         total = np.zeros(WIDTH * len(group), dtype=np.int64)
         for batch in batches:
             before, code = _after_ends(batch, n)
-            total += np.bincount(before * WIDTH + group[code], minlength=len(total))
-            total += np.bincount(code * WIDTH + size + group[before], minlength=len(total))
-            total += np.bincount(code[before == code] * WIDTH + 2 * size, minlength=len(total))
-        yield from _parts(total)
+            places = before * WIDTH + group[code], code * WIDTH + size + group[before], code[before == code] * WIDTH + 2 * size
+            total += np.bincount(np.concatenate(places), minlength=len(total))
+        width = WIDTH * WORDS_AT_ONCE
+        yield from _parts({i: total[i * width : (i + 1) * width] for i in range(-(-len(total) // width))})
 
     return run
 
 
-def _parts(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    width = WIDTH * WORDS_AT_ONCE
-    for part in range(0, -(-len(total) // width)):
-        sums = total[part * width : (part + 1) * width]
-        if sums.any():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["part", "sums"])
+PART = "part bigint, kind string, sums binary"
+
+
+def _parts(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The parts that are not all zero, each in the smallest numbers that hold it."""
+    for part, sums in found.items():
+        if most := int(sums.max(initial=0)):
+            kind = "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<i8"
+            columns = [pa.array([part], pa.int64()), pa.array([kind]), pa.array([sums.astype(kind).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "kind", "sums"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    for batch in batches:
+        for part, kind, sums in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("sums")):
+            yield part, np.frombuffer(sums.as_buffer(), dtype=kind)
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The parts that come, one after another, added up; each is of a bounded size."""
     held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, sums in zip(batch.column("part").to_pylist(), batch.column("sums")):
-            more = np.frombuffer(sums.as_buffer(), dtype=np.int64)
-            held[part] = held[part] + more if part in held else more.copy()
-    for part, sums in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["part", "sums"])
+    for part, sums in _unpacked(batches):
+        held[part] = held[part] + sums if part in held else sums.astype(np.int64)
+    yield from _parts(held)
 
 
-def _sums_by_class(coded: DataFrame, group: np.ndarray) -> np.ndarray:
-    """The rows of ``_by_class`` of all texts: a table of codes by ``WIDTH``."""
-    spark, out = coded.sparkSession, np.zeros(WIDTH * len(group))
-    ours = spark.sparkContext.broadcast(pickle.dumps(group))
+def _sums_by_class(coded: DataFrame, group: np.ndarray) -> DataFrame:
+    """The sums of ``_by_class`` over all texts, as a written table of parts."""
+    ours = coded.sparkSession.sparkContext.broadcast(pickle.dumps(group))
     parts = -(-len(group) // WORDS_AT_ONCE)
-    summed = coded.mapInArrow(_by_class(ours), "part bigint, sums binary").repartition(parts, "part").mapInArrow(_added, "part bigint, sums binary")
-    table = summed.toArrow()
-    for part, sums in zip(table.column("part").to_pylist(), table.column("sums")):
-        sums = np.frombuffer(sums.as_buffer(), dtype=np.int64)
-        out[part * WIDTH * WORDS_AT_ONCE :][: len(sums)] = sums
+    summed = stored(coded.mapInArrow(_by_class(ours), PART).repartition(parts, "part").mapInArrow(_added, PART), "sums")
     ours.destroy()
-    return out.reshape(len(group), WIDTH)
+    return summed
+
+
+def _pairs_by_class(summed: DataFrame, group: np.ndarray) -> np.ndarray:
+    """The matrix of classes by classes that the sums add up to."""
+    size = CLASSES + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between = np.zeros((size, size), dtype=np.int64)
+        for part, sums in _unpacked(batches):
+            sums = sums.reshape(-1, WIDTH)[:, :size].astype(np.int64)
+            np.add.at(between, group[part * WORDS_AT_ONCE :][: len(sums)], sums)
+        yield _nonzero(between.ravel())
+
+    rows = summed.mapInArrow(run, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c"))
+    return _filled(rows, size * size, "slot").reshape(size, size)
 
 
 def _nonzero(total: np.ndarray) -> pa.RecordBatch:
@@ -414,12 +430,15 @@ def _chosen(packed, half: int):
     """(code, k): the new classes of the frequent words of one half."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        between, group, sums = pickle.loads(zlib.decompress(packed.value))
-        for batch in batches:
-            code = batch.column(0).to_numpy()
-            code = code[code % 2 == half]
-            out, into, own = (x.astype(float) for x in np.split(sums[code], [CLASSES + 2, 2 * (CLASSES + 2)], axis=1))
-            r, own, old = np.arange(len(code)), own[:, 0], group[code]
+        between, group = pickle.loads(packed.value)
+        size = CLASSES + 2
+        for part, sums in _unpacked(batches):
+            sums = sums.reshape(-1, WIDTH)
+            code = part * WORDS_AT_ONCE + np.arange(len(sums))
+            ours = (code % 2 == half) & (code < len(group) - 2)
+            code, sums = code[ours], sums[ours].astype(float)
+            out, into, own = sums[:, :size].copy(), sums[:, size : 2 * size].copy(), sums[:, 2 * size]
+            r, old = np.arange(len(code)), group[code]
             out[r, old] -= own
             into[r, old] -= own
             k = _best(between, out, into, own, old)
@@ -428,8 +447,8 @@ def _chosen(packed, half: int):
     return run
 
 
-def _chosen_rare(packed, half: int):
-    """The rarer words with their classes after those of one half, and those without a class, have chosen."""
+def _chosen_rare(packed):
+    """The rarer words with the classes that they choose."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         between = pickle.loads(packed.value)
@@ -449,7 +468,7 @@ def _chosen_rare(packed, half: int):
                 r = np.arange(len(h))
                 sums[r, 0, old] -= own
                 sums[r, 1, old] -= own
-                k = np.where((h & 1 == half) | (old == CLASSES), _best(between, sums[:, 0], sums[:, 1], own, old), old)
+                k = _best(between, sums[:, 0], sums[:, 1], own, old)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), batch.column("slots"), batch.column("counts")], names=["h", "k", "slots", "counts"])
 
     return run
@@ -496,22 +515,23 @@ def _settled(reached: list[float], tokens: float) -> bool:
 
 def _frequent_swept(coded: DataFrame, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The classes of the codes, and the pairs by classes, where all rarer words are one class."""
-    spark, n, size = coded.sparkSession, len(group) - 2, CLASSES + 2
+    spark, n = coded.sparkSession, len(group) - 2
     reached: list[float] = []
     while True:
-        found = _sums_by_class(coded, group)
-        between = np.zeros((size, size))
-        np.add.at(between, group, found[:, :size])
+        summed = _sums_by_class(coded, group)
+        between = _pairs_by_class(summed, group)
         likelihood = _likelihood(between)
-        if reached and likelihood < max(reached):
-            return best
-        best = group, between
-        reached.append(likelihood)
-        if not n or _settled(reached, between.sum()):
+        worse = bool(reached) and likelihood < max(reached)
+        if not worse:
+            best = group, between
+            reached.append(likelihood)
+        if worse or not n or _settled(reached, between.sum()):
+            discard(summed)
             return best
-        sums = spark.sparkContext.broadcast(zlib.compress(pickle.dumps((between, group, found.astype(np.int64))), 1))
-        chosen = spark.range(0, n, 1, max(1, n // WORDS_AT_ONCE)).mapInArrow(_chosen(sums, len(reached) % 2), "code bigint, k bigint").toArrow()
-        sums.destroy()
+        state = spark.sparkContext.broadcast(pickle.dumps((between, group)))
+        chosen = summed.mapInArrow(_chosen(state, len(reached) % 2), "code bigint, k bigint").toArrow()
+        state.destroy()
+        discard(summed)
         group = group.copy()
         group[chosen.column("code").to_numpy()] = chosen.column("k").to_numpy()
 
@@ -519,40 +539,46 @@ def _frequent_swept(coded: DataFrame, group: np.ndarray) -> tuple[np.ndarray, np
 def _rarer_swept(words: DataFrame, pairs: DataFrame, lumped: np.ndarray) -> tuple[DataFrame, np.ndarray]:
     """(h, k) of the rarer words that recur, and the pairs by classes. ``lumped``: those pairs while rarer words are one class."""
     spark, size = words.sparkSession, CLASSES + 2
+    of_half = lambda frame, half: frame.filter(F.col("h").bitwiseAND(1) == half)
+    halves = [stored(of_half(words, half), "rarer") for half in (0, 1)]
+    replaced: list[DataFrame] = [words]
     reached: list[float] = []
     best = None
     while True:
-        k = words.select("h", "k")
+        both = halves[0].union(halves[1])
+        k = both.select("h", "k")
         once = F.lit(CLASSES).cast("bigint")
         classed = pairs.join(k.toDF("a", "ka"), "a", "left").join(k.toDF("b", "kb"), "b", "left")
         classed = stored(classed.select("a", "b", F.coalesce("ka", once).alias("ka"), F.coalesce("kb", once).alias("kb"), "c"), "classed")
         between = lumped.copy()
-        both = classed.groupBy("ka", "kb").agg(F.sum("c").alias("c")).toArrow()
-        ka, kb, c = (both.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
+        found = classed.groupBy("ka", "kb").agg(F.sum("c").alias("c")).toArrow()
+        ka, kb, c = (found.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
         between[CLASSES, CLASSES] -= c.sum()
         np.add.at(between, (ka, kb), c)
-        beside = _filled(words.mapInArrow(_placed_sums, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), size * 2 * size, "slot")
+        beside = _filled(both.mapInArrow(_placed_sums, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), size * 2 * size, "slot")
         beside = beside.reshape(size, size, 2)  # own class, the other's, whether the other comes before
         for matrix, moved in ((between, beside[:, :, 0]), (between.T, beside[:, :, 1])):
             matrix += moved
             matrix[CLASSES] -= moved.sum(axis=0)
         likelihood = _likelihood(between)
         if best is not None and likelihood < max(reached):
-            discard(words, classed)
+            discard(classed)
             return best
-        if best is not None:
-            discard(last)
-        best, last = (k, between), words
+        discard(*replaced)
+        best = k, between
         reached.append(likelihood)
         if _settled(reached, between.sum()):
             discard(classed)
             return best
-        own = F.when((F.col("a") == F.col("b")), F.col("c")).otherwise(0)
+        turn = (0, 1) if len(reached) == 1 else (len(reached) % 2,)  # at first none has a class
+        replaced, halves = [halves[half] for half in turn], list(halves)
+        state = spark.sparkContext.broadcast(pickle.dumps(between))
+        own = F.when(F.col("a") == F.col("b"), F.col("c")).otherwise(0)
         more = classed.select(F.col("a").alias("h"), (F.col("kb") * 2).cast("int").alias("slot"), "c", own.alias("own"))
         more = more.union(classed.select("b", (F.col("ka") * 2 + 1).cast("int"), "c", F.lit(0).cast("bigint")))
-        with_more = words.join(_lists(more, "more", "more_counts", F.sum("own").alias("own")), "h", "left")
-        state = spark.sparkContext.broadcast(pickle.dumps(between))
-        words = stored(with_more.mapInArrow(_chosen_rare(state, len(reached) % 2), WORDS), "rarer")
+        for half in turn:
+            lists = _lists(of_half(more, half), "more", "more_counts", F.sum("own").alias("own"))
+            halves[half] = stored(halves[half].join(lists, "h", "left").mapInArrow(_chosen_rare(state), WORDS), "rarer")
         state.destroy()
         discard(classed)
 
