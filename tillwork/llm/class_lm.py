@@ -477,10 +477,38 @@ def _chosen_rare(packed):
 WORDS = "h bigint, k bigint, slots array<int>, counts array<bigint>"
 
 
-def _lists(rows: DataFrame, slots: str, counts: str, *more: Column) -> DataFrame:
-    """(h, slot, c) as two lists a word, at most one entry for each slot."""
-    sums = rows.repartition("h").groupBy("h", "slot").agg(F.sum("c").alias("c"), *more)
-    return sums.groupBy("h").agg(F.collect_list("slot").alias(slots), F.collect_list("c").alias(counts), *[F.sum("own").alias("own") for _ in more])
+def _lists(rows: DataFrame, slots: str, counts: str) -> DataFrame:
+    """(h, slot, c, own) as two lists a word, one entry for each slot, and the sum of ``own``."""
+    ordered = rows.select("h", "slot", "c", "own").repartition("h").sortWithinPartitions("h")
+    return ordered.mapInArrow(_listed, f"h bigint, {slots} array<int>, {counts} array<bigint>, own bigint")
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that come by word; what is held of a word that goes on in the next batch is one row for each slot."""
+    held = tuple(np.zeros(0, np.int64) for _ in range(4))
+
+    def summed(h: np.ndarray, slot: np.ndarray, c: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((slot, h))
+        h, slot, c, own = h[order], slot[order], c[order], own[order]
+        first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (slot[1:] != slot[:-1])))) if len(h) else np.zeros(0, np.int64)
+        return (h[first], slot[first], np.add.reduceat(c, first), np.add.reduceat(own, first)) if len(h) else (h, slot, c, own)
+
+    def out(h: np.ndarray, slot: np.ndarray, c: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        at = pa.array(np.append(first, len(h)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (slot.astype(np.int32), c)]
+        return pa.RecordBatch.from_arrays([pa.array(h[first]), *lists, pa.array(np.add.reduceat(own, first))], names=["h", "slots", "counts", "own"])
+
+    for batch in batches:
+        rows = summed(*[np.concatenate([x, batch.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held)])
+        if not len(rows[0]):
+            continue
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        held = tuple(x[cut:] for x in rows)
+        if cut:
+            yield out(*[x[:cut] for x in rows])
+    if len(held[0]):
+        yield out(*held)
 
 
 def _swept(coded: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFrame) -> tuple[np.ndarray, DataFrame, np.ndarray]:
@@ -488,7 +516,8 @@ def _swept(coded: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFr
     spark, n = coded.sparkSession, len(hashes)
     group, between = _frequent_swept(coded.select("codes"), group)
     ours = spark.sparkContext.broadcast(pickle.dumps(group))
-    beside = _lists(coded.mapInArrow(_beside(ours), "h bigint, slot int, c bigint"), "slots", "counts")
+    beside = coded.mapInArrow(_beside(ours), "h bigint, slot int, c bigint").withColumn("own", F.lit(0).cast("bigint"))
+    beside = _lists(beside, "slots", "counts").drop("own")
     recurring = seen.filter((F.col("c") >= LEAST) & (F.col("h") != int(END.view(np.int64)))).select("h")
     if n:
         # the frequent words are in every text; they are known by their rank
@@ -577,7 +606,7 @@ def _rarer_swept(words: DataFrame, pairs: DataFrame, lumped: np.ndarray) -> tupl
         more = classed.select(F.col("a").alias("h"), (F.col("kb") * 2).cast("int").alias("slot"), "c", own.alias("own"))
         more = more.union(classed.select("b", (F.col("ka") * 2 + 1).cast("int"), "c", F.lit(0).cast("bigint")))
         for half in turn:
-            lists = _lists(of_half(more, half), "more", "more_counts", F.sum("own").alias("own"))
+            lists = _lists(of_half(more, half), "more", "more_counts")
             halves[half] = stored(halves[half].join(lists, "h", "left").mapInArrow(_chosen_rare(state), WORDS), "rarer")
         state.destroy()
         discard(classed)
