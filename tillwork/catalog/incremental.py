@@ -6,17 +6,20 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from ..functions.text import embedded_json, embedded_value
 from ..functions.time import business_periods, period_days, tag_period
 from ..operators.distinct import day_bitmaps, distinct_count, numbered
 from ..operators.joins import in_windows, sized
+from ..operators.observed import observed
 from ..operators.metrics import metric_histogram, scoped_totals, sla_columns, sla_finish
 from ..plans import sla as P
 from ..plans import sla_days as D
 from ..plans.soldout import with_alert_key
-from ..sources import keylog, landed, sinks, versions
+from ..sources import dimensions, keylog, landed, sinks, versions
 from ..streaming import alerts as A
+from ..streaming import landing as L
 from . import roles as R
-from .landing import place
+from .landing import land, named_code, place
 from .registry import query
 from .sla import lines as sla_lines
 from .sla import matrix_sql, mean, p
@@ -207,3 +210,147 @@ def running_hour(spark, folder):
     kept = tag_period(orders.filter(keylog.of_days("business_day", period_days(periods))), "o_orderdate", periods)
     return kept.groupBy("period", F.col("business_day").cast("string").alias("business_day")).agg(F.count(F.lit(1)).alias("orders"))
 
+
+
+# --- what lands -------------------------------------------------------------
+
+EVENTS = "branch_code string, event_type string, item_name string, event_time timestamp_ntz, business_date date, batch_id bigint"
+
+
+@query(
+    "landed_once",
+    """SELECT CAST(user_id AS VARCHAR) AS branch_code, event_type, CAST(event_id AS VARCHAR) AS item_name,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, CAST(CAST(ts AS DATE) AS VARCHAR) AS business_date FROM events""",
+)
+def landed_once(spark, folder):
+    """Two drops of pages, the second with a third of the first's records again; then the days are compacted and nothing has arrived."""
+    root, table, checkpoint = place(spark, "drops"), place(spark, "landed"), place(spark, "checkpoint")
+    e = R.table(spark, folder, "events")
+    pages = e.select(
+        *named_code(F.col("user_id").cast("string"), F.col("event_id")),
+        F.col("event_type").alias("eventType"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("eventDate"),
+        F.col("event_id").cast("string").alias("itemName"),
+    )
+    number = F.col("itemName").cast("bigint")
+    for drop in (number % 2 == 0, (number % 2 == 1) | (number % 3 == 0), F.lit(False)):
+        land(pages.filter(drop), F.to_date("eventDate"), f"{root}/next")
+        versions.move_files(spark, f"{root}/next", f"{root}/in")
+        arrived = landed.soldout_events(spark, f"{root}/in", enveloped=True, stream=True)
+        records = arrived.select("branch_code", "event_type", "item_name", "event_time", F.col("event_day").alias("business_date"))
+        L.land_available(records, table, checkpoint, EVENTS, ["item_name"], "event_time")
+    keylog.compact(spark, table, EVENTS, "batch_id")
+    out = L.landed_table(spark, table, EVENTS)
+    return out.select(
+        "branch_code", "event_type", "item_name", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+        F.col("business_date").cast("string").alias("business_date"),
+    )
+
+
+def variants(spark, folder):
+    """Events as snapshot records: on odd days the value is text, and later ones carry a field more."""
+    e = R.table(spark, folder, "events")
+    odd = F.dayofmonth("ts") % 2 == 1
+    common = [F.col("user_id").cast("string").alias("branchCode"), F.col("event_id")]
+    plain = F.to_json(F.struct(*common, F.col("value")))
+    text = F.to_json(F.struct(*common, F.col("value").cast("string").alias("value"), F.col("event_type").alias("kind")))
+    path = place(spark, "variants")
+    e.select(F.when(odd, text).otherwise(plain).alias("value"), F.to_date("ts").alias(landed.DAY)).write.partitionBy(landed.DAY).text(path)
+    return landed.snapshot_variants(spark, path)
+
+
+@query(
+    "variant_snapshot",
+    """SELECT CAST(user_id AS VARCHAR) AS "branchCode", event_id, CAST(value AS DOUBLE) AS value,
+       CASE WHEN day(ts) % 2 = 1 THEN event_type END AS kind FROM events""",
+)
+def variant_snapshot(spark, folder):
+    """Two fields read by path and typed, whatever type they were landed with."""
+    rows = variants(spark, folder)
+    return rows.select(
+        "branchCode",
+        F.variant_get("record", "$.event_id", "bigint").alias("event_id"),
+        F.try_variant_get("record", "$.value", "double").alias("value"),
+        F.variant_get("record", "$.kind", "string").alias("kind"),
+    )
+
+
+@query(
+    "variant_drift",
+    """WITH d AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS business_day FROM events WHERE day(ts) % 2 = 1)
+SELECT business_day, 'value' AS field, 'STRING' AS type, 'DOUBLE' AS declared FROM d UNION ALL SELECT business_day, 'kind', 'STRING', NULL FROM d""",
+)
+def variant_drift(spark, folder):
+    """Per day, the fields whose type is not the declared one, and fields nobody declared; numbers of any width are one type."""
+    types = landed.field_types(variants(spark, folder), [landed.DAY])
+    numeric = F.when(F.col("type").rlike("^(DECIMAL|DOUBLE)") & (F.col("field") == "value"), "DOUBLE").otherwise(F.col("type"))
+    declared = {"branchCode": "STRING", "event_id": "BIGINT", "value": "DOUBLE"}
+    drift = landed.drifted(types.withColumn("type", numeric), [landed.DAY], declared)
+    return drift.select(F.col(landed.DAY).cast("string").alias("business_day"), "field", "type", "declared")
+
+
+@query(
+    "observed_run",
+    f"""WITH {R.STORES_SQL}, {R.ITEMS_SQL}, l AS (SELECT *, upper(trim(p_name)) AS item_key FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+j AS (SELECT s.branch_code, i.product_mix FROM l LEFT JOIN stores s ON CAST(l_suppkey AS VARCHAR) = s.branch_code LEFT JOIN items i USING (item_key))
+SELECT 'rows' AS metric, CAST(count(*) AS BIGINT) AS value FROM j UNION ALL SELECT 'without_store', count(*) FILTER (branch_code IS NULL) FROM j
+UNION ALL SELECT 'without_mix', count(*) FILTER (product_mix IS NULL) FROM j
+UNION ALL SELECT 'reported', count(*) FILTER (branch_code IS NOT NULL AND product_mix IS NOT NULL) FROM j""",
+)
+def observed_run(spark, folder):
+    """Rows read, without store, without product mix, and reported: counted while the report is written, by the same scan."""
+    lines = R.sales_lines(spark, folder).select("branch_code", F.upper(F.trim("item_name")).alias("item_key"), "net")
+    stores = R.stores(spark, folder).select("branch_code", "region", F.lit(True).alias("_store"))
+    items = R.items(spark, folder).select("item_key", "product_mix")
+    joined = lines.join(sized(stores, "stores"), "branch_code", "left").join(sized(items, "items"), "item_key", "left")
+    seen, read = observed(joined, "read", without_store=F.col("_store").isNull(), without_mix=F.col("product_mix").isNull())
+    kept, reported = observed(seen.filter("_store and product_mix is not null"), "reported")
+    kept.groupBy("region", "product_mix").agg(F.sum("net").alias("net")).write.parquet(place(spark, "observed"))
+    counts = [(k, read.get[k]) for k in ("rows", "without_store", "without_mix")] + [("reported", reported.get["rows"])]
+    return spark.createDataFrame(counts, "metric string, value bigint")
+
+
+@query(
+    "embedded_pages",
+    """SELECT CAST(p_partkey AS BIGINT) AS page_id, p_name || ' "' || p_brand || '" </script>' AS name, CAST(p_size AS DOUBLE) / 10 AS rating,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_partkey * 3 AS VARCHAR) END AS reviews FROM part""",
+)
+def embedded_pages(spark, folder):
+    """Fields of the pages' embedded JSON, in either order, with quotes and a closing tag inside; a fifth of the pages has the rating as text only."""
+    p = R.table(spark, folder, "part")
+    name = F.concat("p_name", F.lit(' "'), "p_brand", F.lit('" </script>')).alias("name")
+    rating = F.struct((F.col("p_size") / 10).cast("string").alias("ratingValue"), (F.col("p_partkey") * 3).alias("reviewCount"))
+    first, second = F.to_json(F.struct(name, rating.alias("aggregateRating"))), F.to_json(F.struct(rating.alias("aggregateRating"), name))
+    text = F.when(F.col("p_partkey") % 2 == 0, first).otherwise(second)
+    text = F.when(F.col("p_partkey") % 5 == 0, F.to_json(F.struct(name))).otherwise(text)
+    block = F.concat(F.lit('<script>var x = {"name": 1};</script><script type="application/ld+json">'), F.replace(text, F.lit("</"), F.lit("<\\/")), F.lit("</script>"))
+    html = F.concat(block, F.lit("<b>rating: "), (F.col("p_size") / 10).cast("string"), F.lit("</b>"))
+    pages = p.select(F.col("p_partkey").alias("page_id"), html.alias("html")).withColumn("_json", embedded_json("html"))
+    return pages.select(
+        "page_id",
+        F.get_json_object("_json", "$.name").alias("name"),
+        embedded_value("_json", "$.aggregateRating.ratingValue", "html", r"rating: ([\d.]+)").cast("double").alias("rating"),
+        F.get_json_object("_json", "$.aggregateRating.reviewCount").alias("reviews"),
+    )
+
+
+@query(
+    "listing_sheet",
+    f"""WITH {R.STORES_SQL} SELECT 'B' || branch_code AS listing_a, CAST(CAST(branch_code AS BIGINT) * 3 AS VARCHAR) AS listing_b, store_name, upper(r) AS region
+FROM (SELECT *, (SELECT r_name FROM region JOIN nation ON r_regionkey = n_regionkey WHERE n_name = am_name) AS r FROM stores)""",
+)
+def listing_sheet(spark, folder):
+    """The listings of company-owned stores from their sheet."""
+    s = R.store_sheet(spark, folder)
+    rows = s.select(
+        F.concat(F.lit(" B"), "branch_code", F.lit(" ")).alias("S_RID"),
+        (F.col("branch_code").cast("bigint") * 3).cast("string").alias("Z_RID"),
+        F.col("am_name").alias("Brand Name"),
+        F.col("store_name").alias("Store Name"),
+        F.col("region").alias("Region"),
+        F.col("ownership").alias("Store Type"),
+    )
+    path = place(spark, "listings")
+    rows.write.option("header", True).csv(path)
+    out = dimensions.listing_dim(spark, path)
+    return out.select("listing_a", "listing_b", "store_name", F.upper(F.trim("region")).alias("region"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -130,6 +131,20 @@ def voucher_code(discounts: Column | str) -> Column:
     return listed_offer(discounts, VOUCHER_PATTERN)
 
 
+def embedded_json(html: Column | str, kind: str = "application/ld+json") -> Column:
+    """The JSON text of a page's first script block of a type, missing if there is none or it is no JSON.
+
+    The block ends at the first closing tag, as in HTML: JSON inside writes it with an escaped slash.
+    """
+    block = captured(html, rf"(?is)<script[^>]*\btype=[\"']?{re.escape(kind)}[\"']?[^>]*>\s*(.*?)\s*</script")
+    return F.when(F.try_parse_json(block).isNotNull(), block)
+
+
+def embedded_value(block: Column | str, path: str, html: Column | str, pattern: str) -> Column:
+    """A field of the embedded JSON by its path, wherever it stands; the pattern over the page where the block has none."""
+    return F.coalesce(F.get_json_object(as_col(block), path), captured(html, pattern))
+
+
 def page_number(html: Column | str, pattern: str) -> Column:
     return captured(html, pattern).try_cast("double")
 

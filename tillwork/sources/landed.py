@@ -32,10 +32,11 @@ def scan(
     days: Sequence[date] | None = None,
     between: tuple[date, date] | None = None,
     lineage: bool = False,
+    stream: bool = False,
 ) -> DataFrame:
-    """Files under ``path`` read with ``schema``; only the wanted day partitions are opened."""
+    """Files under ``path`` read with ``schema``; only the wanted day partitions are opened. With ``stream`` each file is read once, as it lands."""
     day_field = T.StructField(DAY, T.DateType())
-    df = spark.read.schema(T.StructType([*schema.fields, day_field])).format(fmt).load(path)
+    df = (spark.readStream if stream else spark.read).schema(T.StructType([*schema.fields, day_field])).format(fmt).load(path)
     if days is not None:
         df = df.filter(F.col(DAY).isin([F.lit(d) for d in days]))
     if between is not None:
@@ -48,27 +49,31 @@ def _lines(spark: SparkSession, path: str, **options) -> DataFrame:
     return scan(spark, path, T.StructType([T.StructField("value", T.StringType())]), fmt="text", **options)
 
 
+def _spelled(schema: T.StructType) -> T.StructType:
+    """The schema with every name as it is landed, whose names may differ in case only."""
+    landed_as = {twin: name for name, twin in S.CASE_TWINS.items()}
+    return T.StructType([T.StructField(landed_as.get(f.name, f.name), f.dataType) for f in schema.fields])
+
+
 def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Lines -> rows with the envelope's lists, ``_list`` for a bare list, ``_record`` for a bare record, and the line."""
-    text = F.col("value")
-    for name, twin in S.CASE_TWINS.items():
-        text = F.regexp_replace(text, rf'"{name}"(\s*:)', f'"{twin}"$1')
-    record = T.ArrayType(schema)
-    envelope = T.StructType([T.StructField(n, record) for n in ENVELOPES])
-    bare = F.ltrim("value").startswith("[")
+    """Lines -> the line and ``_json``: the envelope's lists, ``_list`` for a bare list, and the fields of a bare record.
+
+    A line is parsed once, whatever its form: a bare list becomes the one field of an object. Names are matched with their
+    case; the cast then gives those that Spark could not tell apart their own names, by position.
+    """
+
+    def whole(record: T.StructType) -> T.StructType:
+        lists = [T.StructField(n, T.ArrayType(record)) for n in (*ENVELOPES, "_list")]
+        return T.StructType([*lists, *record.fields])
+
     rest = [c for c in lines.columns if c != "value"]
-    parsed = lines.select(*rest, "value", bare.alias("_bare"), text.alias("_text"))
-    return parsed.select(
-        *rest,
-        "value",
-        F.when(~F.col("_bare"), F.from_json("_text", envelope)).alias("_envelope"),
-        F.when(F.col("_bare"), F.from_json("_text", record)).alias("_list"),
-        F.when(~F.col("_bare"), F.from_json("_text", schema)).alias("_record"),
-    )
+    bare = F.ltrim("value").startswith("[")
+    text = F.when(bare, F.concat(F.lit('{"_list":'), "value", F.lit("}"))).otherwise(F.col("value"))
+    return lines.select(*rest, "value", F.from_json(text, whole(_spelled(schema))).cast(whole(schema)).alias("_json"))
 
 
 def _lists(parsed: DataFrame) -> DataFrame:
-    return parsed.select(*[c for c in parsed.columns if c not in ("_envelope", "_record")], "_envelope.*")
+    return parsed.select(*[c for c in parsed.columns if c != "_json"], *[F.col(f"_json.{n}") for n in (*ENVELOPES, "_list")])
 
 
 def scan_enveloped(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
@@ -82,7 +87,8 @@ def scan_records(spark: SparkSession, path: str, schema: T.StructType, **options
         return scan(spark, path, schema, **options)
     options.pop("fmt", None)
     parsed = _parsed(_lines(spark, path, **options), schema)
-    return parsed.select(*[c for c in parsed.columns if c not in ("value", "_envelope", "_list", "_record")], "_record.*")
+    fields = [F.col(f"_json.`{f.name}`") for f in schema.fields]
+    return parsed.select(*[c for c in parsed.columns if c not in ("value", "_json")], *fields)
 
 
 def rejected(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -192,6 +198,27 @@ def snapshot(
     return rows.select(code.alias("branchCode"), "record", DAY)
 
 
+def snapshot_variants(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame:
+    """A snapshot's records as VARIANT: fields keep the types they were landed with, and are read by path. A record that is no JSON is null."""
+    rows = snapshot(spark, path, days)
+    return rows.withColumn("record", F.try_parse_json("record"))
+
+
+def field_types(records: DataFrame, by: Sequence[str], column: str = "record") -> DataFrame:
+    """The types under which each field occurs, per key: what drifts between days shows as another row."""
+    merged = records.groupBy(*by).agg(F.schema_of_variant_agg(column).alias("_schema"))
+    fields = F.regexp_extract_all(F.regexp_extract("_schema", r"(?s)^OBJECT<(.*)>$", 1), F.lit(r"(?:^|, )(\w+): ((?:[A-Z]+(?:\([^)]*\))?)(?:<.*?>)?)"), F.lit(0))
+    each = merged.select(*by, F.explode(fields).alias("_field"))
+    bare = F.regexp_replace("_field", "^, ", "")
+    return each.select(*by, F.substring_index(bare, ": ", 1).alias("field"), F.regexp_extract(bare, ": (.*)$", 1).alias("type"))
+
+
+def drifted(types: DataFrame, by: Sequence[str], declared: dict[str, str]) -> DataFrame:
+    """Fields of other types than declared, and fields not declared."""
+    known = types.sparkSession.createDataFrame(list(declared.items()), "field string, declared string")
+    return types.join(F.broadcast(known), "field", "left").filter(~F.col("type").eqNullSafe(F.col("declared"))).select(*by, "field", "type", "declared")
+
+
 def pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(S.PAGE).format(fmt).load(path)
 
@@ -237,6 +264,7 @@ __all__ = [
     "scan_records",
     "sent_alerts",
     "snapshot",
+    "snapshot_variants",
     "soldout_events",
     "stock_movements",
 ]

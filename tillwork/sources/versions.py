@@ -46,6 +46,22 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Bring the files of one landing into a folder that a stream watches, one after another, with the folders they are in."""
+    if not children(spark, source):
+        return
+    files, place = _place(spark, source)
+    listed = files.listFiles(place, True)
+    while listed.hasNext():
+        file = listed.next().getPath()
+        inner = file.toUri().getPath().split(place.toUri().getPath().rstrip("/") + "/", 1)[1]
+        if not any(name.startswith(("_", ".")) for name in inner.split("/")):
+            _, goal = _place(spark, f"{target}/{inner}")
+            files.mkdirs(goal.getParent())
+            files.rename(file, goal)
+    remove(spark, source)
+
+
 def _numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removesuffix(".json")) for n in children(spark, f"{path}/{POINTERS}") if n.endswith(".json"))
 
