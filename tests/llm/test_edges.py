@@ -198,3 +198,33 @@ def test_pipeline(spark, messy, nothing, folder):
 def test_long_text_is_whole(messy):
     row = quality.judged(messy.filter("doc_id = 5")).first()
     assert row.n_words == len(LONG.split())
+
+
+def test_one_url_and_no_url_fill_the_table(spark, rows):
+    """A third of the pages has one url, a third none: both sides of the join back are written tables."""
+    hot = "http://a.example.net/en/x"
+    pages = rows("page_id int, url string", *[(i, hot if i % 3 == 0 else None if i % 3 == 1 else f"http://h{i}.org/fr/{i}") for i in range(300)])
+    rules = rows("host string, path string, action string", ("net", "/", "block"), ("example.net", "/en/", "allow"), ("org", "/fr/", "block"))
+    out = url_rules.judged(pages, rules)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "LeftOuter" in plan
+    assert {(r.page_id % 3, r.rule, r.verdict) for r in out.collect()} == {(0, "example.net/en/", "allow"), (1, None, "allow"), (2, "org/fr/", "block")}
+    assert out.count() == 300
+
+
+def test_rules_are_met_by_the_short_digest(spark, rows):
+    rules = url_rules.prepared(rows("host string, path string, action string", ("net", "/", "block")))
+    spread = rows("_host string, _path string, _full string, short string", ("net", "/", "ab", "ab"))
+    plan = url_rules.candidates(spread, rules)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "short" in join and "_full" in join and "(_full" not in join.replace("StartsWith(_full", "")
+
+
+def test_one_row_repeated_is_dealt_over_buckets(spark, rows, monkeypatch):
+    monkeypatch.setattr(interleave, "ROWS_PER_BUCKET", 20)
+    docs = rows("doc_id bigint, source string", *[(1 if i % 3 == 0 else None if i % 3 == 1 else i, "s") for i in range(900)]).repartition(4)
+    base = interleave._salted(interleave._numbered(docs.select("doc_id", interleave.random_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_drawn"))), F.lit("0"))
+    assert base.groupBy("_drawn").count().agg(F.max("count")).first()[0] <= 20 and base.count() == 900
+    out = interleave.interleaved(docs, "doc_id", "source", 8).collect()
+    sizes = [sum(r.shard == s for r in out) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 1 and all(sorted(r.slot for r in out if r.shard == s) == list(range(sizes[s])) for s in range(8))

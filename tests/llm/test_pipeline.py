@@ -44,3 +44,17 @@ def test_run_is_the_stages(spark, folder):
         docs = stored(stage(spark, docs, folder), name)
     assert sorted(map(tuple, P.run(spark, folder).select("doc_id", "n_tokens").collect())) == sorted(map(tuple, docs.select("doc_id", "n_tokens").collect()))
     assert P.ORACLE_SQL is None
+
+
+def test_near_duplicates_go_by_rows_not_by_ids(spark, folder):
+    """An id that holds a third of different texts loses none of them; copies without id are found; rows alike leave one."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(7, text(k), "en", "s", 1) for k in range(30)] + [(100 + k, text(1000 + k), "en", "s", 1) for k in range(20)]
+    rows += [(None, text(5), "en", "s", 1), (None, text(2000), "en", "s", 1), (None, text(2000), "fr", "s", 1)]
+    rows += [(100, text(1000), "en", "s", 1), (300, text(1001), "en", "s", 1), (8, None, "en", "s", 1), (8, "", "en", "s", 1), (8, "", "en", "s", 1)]
+    frame = stored(spark.createDataFrame(rows, docs.schema).repartition(3), "by_rows")
+    kept = P.near_duplicates(spark, frame, folder).collect()
+    left = sorted(((r.doc_id, r.text) for r in kept), key=str)
+    want = [(7, text(k)) for k in range(30)] + [(100 + k, text(1000 + k)) for k in range(20)] + [(None, text(2000)), (8, None), (8, ""), (8, "")]
+    assert left == sorted(want, key=str)

@@ -46,24 +46,37 @@ def random_bits(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("/", *parts)), 1, 12), 16, 10).cast("bigint")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows as written, each with a number that stays."""
+    return stored(rows.withColumn("_number", F.monotonically_increasing_id()), "drawn")
+
+
+def _salted(base: DataFrame, salt: Column) -> DataFrame:
+    """Rows that are drawn alike more often than a bucket holds, as only equal rows are, draw again by their number."""
+    many = base.groupBy("_drawn").agg(F.count(F.lit(1)).alias("_alike")).filter(F.col("_alike") > ROWS_PER_BUCKET)
+    joined = base.join(F.broadcast(many), "_drawn", "left")  # one row for each 2,000 of the table, at most
+    again = random_bits(salt, F.col("_drawn").cast("string"), F.col("_number").cast("string"))
+    return joined.withColumn("_drawn", F.when(F.col("_alike").isNotNull(), again).otherwise(F.col("_drawn"))).drop("_alike", "_number")
+
+
 def interleaved(rows: DataFrame, key: str, strata: str, shards: int, seed: int = 0, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``shard`` (0 to shards - 1) and ``slot`` (0, 1, ... in each shard).
 
-    The random order follows from ``seed`` and ``key``; rows of equal key go by ``ties``.
+    The random order follows from ``seed``, ``key`` and ``ties``; rows alike in these are dealt out by their place once they are very many.
     """
     own = own_columns(rows, None, ["shard", "slot"])
     salt = F.lit(str(seed))
-    base = stored(
+    base = _numbered(
         boxed(
             rows,
             own,
-            _drawn=random_bits(salt, F.coalesce(F.col(key).cast("string"), F.lit(""))),
+            _drawn=random_bits(salt, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, *ties)]),
             _source=F.coalesce(F.col(strata).cast("string"), F.lit("")),
             _none=F.col(strata).isNull(),
             _tie=F.struct(key, *ties),
         ),
-        "drawn",
     )
+    base = _salted(base, salt)
     total = base.count()
     buckets = max(1, -(-total // ROWS_PER_BUCKET))
     source, order = ["_source", "_none"], ["_drawn", "_tie"]

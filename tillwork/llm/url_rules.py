@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import source_bytes
+from ..operators.joins import sized, source_bytes
 from .common import boxed, lower_ascii, own_columns, stored, unboxed
 
 SHORT = 8  # hex digits of the digest that are joined on
@@ -79,6 +79,15 @@ def path_prefixes(path: Column, depth: Column) -> Column:
     )
 
 
+def candidates(spread: DataFrame, rules: DataFrame) -> DataFrame:
+    """Expressions of URLs with the rules that fit: met by the short digest, then confirmed by the full one and the whole path.
+
+    The confirmation is no equality to the optimizer, which would join on the full digest instead.
+    """
+    confirmed = F.col("_full").startswith(F.col("full")) & F.col("_path").startswith(F.col("rule_path"))
+    return spread.join(rules, "short").filter(confirmed)
+
+
 def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``.
 
@@ -103,14 +112,17 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     text = F.concat("rule_host", "rule_path")
     rank = F.struct(F.length(text), (F.col("action") == "block").cast("int"), F.length("rule_host"))
     fitting = (
-        spread.join(rules, "short")
-        .filter((F.col("_full") == F.col("full")) & F.col("_path").startswith(F.col("rule_path")))
+        candidates(spread, rules)
         .groupBy("_host", "_path")
         .agg(F.max(F.struct(rank, text.alias("rule"), "action")).alias("best"))
         .select("_host", "_path", "best.rule", F.col("best.action").alias("_action"))
     )
+    # written, so that it is broadcast or met row by row as its measured size says; pages without a host meet nothing
+    fitting = sized(stored(fitting, "fitting"), "fitting")
+    nameless = pages.filter("_host = ''").withColumns({"rule": F.lit(None).cast("string"), "_action": F.lit(None).cast("string")})
+    met = pages.filter("_host <> ''").join(fitting, ["_host", "_path"], "left")
     return unboxed(
-        pages.join(fitting, ["_host", "_path"], "left"),
+        met.unionByName(nameless),
         own,
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
