@@ -50,19 +50,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the least id, of several rows of an id that with the least text. Documents without id stay.
+    """One document of each group: that with the least id; those without id come after all others, ties go by a digest.
 
-    The texts are not shuffled to find it, unless the ids that go are too many to broadcast.
+    Rows are told apart by a digest of id and text, so that different texts under one id are different documents, and rows without
+    id are compared as well. Of rows alike in both one stays. Texts without a word are linked with nothing and stay.
+    The texts are not shuffled to find this, unless the rows that go are too many to broadcast.
     """
     ship(spark)
-    groups = stored(near_dup.with_groups(docs), "groups").filter("doc_id is not null")
-    counted = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept"))
-    repeated = stored(counted.filter("rows > 1").select("doc_id", "kept"), "repeated")
-    gone = stored(groups.filter("not kept").select("doc_id").union(repeated.select("doc_id")).distinct(), "gone")
-    rows = boxed(docs)
-    once = rows.join(sized(gone, "gone"), "doc_id", "left_anti")
-    again = rows.join(sized(repeated.filter("kept"), "repeated"), "doc_id", "left_semi")
-    return unboxed(once.select("document").union(keep_first(again, ["doc_id"], ["text"]).select("document")))
+    row_id = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+    keyed = docs.select(row_id.alias("row_id"), "doc_id", "text")
+    groups = stored(near_dup.with_groups(keyed, key="row_id"), "groups").filter("n_shingles > 0").select("row_id", "component_id")
+    ids = stored(keyed.select("row_id", "doc_id"), "ids")
+    members = stored(groups.distinct().join(ids.distinct(), "row_id"), "members")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
+    first = members.groupBy("component_id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    first = sized(stored(first.select("component_id", F.col("first.row_id").alias("stays")), "first"), "first")
+    gone = stored(members.join(first, "component_id").filter("row_id <> stays").select("row_id"), "gone")
+    repeated = stored(groups.groupBy("row_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("row_id"), "repeated")
+    rows = boxed(docs).withColumn("row_id", row_id)
+    out = sized(stored(gone.union(repeated).distinct(), "out"), "out")
+    once = rows.join(out, "row_id", "left_anti")
+    again = rows.join(sized(repeated, "repeated"), "row_id", "left_semi").join(sized(gone, "gone"), "row_id", "left_anti")
+    return unboxed(once.select("document").union(keep_first(again, ["row_id"], ["doc_id"]).select("document")))
 
 
 @stage
