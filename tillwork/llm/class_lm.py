@@ -11,10 +11,11 @@ broadcast, which decides only where their pairs are counted. A start comes from
 commonest words one by one, the other frequent words in blocks of neighbouring ranks, each item in turn moving to the class that
 raises the likelihood of the pairs most, until a sweep moves none. Then the texts are written once as ranks, and words are exchanged in
 distributed sweeps, in two steps. First the frequent words, by their sums over the neighbours' classes, while the rarer words stand together. Then
-every rarer word that recurs: of it a table keeps how often it stands before and after each class of frequent words, at most 68
-numbers however often the word occurs, and the pairs of two rarer words are another table. A sweep classes those pairs, adds them to
-the words' numbers, and the words of one half choose their best class against the matrix of classes by classes; the next sweep is
-the other half's. Either step ends when a sweep of each half together gains less than ``LEAST_GAIN`` a token. A sweep's tables go when the next has read them.
+every rarer word that recurs: of it a table keeps how often it stands before and after each class of frequent words, and beside rarer
+words, at most 68 numbers however often the word occurs; by these each chooses its best class against the matrix of classes by classes. The
+pairs of two rarer words are another table, which meets the chosen classes once, so that the final matrix counts every pair of tokens
+by its two classes. The sweeps over the frequent words, in each of which one half chooses, end when a sweep of each half together gains less than
+``LEAST_GAIN`` a token.
 
 Class transitions are smoothed by the classes' shares. Words of a class have their share of its
 tokens. The class of the words that occur once also holds all words never seen. Their number and their mass follow from the counts of
@@ -269,7 +270,7 @@ def _after_ends(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _beside(packed):
-    """(h, slot, c): how often rarer words stand beside each class of the frequent words and the end; doubled, and one more where that comes before."""
+    """(h, slot, c): how often rarer words stand beside each class, rarer words being one; doubled, and one more where that comes before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = pickle.loads(packed.value)
@@ -287,9 +288,8 @@ def _beside(packed):
             before, code = _after_ends(batch, n)
             at, h = np.flatnonzero(code == n), batch.column("rare").flatten().to_numpy()
             for near, side in ((before[at], 1), (code[at + 1], 0)):  # every block ends with an end
-                fixed = near != n
-                held.append((h[fixed], group[near[fixed]] * 2 + side))
-                size += int(fixed.sum())
+                held.append((h, group[near] * 2 + side))
+                size += len(h)
             if size >= HELD_TOKENS:
                 yield sums()
                 held, size = [], 0
@@ -456,20 +456,13 @@ def _chosen_rare(packed):
         for whole in batches:
             for first in range(0, whole.num_rows, WORDS_AT_ONCE):
                 batch = whole.slice(first, WORDS_AT_ONCE)
-                h, old = batch.column("h").to_numpy(), batch.column("k").to_numpy().astype(np.int64)
-                sums = np.zeros(len(h) * 2 * size)
-                for slots, counts in (("slots", "counts"), ("more", "more_counts")):
-                    lists = batch.column(slots)
-                    word = np.repeat(np.arange(len(h)), lists.value_lengths().fill_null(0).to_numpy())
-                    slot, c = lists.flatten().to_numpy().astype(np.int64), batch.column(counts).flatten().to_numpy()
-                    np.add.at(sums, (word * 2 + (slot & 1)) * size + (slot >> 1), c)
-                sums = sums.reshape(len(h), 2, size)
-                own = batch.column("own").fill_null(0).to_numpy().astype(float)
-                r = np.arange(len(h))
-                sums[r, 0, old] -= own
-                sums[r, 1, old] -= own
-                k = _best(between, sums[:, 0], sums[:, 1], own, old)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), batch.column("slots"), batch.column("counts")], names=["h", "k", "slots", "counts"])
+                h, lists = batch.column("h").to_numpy(), batch.column("slots")
+                word = np.repeat(np.arange(len(h)), lists.value_lengths().to_numpy())
+                slot, c = lists.flatten().to_numpy().astype(np.int64), batch.column("counts").flatten().to_numpy()
+                sums = np.zeros((len(h), 2, size))
+                np.add.at(sums, (word, slot & 1, slot >> 1), c)
+                k = _best(between, sums[:, 0], sums[:, 1], np.zeros(len(h)), np.full(len(h), CLASSES))
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), lists, batch.column("counts")], names=["h", "k", "slots", "counts"])
 
     return run
 
@@ -477,32 +470,32 @@ def _chosen_rare(packed):
 WORDS = "h bigint, k bigint, slots array<int>, counts array<bigint>"
 
 
-def _lists(rows: DataFrame, slots: str, counts: str) -> DataFrame:
-    """(h, slot, c, own) as two lists a word, one entry for each slot, and the sum of ``own``."""
-    ordered = rows.select("h", "slot", "c", "own").repartition("h").sortWithinPartitions("h")
-    return ordered.mapInArrow(_listed, f"h bigint, {slots} array<int>, {counts} array<bigint>, own bigint")
+def _lists(rows: DataFrame) -> DataFrame:
+    """(h, slot, c) as two lists a word, one entry for each slot."""
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(_listed, "h bigint, slots array<int>, counts array<bigint>")
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows that come by word; what is held of a word that goes on in the next batch is one row for each slot."""
-    held = tuple(np.zeros(0, np.int64) for _ in range(4))
+    held = tuple(np.zeros(0, np.int64) for _ in range(3))
 
-    def summed(h: np.ndarray, slot: np.ndarray, c: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
+    def summed(h: np.ndarray, slot: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
         order = np.lexsort((slot, h))
-        h, slot, c, own = h[order], slot[order], c[order], own[order]
-        first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (slot[1:] != slot[:-1])))) if len(h) else np.zeros(0, np.int64)
-        return (h[first], slot[first], np.add.reduceat(c, first), np.add.reduceat(own, first)) if len(h) else (h, slot, c, own)
+        h, slot, c = h[order], slot[order], c[order]
+        first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (slot[1:] != slot[:-1]))))
+        return h[first], slot[first], np.add.reduceat(c, first)
 
-    def out(h: np.ndarray, slot: np.ndarray, c: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    def out(h: np.ndarray, slot: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         at = pa.array(np.append(first, len(h)).astype(np.int32))
         lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (slot.astype(np.int32), c)]
-        return pa.RecordBatch.from_arrays([pa.array(h[first]), *lists, pa.array(np.add.reduceat(own, first))], names=["h", "slots", "counts", "own"])
+        return pa.RecordBatch.from_arrays([pa.array(h[first]), *lists], names=["h", "slots", "counts"])
 
     for batch in batches:
-        rows = summed(*[np.concatenate([x, batch.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held)])
+        rows = [np.concatenate([x, batch.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held)]
         if not len(rows[0]):
             continue
+        rows = summed(*rows)
         cut = int(np.searchsorted(rows[0], rows[0][-1]))
         held = tuple(x[cut:] for x in rows)
         if cut:
@@ -516,22 +509,34 @@ def _swept(coded: DataFrame, hashes: np.ndarray, group: np.ndarray, seen: DataFr
     spark, n = coded.sparkSession, len(hashes)
     group, between = _frequent_swept(coded.select("codes"), group)
     ours = spark.sparkContext.broadcast(pickle.dumps(group))
-    beside = coded.mapInArrow(_beside(ours), "h bigint, slot int, c bigint").withColumn("own", F.lit(0).cast("bigint"))
-    beside = _lists(beside, "slots", "counts").drop("own")
+    beside = _lists(coded.mapInArrow(_beside(ours), "h bigint, slot int, c bigint"))
     recurring = seen.filter((F.col("c") >= LEAST) & (F.col("h") != int(END.view(np.int64)))).select("h")
-    if n:
-        # the frequent words are in every text; they are known by their rank
-        recurring = recurring.join(F.broadcast(spark.createDataFrame(pa.table({"h": hashes.view(np.int64)}))), "h", "left_anti")
-    none = lambda kind: F.array().cast(kind)
-    words = recurring.join(beside, "h", "left").select(
-        "h", F.lit(CLASSES).cast("bigint").alias("k"), F.coalesce("slots", none("array<int>")).alias("slots"), F.coalesce("counts", none("array<bigint>")).alias("counts")
-    )
-    words = stored(words, "rarer")
-    ours.destroy()
-    pairs = stored(coded.mapInArrow(_rare_pairs(n), "a bigint, b bigint").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "pairs")
-    classes, between = _rarer_swept(words, pairs, between)
-    discard(pairs)
-    return group, classes, between
+    state = spark.sparkContext.broadcast(pickle.dumps(between))
+    # frequent words have no lists: texts hold them by their rank
+    words = stored(beside.join(recurring, "h", "left_semi").mapInArrow(_chosen_rare(state), WORDS), "rarer")
+    for sent in (ours, state):
+        sent.destroy()
+    pairs = coded.mapInArrow(_rare_pairs(n), "a bigint, b bigint").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    return group, words.select("h", "k"), _all_pairs_by_class(words, pairs, between)
+
+
+def _all_pairs_by_class(words: DataFrame, pairs: DataFrame, lumped: np.ndarray) -> np.ndarray:
+    """The matrix of classes by classes with every word in its own class. ``lumped``: the same while rarer words are one class."""
+    size, once = CLASSES + 2, F.lit(CLASSES).cast("bigint")
+    k = words.select("h", "k")
+    classed = pairs.join(k.toDF("a", "ka"), "a", "left").join(k.toDF("b", "kb"), "b", "left")
+    found = classed.groupBy(F.coalesce("ka", once).alias("ka"), F.coalesce("kb", once).alias("kb")).agg(F.sum("c").alias("c")).toArrow()
+    ka, kb, c = (found.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
+    between = lumped.copy()
+    between[CLASSES, CLASSES] -= c.sum()
+    np.add.at(between, (ka, kb), c)
+    beside = _filled(words.mapInArrow(_placed_sums, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), size * 2 * size, "slot")
+    beside = beside.reshape(size, size, 2)  # own class, the other's, whether the other comes before
+    beside[:, CLASSES] = 0  # pairs of two rarer words are counted above
+    for matrix, moved in ((between, beside[:, :, 0]), (between.T, beside[:, :, 1])):
+        matrix += moved
+        matrix[CLASSES] -= moved.sum(axis=0)
+    return between
 
 
 def _likelihood(between: np.ndarray) -> float:
@@ -565,53 +570,6 @@ def _frequent_swept(coded: DataFrame, group: np.ndarray) -> tuple[np.ndarray, np
         group[chosen.column("code").to_numpy()] = chosen.column("k").to_numpy()
 
 
-def _rarer_swept(words: DataFrame, pairs: DataFrame, lumped: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """(h, k) of the rarer words that recur, and the pairs by classes. ``lumped``: those pairs while rarer words are one class."""
-    spark, size = words.sparkSession, CLASSES + 2
-    of_half = lambda frame, half: frame.filter(F.col("h").bitwiseAND(1) == half)
-    halves = [stored(of_half(words, half), "rarer") for half in (0, 1)]
-    replaced: list[DataFrame] = [words]
-    reached: list[float] = []
-    best = None
-    while True:
-        both = halves[0].union(halves[1])
-        k = both.select("h", "k")
-        once = F.lit(CLASSES).cast("bigint")
-        classed = pairs.join(k.toDF("a", "ka"), "a", "left").join(k.toDF("b", "kb"), "b", "left")
-        classed = stored(classed.select("a", "b", F.coalesce("ka", once).alias("ka"), F.coalesce("kb", once).alias("kb"), "c"), "classed")
-        between = lumped.copy()
-        found = classed.groupBy("ka", "kb").agg(F.sum("c").alias("c")).toArrow()
-        ka, kb, c = (found.column(x).to_numpy().astype(np.int64) for x in ("ka", "kb", "c"))
-        between[CLASSES, CLASSES] -= c.sum()
-        np.add.at(between, (ka, kb), c)
-        beside = _filled(both.mapInArrow(_placed_sums, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")), size * 2 * size, "slot")
-        beside = beside.reshape(size, size, 2)  # own class, the other's, whether the other comes before
-        for matrix, moved in ((between, beside[:, :, 0]), (between.T, beside[:, :, 1])):
-            matrix += moved
-            matrix[CLASSES] -= moved.sum(axis=0)
-        likelihood = _likelihood(between)
-        if best is not None and likelihood < max(reached):
-            discard(classed)
-            return best
-        discard(*replaced)
-        best = k, between
-        reached.append(likelihood)
-        if _settled(reached, between.sum()):
-            discard(classed)
-            return best
-        turn = (0, 1) if len(reached) == 1 else (len(reached) % 2,)  # at first none has a class
-        replaced, halves = [halves[half] for half in turn], list(halves)
-        state = spark.sparkContext.broadcast(pickle.dumps(between))
-        own = F.when(F.col("a") == F.col("b"), F.col("c")).otherwise(0)
-        more = classed.select(F.col("a").alias("h"), (F.col("kb") * 2).cast("int").alias("slot"), "c", own.alias("own"))
-        more = more.union(classed.select("b", (F.col("ka") * 2 + 1).cast("int"), "c", F.lit(0).cast("bigint")))
-        for half in turn:
-            lists = _lists(of_half(more, half), "more", "more_counts")
-            halves[half] = stored(halves[half].join(lists, "h", "left").mapInArrow(_chosen_rare(state), WORDS), "rarer")
-        state.destroy()
-        discard(classed)
-
-
 def _model(between, group, hashes, counts, total, distinct, ends, once, twice) -> Model:
     size = CLASSES + 2
     share = (between.sum(axis=0) + 1) / (between.sum() + size)
