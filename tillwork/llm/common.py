@@ -93,7 +93,7 @@ def ship(spark: SparkSession) -> SparkSession:
     context = spark.sparkContext
     # texts can be long: few rows at a time in a Python worker
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         packed = io.BytesIO()
