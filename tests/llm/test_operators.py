@@ -111,9 +111,9 @@ def test_groups_equal_brute_force(rows, size, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == exact_groups(docs, size)
 
 
-@pytest.mark.parametrize("whole", [0, 10**6])
-def test_components_of_random_links(rows, monkeypatch, whole):
-    monkeypatch.setattr(components, "WHOLE", whole)
+@pytest.mark.parametrize("held", [3, 10**6])
+def test_components_of_random_links(rows, monkeypatch, held):
+    monkeypatch.setattr(components, "FLUSH", held)
     rng = random.Random(3)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5001 + i) for i in range(300)]
     want = components.UnionFind()

@@ -1,11 +1,10 @@
 """Connected components of links between ids, by union-find and alternating star contractions.
 
-Each task first joins its own links with union-find and keeps a spanning forest. A forest of at most ``WHOLE``
-links, which is of a known size then, is finished by one task in the same way. A larger one is contracted: every id is
-linked to the least id among its neighbours, from the larger side and from the smaller side in
-turn, until all links of a component meet in its least id. An id with very many links is reduced by
-partial aggregation, and its least neighbour is written before the join that brings it back, so that
-adaptive execution can split the join. Both ways give the same components.
+Each task first joins its own links with union-find and keeps a spanning forest, which has no more links than
+ids. The forests are then contracted: every id is linked to the least id among its neighbours, from the larger
+side and from the smaller side in turn, until all links of a component meet in its least id. So it goes at every
+size; no task holds more than ``FLUSH`` ids. An id with very many links is reduced by partial aggregation, and
+its least neighbour is written before the join that brings it back, so that adaptive execution can split the join.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from ..operators.joins import sized
 from .common import stored
 
 FLUSH = 200_000  # ids that a task's union-find holds at once
-WHOLE = 1_000_000  # links of a forest that one task finishes
 
 
 class UnionFind(dict):
@@ -39,14 +37,6 @@ class UnionFind(dict):
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _joined(batches, FLUSH)
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _joined(batches, 2 * WHOLE)
-
-
-def _joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     held = UnionFind()
 
     def out() -> pa.RecordBatch:
@@ -57,7 +47,7 @@ def _joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             held.join(a, b)
-        if len(held) > most:
+        if len(held) > FLUSH:
             yield out()
             held = UnionFind()
     yield out()
@@ -66,11 +56,7 @@ def _joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
 def components(links: DataFrame) -> DataFrame:
     """(id, component): each id that has a link, with the least id it is connected to. ``links``: a, b bigint."""
     edges = stored(links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint"), "forest")
-    size = _digest(edges)
-    if size[0] <= WHOLE:
-        edges = stored(edges.coalesce(1).mapInArrow(_whole, "a bigint, b bigint"), "components")
-    else:
-        edges = _contracted(edges, size)
+    edges = _contracted(edges, _digest(edges))
     roots = edges.select(F.col("b").alias("a"), "b").distinct()
     return edges.union(roots).select(F.col("a").alias("id"), F.col("b").alias("component"))
 
