@@ -221,6 +221,21 @@ def test_grammar_round_trip_and_random_access(base, monkeypatch):
         assert (grammar_files.ids_between(block, first, stop) == ids[first:stop]).all()
 
 
+@pytest.mark.parametrize("base", [1000, 70_000])
+def test_grammar_goes_on_until_no_pair_is_frequent(base):
+    """A text 2,000 times over becomes one symbol a copy, beside texts that repeat little."""
+    rng = np.random.default_rng(4)
+    copy = rng.integers(0, base - 1, 400, dtype=np.uint32)
+    documents = [copy] * 2000 + [rng.integers(0, base - 1, 300, dtype=np.uint32) for _ in range(20)]
+    ids, last = np.concatenate(documents), np.zeros(800_000 + 6000, dtype=bool)
+    last[np.cumsum([len(d) for d in documents]) - 1] = True
+    sequence, ends, rules = grammar_files.compress(ids, last.copy(), base)
+    assert (grammar_files.expand(sequence, rules, base) == ids).all()
+    assert len(sequence) <= 2000 + 6000 and ends.sum() == len(documents)
+    pairs = np.stack([sequence[:-1], sequence[1:]], axis=1)[~ends[:-1]]
+    assert np.unique(pairs, axis=0, return_counts=True)[1].max() < grammar_files.LEAST
+
+
 # --- language model --------------------------------------------------------
 
 

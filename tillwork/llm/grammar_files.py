@@ -3,7 +3,8 @@
 Ids of documents are written in ascending order of a key, in blocks of about ``BLOCK_IDS`` ids. In each
 block the frequent pairs of neighbouring symbols are replaced by new symbols, round by round, until no
 pair occurs ``LEAST`` times or no symbols are left: a round counts all pairs, takes the most frequent
-ones and replaces their occurrences from left to right. No pair spans two documents, so a document
+ones and replaces their occurrences from left to right. Each round makes the block shorter, and a pair that
+a round leaves for want of a slot is met by the next one. No pair spans two documents, so a document
 starts at a symbol.
 
 A block is one row of a Parquet table: a task that is run again writes the same rows, and the blocks
@@ -46,7 +47,6 @@ from .token_counts import load
 BLOCK_IDS = 1 << 21
 LEAST = 24  # occurrences that make a pair worth a rule
 PER_ROUND = 4096
-ROUNDS = 5
 SLOTS = 1 << 18
 FILE = (
     "part int, seq int, docs int, ids bigint, keys binary, sizes binary, symbols binary, "
@@ -62,9 +62,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
     narrow = base + PER_ROUND <= 1 << 16  # symbols fit into 16 bits, with room for rules
     room = (1 << 16) - base if narrow else 1 << 20
     seq, rules, begun = ids.astype(np.uint32), [], 0
-    for _ in range(ROUNDS):
-        if room <= 0 or len(seq) < 2:
-            break
+    while room > 0 and len(seq) > 1:
         if narrow:
             code = (seq[:-1] << np.uint32(16)) | seq[1:]
         else:
