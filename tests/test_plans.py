@@ -84,6 +84,19 @@ def test_shared_mart_needs_no_exchange_of_lines(spark, folder):
     assert len(spark.catalog.listTables()) == before
 
 
+def test_buckets_follow_from_the_days_read(spark, tmp_path, monkeypatch):
+    """Rows are written once, and days that the filter rules out do not count."""
+    from tillwork import session
+
+    spark.range(40_000).selectExpr("id", "id % 10 AS day").write.partitionBy("day").parquet(f"{tmp_path}/t")
+    days = spark.read.parquet(f"{tmp_path}/t")
+    one, every = session.scanned_bytes(days.filter("day = 3")), session.scanned_bytes(days)
+    assert 0 < 5 * one < every
+    monkeypatch.setattr(session, "BUCKET_BYTES", one // 20)
+    with session.written_by(days.filter("day = 3"), "id") as shared:
+        assert 20 <= shared.rdd.getNumPartitions() <= 21 and shared.count() == 4000
+
+
 @pytest.mark.parametrize(
     "name", ["region_category_compare", "sla_region_matrix", "sla_category_by_region", "sla_item_by_region", "rca_flags", "order_status_counts"]
 )

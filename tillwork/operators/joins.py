@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import source_bytes, stored
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -56,12 +56,6 @@ def dimension_conflicts(dim: DataFrame, keys: Sequence[str], attributes: Sequenc
 BROADCAST_SOURCE_BYTES = 16 * 1024 * 1024
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Bytes of every table the frame is read from, by the optimizer's statistics; runs no job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def with_dimension(fact: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Fact rows with the attributes of their dimension row; ``inner`` keeps known keys only."""
     return fact.join(sized(dim, "dimension"), on, how)

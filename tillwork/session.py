@@ -83,6 +83,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of every table the frame is read from, by the optimizer's statistics; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files that the frame will read, without the partitions its filters rule out; runs no job."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    nodes = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(n.selectedPartitions().totalFileSize() for n in nodes if n.getClass().getSimpleName() == "FileSourceScanExec")
+
+
 # A bucket of this size is read by one task, as bucketed scans are not split.
 BUCKET_BYTES = 128 * 1024 * 1024
 
@@ -92,13 +105,12 @@ def written_by(df: DataFrame, column: str, buckets: int | None = None) -> Iterat
     """The frame as a table of the warehouse, bucketed by ``column``, while the context lasts; then table and files go.
 
     Later groupings that include the column need no exchange of its rows. The number of buckets follows
-    from the size of the rows, which are written once before to learn it.
+    from the size of the files the rows are read from, so the rows are written once.
     """
     spark = df.sparkSession
     if buckets is None:
-        df = stored(df, "unbucketed")
-        leaf = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(str(leaf)) // BUCKET_BYTES))
+        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-scanned_bytes(df) // BUCKET_BYTES))
+        buckets = min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     name = f"tillwork_{uuid.uuid4().hex}"
     (
         df.repartition(buckets, column)
