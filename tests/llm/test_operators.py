@@ -518,6 +518,87 @@ def test_outliers_are_rejected_and_the_rest_stays(rows):
     assert all(kept[k] == (k < 1000 or k >= 2000) for k in kept)
 
 
+def robust_distances(x: np.ndarray, group: np.ndarray, language: dict) -> np.ndarray:
+    """Squared distances by dense matrices: starts, concentration steps, least determinant."""
+    groups, n_dim, least = sorted(set(group)), x.shape[1], quality.LEAST_SPREAD**2
+    rows_of = {g: x[group == g] for g in groups}
+
+    def estimates(moments, scale):
+        means = {g: (n, m, scale * (a - np.outer(m, m))) for g, (n, m, a) in moments.items()}
+        out = {}
+        for g, (n, m, c) in means.items():
+            near = [means[h] for h in groups if language[h] == language[g]]
+            weight = sum(k for k, _, _ in near)
+            pooled = [sum(part[0] * part[i] for part in near) / weight for i in (1, 2)]
+            lean = quality.LEAN
+            m, c = [(own * n + wide * lean) / (n + lean) for own, wide in zip((m, c), pooled)]
+            c = c + np.eye(n_dim) * least
+            out[g] = m, np.linalg.inv(c), np.linalg.slogdet(c)[1]
+        return out
+
+    def distance(v, estimate):
+        return np.einsum("ri,ij,rj->r", v - estimate[0], estimate[1], v - estimate[0])
+
+    def step(found):
+        moments = {}
+        for g, v in rows_of.items():
+            interval = np.rint(16 * np.log1p(np.maximum(0, distance(v, found[g]))))
+            core = v[[(interval < k).sum() < quality.CORE * len(v) for k in interval]]
+            moments[g] = len(core), core.mean(axis=0), core.T @ core / len(core)
+        return estimates(moments, quality.CONSISTENT)
+
+    starts = [{}, {}, {}]
+    for g, v in rows_of.items():
+        m, spread = np.zeros(n_dim), np.zeros(n_dim)
+        for p in range(n_dim):
+            cell = np.rint(v[:, p] * 16)
+            upto, before = ((cell[:, None] >= cell).sum(axis=1)), ((cell[:, None] > cell).sum(axis=1))
+            middle = v[(upto > 0.25 * len(v)) & (before < 0.75 * len(v)), p]
+            m[p], spread[p] = middle.mean(), np.sqrt(7 * middle.var() + least)
+        z = (v - m) / spread
+        u, t = z / np.maximum(np.sqrt((z**2).sum(axis=1)), 1e-9)[:, None], np.tanh(z)
+        t = t.T @ t / len(v)
+        scale = np.sqrt(np.maximum(np.diag(t), 1e-9))
+        for start, shape in zip(starts, (np.eye(n_dim), n_dim * u.T @ u / len(v), t / np.outer(scale, scale))):
+            start[g] = 1.0, m, shape * np.outer(spread, spread) + np.outer(m, m)
+    best = {}
+    for start in starts:
+        core = step(estimates(start, 1.0))
+        while True:
+            new = step(core)
+            lower = {g for g in groups if new[g][2] < core[g][2] - quality.SETTLED}
+            core = {g: new[g] if g in lower else core[g] for g in groups}
+            if not lower:
+                break
+        for g in groups:
+            if g not in best or np.rint(core[g][2] * 1e6) < np.rint(best[g][2] * 1e6):
+                best[g] = core[g]
+    return np.array([distance(v[None], best[g])[0] for v, g in zip(x, group)])
+
+
+def test_distances_equal_dense_estimates(rows):
+    """Correlated statistics, and a fifth of one source written alike and far off."""
+    rng = random.Random(12)
+    prose = lambda n, size: " ".join("".join(rng.choice("etaoinshr") for _ in range(max(1, int(rng.gauss(size, 2))))) for _ in range(n))
+    docs = []
+    for name, lang, n in (("a", "en", 160), ("b", "en", 90), ("c", "fr", 60), ("d", None, 3)):
+        for _ in range(n):
+            words = rng.randrange(25, 400)
+            docs.append((len(docs), prose(words, 4 + words / 200) + " #" * rng.randrange(1 + words // 60), lang, name))
+    docs += [(len(docs) + i, "\n".join(["aa $$ | bb " + prose(3, 11)] * 2 + [prose(2, 12) + " $%" for _ in range(30)]), "en", "a") for i in range(40)]
+    df = rows("doc_id bigint, text string, lang string, source string", *docs)
+    out = [r for r in quality.judged(df).collect() if not r.base_failed]
+    numbers = np.array([[r[c] for c in quality.COUNTS] for r in out], dtype=float)
+    n, chars, symbols, lines, repeats = numbers.T
+    x = np.stack([np.log(n), 4 * np.log(chars / n), np.log1p(200 * symbols / chars), np.log1p(lines), np.log1p(8 * repeats / n)], axis=1)
+    want = robust_distances(np.rint(x * 256) / 256, np.array([r.source for r in out]), {"a": "en", "b": "en", "c": "fr", "d": None})
+    got = np.array([r.distance for r in out])
+    assert len(out) > 330 and np.allclose(got, want, rtol=1e-6, atol=1e-6)
+    assert [r.kept for r in out] == (want <= quality.LIMIT).tolist()
+    ours = np.array([r.doc_id >= len(docs) - 40 for r in out])
+    assert ours.sum() == 40 and (got[ours] > quality.LIMIT).all() and (got[~ours] <= quality.LIMIT).mean() > 0.99
+
+
 # --- benchmark passages ----------------------------------------------------
 
 

@@ -4,9 +4,12 @@ The statistics of a text are computed inside its row. A text fails the base rule
 too many of its words lie in windows that the text repeats.
 
 The others are judged by a vector of transformed statistics. For each language and source, the minimum
-covariance determinant estimate of location and scatter is found by concentration steps: from a start
-at medians, the rows nearest to the estimate (``CORE`` of them) give the next estimate. A row whose squared
-Mahalanobis distance from the last one is above ``LIMIT`` is rejected.
+covariance determinant estimate of location and scatter is found by concentration steps from several fixed
+starts: the middle of each statistic alone, the directions of the rows from that middle, and the rows' bounded deviations
+from it, which tell how statistics go together. In a step the rows nearest to an estimate (``CORE`` of them)
+give the next one; a start whose determinant falls no more keeps its estimate, and steps end when all have settled. Of a
+group's starts that of the least determinant is taken. A row whose squared Mahalanobis distance from it is
+above ``LIMIT`` is rejected.
 
 A step is one aggregation: rows are summed up by group and by interval of distance, map-side first,
 and the sums of a group's nearest intervals make its estimate, so no group is ever brought together or
@@ -43,7 +46,7 @@ CORE = 0.75  # share of a group's rows that the estimate rests on
 # 0.75 / P(chi2(7) <= 6.626), 6.626 being the 75 % point of chi2(5).
 CONSISTENT = 1.41
 LIMIT = 60.0
-STEPS = 4
+SETTLED = 0.01  # a fall of the log determinant by no more than this ends a start's steps
 LEAN = 50.0
 LEAST_SPREAD = 0.25
 PARAMETER_BYTES = 32 * 1024 * 1024  # estimates are broadcast up to this measured size
@@ -147,9 +150,9 @@ SUMMED = ["_n", *M, *[_a(i, j) for i, j in PAIRS]]
 
 
 def _inverted(table: DataFrame, names: list[str]) -> DataFrame:
-    """The symmetric matrices in the columns ``_aij`` replaced by their inverses, one pivot after the other."""
+    """The symmetric matrices in the columns ``_aij`` replaced by their inverses, one pivot after the other, and ``_logdet``."""
     k = range(DIMENSIONS)
-    full = table.select(*names, *[F.col(_a(i, j)).alias(f"_f{i}{j}") for i in k for j in k])
+    full = table.select(*names, F.lit(0.0).alias("_logdet"), *[F.col(_a(i, j)).alias(f"_f{i}{j}") for i in k for j in k])
 
     def pivoted(at: DataFrame, p: int) -> DataFrame:
         f = lambda i, j: F.col(f"_f{i}{j}")
@@ -165,27 +168,31 @@ def _inverted(table: DataFrame, names: list[str]) -> DataFrame:
                 else:
                     value = f(i, j) - f(i, p) * f(p, j) / f(p, p)
                 new.append(value.alias(f"_f{i}{j}"))
-        return at.select(*names, *new)
+        return at.select(*names, (F.col("_logdet") + F.log(f(p, p))).alias("_logdet"), *new)
 
     done = reduce(pivoted, k, full)
-    return done.select(*names, *[F.col(f"_f{i}{j}").alias(_a(i, j)) for i, j in PAIRS])
+    return done.select(*names, "_logdet", *[F.col(f"_f{i}{j}").alias(_a(i, j)) for i, j in PAIRS])
+
+
+KEYS = ["_group", "_language", "_start"]
+ESTIMATE = ["_logdet", *M, *[_a(i, j) for i, j in PAIRS]]
 
 
 def _estimates(sums: DataFrame, scale: float) -> DataFrame:
-    """Location and inverse scatter of each group from its sums (group, language, SUMMED)."""
+    """Location, inverse scatter and log determinant of each group and start from its sums (KEYS, SUMMED)."""
     n = F.col("_n")
-    means = sums.select("_group", "_language", "_n", *[(F.col(m) / n).alias(m) for m in M], *[
+    means = sums.select(*KEYS, "_n", *[(F.col(m) / n).alias(m) for m in M], *[
         (scale * (F.col(_a(i, j)) / n - F.col(M[i]) * F.col(M[j]) / (n * n))).alias(_a(i, j)) for i, j in PAIRS
     ])
-    pooled = means.groupBy("_language").agg(
+    pooled = means.groupBy("_language", "_start").agg(
         *[(F.sum(F.col(c) * F.col("_n")) / F.sum("_n")).alias(f"{c}_l") for c in (*M, *[_a(i, j) for i, j in PAIRS])]
     )
     lean = lambda c: (F.col(c) * n + F.col(f"{c}_l") * LEAN) / (n + LEAN)
     least = lambda i, j: F.lit(LEAST_SPREAD**2 if i == j else 0.0)
-    leaning = means.join(pooled, "_language").select(
-        "_group", "_language", *[lean(m).alias(m) for m in M], *[(lean(_a(i, j)) + least(i, j)).alias(_a(i, j)) for i, j in PAIRS]
+    leaning = means.join(pooled, ["_language", "_start"]).select(
+        *KEYS, *[lean(m).alias(m) for m in M], *[(lean(_a(i, j)) + least(i, j)).alias(_a(i, j)) for i, j in PAIRS]
     )
-    return stored(_inverted(leaning, ["_group", "_language", *M]), "estimates")
+    return _inverted(leaning, [*KEYS, *M])
 
 
 def _distance() -> Column:
@@ -195,13 +202,17 @@ def _distance() -> Column:
 
 
 def _with_estimate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Rows with the estimates of their group: once for each start that these are of."""
     if source_bytes(estimates) <= PARAMETER_BYTES:
         estimates = F.broadcast(estimates)
     return rows.join(estimates.drop("_language"), "_group", "left")
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """A first estimate: the middle half of each statistic alone gives its location and spread."""
+SPREAD = [f"_s{i}" for i in range(DIMENSIONS)]
+
+
+def _middles(rows: DataFrame) -> DataFrame:
+    """Location ``_mi`` and spread ``_si`` of each statistic alone, from its middle half, by group."""
     cells = rows.select("_group", "_language", F.posexplode(F.array(*X)).alias("_p", "_v"))
     cells = cells.groupBy("_group", "_language", "_p", F.rint(F.col("_v") * 16).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_rows"), F.sum("_v").alias("_s"), F.sum(F.col("_v") * F.col("_v")).alias("_ss")
@@ -212,25 +223,77 @@ def _start(rows: DataFrame) -> DataFrame:
     middle = (F.col("_upto") > 0.25 * F.col("_all")) & (F.col("_upto") - F.col("_rows") < 0.75 * F.col("_all"))
     parts = cells.filter(middle).groupBy("_group", "_language", "_p").agg(*_sums(["_rows", "_s", "_ss"]))
     pick = lambda p, c: F.sum(F.when(F.col("_p") == p, F.col(c)))
-    # moments as of rows whose statistics are independent; the middle half of a normal one has 1/7 of its variance
     wide = parts.groupBy("_group", "_language").agg(
         *[(pick(p, "_s") / pick(p, "_rows")).alias(M[p]) for p in range(DIMENSIONS)],
         *[F.greatest(F.lit(0.0), pick(p, "_ss") / pick(p, "_rows") - F.pow(pick(p, "_s") / pick(p, "_rows"), F.lit(2))).alias(f"_v{p}") for p in range(DIMENSIONS)],
     )
-    variance = lambda i, j: 7 * F.col(f"_v{i}") if i == j else F.lit(0.0)
-    return wide.select(
-        "_group", "_language", F.lit(1.0).alias("_n"), *M, *[(variance(i, j) + F.col(M[i]) * F.col(M[j])).alias(_a(i, j)) for i, j in PAIRS]
+    # the middle half of a normal statistic has 1/7 of its variance
+    return stored(
+        wide.select("_group", "_language", *M, *[F.sqrt(7 * F.col(f"_v{p}") + LEAST_SPREAD**2).alias(SPREAD[p]) for p in range(DIMENSIONS)]),
+        "middles",
+    )
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Sums (KEYS, SUMMED) as of one row for each start: 0 with independent statistics, 1 by directions, 2 by bounded deviations."""
+    middles = _middles(rows)
+    near = _with_estimate(rows, middles)
+    k = range(DIMENSIONS)
+    near = near.withColumns({f"_z{i}": (F.col(X[i]) - F.col(M[i])) / F.col(SPREAD[i]) for i in k})
+    length = F.sqrt(reduce(lambda a, b: a + b, [F.col(f"_z{i}") * F.col(f"_z{i}") for i in k]))
+    near = near.withColumn("_length", F.greatest(length, F.lit(1e-9)))
+    near = near.withColumns(
+        {f"_u{i}": F.col(f"_z{i}") / F.col("_length") for i in k} | {f"_t{i}": F.tanh(f"_z{i}") for i in k}
+    )
+    # rounded, so that the sums do not depend on the order of the rows
+    mean = lambda c, i, j: (F.sum(F.rint(F.col(f"_{c}{i}") * F.col(f"_{c}{j}") * 2**20)) / 2**20 / F.count(F.lit(1))).alias(f"_{c}{i}{j}")
+    shapes = stored(
+        near.groupBy("_group", "_language", *M, *SPREAD).agg(*[mean(c, i, j) for c in "ut" for i, j in PAIRS]), "shapes"
+    )
+
+    def start(number: int, shape) -> DataFrame:
+        square = lambda i, j: shape(i, j) * F.col(SPREAD[i]) * F.col(SPREAD[j]) + F.col(M[i]) * F.col(M[j])
+        return shapes.select(
+            "_group", "_language", F.lit(number).alias("_start"), F.lit(1.0).alias("_n"), *M, *[square(i, j).alias(_a(i, j)) for i, j in PAIRS]
+        )
+
+    diagonal = lambda i: F.sqrt(F.greatest(F.col(f"_t{i}{i}"), F.lit(1e-9)))
+    return reduce(
+        DataFrame.union,
+        [
+            start(0, lambda i, j: F.lit(1.0 if i == j else 0.0)),
+            start(1, lambda i, j: DIMENSIONS * F.col(f"_u{i}{j}")),
+            start(2, lambda i, j: F.col(f"_t{i}{j}") / (diagonal(i) * diagonal(j))),
+        ],
     )
 
 
 def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Sums over the nearest ``CORE`` of each group's rows, in whole intervals of distance."""
+    """Sums over the nearest ``CORE`` of each group's rows by each start, in whole intervals of distance."""
     interval = F.rint(16 * F.log1p(F.greatest(F.lit(0.0), _distance()))).cast("int")
-    near = _with_estimate(rows, estimates).groupBy("_group", "_language", interval.alias("_interval")).agg(*_moments())
-    every = W.partitionBy("_group")
+    near = _with_estimate(rows, estimates).groupBy(*KEYS, interval.alias("_interval")).agg(*_moments())
+    every = W.partitionBy("_group", "_start")
     upto = every.orderBy("_interval").rowsBetween(W.unboundedPreceding, -1)
     near = near.withColumns({"_before": F.coalesce(F.sum("_n").over(upto), F.lit(0.0)), "_all": F.sum("_n").over(every)})
-    return near.filter(F.col("_before") < CORE * F.col("_all")).groupBy("_group", "_language").agg(*_sums(SUMMED))
+    return near.filter(F.col("_before") < CORE * F.col("_all")).groupBy(*KEYS).agg(*_sums(SUMMED))
+
+
+def _least_determinant(rows: DataFrame) -> DataFrame:
+    """The settled estimate of least determinant of each group (_group, _language, M, inverse scatter)."""
+    core = stored(_estimates(_starts(rows), 1.0), "estimates")
+    core = stored(_estimates(_step(rows, core), CONSISTENT), "estimates")
+    while True:
+        new = _estimates(_step(rows, core), CONSISTENT).select(*KEYS, F.struct(*ESTIMATE).alias("_new"))
+        both = core.select(*KEYS, F.struct(*ESTIMATE).alias("_old")).join(new, KEYS)
+        falls = F.col("_new._logdet") < F.col("_old._logdet") - SETTLED
+        both = stored(both.select(*KEYS, falls.alias("_falls"), F.when(falls, F.col("_new")).otherwise(F.col("_old")).alias("_e")), "estimates")
+        core = both.select(*KEYS, "_e.*")
+        if not both.agg(F.max("_falls")).first()[0]:
+            break
+    # starts that met in one core differ by rounding only: the first of them stands for it
+    order = F.struct(F.rint(F.col("_logdet") * 1e6), "_start")
+    least = core.groupBy("_group", "_language").agg(F.min_by(F.struct(*ESTIMATE), order).alias("_e"))
+    return stored(least.select("_group", "_language", "_e.*").drop("_logdet"), "least")
 
 
 def judged(docs: DataFrame, text: str = "text", language: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
@@ -242,10 +305,7 @@ def judged(docs: DataFrame, text: str = "text", language: str = "lang", source:
     rows = stored(with_counts(keyed), "counts")
     rows = rows.withColumns(dict(zip(X, vector())))
     judged_rows = rows.filter(~F.col("base_failed")).select("_group", "_language", *X)
-    estimates = _estimates(_start(judged_rows), 1.0)
-    for _ in range(STEPS):
-        estimates = _estimates(_step(judged_rows, estimates), CONSISTENT)
-    far = _with_estimate(rows, estimates)
+    far = _with_estimate(rows, _least_determinant(judged_rows))
     far = far.withColumn("_far", F.when(~F.col("base_failed"), F.greatest(F.lit(0.0), _distance())))
     kept = ~F.col("base_failed") & (F.coalesce("_far", F.lit(0.0)) <= LIMIT)
     return unboxed(far, own, *COUNTS, "base_failed", F.col("_far").alias("distance"), kept.alias("kept"))
