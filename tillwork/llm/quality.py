@@ -189,7 +189,8 @@ def _estimates(sums: DataFrame, scale: float) -> DataFrame:
     )
     lean = lambda c: (F.col(c) * n + F.col(f"{c}_l") * LEAN) / (n + LEAN)
     least = lambda i, j: F.lit(LEAST_SPREAD**2 if i == j else 0.0)
-    leaning = means.join(pooled, ["_language", "_start"]).select(
+    # the small joins of a step are merged: a broadcast keeps a page of memory on every executor until it is cleaned up
+    leaning = means.join(pooled.hint("merge"), ["_language", "_start"]).select(
         *KEYS, *[lean(m).alias(m) for m in M], *[(lean(_a(i, j)) + least(i, j)).alias(_a(i, j)) for i, j in PAIRS]
     )
     return _inverted(leaning, [*KEYS, *M])
@@ -284,7 +285,7 @@ def _least_determinant(rows: DataFrame) -> DataFrame:
     core = stored(_estimates(_step(rows, core), CONSISTENT), "estimates")
     while True:
         new = _estimates(_step(rows, core), CONSISTENT).select(*KEYS, F.struct(*ESTIMATE).alias("_new"))
-        both = core.select(*KEYS, F.struct(*ESTIMATE).alias("_old")).join(new, KEYS)
+        both = core.select(*KEYS, F.struct(*ESTIMATE).alias("_old")).join(new.hint("merge"), KEYS)
         falls = F.col("_new._logdet") < F.col("_old._logdet") - SETTLED
         both = stored(both.select(*KEYS, falls.alias("_falls"), F.when(falls, F.col("_new")).otherwise(F.col("_old")).alias("_e")), "estimates")
         core = both.select(*KEYS, "_e.*")
