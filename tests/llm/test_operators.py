@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -636,6 +637,32 @@ def test_search_skips_and_blocks_agree(rows, monkeypatch):
     assert sorted(map(key, one)) == sorted(map(key, several)) and any(r.spans for r in one)
 
 
+def test_one_item_in_several_blocks_has_whole_spans(rows, monkeypatch):
+    """Texts of one id, and passages that all items share, in several blocks and repeated."""
+    w = [f"u{i}" for i in range(60)]
+    docs = rows("doc_id int, text string", (1, " ".join(w)), (2, " ".join(w[:9])), (3, " ".join([*w[20:40], *w[20:40]])))
+    items = rows("item_id int, text string", *[(i % 2, " ".join(w[i : i + 20])) for i in range(0, 41, 2)] * 2, (7, "u59"), (8, " ".join(w[:9])))
+    one = decontaminate.occurrences(docs, items).collect()
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 300)
+    several = decontaminate.occurrences(docs, items).collect()
+    by_id = lambda found: {r.doc_id: [tuple(s) for s in r.spans] for r in found}
+    assert by_id(one) == by_id(several)
+    assert by_id(one)[1] == [("0", 0, 60), ("7", 59, 1), ("8", 0, 9)]
+    assert by_id(one)[2] == [("8", 0, 9)]
+    assert by_id(one)[3] == [("0", 0, 40)]
+
+
+def test_search_tables_of_a_large_block_stay_small():
+    """Tables are arrays over the items' words, about ten times their text at most, with equal windows kept once."""
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.randrange(10**6):x}" for _ in range(200)) for _ in range(1_000)]
+    texts += ["the same words " * 5_000] * 3
+    items = pa.table({"item": [str(i) for i in range(len(texts))], "text": texts})
+    (table,) = decontaminate.tables(items, 10)
+    assert len(table.first) == 1_000 * 191 + 3 and len(table.items) == 1_000 * 191 + 9
+    assert len(pickle.dumps(table, protocol=5)) < 10 * sum(map(len, texts)) + (4 << 20)
+
+
 # --- rules -----------------------------------------------------------------
 
 
