@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import pickle
 import random
@@ -432,6 +433,29 @@ def test_shards_query(result, texts):
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(texts[k].encode()) + 1, zlib.crc32(texts[k].encode()), "rows", None)
 
 
+def test_shards_equal_plain_ranks(spark, folder, result):
+    """Every shard and slot of the query, by ranks taken in one list."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "text").collect()
+    bits = lambda *parts: int(hashlib.md5("/".join(map(str, parts)).encode()).hexdigest()[:12], 16)
+    groups: dict[str, list] = {}
+    for d in docs:
+        text = (d.text or "").encode()
+        tie = (d.doc_id, zlib.crc32(text), len(text) + 1)
+        groups.setdefault(d.source, []).append((bits(2, *tie), tie))
+    small = [s for s, of in groups.items() if len(of) < 8]
+    strata = {json.dumps({"_source": s, "_none": False}, separators=(",", ":")): of for s, of in groups.items() if s not in small}
+    if small:
+        strata[""] = [x for s in small for x in groups[s]]
+    order = sorted(
+        ((rank + bits(2, name) / 2**48) / len(of), name, *row) for name, of in strata.items() for rank, row in enumerate(sorted(of))
+    )
+    got, n = result("op4_stratified_shards"), len(docs)
+    for place, (*_, tie) in enumerate(order):
+        shard = place * 8 // n
+        assert (got[tie[0]].shard, got[tie[0]].slot) == (shard, place - -(-shard * n // 8))
+    assert len(got) == n
+
+
 # --- language --------------------------------------------------------------
 
 
@@ -470,6 +494,72 @@ def test_evidence_decides_where_the_text_does_not(rows, spark, folder):
     assert out[0].language == "en" and out[1].language == "fr"
 
 
+def plain_posteriors(trained_on: list[tuple], made: list[tuple]) -> dict:
+    """id -> (language, posterior) of rows (id, text, declared, suffix, host, domain), one row and one number at a time."""
+
+    def slots(text):
+        b = [c if 97 <= c <= 122 or c >= 128 else 32 for c in (text or "").translate(LOWER).encode()]
+        return [(((x << 16 | y << 8 | z) * 2654435769) % 2**32) >> 18 for x, y, z in zip(b, b[1:], b[2:]) if y != 32]
+
+    names = sorted({label for _, label in trained_on})
+    seen = {x: Counter(s for text, label in trained_on if label == x for s in slots(text)) for x in names}
+    log = {x: lambda s, c=c, n=sum(c.values()): math.log((c[s] + 0.5) / (n + 0.5 * 2**14)) for x, c in seen.items()}
+    log["und"] = lambda s: -math.log(2**14)
+    names.append("und")
+    texts = {}
+    for r in made:
+        found = slots(r[1])
+        texts[r[0]] = (len(found), [sum(map(log[x], found)) * min(1, 600 / max(len(found), 1)) / 3 for x in names])
+    vote = {k: max(range(len(names)), key=lambda i: (t[i], -i)) if n else len(names) - 1 for k, (n, t) in texts.items()}
+    every = Counter(vote.values())
+    out = {}
+    for r in made:
+        key, (n, score) = r[0], texts[r[0]]
+        score = list(score)
+        for place in (2, 3):
+            if r[place] is not None:
+                with_it = Counter(vote[o[0]] for o in made if o[place] == r[place])
+                score = [s + math.log((with_it[i] + 0.5) / (every[i] + len(names))) for i, s in enumerate(score)]
+        prior = [(every[i] + 1) / (len(made) + len(names)) for i in range(len(names) - 1)] + [0.01]
+        for place in ((5,), (5, 4)):
+            if r[place[-1]] is not None:
+                others = Counter(vote[o[0]] for o in made if o[0] != key and all(o[p] == r[p] for p in place))
+                m = sum(others.values())
+                prior = [(others[i] + 20 * p) / (m + 20) for i, p in enumerate(prior)]
+        score = [s + math.log(p) for s, p in zip(score, prior)]
+        most = max(score)
+        posterior = 1 / sum(math.exp(s - most) for s in score)
+        out[key] = (names[score.index(most)], posterior) if n else ("und", 1.0)
+    return out
+
+
+@pytest.mark.parametrize("labels", [2, 256])
+def test_posteriors_equal_plain_ones(rows, labels, monkeypatch):
+    """Numbers of all four kinds of evidence, with the profiles in one block and in several."""
+    monkeypatch.setattr(language, "LABELS", labels)
+    rng = random.Random(6)
+    parts = {"en": "the and ing ion of", "de": "der und sch ein ung", "fr": "les que ais eau oux", "nl": "het een ijk oor van", "da": "øre åen ikk det"}
+    text = lambda x, n: " ".join(rng.choice(parts[x].split()) + rng.choice("abcde") for _ in range(n))
+    known = [(text(x, 30), x) for x in parts for _ in range(3)]
+    made = []
+    for i in range(80):
+        x = rng.choice(list(parts))
+        host = rng.choice([None, "a.x.de", "b.x.de", "c.y.com", "d.y.com"])
+        made.append(
+            (i, rng.choice([text(x, rng.randrange(1, 5)), text(x, 300), "", None, "0 1", "zqx jvk"]), rng.choice([None, x, "en"]),
+             host and host.rsplit(".", 1)[1], host, host and host.split(".", 1)[1])
+        )
+    docs = rows("doc_id int, text string, d string, s string, h string, o string", *made)
+    given = dict(declared=F.col("d"), suffix=F.col("s"), host=F.col("h"), domain=F.col("o"))
+    out = language.fused(docs, language.trained(rows("text string, lang string", *known)), **given, keep=["doc_id"]).collect()
+    want = plain_posteriors(known, made)
+    assert len(out) == len(made) and len({r.language for r in out}) == 6
+    for r in out:
+        name, posterior = want[r.doc_id]
+        assert r.language == name and r.posterior == pytest.approx(posterior, rel=1e-4), (r, want[r.doc_id])
+        assert r.language_kept == (name != "und" and posterior >= 0.5)
+
+
 def test_parts_of_addresses_and_markup(rows):
     df = rows("html string", ("<!DOCTYPE html><HTML class=x Lang='en-GB'><p>a&amp;b</p><script>x</script>",), ("<p>",), (None,))
     got = df.select(language.declared_in(F.col("html")), language.text_of(F.col("html"))).collect()

@@ -15,7 +15,9 @@ from its host.
 ``und`` is a class of its own: texts that no profile explains better than even odds for all trigrams.
 
 The text is read once; what follows works on a slim written table, grouped aggregations of it, and joins
-with those. Rows of one host or value are summed up map-side and never brought together.
+with those. Rows of one host or value are summed up map-side and never brought together. Profiles are a written table of
+counts; ``LABELS`` languages at a time become one broadcast and one pass over a task's rows, so neither the driver nor a
+pass holds more of them, and the plan does not grow with their number. A row of the slim table has one number for each language.
 
 Defined cases: null and empty texts have no text evidence, and without trigrams the language is ``und``;
 null evidence counts for nothing; ties go to the language that sorts first; every label has a profile, by its primary
@@ -26,12 +28,13 @@ through, but columns with the names of the results are replaced.
 
 from __future__ import annotations
 
-import pickle
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,7 @@ from .common import content, extended, own_columns, plus, stored, unboxed, with_
 from .words import BLOCK_BYTES, LOWERED, buffers
 
 HELD_LABELS = 128  # labels whose counts a task holds before it hands them on
+LABELS = 256  # languages whose profiles are in memory at a time, 64 KB each
 SLOTS = 1 << 14
 SHARED, MOST = 3.0, 600
 NEAR = 20.0  # rows' weight of the wider group in a host's prior
@@ -75,10 +79,29 @@ def trigrams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 @dataclass
 class Profiles:
-    """Log probability of each slot in each language; the last language is ``und``."""
+    """Languages in order, the last being ``und``, and the table of counts (label, slot, n) of all others."""
 
     languages: list[str]
-    log: np.ndarray  # languages x SLOTS
+    counts: DataFrame
+
+    def blocks(self) -> Iterator[np.ndarray]:
+        """Log probability of each slot, a row for each language, ``LABELS`` languages at a time."""
+        for first in range(0, len(self.languages), LABELS):
+            names = [x for x in self.languages[first : first + LABELS] if x != UNKNOWN]
+            total = np.zeros((len(names), SLOTS))
+            if names:
+                found = self.counts.filter(F.col("label").between(names[0], names[-1])).toArrow()
+                of = pc.index_in(found.column("label"), value_set=pa.array(names, pa.string())).to_numpy()
+                total[of, found.column("slot").to_numpy()] = found.column("n").to_numpy()
+            log = np.log((total + 0.5) / (total.sum(axis=1, keepdims=True) + 0.5 * SLOTS)).astype(np.float32)
+            if first + LABELS >= len(self.languages):
+                log = np.vstack([log, np.full((1, SLOTS), -np.log(SLOTS), dtype=np.float32)])
+            yield log
+
+    @property
+    def log(self) -> np.ndarray:
+        """All blocks in one, for few languages."""
+        return np.vstack(list(self.blocks()))
 
 
 def trained(labelled: DataFrame, text: str = "text", label: str = "lang") -> Profiles:
@@ -109,25 +132,26 @@ def trained(labelled: DataFrame, text: str = "text", label: str = "lang") -> Pro
                     n += np.bincount(slot[np.searchsorted(of, k) : np.searchsorted(of, k, side="right")], minlength=SLOTS)
         yield from sums()
 
-    counts = known.mapInArrow(count, "label string, slot bigint, n bigint").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
-    label_of = counts.column("label").combine_chunks().dictionary_encode()
-    if isinstance(label_of, pa.ChunkedArray):
-        label_of = label_of.combine_chunks()
-    found = label_of.dictionary.to_pylist()
-    names = sorted(found)
-    row = np.array([names.index(x) for x in found], dtype=np.int64)[label_of.indices.to_numpy()] if names else np.zeros(0, np.int64)
-    total = np.zeros((len(names), SLOTS))
-    total[row, counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
-    log = np.log((total + 0.5) / (total.sum(axis=1, keepdims=True) + 0.5 * SLOTS))
-    return Profiles([*names, UNKNOWN], np.vstack([log, np.full((1, SLOTS), -np.log(SLOTS))]).astype(np.float32))
+    counts = stored(known.mapInArrow(count, "label string, slot bigint, n bigint").groupBy("label", "slot").agg(F.sum("n").alias("n")), "profiles")
+    names = sorted(r[0] for r in counts.select("label").distinct().collect())
+    return Profiles([*names, UNKNOWN], counts)
 
 
 def likelihoods(rows: DataFrame, profiles: Profiles, text: str, own: list[str]) -> DataFrame:
-    """Boxed rows with ``_n`` (trigrams) and ``_text``: the tempered log likelihood by language."""
-    packed = rows.sparkSession.sparkContext.broadcast(pickle.dumps(profiles))
+    """Boxed rows with ``_n`` (trigrams) and ``_text``: the tempered log likelihood by language, one pass for each block of them."""
+    rows = rows.withColumns({"_n": F.lit(0).cast("bigint"), "_text": F.array().cast("array<double>")})
+    for first, log in zip(range(0, len(profiles.languages), LABELS), profiles.blocks()):
+        last = first + len(log) == len(profiles.languages)
+        packed = rows.sparkSession.sparkContext.broadcast(log)
+        rows = rows.mapInArrow(_pass(packed, own, text, first, last), plus(rows) if last else rows.schema)
+    return rows
+
+
+def _pass(packed, own: list[str], text: str, known: int, last: bool):
+    """Adds the likelihoods of a block of languages to those ``known``; the text beside the rows goes with the last pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log = pickle.loads(packed.value).log
+        log = packed.value
         for batch in batches:
             total, n = np.zeros((batch.num_rows, len(log))), np.zeros(batch.num_rows, dtype=np.int64)
             for first, doc, slot in trigrams(content(batch, own, text)):
@@ -137,16 +161,32 @@ def likelihoods(rows: DataFrame, profiles: Profiles, text: str, own: list[str])
                     for k in range(len(log)):
                         total[first : first + here, k] = np.bincount(doc, weights=log[k][slot], minlength=here)
             total *= (np.minimum(1.0, MOST / np.maximum(n, 1)) / SHARED)[:, None]
-            values = pa.FixedSizeListArray.from_arrays(pa.array(total.ravel()), len(log)).cast(pa.list_(pa.float64()))
-            yield extended(batch, _n=pa.array(n), _text=values)
+            if known:
+                total = np.hstack([batch.column("_text").flatten().to_numpy().reshape(-1, known), total])
+            values = pa.FixedSizeListArray.from_arrays(pa.array(total.ravel()), known + len(log)).cast(pa.list_(pa.float64()))
+            found = {"_n": pa.array(n), "_text": values}
+            if not last and text not in own:
+                found["_content"] = batch.column("_content")
+            out = extended(batch, **found)
+            yield out.select([c for c in batch.schema.names if c in out.schema.names])
 
-    return rows.mapInArrow(run, plus(rows, _n="bigint", _text="array<double>"))
+    return run
 
 
-def _votes(rows: DataFrame, by: list[str], size: int) -> DataFrame:
+def _votes(rows: DataFrame, by: str, size: int) -> DataFrame:
     """For each value of ``by`` the number of rows whose text alone speaks for each language."""
-    counts = [F.count(F.when(F.col("_vote") == k, 1)).cast("double") for k in range(size)]
-    return rows.groupBy(*by).agg(F.array(*counts).alias("_counts"))
+    cells = rows.groupBy(by, "_vote").agg(F.count(F.lit(1)).cast("double").alias("_rows"))
+    found = cells.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_vote", "_rows"))).alias("_found"))
+    return found.select(by, F.transform(_every(size), lambda k: F.coalesce(F.try_element_at("_found", k), F.lit(0.0))).alias("_counts"))
+
+
+def _every(size: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(size - 1))
+
+
+def _fixed(values: list, kind: str) -> Column:
+    """The values as one literal of the plan, however many they are."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
 def _joined(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
@@ -175,30 +215,31 @@ def fused(
     best = F.array_position("_text", F.array_max("_text")).cast("int") - 1
     rows = rows.withColumn("_vote", F.when(F.col("_n") > 0, best).otherwise(size - 1))
 
-    every = stored(_votes(rows, [], size), "votes").first()["_counts"]
+    found = dict(rows.groupBy("_vote").agg(F.count(F.lit(1))).collect())  # a number for each language
+    every = [float(found.get(k, 0)) for k in range(size)]
     total = sum(every)
     odds = [UNKNOWN_PRIOR if k == size - 1 else (every[k] + 1) / (total + size) for k in range(size)]
-    overall = F.array(*[F.lit(float(p)) for p in odds])
-    own_vote = F.array(*[F.when(F.col("_vote") == k, 1.0).otherwise(0.0) for k in range(size)])
+    overall = _fixed(odds, "double")
+    none = F.array_repeat(F.lit(0.0), size)
 
     # how a declared language or suffix is spread over its rows' languages, against all rows
     logs = [F.col("_text")]
     for name in ("_declared", "_suffix"):
-        table = _votes(rows.filter(F.col(name).isNotNull()), [name], size)
-        of = F.array(*[F.lit(float(c + size)) for c in every])
+        table = _votes(rows.filter(F.col(name).isNotNull()), name, size)
+        of = _fixed([c + size for c in every], "double")
         chance = F.zip_with(F.col("_counts"), of, lambda c, n: F.log((c + 0.5) / n))
         rows = _joined(rows, table.select(name, chance.alias(f"{name}_log")), [name])
-        logs.append(F.coalesce(f"{name}_log", F.array_repeat(F.lit(0.0), size)))
+        logs.append(F.coalesce(f"{name}_log", none))
 
     # host within domain within all rows, each without the row's own vote
     prior = overall
     for by in (["_domain"], ["_domain", "_host"]):
         key = F.to_json(F.struct(*by)).alias("_key")
         known = rows.withColumn("_key", F.when(F.col(by[-1]).isNotNull(), key))
-        table = _votes(known.filter(F.col("_key").isNotNull()), ["_key"], size)
+        table = _votes(known.filter(F.col("_key").isNotNull()), "_key", size)
         counts = f"_votes{by[-1]}"
         rows = _joined(known, table.withColumnRenamed("_counts", counts), ["_key"]).drop("_key")
-        others = F.zip_with(F.coalesce(F.col(counts), own_vote), own_vote, lambda a, b: a - b)
+        others = F.coalesce(F.transform(counts, lambda c, k: c - F.when(k == F.col("_vote"), 1.0).otherwise(0.0)), none)
         n = F.aggregate(others, F.lit(0.0), lambda a, b: a + b)
         rows = rows.withColumns({f"{counts}_others": others, f"{counts}_n": n})
         prior = F.zip_with(F.col(f"{counts}_others"), prior, _smoothed(F.col(f"{counts}_n")))
@@ -212,7 +253,7 @@ def fused(
     rows = rows.withColumn("_score", score).withColumn("_most", F.array_max("_score"))
     at = F.array_position("_score", F.col("_most")).cast("int")
     spread = F.aggregate("_score", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("_most")))
-    named = F.element_at(F.array(*[F.lit(x) for x in profiles.languages]), at)
+    named = F.element_at(_fixed(profiles.languages, "string"), at)
     language = F.when(F.col("_n") > 0, named).otherwise(F.lit(UNKNOWN))
     posterior = F.when(F.col("_n") > 0, 1 / spread).otherwise(1.0)
     out = rows.select("_row", language.alias("_language"), posterior.alias("_posterior"))
