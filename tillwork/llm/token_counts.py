@@ -3,14 +3,16 @@
 A byte-level BPE tokenizer first cuts a text into pre-tokens, and the tokens of a text are
 those of its pre-tokens. The lengths of the most frequent pre-tokens go to every task as one
 broadcast table of at most ``ENTRIES`` entries; a worker encodes the others with the library and
-remembers them. No pre-token is ever shuffled.
+remembers them. Only the counts that choose the table are shuffled, a number for each pre-token and task.
 
-The frequent pre-tokens are learned from about ``SAMPLE_ROWS`` texts, picked by a hash, in one job:
-every task of the scan counts those of its share, Spark adds them up, and the commonest reach the driver. The table only
-saves time: the counts are the same with any table, or none.
+The frequent pre-tokens are counted over all texts, in one job: every task of the scan counts those of its
+share, Spark adds them up, and at most the ``ENTRIES`` commonest reach the driver. Only those of more than ``LONGEST`` characters are
+left to the workers, so that the table is bounded in bytes too. The table only saves time: the counts are the same with
+any table, or none.
 
 The library's character classes are older than those of the ``regex`` module; they agree on the
-characters in ``AGREED``. A text with any other character is encoded whole by the library.
+characters in ``AGREED``, and texts of these are cut with their classes written out. A text with any other character is
+encoded whole by the library, and needs no table.
 
 Defined cases: a null or empty text has no bytes and no tokens; the special token's string inside a text
 is one token, as by the library's default; texts of any length count whole; repeated rows stay; other columns
@@ -21,9 +23,11 @@ from __future__ import annotations
 
 import os
 import pickle
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import pyarrow as pa
 import regex
@@ -31,25 +35,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .caches import Recent, groups
-from .common import content, extended, own_columns, plus, unboxed, with_content
+from .common import content, discard, extended, own_columns, plus, stored, unboxed, with_content
 
 ENTRIES = 65_536
-SAMPLE_ROWS = 16_000
-# Fixed value: the pattern that splits a text into pre-tokens.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONGEST = 64  # characters of a pre-token that is kept in the table or by a worker
+HELD = 8 * ENTRIES  # pre-tokens that a task counts before it hands them on
 # Characters whose class is the same in old and new versions of Unicode.
 AGREED = "\u0000-ԯ -⁤₠-₰←-⏿─-⟿　-〩ぁ-ゖ゠-ヿ一-龥가-힣！-～"
 SPECIAL = "<|endoftext|>"
 
 
+@cache
+def _cutter() -> re.Pattern:
+    """The pattern that splits a text of agreed characters into pre-tokens, by the library's rule."""
+    agreed = re.compile(f"[{AGREED}]")
+    characters = [c for c in map(chr, range(0x10000)) if agreed.match(c)]
+
+    def of(kind: str) -> str:
+        fits = regex.compile(kind).match
+        return "".join(f"\\u{ord(c):04x}" for c in characters if fits(c))
+
+    letter, number, space = of(r"\p{L}"), of(r"\p{N}"), of(r"\s")
+    return re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
 class PretokenCounter:
     """Counts the tokens of texts; ``table``: lengths of frequent pre-tokens."""
 
+    foreign = re.compile(f"[^{AGREED}]")
+
     def __init__(self, tokenizer: str, table: dict[str, int]):
         self.library = load(tokenizer)
-        self.cut = regex.compile(PATTERN)
-        self.foreign = regex.compile(f"[^{AGREED}]")
-        self.lengths = Recent(self.length, table)
+        self.cut = _cutter()
+        self.lengths = Recent(self.length, table, longest=LONGEST)
 
     def length(self, pretoken: str) -> int:
         return len(self.library.encode(pretoken, add_special_tokens=False))
@@ -65,7 +85,7 @@ class PretokenCounter:
                 cut.append([x for p in parts for x in self.cut.findall(p)] + [SPECIAL] * (len(parts) - 1))
             else:
                 cut.append(self.cut.findall(t))
-        new = {x for c in cut if not isinstance(c, int) for x in c if x not in self.lengths}
+        new = set().union(*[c for c in cut if not isinstance(c, int)]).difference(self.lengths)
         if new:
             short = [x for x in new if len(x) <= self.lengths.longest]
             fresh = dict(zip(short, map(len, self.library.encode_batch_fast(short, add_special_tokens=False))))
@@ -85,25 +105,48 @@ def load(tokenizer: str):
     return Tokenizer.from_file(tokenizer)
 
 
-def frequent_lengths(docs: DataFrame, tokenizer: str, text: str = "text", rows: int = SAMPLE_ROWS) -> dict[str, int]:
-    """Lengths of the commonest pre-tokens of a bounded sample of texts; all tasks of the scan pick and count their share at once."""
-    every = max(1, docs.count() // rows)
-    sample = docs.select(text).filter(F.pmod(F.xxhash64(text), F.lit(every)) == 0)
-
-    def commonest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = regex.compile(PATTERN), Counter()
-        for batch in batches:
-            for t in batch.column(0):
-                seen.update(x for x in cut.findall((t.as_py() or "").replace(SPECIAL, " ")) if len(x) <= 64)
-            if len(seen) > 16 * ENTRIES:
-                seen = Counter(dict(seen.most_common(4 * ENTRIES)))
-        if seen:
-            names, counts = zip(*seen.most_common(4 * ENTRIES))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["name", "n"])
-
-    # among equally common ones the smaller string first, so that the table is the same in every run
-    total = sample.mapInArrow(commonest, "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
-    names = [r.name for r in total.orderBy(F.desc("n"), "name").limit(ENTRIES).select("name").collect()]
+def _pretoken_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pre-tokens of the texts that are cut, and how often each occurs; one that is met again later has more rows."""
+    cut, seen = _cutter(), Counter()
+
+    def out() -> Iterator[pa.RecordBatch]:
+        names, counts = list(seen), list(seen.values())
+        for i in range(0, len(names), ENTRIES):
+            columns = [pa.array(names[i : i + ENTRIES], pa.string()), pa.array(counts[i : i + ENTRIES], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "n"])
+        seen.clear()
+
+    for batch in batches:
+        for text in batch.column(0):
+            t = text.as_py()
+            if t and not PretokenCounter.foreign.search(t):
+                for part in t.split(SPECIAL):
+                    seen.update(cut.findall(part))
+            if len(seen) > HELD:
+                yield from out()
+    if seen:
+        yield from out()
+
+
+def frequent_lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> dict[str, int]:
+    """Lengths of the commonest pre-tokens of all texts; all tasks of the scan count their share at once.
+
+    They are those found more often than a number that leaves at most ``ENTRIES``. It is read off a histogram, so that no
+    more than these reach the driver; counts beyond 4,095 are rounded down to 12 binary digits for it.
+    """
+    parts = docs.select(text).mapInArrow(_pretoken_counts, "name string, n bigint").filter(F.length("name") <= LONGEST)
+    zeros = "greatest(length(bin(n)) - 12, 0)"
+    total = parts.groupBy("name").agg(F.sum("n").alias("n")).withColumn("n", F.expr(f"shiftleft(shiftright(n, {zeros}), {zeros})"))
+    total = stored(total, "pretokens")
+    least, kept = 1, 0
+    for n, names in sorted(total.groupBy("n").count().collect(), reverse=True):
+        kept += names
+        if kept > ENTRIES:
+            least = n + 1
+            break
+    found = sorted((-r.n, r.name) for r in total.filter(F.col("n") >= least).collect())
+    discard(total)
+    names = [name for _, name in found]
     library = load(tokenizer)
     return dict(zip(names, map(len, library.encode_batch_fast(names, add_special_tokens=False))))
 
