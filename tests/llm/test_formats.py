@@ -187,6 +187,37 @@ def test_a_conversation_over_many_partitions_and_blocks(spark, rows):
     check_conversations(spark, data, blocks)
 
 
+@pytest.mark.parametrize("block", [40, 65_536])
+def test_examples_follow_from_those_before(spark, rows, block):
+    """Each context is what the examples before hold, then ``since``; no turn is read twice."""
+    data = conversations(random.Random(6), 20) + [(99, i, "assistant" if i % 2 else "user", f"{CONTROL_TURN} {i}") for i in range(20)]
+    blocks = written(spark, rows(TURNS, *data), block=block)
+    made: dict = {}
+    for e in chat.examples(blocks, rest=True).collect():
+        made.setdefault(e["at"], []).append(e)
+    for b in blocks.collect():
+        text = ""
+        for e in sorted(made[b.at], key=lambda e: e.example):
+            text += e.since
+            if e.reply is not None:
+                assert e.context == text + "<s>"
+                text += f"<s>{e.reply}</s>"
+        assert text == b.formatted and e.reply is None and e.context is None and len(made[b.at]) == len(b.replies) + 1
+    few = chat.examples(blocks).collect()
+    assert len(few) == sum(r[2] == "assistant" for r in data) and all(e.reply is not None for e in few)
+
+
+def test_digests_are_those_of_the_examples(spark, rows, monkeypatch):
+    data = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (2, 0, "user", "e")]
+    blocks = written(spark, rows(TURNS, *data))
+    of = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda *a, **k: of(*a, **k).withColumn("reply", F.concat(F.lit("!"), "reply")))
+    found = {r.key: r for r in chat.digests(blocks).collect()}
+    assert (found[1].loss_chars, found[1].loss_sha256) == (4, sha("!b!d"))
+    assert found[1].turns_sha256 == sha("user\na\nassistant\n!b\nuser\nc\nassistant\n!d\n")
+    assert (found[2].n_turns, found[2].loss_chars, found[2].turns_sha256) == (1, 0, sha("user\ne\n"))
+
+
 def test_chat_edges(spark, rows):
     data = [(None, None, None, None), (None, None, None, None), (1, None, "user", "a"), (1, 0, "assistant", None), (1, 0, "assistant", None), (2, 5, "", "")]
     check_conversations(spark, data, written(spark, rows(TURNS, *data)))
