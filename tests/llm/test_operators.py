@@ -238,6 +238,20 @@ def test_grammar_goes_on_until_no_pair_is_frequent(base):
     assert np.unique(pairs, axis=0, return_counts=True)[1].max() < grammar_files.LEAST
 
 
+def test_later_rounds_count_only_pairs_that_may_be_frequent(monkeypatch):
+    rng, counted, sort = np.random.default_rng(5), [], np.sort
+    phrase = rng.integers(0, 40_000, 8)
+    ids = np.concatenate([np.append(phrase, rng.integers(0, 40_000, 92)) for _ in range(500)]).astype(np.uint32)
+    monkeypatch.setattr(np, "sort", lambda a, *rest: counted.append(len(a)) or sort(a, *rest))
+    last = np.zeros(len(ids), dtype=bool)
+    last[-1] = True
+    sequence, _, rules = grammar_files.compress(ids, last, 49_408)
+    monkeypatch.undo()
+    counted = [n for n in counted if n > 500]  # not the sorts of a few pairs
+    assert counted[0] == len(ids) - 1 and max(counted[1:]) < len(ids) / 10
+    assert (grammar_files.expand(sequence, rules, 49_408) == ids).all() and len(sequence) == 500 * 93
+
+
 # --- language model --------------------------------------------------------
 
 

@@ -3,7 +3,8 @@
 Ids of documents are written in ascending order of a key, in blocks of about ``BLOCK_IDS`` ids. In each
 block the frequent pairs of neighbouring symbols are replaced by new symbols, round by round, until no
 pair occurs ``LEAST`` times or no symbols are left: a round counts all pairs, takes the most frequent
-ones and replaces their occurrences from left to right. Each round makes the block shorter, and a pair that
+ones and replaces their occurrences from left to right. After the first round only pairs that
+were frequent and those with a new symbol are counted, as others can't become frequent. Each round makes the block shorter, and a pair that
 a round leaves for want of a slot is met by the next one. No pair spans two documents, so a document
 starts at a symbol.
 
@@ -62,40 +63,51 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
     narrow = base + PER_ROUND <= 1 << 16  # symbols fit into 16 bits, with room for rules
     room = (1 << 16) - base if narrow else 1 << 20
     seq, rules, begun = ids.astype(np.uint32), [], 0
-    while room > 0 and len(seq) > 1:
+    # places whose pair may be frequent; the others' pairs are not, and can only become rarer
+    open_ = np.flatnonzero(~last[:-1])
+    while room > 0 and len(open_):
         if narrow:
-            code = (seq[:-1] << np.uint32(16)) | seq[1:]
+            code = (seq[open_] << np.uint32(16)) | seq[open_ + 1]
         else:
-            code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        inner = ~last[:-1]
-        ordered = np.sort(code[inner])
-        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+            code = (seq[open_].astype(np.uint64) << np.uint64(32)) | seq[open_ + 1]
+        ordered = np.sort(code)
+        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         times = np.diff(np.append(edge, len(ordered)))
         often = times >= LEAST
-        pairs, times = ordered[edge[often]], times[often]
-        if not len(pairs):
+        frequent, times = ordered[edge[often]], times[often]
+        if not len(frequent):
             break
         take = np.argsort(-times, kind="stable")[: min(room, PER_ROUND)]
-        pairs = pairs[take]
         # a table by hash finds the rule of a pair; of pairs that share a slot the more frequent one keeps it
-        slot = _slot(pairs)
-        _, first = np.unique(slot, return_index=True)
-        pairs = pairs[np.sort(first)]
-        slot = _slot(pairs)
+        _, first = np.unique(_slot(frequent[take]), return_index=True)
+        take = take[np.sort(first)]
+        pairs = frequent[take]
         table = np.full(SLOTS, -1, dtype=np.int32)
-        table[slot] = np.arange(len(pairs))
-        rule = table[_slot(code)]
-        hit = np.flatnonzero((rule >= 0) & inner)
-        hit = hit[pairs[rule[hit]] == code[hit]]
+        table[_slot(pairs)] = np.arange(len(pairs))
+        place = _slot(code)
+        rule = table[place]
+        found = np.flatnonzero(rule >= 0)
+        found = found[pairs[rule[found]] == code[found]]
         # of overlapping occurrences, every second one from the left
+        hit = open_[found]
         starts = np.concatenate(([True], np.diff(hit) > 1))
-        place = np.arange(len(hit))
-        hit = hit[(place - np.maximum.accumulate(np.where(starts, place, 0))) % 2 == 0]
-        seq[hit] = (base + begun + rule[hit]).astype(np.uint32)
-        kept = np.ones(len(seq), dtype=bool)
-        kept[hit + 1] = False
+        nth = np.arange(len(hit))
+        second = (nth - np.maximum.accumulate(np.where(starts, nth, 0))) % 2 == 0
+        found, hit = found[second], hit[second]
+        seq[hit] = (base + begun + rule[found]).astype(np.uint32)
         last[hit] = last[hit + 1]
-        seq, last = seq[kept], last[kept]
+        # next are the pairs that were left, and those of new symbols with their neighbours
+        left = np.zeros(SLOTS, dtype=bool)
+        left[_slot(np.delete(frequent, take))] = True
+        new, kept, again = np.zeros((3, len(seq)), dtype=bool)
+        new[hit] = True
+        again[open_[left[place]]] = True
+        kept[:] = True
+        kept[hit + 1] = False
+        seq, last, new, again = seq[kept], last[kept], new[kept], again[kept]
+        again |= new
+        again[:-1] |= new[1:]
+        open_ = np.flatnonzero(again[:-1] & ~last[:-1])
         half = np.uint32(16) if narrow else np.uint64(32)
         mask = code.dtype.type((1 << int(half)) - 1)
         rules.append(np.stack([pairs >> half, pairs & mask], axis=1).astype(np.uint32))
@@ -179,6 +191,8 @@ class ChunkEncoder:
         self.known = Recent(self.make, most=800_000)
 
     def make(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha() and chunk.islower():
+            return self.word(chunk)
         simple = self.LATIN.match(chunk)
         if not simple:
             return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
